@@ -1,0 +1,4 @@
+"""Cleaning and scoring are stateless projections: ``prepare_reviews`` and ``score`` accept a
+streaming DataFrame as they are, so there is no streaming variant of them. Sampling by count and
+whole-table statistics are batch operations.
+"""
