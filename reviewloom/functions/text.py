@@ -14,12 +14,19 @@ from pyspark.sql import functions as F
 WORD = r"\p{L}\p{N}_"
 BLANK_BUT_SPACE = r"\t\n\r\f\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 BLANK = " " + BLANK_BUT_SPACE
-URL_PATTERN = rf"https?://[^{BLANK}]+|www\.[^{BLANK}]+"
+# The patterns start with one cheap test that most characters fail: the first letters of a URL,
+# one code character before the look-behind, one range check before the long list of blanks.
+URL_PATTERN = rf"(?=[hw])(?:https?://[^{BLANK}]+|www\.[^{BLANK}]+)"
 MENTION_PATTERN = rf"@[{WORD}]+"
-CODE_PATTERN = rf"(?<![{WORD}])[A-Z0-9]{{10,}}(?![{WORD}])"
-CODE_NOT_MENTION_PATTERN = rf"(?<![{WORD}@])[A-Z0-9]{{10,}}(?![{WORD}])"
-# A lone U+0020 already is the wanted result, so only longer or other runs are rewritten.
-BLANK_RUN_PATTERN = rf" [{BLANK}]+|[{BLANK_BUT_SPACE}][{BLANK}]*"
+# Java steps back over a character outside the basic plane only if the look-behind names one.
+_WORD_BEHIND = WORD + "\U0001d4b4"
+CODE_PATTERN = rf"[A-Z0-9](?<![{_WORD_BEHIND}].)[A-Z0-9]{{9,}}+(?![{WORD}])"
+CODE_NOT_MENTION_PATTERN = rf"[A-Z0-9](?<![{_WORD_BEHIND}@].)[A-Z0-9]{{9,}}+(?![{WORD}])"
+# Runs of blanks other than a lone U+0020, which already is the wanted result.
+_ONE_BLANK = rf"(?:(?![!-\x84])[{BLANK}])"
+BLANK_RUN_PATTERN = (
+    rf"(?=[ \x00-\x1f\x85-\x{{10ffff}}])(?: {_ONE_BLANK}++|[{BLANK_BUT_SPACE}]{_ONE_BLANK}*+)"
+)
 URL_TOKEN = "[URL]"
 MENTION_TOKEN = "[USER]"
 CODE_TOKEN = "[PRODUCT]"
@@ -57,7 +64,12 @@ def clean_text(text, mask_codes_before_lower: bool = False) -> Column:
     source = _column(text)
     if mask_codes_before_lower:
         source = F.regexp_replace(source, F.lit(CODE_NOT_MENTION_PATTERN), F.lit(_CODE_PLACEHOLDER))
-    cleaned = squeeze_blanks(mask_codes(mask_mentions(mask_urls(F.lower(source)))))
+    lowered = F.lower(source)
+    # Substring tests are much cheaper than a regular expression that finds nothing.
+    may_have_url = F.contains(lowered, F.lit("://")) | F.contains(lowered, F.lit("www."))
+    masked = F.when(may_have_url, mask_urls(lowered)).otherwise(lowered)
+    masked = F.when(F.contains(source, F.lit("@")), mask_mentions(masked)).otherwise(masked)
+    cleaned = squeeze_blanks(mask_codes(masked))
     if mask_codes_before_lower:
         cleaned = F.replace(cleaned, F.lit(_CODE_PLACEHOLDER), F.lit(CODE_TOKEN))
     return F.coalesce(cleaned, F.lit(""))
@@ -66,9 +78,10 @@ def clean_text(text, mask_codes_before_lower: bool = False) -> Column:
 def has_text(text) -> Column:
     """Not null and not made of U+0020 only; a newline-only text passes and cleans to ``""``.
 
-    Null-safe: the result is true or false, never null.
+    True or false, never null; the null test reaches a Parquet scan as a pushed filter.
     """
-    return F.coalesce(F.length(F.trim(_column(text))) > 0, F.lit(False))
+    text = _column(text)
+    return text.isNotNull() & (F.length(F.trim(text)) > 0)
 
 
 def text_length(text) -> Column:

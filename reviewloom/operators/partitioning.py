@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MIB = 1024 * 1024
+OVERSIZED = 4  # times the target size up to which a scan's partitions are left alone
 
 
 def round_up_to_multiple(n: int, multiple: int) -> int:
@@ -72,12 +73,16 @@ def scan_partitions(df: DataFrame) -> int:
 def spread_evenly(df: DataFrame, size_bytes: int, target_mb: float = 128) -> DataFrame:
     """Give a scan the partitions its size and the cluster call for.
 
-    A large splittable file is read in splits of about the target size already, so shuffling it
-    would move all bytes for nothing. Only a scan with fewer partitions than planned (a small
-    file, or a gzip file, which one task has to read) is repartitioned.
+    A large splittable input is read in splits of about the target size already, so shuffling it
+    would move all bytes for nothing. Only a scan that leaves task slots idle (a small file), or
+    whose partitions are several times too large (a gzip file is read by one task), is
+    repartitioned.
     """
-    wanted = plan_by_file_size(size_bytes, target_mb, task_slots(df.sparkSession))
-    return df if scan_partitions(df) >= wanted else df.repartition(wanted)
+    slots = task_slots(df.sparkSession)
+    partitions = scan_partitions(df)
+    if partitions >= slots and size_bytes <= partitions * target_mb * MIB * OVERSIZED:
+        return df
+    return df.repartition(plan_by_file_size(size_bytes, target_mb, slots))
 
 
 def partition_profile(df: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Analytics over run metrics: throughput, speedup, efficiency, comparison of two systems.
 
 All of it works on tables of any length: baselines are aggregated per system and joined back, so no
-task has to hold all runs of one system.
+task has to hold all runs of one system. The functions below use their input more than once, so runs
+that come out of an expensive query should be staged first (``sources.storage.staged_table``).
 """
 
 from functools import reduce
@@ -110,8 +111,13 @@ def core_usage_summary(usage: DataFrame) -> DataFrame:
 def peak_and_increase(
     df: DataFrame, keys: list[str], value_col: str, order_by: list[str]
 ) -> DataFrame:
-    """First and highest value of each series, and how far it rose."""
-    first = F.min_by(value_col, F.struct(*order_by))
+    """First and highest value of each series, and how far it rose.
+
+    A single, numeric or time, ``order_by`` column keeps this a hash aggregate; several columns
+    make Spark sort the rows of each task first.
+    """
+    order = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)
+    first = F.min_by(value_col, order)
     return (
         df.groupBy(*keys)
         .agg(first.alias("first_value"), F.max(value_col).alias("peak_value"))

@@ -82,8 +82,7 @@ class LexiconScorer:
 
     def apply(self, df: DataFrame, text_col: str) -> DataFrame:
         text = F.col(text_col)
-        # Deleting punctuation never adds or removes a blank, so the token count stays right.
-        words = F.split(F.translate(text, PUNCTUATION, ""), " ")
+        words = F.split(text, " ")
         tokens = F.when(text == "", F.lit(0)).otherwise(F.size(words)) + SPECIAL_TOKENS
         if self.max_tokens is not None:
             words = F.slice(words, 1, self.max_tokens - SPECIAL_TOKENS)
@@ -92,10 +91,10 @@ class LexiconScorer:
         lexicon = self.lexicon
         known = lexicon.negative + lexicon.neutral + lexicon.positive
         # One pass over the text keeps the few words of the lexicon; the classes count those.
-        hits = F.filter(words, lambda word: word.isin(*known))
+        hits = F.filter(words, lambda word: _bare(word).isin(*known))
 
         def count_of(class_words):
-            matches = F.filter("_hits", lambda word: word.isin(*class_words))
+            matches = F.filter("_hits", lambda word: _bare(word).isin(*class_words))
             return F.size(matches).cast("double")
 
         logits = {
@@ -167,6 +166,11 @@ class ModelScorer:
         return df.withColumn("result", _model_udf(self)(F.col(text_col)))
 
 
+def _bare(word: Column) -> Column:
+    """A word without the punctuation around it."""
+    return F.btrim(word, F.lit(PUNCTUATION))
+
+
 def _error_result() -> Column:
     return F.struct(
         F.lit(ERROR_TOKENS).alias("token_count"),

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from reviewloom.operators.statistics import score_stats, sentiment_distribution
 from reviewloom.plans.comparison import compare_run_files
 from reviewloom.plans.review_job import ReviewJob, run_review_job
-from reviewloom.queries.runs import by_level
+from reviewloom.queries.runs import staged_levels
 from reviewloom.queries.statistics import ORACLES as STATISTICS_ORACLES
 from reviewloom.queries.tables import (
     PATCHY_SQL,
@@ -24,7 +24,7 @@ from reviewloom.sinks.csv import merge_csv, write_csv, write_single_csv, write_s
 from reviewloom.sinks.report import report_lines
 from reviewloom.sources.reviews import CORRUPT_COLUMN, read_reviews, resolve_dataset, split_rejects
 from reviewloom.sources.runs import read_results_csv
-from reviewloom.sources.storage import scratch_path
+from reviewloom.sources.storage import scratch_path, staged_table
 
 
 def jsonl_roundtrip(spark, sf_dir):
@@ -106,7 +106,7 @@ def merged_csv(spark, sf_dir):
 
 
 def text_report(spark, sf_dir):
-    result = scored(spark, sf_dir)
+    result = staged_table(scored(spark, sf_dir).select("sentiment", "score"), "scores")
     lines = report_lines(sentiment_distribution(result), score_stats(result)).select("line")
     path = write_single_text(lines, scratch_path(spark, "report"), "report")
     return spark.read.text(path).withColumnRenamed("value", "line").filter("line <> ''")
@@ -153,7 +153,7 @@ def _run_job(spark, sf_dir):
 def comparison_of_files(spark, sf_dir):
     """Runs of two systems, written as CSV and compared from there."""
     folder = scratch_path(spark, "runs")
-    runs = by_level(spark, sf_dir)
+    runs = staged_levels(spark, sf_dir)
     columns = ["total_samples", "total_tokens", "total_time", "throughput_tokens_per_second"]
     left = runs.filter("framework = 'N'").select(F.col("parallelism").alias("cores"), *columns)
     right = runs.filter("framework = 'R' and parallelism <> 3").select(

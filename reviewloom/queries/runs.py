@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.operators import runs
 from reviewloom.queries.tables import RUNS_SQL, round_columns, system_runs, table
+from reviewloom.sources.storage import staged_table
 
 NAMES = {"A": "Alpha", "N": "Nova", "R": "Rho"}
 
@@ -19,6 +20,11 @@ def by_level(spark, sf_dir, *more_keys):
     )
 
 
+def staged_levels(spark, sf_dir, *more_keys):
+    """The same as a table of its own: a few rows, which the queries below use repeatedly."""
+    return staged_table(by_level(spark, sf_dir, *more_keys), "levels")
+
+
 def throughput(spark, sf_dir):
     return round_columns(
         by_level(spark, sf_dir),
@@ -29,7 +35,7 @@ def throughput(spark, sf_dir):
 
 
 def speedup(spark, sf_dir):
-    scaled = runs.speedup_and_efficiency(by_level(spark, sf_dir), ["framework"], require_level_one=True)
+    scaled = runs.speedup_and_efficiency(staged_levels(spark, sf_dir), ["framework"], require_level_one=True)
     return round_columns(scaled, "speedup", "efficiency").select(
         "framework", "parallelism", "speedup", "efficiency"
     )
@@ -37,7 +43,7 @@ def speedup(spark, sf_dir):
 
 def speedup_without_level_one(spark, sf_dir):
     """One system lacks level 1: its first level is the baseline then."""
-    known = by_level(spark, sf_dir).filter("not (framework = 'R' and parallelism = 1)")
+    known = staged_levels(spark, sf_dir).filter("not (framework = 'R' and parallelism = 1)")
     scaled = runs.speedup_and_efficiency(known, ["framework"])
     return round_columns(scaled, "speedup", "efficiency").select(
         "framework", "parallelism", "speedup", "efficiency"
@@ -46,17 +52,17 @@ def speedup_without_level_one(spark, sf_dir):
 
 def throughput_ratio(spark, sf_dir):
     scaled = runs.speedup_and_efficiency(
-        by_level(spark, sf_dir), ["framework"], throughput_col="throughput_tokens_per_second"
+        staged_levels(spark, sf_dir), ["framework"], throughput_col="throughput_tokens_per_second"
     )
     return round_columns(scaled, "throughput_ratio").select("framework", "parallelism", "throughput_ratio")
 
 
 def sides(spark, sf_dir):
     """Left: system N. Right: system R up to level 5, with two runs per level."""
-    left = by_level(spark, sf_dir).filter("framework = 'N'").withColumn("batch", F.lit("all"))
-    right = by_level(spark, sf_dir, "batch").filter("framework = 'R' and parallelism <= 5")
-    scale = lambda df: runs.speedup_and_efficiency(df, ["framework"], order_by=["parallelism", "batch"])
-    return scale(left), scale(right)
+    left = staged_levels(spark, sf_dir).filter("framework = 'N'").withColumn("batch", F.lit("all"))
+    right = staged_levels(spark, sf_dir, "batch").filter("framework = 'R' and parallelism <= 5")
+    order = ["parallelism", "batch"]
+    return tuple(runs.speedup_and_efficiency(side, ["framework"], order_by=order) for side in (left, right))
 
 
 def comparison(spark, sf_dir):
@@ -66,8 +72,11 @@ def comparison(spark, sf_dir):
 
 
 def level_union(spark, sf_dir):
-    left, right = sides(spark, sf_dir)
-    return runs.levels(left.filter("parallelism > 2"), right.filter("parallelism < 4"))
+    records = system_runs(spark, sf_dir)
+    return runs.levels(
+        records.filter("framework = 'N' and parallelism > 2"),
+        records.filter("framework = 'R' and parallelism < 4"),
+    )
 
 
 def distinct_levels(spark, sf_dir):
@@ -76,7 +85,7 @@ def distinct_levels(spark, sf_dir):
 
 def concatenated(spark, sf_dir):
     """The runs of each system under its own level column, put together again under one."""
-    all_runs = by_level(spark, sf_dir)
+    all_runs = staged_levels(spark, sf_dir)
     parts = []
     for flag, name in NAMES.items():
         own = all_runs.filter(F.col("framework") == flag).drop("framework")
@@ -145,7 +154,7 @@ def usage_of_arrays(spark, sf_dir):
 
 def memory_peak(spark, sf_dir):
     peaks = runs.peak_and_increase(
-        table(spark, sf_dir, "events"), ["user_id"], "value", ["ts", "event_id"]
+        table(spark, sf_dir, "events"), ["user_id"], "value", ["ts"]
     )
     return round_columns(peaks, "first_value", "peak_value", "increase")
 

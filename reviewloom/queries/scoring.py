@@ -24,6 +24,7 @@ from reviewloom.queries.tables import (
     round_columns,
     score_sql,
     scored,
+    spread_reviews,
     table,
 )
 
@@ -68,7 +69,7 @@ def lexicon_scores(spark, sf_dir):
 def window_scores(spark, sf_dir):
     """The token window of the model is the feature here: tokens beyond it do not count."""
     scorer = LexiconScorer(STAND_IN_LEXICON, max_tokens=MODEL_WINDOW)
-    result = score(prepare_reviews(reviews(spark, sf_dir)), scorer)
+    result = score(prepare_reviews(spread_reviews(spark, sf_dir)), scorer)
     return round_columns(result.select("asin", "token_count", "sentiment", "score"), "score")
 
 

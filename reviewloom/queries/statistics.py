@@ -20,6 +20,7 @@ from reviewloom.queries.tables import (
     round_columns,
     score_sql,
     scored,
+    spread_reviews,
     table,
 )
 
@@ -56,7 +57,7 @@ def tokens(spark, sf_dir):
 def window_tokens(spark, sf_dir):
     """Token statistics within the token window of a model, which is the feature here."""
     scorer = LexiconScorer(STAND_IN_LEXICON, max_tokens=MODEL_WINDOW)
-    result = score(prepare_reviews(reviews(spark, sf_dir)), scorer)
+    result = score(prepare_reviews(spread_reviews(spark, sf_dir)), scorer)
     return round_columns(stats.token_stats(result), "mean_token_count", "stddev_token_count")
 
 

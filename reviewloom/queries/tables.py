@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.lexicon import Lexicon
 from reviewloom.operators.filters import prepare_reviews
+from reviewloom.operators.partitioning import spread_evenly
 from reviewloom.operators.scoring import PUNCTUATION, LexiconScorer, score
+from reviewloom.sources.storage import input_size
 
 # The test documents are made of invented words; these frequent ones play the part of opinions.
 STAND_IN_LEXICON = Lexicon(
@@ -31,8 +33,15 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews over enough partitions for work that takes the processor, not the disk."""
+    size = input_size(spark, f"{sf_dir}/documents.parquet").first()["bytes"]
+    return spread_evenly(reviews(spark, sf_dir), size)
+
+
 def patchy_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews of which some have a null, an empty, a space-only or a newline-only text."""
+    rows = spread_reviews(spark, sf_dir)
     number = F.substring("asin", 2, 20).cast("bigint") % 10
     text = (
         F.when(number == 0, F.lit(None))
@@ -41,11 +50,11 @@ def patchy_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(number == 3, F.lit(""))
         .otherwise(F.col("text"))
     )
-    return reviews(spark, sf_dir).withColumn("text", text)
+    return rows.withColumn("text", text)
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score(prepare_reviews(reviews(spark, sf_dir)), STAND_IN_SCORER)
+    return score(prepare_reviews(spread_reviews(spark, sf_dir)), STAND_IN_SCORER)
 
 
 def system_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,14 +130,14 @@ def _in_list(words) -> str:
 
 def score_sql(source: str, text: str, name: str = "scored", max_tokens: int | None = None) -> str:
     """CTEs that add token_count, sentiment and score (not rounded, FLOAT) to ``source``."""
-    words = f"string_split(translate({text}, '{PUNCTUATION}', ''), ' ')"
+    words = f"string_split({text}, ' ')"
     tokens = f"CASE WHEN {text} = '' THEN 2 ELSE len({words}) + 2 END"
     if max_tokens is not None:
         words = f"({words})[1:{max_tokens - 2}]"
         tokens = f"least({tokens}, {max_tokens})"
 
     def count(class_words):
-        return f"len(list_filter({words}, lambda w: w IN ({_in_list(class_words)})))"
+        return f"len(list_filter({words}, lambda w: trim(w, '{PUNCTUATION}') IN ({_in_list(class_words)})))"
 
     lexicon = STAND_IN_LEXICON
     return f"""

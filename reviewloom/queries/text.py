@@ -22,6 +22,7 @@ from reviewloom.queries.tables import (
     clean_sql,
     patchy_reviews,
     reviews,
+    spread_reviews,
     table,
 )
 
@@ -43,7 +44,7 @@ def text_lengths(spark, sf_dir):
 
 
 def cleaned_reviews(spark, sf_dir):
-    return prepare_reviews(reviews(spark, sf_dir))
+    return prepare_reviews(spread_reviews(spark, sf_dir))
 
 
 def cleaned_patchy_reviews(spark, sf_dir):
@@ -94,7 +95,7 @@ def mask_counts(spark, sf_dir):
 
 
 def codes_before_lower(spark, sf_dir):
-    return reviews(spark, sf_dir).select(
+    return spread_reviews(spark, sf_dir).select(
         "asin", clean_text("text", mask_codes_before_lower=True).alias("preprocessed_text")
     )
 

@@ -52,3 +52,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
         root = tempfile.mkdtemp(prefix="reviewloom-")
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
+
+
+def staged_table(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once and read back: several uses then share one evaluation, the size of the
+    table is known to the planner, and a lost executor costs nothing."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
