@@ -10,13 +10,14 @@ class Lexicon:
     """Lower-case words that count for each class.
 
     The words travel inside the query plan as literals, hence the size bound.
-    ``neutral_prior`` is the score NEU starts from, so that a text without any hit is NEU.
+    ``neutral_prior`` is the score NEU starts from: less than one hit, so that a text without any
+    hit is NEU, and one hit decides.
     """
 
     negative: tuple[str, ...]
     neutral: tuple[str, ...]
     positive: tuple[str, ...]
-    neutral_prior: float = 1.0
+    neutral_prior: float = 0.5
 
     def __post_init__(self):
         words = self.negative + self.neutral + self.positive
