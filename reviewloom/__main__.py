@@ -13,7 +13,7 @@ from reviewloom.plans.sweeps import core_scaling, partition_count_sweep, partiti
 from reviewloom.sinks.csv import write_single_csv
 from reviewloom.sinks.report import write_sweep_report
 from reviewloom.sources.reviews import load_reviews
-from reviewloom.sources.storage import input_size
+from reviewloom.sources.storage import input_bytes
 
 
 def main(arguments: list[str] | None = None) -> int:
@@ -52,7 +52,7 @@ def cores(spark: SparkSession, options) -> int:
 def partitions(spark: SparkSession, options) -> int:
     reviews, folder = _sample(spark, options), options.output_dir
     if options.target_mb:
-        size = input_size(spark, options.data).first()["bytes"]
+        size = input_bytes(spark, options.data)
         sweep = partition_size_sweep(reviews, LexiconScorer(), size, options.target_mb)
         columns, name = ("target_mb", "num_partitions", "Target partition size (MB)"), "partition_size"
     else:

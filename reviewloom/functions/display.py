@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from reviewloom.functions.numeric import one_decimal
+
 # Colour per label, and the colour of every other label.
 LABEL_COLORS = {"NEG": "red", "NEU": "gray", "POS": "green"}
 OTHER_COLOR = "blue"
@@ -15,7 +17,7 @@ def label_color(label) -> Column:
 
 def label_caption(label, percentage) -> Column:
     """``POS (41.7%)``"""
-    return F.format_string("%s (%.1f%%)", _column(label), _column(percentage))
+    return F.format_string("%s (%s%%)", _column(label), one_decimal(percentage))
 
 
 def _column(col) -> Column:

@@ -4,6 +4,7 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from reviewloom import schemas
 from reviewloom.functions.lexicon import OPINION_WORDS
@@ -16,6 +17,7 @@ from reviewloom.operators.observation import (
 )
 from reviewloom.operators.partitioning import scan_partitions, spread_evenly
 from reviewloom.operators.scoring import ERROR_LABEL, LexiconScorer, score
+from reviewloom.operators.statistics import with_share
 from reviewloom.sinks.csv import (
     SINGLE_FILE_BYTES,
     merge_csv,
@@ -26,7 +28,7 @@ from reviewloom.sinks.csv import (
 )
 from reviewloom.sinks.report import write_report
 from reviewloom.sources.reviews import load_reviews, resolve_dataset
-from reviewloom.sources.storage import input_size
+from reviewloom.sources.storage import input_bytes
 
 
 @dataclass(frozen=True)
@@ -73,9 +75,8 @@ def run_review_job(spark: SparkSession, job: ReviewJob) -> ReviewResult:
     """
     started = time.time()
     path = resolve_dataset(spark, job.dataset, job.input_root, job.input_file)
-    size_bytes = input_size(spark, path).first()["bytes"]
     reviews = load_reviews(spark, path, job.sample_ratio, job.sample_count, job.seed, job.sample_keys)
-    reviews = spread_evenly(reviews, size_bytes, job.target_partition_mb)
+    reviews = spread_evenly(reviews, input_bytes(spark, path), job.target_partition_mb)
     partitions = scan_partitions(reviews)
 
     reviews, seen = observe(reviews, "input", input_aggregates())
@@ -120,13 +121,10 @@ def run_review_job(spark: SparkSession, job: ReviewJob) -> ReviewResult:
 
 def observed_distribution(spark: SparkSession, totals: dict, labels) -> DataFrame:
     """Rows and share per label that occurs, from observed counts."""
-    total = totals["total_reviews"]
-    rows = []
-    for label in sorted([*labels, ERROR_LABEL]):
-        count = totals[label_metric(label)]
-        if count:
-            rows.append((label, count, round(count / total * 100, 2)))
-    return spark.createDataFrame(rows, schemas.DISTRIBUTION_SCHEMA)
+    counts = [(label, totals[label_metric(label)]) for label in [*labels, ERROR_LABEL]]
+    occurring = [(label, count) for label, count in counts if count]
+    schema = StructType(schemas.DISTRIBUTION_SCHEMA.fields[:2])
+    return with_share(spark.createDataFrame(occurring, schema)).orderBy("sentiment")
 
 
 def _observed_row(spark: SparkSession, totals: dict, schema) -> DataFrame:

@@ -18,6 +18,7 @@ from reviewloom.queries.tables import (
     reviews,
     round_columns,
     scored,
+    spread_reviews,
 )
 from reviewloom.schemas import DISTRIBUTION_SCHEMA, REVIEW_SCHEMA, SCORED_SCHEMA
 from reviewloom.sinks.csv import merge_csv, write_csv, write_single_csv, write_single_text
@@ -30,14 +31,14 @@ from reviewloom.sources.storage import scratch_path, staged_table
 def jsonl_roundtrip(spark, sf_dir):
     """Gzipped JSON Lines with a field that is not declared, and without ``title``."""
     path = scratch_path(spark, "jsonl")
-    rows = reviews(spark, sf_dir).drop("title").withColumn("helpful_votes", F.lit(7))
+    rows = spread_reviews(spark, sf_dir).drop("title").withColumn("helpful_votes", F.lit(7))
     rows.write.option("compression", "gzip").json(path)
     return read_reviews(spark, path)
 
 
 def _damaged_lines(spark, sf_dir):
     """JSON lines; every seventh is no JSON, every seventh has a rating in quotes, and so on."""
-    rows = reviews(spark, sf_dir)
+    rows = spread_reviews(spark, sf_dir)
     number = F.substring("asin", 2, 20).cast("bigint") % 7
     as_json = F.to_json(F.struct(*rows.columns))
     quoted = F.to_json(F.struct("text", "asin", F.lit("4").alias("rating")))
@@ -139,7 +140,7 @@ def review_job_metrics(spark, sf_dir):
 
 def _run_job(spark, sf_dir):
     root = scratch_path(spark, "job")
-    reviews(spark, sf_dir).write.json(f"{root}/input/sample.jsonl")
+    spread_reviews(spark, sf_dir).write.json(f"{root}/input/sample.jsonl")
     job = ReviewJob(
         dataset="sample",
         input_root=f"{root}/input",
@@ -218,7 +219,7 @@ SELECT 'Sentiment Analysis Summary Report' AS line
 UNION ALL SELECT repeat('=', 33)
 UNION ALL SELECT format('Total processed reviews: {{:,}}', n) FROM s
 UNION ALL SELECT 'Sentiment Distribution:'
-UNION ALL SELECT format('  {{}}: {{:,}} reviews ({{:.2f}}%)', sentiment, n, pct) FROM distribution
+UNION ALL SELECT format('  {{}}: {{:,}} reviews ({{}}%)', sentiment, n, CAST(pct AS VARCHAR)) FROM distribution
 UNION ALL SELECT 'Confidence Score Statistics:'
 UNION ALL SELECT format('  Mean: {{:.4f}}', mean) FROM s
 UNION ALL SELECT format('  StdDev: {{:.4f}}', sd) FROM s

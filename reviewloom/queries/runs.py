@@ -9,25 +9,32 @@ from reviewloom.sources.storage import staged_table
 NAMES = {"A": "Alpha", "N": "Nova", "R": "Rho"}
 
 
-def by_level(spark, sf_dir, *more_keys):
-    """Seconds, samples and tokens per system and level; sums of decimals are exact."""
+def by_level(records, *keys):
+    """Seconds, samples and tokens per system and level (and more keys)."""
     return runs.throughput_by_level(
-        system_runs(spark, sf_dir),
-        ["framework", "parallelism", *more_keys],
-        seconds=F.sum("seconds").cast("double"),
-        samples=F.count(F.lit(1)),
-        tokens=F.sum("tokens").cast("bigint"),
+        records,
+        ["framework", "parallelism", *keys],
+        seconds=F.sum("hundredths") / 100,
+        samples=F.sum("samples"),
+        tokens=F.sum("tokens"),
     )
 
 
-def staged_levels(spark, sf_dir, *more_keys):
-    """The same as a table of its own: a few rows, which the queries below use repeatedly."""
-    return staged_table(by_level(spark, sf_dir, *more_keys), "levels")
+def batch_totals(spark, sf_dir):
+    """The run records summed up per system, level and batch: a few dozen rows, staged as a table of
+    their own because the queries below use them repeatedly."""
+    totals = system_runs(spark, sf_dir).groupBy("framework", "parallelism", "batch")
+    sums = [F.sum("hundredths").alias("hundredths"), F.sum("tokens").alias("tokens")]
+    return staged_table(totals.agg(F.count(F.lit(1)).alias("samples"), *sums), "batches")
+
+
+def staged_levels(spark, sf_dir):
+    return by_level(batch_totals(spark, sf_dir))
 
 
 def throughput(spark, sf_dir):
     return round_columns(
-        by_level(spark, sf_dir),
+        by_level(system_runs(spark, sf_dir).withColumn("samples", F.lit(1))),
         "total_time",
         "throughput_samples_per_second",
         "throughput_tokens_per_second",
@@ -59,8 +66,9 @@ def throughput_ratio(spark, sf_dir):
 
 def sides(spark, sf_dir):
     """Left: system N. Right: system R up to level 5, with two runs per level."""
-    left = staged_levels(spark, sf_dir).filter("framework = 'N'").withColumn("batch", F.lit("all"))
-    right = staged_levels(spark, sf_dir, "batch").filter("framework = 'R' and parallelism <= 5")
+    batches = batch_totals(spark, sf_dir)
+    left = by_level(batches).filter("framework = 'N'").withColumn("batch", F.lit("all"))
+    right = by_level(batches, "batch").filter("framework = 'R' and parallelism <= 5")
     order = ["parallelism", "batch"]
     return tuple(runs.speedup_and_efficiency(side, ["framework"], order_by=order) for side in (left, right))
 
@@ -96,14 +104,13 @@ def concatenated(spark, sf_dir):
 
 
 def best(spark, sf_dir):
-    rows = by_level(spark, sf_dir).withColumnRenamed("throughput_tokens_per_second", "throughput")
+    rows = staged_levels(spark, sf_dir).withColumnRenamed("throughput_tokens_per_second", "throughput")
     return round_columns(runs.best_configuration(rows, ["framework", "parallelism"]), "throughput")
 
 
 def latency(spark, sf_dir):
-    events = table(spark, sf_dir, "events").withColumn("value", F.col("value").cast("decimal(18,2)"))
     return round_columns(
-        runs.latency_stats(events, "value"),
+        runs.latency_stats(table(spark, sf_dir, "events"), "value"),
         "total_time",
         "avg_time_per_sample",
         "max_time_per_sample",
@@ -112,23 +119,13 @@ def latency(spark, sf_dir):
 
 
 def token_latency(spark, sf_dir):
-    """Latency and tokens of line items: seconds = price, tokens = quantity."""
-    stats = runs.latency_stats(system_runs(spark, sf_dir), "seconds", "tokens")
-    return round_columns(
-        stats,
-        "total_time",
-        "avg_time_per_sample",
-        "max_time_per_sample",
-        "min_time_per_sample",
-        "avg_tokens",
-        "max_tokens",
-        "throughput_tokens_per_second",
-    )
+    """Latency and tokens of line items, in hundredths of a second."""
+    stats = runs.latency_stats(system_runs(spark, sf_dir), "hundredths", "tokens")
+    return round_columns(stats, "avg_time_per_sample", "avg_tokens", "throughput_tokens_per_second")
 
 
 def _usage(spark, sf_dir):
-    samples = table(spark, sf_dir, "events").withColumn("value", F.col("value").cast("decimal(18,2)"))
-    return runs.core_usage(samples, "user_id", "value")
+    return runs.core_usage(table(spark, sf_dir, "events"), "user_id", "value")
 
 
 def usage(spark, sf_dir):
@@ -143,11 +140,7 @@ def usage_summary(spark, sf_dir):
 
 def usage_of_arrays(spark, sf_dir):
     """Samples that hold one value per core, as an array."""
-    percent = [
-        (F.col("l_quantity") * 2).cast("decimal(18,2)"),
-        (F.col("l_discount") * 1000).cast("decimal(18,2)"),
-        (F.col("l_tax") * 1000).cast("decimal(18,2)"),
-    ]
+    percent = [F.col("l_quantity") * 2, F.rint(F.col("l_discount") * 1000), F.rint(F.col("l_tax") * 1000)]
     samples = table(spark, sf_dir, "lineitem").select(F.array(*percent).alias("per_core"))
     return round_columns(runs.core_usage(runs.core_samples(samples, "per_core")), "mean_usage")
 
@@ -243,31 +236,24 @@ FROM levels""",
 SELECT framework, parallelism, round(throughput_tokens_per_second, 6) AS throughput
 FROM levels ORDER BY throughput_tokens_per_second DESC, framework, parallelism LIMIT 1""",
     "latency_stats": """
-WITH e AS (SELECT CAST(value AS DECIMAL(18,2)) AS v FROM events)
-SELECT count(*) AS total_samples, round(CAST(sum(v) AS DOUBLE), 6) AS total_time,
-       round(CAST(sum(v) AS DOUBLE) / count(*), 6) AS avg_time_per_sample,
-       round(CAST(max(v) AS DOUBLE), 6) AS max_time_per_sample,
-       round(CAST(min(v) AS DOUBLE), 6) AS min_time_per_sample
-FROM e""",
+SELECT count(*) AS total_samples, round(sum(value), 6) AS total_time,
+       round(sum(value) / count(*), 6) AS avg_time_per_sample,
+       round(max(value), 6) AS max_time_per_sample, round(min(value), 6) AS min_time_per_sample
+FROM events""",
     "token_latency_stats": f"""
-WITH {RUNS_SQL}
-SELECT count(*) AS total_samples, round(CAST(sum(seconds) AS DOUBLE), 6) AS total_time,
-       round(CAST(sum(seconds) AS DOUBLE) / count(*), 6) AS avg_time_per_sample,
-       round(CAST(max(seconds) AS DOUBLE), 6) AS max_time_per_sample,
-       round(CAST(min(seconds) AS DOUBLE), 6) AS min_time_per_sample,
+WITH {RUNS_SQL},
+h AS (SELECT CAST(seconds * 100 AS BIGINT) AS h, CAST(tokens AS BIGINT) AS tokens FROM runs)
+SELECT count(*) AS total_samples, CAST(sum(h) AS BIGINT) AS total_time,
+       round(CAST(sum(h) AS DOUBLE) / count(*), 6) AS avg_time_per_sample,
+       max(h) AS max_time_per_sample, min(h) AS min_time_per_sample,
        CAST(sum(tokens) AS BIGINT) AS total_tokens,
-       round(CAST(sum(tokens) AS DOUBLE) / count(*), 6) AS avg_tokens,
-       CAST(max(tokens) AS DOUBLE) AS max_tokens,
-       round(CAST(sum(tokens) AS DOUBLE) / CAST(sum(seconds) AS DOUBLE), 6) AS throughput_tokens_per_second
-FROM runs""",
+       round(CAST(sum(tokens) AS DOUBLE) / count(*), 6) AS avg_tokens, max(tokens) AS max_tokens,
+       round(CAST(sum(tokens) AS DOUBLE) / CAST(sum(h) AS DOUBLE), 6) AS throughput_tokens_per_second
+FROM h""",
     "core_usage": """
-WITH e AS (SELECT user_id, CAST(value AS DECIMAL(18,2)) AS v FROM events)
-SELECT user_id, round(CAST(sum(v) AS DOUBLE) / count(*), 6) AS mean_usage, count(*) AS samples
-FROM e GROUP BY user_id""",
+SELECT user_id, round(avg(value), 6) AS mean_usage, count(*) AS samples FROM events GROUP BY user_id""",
     "core_usage_summary": """
-WITH e AS (SELECT user_id, CAST(value AS DECIMAL(18,2)) AS v FROM events),
-u AS (SELECT user_id, CAST(sum(v) AS DOUBLE) / count(*) AS mean_usage, count(*) AS samples
-      FROM e GROUP BY user_id)
+WITH u AS (SELECT user_id, avg(value) AS mean_usage, count(*) AS samples FROM events GROUP BY user_id)
 SELECT count(*) AS num_cores, count(*) FILTER (WHERE mean_usage > 50) AS active_cores,
        round(avg(mean_usage), 6) AS avg_core_usage, round(max(mean_usage), 6) AS max_core_usage,
        max(samples) AS samples_collected
@@ -275,10 +261,9 @@ FROM u""",
     "core_usage_arrays": """
 WITH s AS (
   SELECT unnest([0, 1, 2]) AS core,
-         unnest([CAST(l_quantity * 2 AS DECIMAL(18,2)), CAST(l_discount * 1000 AS DECIMAL(18,2)),
-                 CAST(l_tax * 1000 AS DECIMAL(18,2))]) AS percent
+         unnest([l_quantity * 2, round(l_discount * 1000), round(l_tax * 1000)]) AS percent
   FROM lineitem)
-SELECT core, round(CAST(sum(percent) AS DOUBLE) / count(*), 6) AS mean_usage, count(*) AS samples
+SELECT core, round(avg(percent), 6) AS mean_usage, count(*) AS samples
 FROM s GROUP BY core""",
     "memory_peak": """
 WITH e AS (

@@ -7,7 +7,7 @@ from reviewloom.functions.lexicon import Lexicon
 from reviewloom.operators.filters import prepare_reviews
 from reviewloom.operators.partitioning import spread_evenly
 from reviewloom.operators.scoring import PUNCTUATION, LexiconScorer, score
-from reviewloom.sources.storage import input_size
+from reviewloom.sources.storage import input_bytes
 
 # The test documents are made of invented words; these frequent ones play the part of opinions.
 STAND_IN_LEXICON = Lexicon(
@@ -22,9 +22,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table over enough partitions for work that takes the processor, not the disk."""
+    return spread_evenly(table(spark, sf_dir, name), input_bytes(spark, f"{sf_dir}/{name}.parquet"))
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in the shape of reviews."""
-    return table(spark, sf_dir, "documents").select(
+    return as_reviews(table(spark, sf_dir, "documents"))
+
+
+def spread_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_reviews(spread_table(spark, sf_dir, "documents"))
+
+
+def as_reviews(documents: DataFrame) -> DataFrame:
+    return documents.select(
         "text",
         F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("asin"),
         F.col("source").alias("user_id"),
@@ -33,12 +46,6 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def spread_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews over enough partitions for work that takes the processor, not the disk."""
-    size = input_size(spark, f"{sf_dir}/documents.parquet").first()["bytes"]
-    return spread_evenly(reviews(spark, sf_dir), size)
-
-
 def patchy_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews of which some have a null, an empty, a space-only or a newline-only text."""
     rows = spread_reviews(spark, sf_dir)
@@ -63,14 +70,14 @@ def system_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag").alias("framework"),
         F.col("l_linenumber").alias("parallelism"),
         F.col("l_linestatus").alias("batch"),
-        exact("l_extendedprice").alias("seconds"),
-        exact("l_quantity").alias("tokens"),
+        hundredths("l_extendedprice").alias("hundredths"),
+        F.rint("l_quantity").cast("bigint").alias("tokens"),
     )
 
 
-def exact(column: str) -> Column:
-    """Two decimals, so that sums do not depend on the order of the rows."""
-    return F.col(column).cast("decimal(18,2)")
+def hundredths(column: str) -> Column:
+    """Whole hundredths of an amount with two decimals: their sum does not depend on the order."""
+    return F.rint(F.col(column) * 100).cast("bigint")
 
 
 def rounded(column, digits: int = 6) -> Column:

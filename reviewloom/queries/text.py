@@ -23,7 +23,7 @@ from reviewloom.queries.tables import (
     patchy_reviews,
     reviews,
     spread_reviews,
-    table,
+    spread_table,
 )
 
 
@@ -53,14 +53,14 @@ def cleaned_patchy_reviews(spark, sf_dir):
 
 def cleaned_pages(spark, sf_dir):
     """URLs are masked here: every page has one, and its HTML has more."""
-    return table(spark, sf_dir, "pages").select(
+    return spread_table(spark, sf_dir, "pages").select(
         "page_id", clean_text("url").alias("clean_url"), clean_text("html").alias("clean_html")
     )
 
 
 def cleaning_steps(spark, sf_dir):
     """Each rule on its own, on the text as it is."""
-    return table(spark, sf_dir, "pages").select(
+    return spread_table(spark, sf_dir, "pages").select(
         "page_id",
         F.lower("html").alias("lowered"),
         mask_urls("html").alias("urls_masked"),
@@ -72,10 +72,10 @@ def cleaning_steps(spark, sf_dir):
 
 def mask_counts(spark, sf_dir):
     """Rows of each table that hold each mask token after cleaning."""
-    documents = table(spark, sf_dir, "documents").select(
+    documents = spread_table(spark, sf_dir, "documents").select(
         F.lit("documents").alias("source_table"), clean_text("text").alias("clean")
     )
-    pages = table(spark, sf_dir, "pages").select(
+    pages = spread_table(spark, sf_dir, "pages").select(
         F.lit("pages").alias("source_table"),
         clean_text(F.concat_ws(" ", "url", "html")).alias("clean"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from reviewloom.schemas import SUMMARY_SCHEMA
 from reviewloom.sources.runs import CSV_OPTIONS, read_results_csv
-from reviewloom.sources.storage import hadoop_path, input_size
+from reviewloom.sources.storage import hadoop_path, input_bytes
 
 SINGLE_FILE_BYTES = 1 << 30
 
@@ -54,7 +54,7 @@ def merge_csv(
     One task would have to write the file, so parts of more than ``single_file_bytes`` are left
     as they are and their path is returned. ``read_results_csv`` reads the same rows from either.
     """
-    if input_size(spark, parts_path).first()["bytes"] > single_file_bytes:
+    if input_bytes(spark, parts_path) > single_file_bytes:
         return parts_path
     rows = read_results_csv(spark, parts_path, schema)
     return write_single_csv(rows, directory, name, compression)

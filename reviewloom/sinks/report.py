@@ -16,7 +16,10 @@ def report_lines(distribution: DataFrame, score_stats: DataFrame) -> DataFrame:
     )
     shares = distribution.select(
         F.format_string(
-            "  %s: %s reviews (%.2f%%)", "sentiment", F.format_number("count", 0), "percentage"
+            "  %s: %s reviews (%s%%)",
+            "sentiment",
+            F.format_number("count", 0),
+            F.col("percentage").cast("string"),
         ).alias("line")
     )
     # One line per label, so one short array.

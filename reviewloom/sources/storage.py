@@ -37,8 +37,17 @@ def input_size(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def input_size_mb(spark: SparkSession, path: str | list[str]) -> float:
-    return input_size(spark, path).first()["bytes"] / (1024 * 1024)
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total bytes below a file, directory or glob, asked from the file system without a job."""
+    target, file_system = hadoop_path(spark, path)
+    matches = file_system.globStatus(target)
+    if not matches:
+        raise FileNotFoundError(path)
+    return sum(file_system.getContentSummary(match.getPath()).getLength() for match in matches)
+
+
+def input_mb(spark: SparkSession, path: str) -> float:
+    return input_bytes(spark, path) / (1024 * 1024)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -14,7 +14,7 @@ from reviewloom.operators.partitioning import (
     spread_evenly,
     task_slots,
 )
-from reviewloom.sources.storage import input_size, input_size_mb, scratch_path, staged_table
+from reviewloom.sources.storage import input_mb, input_size, scratch_path, staged_table
 
 TB = 1024 * 1024 * MIB
 
@@ -60,7 +60,7 @@ def test_sizes(spark, tmp_path):
     total = sum(os.path.getsize(os.path.join(path, name)) for name in files)
     assert input_size(spark, path).first() == (3, total)
     assert input_size(spark, path + "/part-*.json").first() == (3, total)
-    assert input_size_mb(spark, os.path.join(path, files[0])) == os.path.getsize(
+    assert input_mb(spark, os.path.join(path, files[0])) == os.path.getsize(
         os.path.join(path, files[0])
     ) / (1024 * 1024)
     assert serialized_size(df.limit(0)).first()[0] == 0

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from reviewloom.functions.numeric import mean_or_zero, percent_of, progress_percent, ratio_or_zero
+from reviewloom.functions.numeric import mean_or_zero, one_decimal, percent_of, progress_percent, ratio_or_zero
 from reviewloom.operators import statistics as stats
 from reviewloom.operators.observation import input_aggregates, observe, reused, scored_aggregates
 from reviewloom.operators.scoring import LABELS
@@ -78,6 +78,13 @@ def test_guarded_arithmetic(spark):
     assert [r[0] for r in df.select(mean_or_zero("a", "b")).collect()] == [0.25, 0.0, -0.5, 0.0]
 
 
+def test_one_decimal_rounds_like_exact_arithmetic(spark):
+    values = [n / 100 for n in range(10001)] + [14.4499, 14.4551, 0.049, 99.99999]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for row in df.select("v", one_decimal("v").alias("text")).collect():
+        assert row["text"] == f"{row['v']:.1f}"
+
+
 def test_observed_counts_are_exact(spark):
     """Counts of a job with many small partitions; nothing is lost below a batch size."""
     source = spark.range(1234).repartition(37).select(
