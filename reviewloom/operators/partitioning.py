@@ -66,12 +66,15 @@ def repartition_by_rows(df: DataFrame, target_mb: float, text_col: str = "text")
 
 
 def scan_partitions(df: DataFrame) -> int:
-    """Partitions of a DataFrame that has no shuffle below it; reads no data."""
+    """Partitions of a DataFrame without a shuffle in it: planning only, no data is read.
+
+    With a shuffle in it, asking for its partitions would run that shuffle.
+    """
     return df.rdd.getNumPartitions()
 
 
-def spread_evenly(df: DataFrame, size_bytes: int, target_mb: float = 128) -> DataFrame:
-    """Give a scan the partitions its size and the cluster call for.
+def spread_plan(df: DataFrame, size_bytes: int, target_mb: float = 128) -> tuple[int, bool]:
+    """(partitions, whether a shuffle is needed to get them) for a scan of ``size_bytes``.
 
     A large splittable input is read in splits of about the target size already, so shuffling it
     would move all bytes for nothing. Only a scan that leaves task slots idle (a small file), or
@@ -81,8 +84,14 @@ def spread_evenly(df: DataFrame, size_bytes: int, target_mb: float = 128) -> Dat
     slots = task_slots(df.sparkSession)
     partitions = scan_partitions(df)
     if partitions >= slots and size_bytes <= partitions * target_mb * MIB * OVERSIZED:
-        return df
-    return df.repartition(plan_by_file_size(size_bytes, target_mb, slots))
+        return partitions, False
+    return plan_by_file_size(size_bytes, target_mb, slots), True
+
+
+def spread_evenly(df: DataFrame, size_bytes: int, target_mb: float = 128) -> DataFrame:
+    """Give a scan the partitions its size and the cluster call for (see ``spread_plan``)."""
+    partitions, shuffle = spread_plan(df, size_bytes, target_mb)
+    return df.repartition(partitions) if shuffle else df
 
 
 def partition_profile(df: DataFrame) -> DataFrame:

@@ -33,13 +33,15 @@ def shuffle_rows(
 ) -> DataFrame:
     """Whole input in random order: a range-partitioned sort, for callers that want the order.
 
-    ``partition_dependent=True`` sorts by ``rand(seed)``, which is cheaper to evaluate but gives
-    another order for another partitioning.
+    Rows with the same hash (copies) have no order among themselves; a random second sort value
+    lets Spark put a large group of them into several partitions.
+
+    ``partition_dependent=True`` sorts by ``rand(seed)`` alone, which is cheaper to evaluate but
+    gives another order for another partitioning.
     """
     if partition_dependent:
         return df.orderBy(F.rand(seed))
-    tie_break = [F.col(key) for key in keys or []]
-    return df.orderBy(order_hash(df, seed, keys), *tie_break)
+    return df.orderBy(order_hash(df, seed, keys), F.rand(seed))
 
 
 def sample_ratio(

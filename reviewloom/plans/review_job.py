@@ -15,7 +15,7 @@ from reviewloom.operators.observation import (
     observe,
     scored_aggregates,
 )
-from reviewloom.operators.partitioning import scan_partitions, spread_evenly
+from reviewloom.operators.partitioning import spread_plan
 from reviewloom.operators.scoring import ERROR_LABEL, LexiconScorer, score
 from reviewloom.operators.statistics import with_share
 from reviewloom.sinks.csv import (
@@ -76,8 +76,9 @@ def run_review_job(spark: SparkSession, job: ReviewJob) -> ReviewResult:
     started = time.time()
     path = resolve_dataset(spark, job.dataset, job.input_root, job.input_file)
     reviews = load_reviews(spark, path, job.sample_ratio, job.sample_count, job.seed, job.sample_keys)
-    reviews = spread_evenly(reviews, input_bytes(spark, path), job.target_partition_mb)
-    partitions = scan_partitions(reviews)
+    partitions, shuffle = spread_plan(reviews, input_bytes(spark, path), job.target_partition_mb)
+    if shuffle:
+        reviews = reviews.repartition(partitions)
 
     reviews, seen = observe(reviews, "input", input_aggregates())
     scored, totals = observe(scored_reviews(reviews, job), "scored", scored_aggregates(job.scorer.labels))

@@ -10,7 +10,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 
 from reviewloom.operators.observation import observe
-from reviewloom.operators.partitioning import MIB, plan_by_ceiling, scan_partitions
+from reviewloom.operators.partitioning import MIB, plan_by_ceiling
 from reviewloom.operators.scoring import score
 from reviewloom.operators.statistics import score_aggregates, token_aggregates
 from reviewloom.schemas import CORE_RUN_SCHEMA, COUNT_SWEEP_SCHEMA, SIZE_SWEEP_SCHEMA
@@ -56,8 +56,7 @@ def partition_count_sweep(
     df: DataFrame, scorer, counts: Iterable[int], text_col: str = "text"
 ) -> DataFrame:
     rows = [
-        (count, *_sweep_run(df.repartition(count), scorer, text_col, f"partitions_{count}"))
-        for count in counts
+        (count, *_sweep_run(df, count, scorer, text_col, f"partitions_{count}")) for count in counts
     ]
     return df.sparkSession.createDataFrame(rows, COUNT_SWEEP_SCHEMA)
 
@@ -68,15 +67,13 @@ def partition_size_sweep(
     rows = []
     for target in targets_mb:
         count = plan_by_ceiling(size_bytes, int(target * MIB))
-        run = _sweep_run(df.repartition(count), scorer, text_col, f"target_{target}")
-        rows.append((float(target), *run))
+        rows.append((float(target), *_sweep_run(df, count, scorer, text_col, f"target_{target}")))
     return df.sparkSession.createDataFrame(rows, SIZE_SWEEP_SCHEMA)
 
 
-def _sweep_run(df: DataFrame, scorer, text_col: str, name: str) -> tuple:
+def _sweep_run(df: DataFrame, partitions: int, scorer, text_col: str, name: str) -> tuple:
     started = time.perf_counter()
-    partitions = scan_partitions(df)
-    totals, seconds = timed_score(df, scorer, text_col, name)
+    totals, seconds = timed_score(df.repartition(partitions), scorer, text_col, name)
     rows = totals["total_reviews"]
     total_seconds = time.perf_counter() - started
     return partitions, rows / partitions, rows, rows, seconds, total_seconds, rows / seconds
