@@ -28,7 +28,7 @@ from reviewloom.sinks.csv import (
 )
 from reviewloom.sinks.report import write_report
 from reviewloom.sources.reviews import load_reviews, resolve_dataset
-from reviewloom.sources.storage import input_bytes
+from reviewloom.sources.storage import input_bytes, small_table
 
 
 @dataclass(frozen=True)
@@ -125,11 +125,11 @@ def observed_distribution(spark: SparkSession, totals: dict, labels) -> DataFram
     counts = [(label, totals[label_metric(label)]) for label in [*labels, ERROR_LABEL]]
     occurring = [(label, count) for label, count in counts if count]
     schema = StructType(schemas.DISTRIBUTION_SCHEMA.fields[:2])
-    return with_share(spark.createDataFrame(occurring, schema)).orderBy("sentiment")
+    return with_share(small_table(spark, occurring, schema)).orderBy("sentiment")
 
 
 def _observed_row(spark: SparkSession, totals: dict, schema) -> DataFrame:
-    return spark.createDataFrame([tuple(totals[name] for name in schema.names)], schema)
+    return small_table(spark, [tuple(totals[name] for name in schema.names)], schema)
 
 
 def summary_metrics(totals: dict, partitions: int, processing: float, started: float, ended: float) -> dict:

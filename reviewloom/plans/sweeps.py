@@ -14,6 +14,7 @@ from reviewloom.operators.partitioning import MIB, plan_by_ceiling
 from reviewloom.operators.scoring import score
 from reviewloom.operators.statistics import score_aggregates, token_aggregates
 from reviewloom.schemas import CORE_RUN_SCHEMA, COUNT_SWEEP_SCHEMA, SIZE_SWEEP_SCHEMA
+from reviewloom.sources.storage import small_table
 
 
 def timed_score(df: DataFrame, scorer, text_col: str, name: str) -> tuple[dict, float]:
@@ -49,7 +50,7 @@ def core_scaling(
                 tokens / seconds,
             )
         )
-    return df.sparkSession.createDataFrame(rows, CORE_RUN_SCHEMA)
+    return small_table(df.sparkSession, rows, CORE_RUN_SCHEMA)
 
 
 def partition_count_sweep(
@@ -58,7 +59,7 @@ def partition_count_sweep(
     rows = [
         (count, *_sweep_run(df, count, scorer, text_col, f"partitions_{count}")) for count in counts
     ]
-    return df.sparkSession.createDataFrame(rows, COUNT_SWEEP_SCHEMA)
+    return small_table(df.sparkSession, rows, COUNT_SWEEP_SCHEMA)
 
 
 def partition_size_sweep(
@@ -68,7 +69,7 @@ def partition_size_sweep(
     for target in targets_mb:
         count = plan_by_ceiling(size_bytes, int(target * MIB))
         rows.append((float(target), *_sweep_run(df, count, scorer, text_col, f"target_{target}")))
-    return df.sparkSession.createDataFrame(rows, SIZE_SWEEP_SCHEMA)
+    return small_table(df.sparkSession, rows, SIZE_SWEEP_SCHEMA)
 
 
 def _sweep_run(df: DataFrame, partitions: int, scorer, text_col: str, name: str) -> tuple:

@@ -21,8 +21,8 @@ from reviewloom.queries.tables import (
     spread_reviews,
 )
 from reviewloom.schemas import DISTRIBUTION_SCHEMA, REVIEW_SCHEMA, SCORED_SCHEMA
-from reviewloom.sinks.csv import merge_csv, write_csv, write_single_csv, write_single_text
-from reviewloom.sinks.report import report_lines
+from reviewloom.sinks.csv import merge_csv, write_csv, write_single_csv
+from reviewloom.sinks.report import write_report
 from reviewloom.sources.reviews import CORRUPT_COLUMN, read_reviews, resolve_dataset, split_rejects
 from reviewloom.sources.runs import read_results_csv
 from reviewloom.sources.storage import scratch_path, staged_table
@@ -108,8 +108,8 @@ def merged_csv(spark, sf_dir):
 
 def text_report(spark, sf_dir):
     result = staged_table(scored(spark, sf_dir).select("sentiment", "score"), "scores")
-    lines = report_lines(sentiment_distribution(result), score_stats(result)).select("line")
-    path = write_single_text(lines, scratch_path(spark, "report"), "report")
+    distribution, statistics = sentiment_distribution(result), score_stats(result)
+    path = write_report(distribution, statistics, scratch_path(spark, "report"), "report")
     return spark.read.text(path).withColumnRenamed("value", "line").filter("line <> ''")
 
 

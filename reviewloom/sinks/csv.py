@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from reviewloom.schemas import SUMMARY_SCHEMA
 from reviewloom.sources.runs import CSV_OPTIONS, read_results_csv
-from reviewloom.sources.storage import hadoop_path, input_bytes
+from reviewloom.sources.storage import hadoop_path, input_bytes, small_table
 
 SINGLE_FILE_BYTES = 1 << 30
 
@@ -66,7 +66,7 @@ def write_metrics(spark: SparkSession, metrics: dict, directory: str, schema: St
 
 
 def metrics_row(spark: SparkSession, metrics: dict, schema: StructType = SUMMARY_SCHEMA) -> DataFrame:
-    return spark.createDataFrame([tuple(metrics[name] for name in schema.names)], schema)
+    return small_table(spark, [tuple(metrics[name] for name in schema.names)], schema)
 
 
 def _suffix(compression: str | None) -> str:

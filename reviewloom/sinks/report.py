@@ -7,7 +7,7 @@ from reviewloom.sinks.csv import write_single_text
 
 
 def report_lines(distribution: DataFrame, score_stats: DataFrame) -> DataFrame:
-    """(line_no, line) of the summary report. A missing statistic reads ``n/a``."""
+    """(line_no, line) of the summary report, not sorted. A missing statistic reads ``n/a``."""
     total = F.format_string("Total processed reviews: %s", F.format_number("total_reviews", 0))
     intro = _lines(
         score_stats,
@@ -39,11 +39,11 @@ def report_lines(distribution: DataFrame, score_stats: DataFrame) -> DataFrame:
             _statistic("Max", "max_confidence"),
         ],
     )
-    return intro.unionByName(body).unionByName(outro).orderBy("line_no")
+    return intro.unionByName(body).unionByName(outro)
 
 
 def sweep_lines(sweep: DataFrame, config_col: str, partitions_col: str, caption: str) -> DataFrame:
-    """(config, line_no, line) of a sweep report: the best run, then each run in turn."""
+    """(config, line_no, line) of a sweep report, not sorted: the best run, then each run in turn."""
     best = F.max_by(F.struct(config_col, partitions_col), F.struct("throughput", -F.col(config_col)))
     totals = sweep.agg(F.max("total_reviews").alias("total"), best.alias("best"))
     head = _lines(
@@ -72,18 +72,24 @@ def sweep_lines(sweep: DataFrame, config_col: str, partitions_col: str, caption:
         ],
         F.col(config_col).cast("double").alias("config"),
     )
-    return head.unionByName(runs).orderBy("config", "line_no").select("config", "line_no", "line")
+    return head.unionByName(runs).select("config", "line_no", "line")
 
 
 def write_report(distribution: DataFrame, score_stats: DataFrame, directory: str, name: str) -> str:
-    return write_single_text(report_lines(distribution, score_stats).select("line"), directory, name)
+    return _write_lines(report_lines(distribution, score_stats), ["line_no"], directory, name)
 
 
 def write_sweep_report(
     sweep: DataFrame, config_col: str, partitions_col: str, caption: str, directory: str, name: str
 ) -> str:
     lines = sweep_lines(sweep, config_col, partitions_col, caption)
-    return write_single_text(lines.select("line"), directory, name)
+    return _write_lines(lines, ["config", "line_no"], directory, name)
+
+
+def _write_lines(lines: DataFrame, order_by: list[str], directory: str, name: str) -> str:
+    """A report has a few dozen lines: one partition, sorted in place."""
+    ordered = lines.coalesce(1).sortWithinPartitions(*order_by)
+    return write_single_text(ordered.select("line"), directory, name)
 
 
 def _text(value: str) -> Column:

@@ -4,8 +4,11 @@ import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -63,6 +66,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
 
 
+def small_table(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A few driver-side rows, such as metrics, as a local relation (no Python worker runs)."""
+    records = [dict(zip(schema.names, row, strict=True)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(schema)), schema)
+
+
 def staged_table(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once and read back: several uses then share one evaluation, the size of the
     table is known to the planner, and a lost executor costs nothing."""

@@ -223,7 +223,8 @@ def test_sweep_report(spark):
         ],
         SIZE_SWEEP_SCHEMA,
     )
-    lines = [r["line"] for r in sweep_lines(sweep, "target_mb", "num_partitions", "target partition size (MB)").collect()]
+    report = sweep_lines(sweep, "target_mb", "num_partitions", "target partition size (MB)")
+    lines = [r["line"] for r in report.orderBy("config", "line_no").collect()]
     assert lines[3:6] == [
         "Total reviews processed: 16216",
         "Best target partition size (MB): 4.0",

@@ -27,7 +27,8 @@ def test_no_rows(spark):
     row = summary(empty)
     assert (row["total_reviews"], row["total_tokens"], row["avg_tokens_per_review"]) == (0, 0, 0.0)
     assert (row["reviews_per_second"], row["min_tokens_per_review"]) == (0.0, None)
-    lines = [r["line"] for r in report_lines(stats.sentiment_distribution(empty), stats.score_stats(empty)).collect()]
+    report = report_lines(stats.sentiment_distribution(empty), stats.score_stats(empty))
+    lines = [r["line"] for r in report.orderBy("line_no").collect()]
     assert lines[3] == "Total processed reviews: 0" and lines[-1] == "  Max: n/a"
 
 
