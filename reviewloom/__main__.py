@@ -1,6 +1,7 @@
 """Command line: ``python -m reviewloom <command>``."""
 
 import argparse
+import logging
 import sys
 
 from pyspark.sql import SparkSession
@@ -18,6 +19,8 @@ from reviewloom.sources.storage import input_bytes
 
 def main(arguments: list[str] | None = None) -> int:
     options = _parser().parse_args(arguments)
+    logging.basicConfig(format="%(asctime)s %(levelname)s %(message)s")
+    logging.getLogger("reviewloom").setLevel(logging.INFO)
     spark = SparkSession.builder.appName(f"reviewloom-{options.command}").getOrCreate()
     return options.run(spark, options)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MIB = 1024 * 1024
-OVERSIZED = 4  # times the target size up to which a scan's partitions are left alone
+TOLERANCE = 4  # times by which a scan's partitions may miss the target size and be left alone
 
 
 def round_up_to_multiple(n: int, multiple: int) -> int:
@@ -73,25 +73,34 @@ def scan_partitions(df: DataFrame) -> int:
     return df.rdd.getNumPartitions()
 
 
-def spread_plan(df: DataFrame, size_bytes: int, target_mb: float = 128) -> tuple[int, bool]:
-    """(partitions, whether a shuffle is needed to get them) for a scan of ``size_bytes``.
+def spread_plan(df: DataFrame, size_bytes: int, target_mb: float = 128) -> tuple[int, str]:
+    """(partitions, ``"keep"``, ``"merge"`` or ``"shuffle"``) for a scan of ``size_bytes``.
 
     A large splittable input is read in splits of about the target size already, so shuffling it
     would move all bytes for nothing. Only a scan that leaves task slots idle (a small file), or
-    whose partitions are several times too large (a gzip file is read by one task), is
-    repartitioned.
+    whose partitions are several times too large (a gzip file is read by one task), is shuffled.
+    Partitions that are several times too small are merged in place.
     """
     slots = task_slots(df.sparkSession)
+    wanted = plan_by_file_size(size_bytes, target_mb, slots)
     partitions = scan_partitions(df)
-    if partitions >= slots and size_bytes <= partitions * target_mb * MIB * OVERSIZED:
-        return partitions, False
-    return plan_by_file_size(size_bytes, target_mb, slots), True
+    if partitions < slots or size_bytes > partitions * target_mb * MIB * TOLERANCE:
+        return wanted, "shuffle"
+    if partitions > wanted * TOLERANCE:
+        return wanted, "merge"
+    return partitions, "keep"
+
+
+def spread(df: DataFrame, plan: tuple[int, str]) -> DataFrame:
+    partitions, how = plan
+    if how == "shuffle":
+        return df.repartition(partitions)
+    return df.coalesce(partitions) if how == "merge" else df
 
 
 def spread_evenly(df: DataFrame, size_bytes: int, target_mb: float = 128) -> DataFrame:
     """Give a scan the partitions its size and the cluster call for (see ``spread_plan``)."""
-    partitions, shuffle = spread_plan(df, size_bytes, target_mb)
-    return df.repartition(partitions) if shuffle else df
+    return spread(df, spread_plan(df, size_bytes, target_mb))
 
 
 def partition_profile(df: DataFrame) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 _PREFIX_DIGITS = 5  # 16**5, about a million histogram buckets
 _HASH = "_order_hash"
+_HEAD_GROUPS = 1000  # groups of tasks whose first rows are merged separately
+_GROUPED_HEAD_ROWS = 1000  # Spark's own bound for limiting window groups before the shuffle
 _NULL_KEY = "\\N"
 
 
@@ -143,8 +145,22 @@ def sample_rows(
 
 
 def head_rows(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
-    """First ``n`` rows by an explicit order (a per-task top-n, then one merge)."""
-    return df.orderBy(*order_by).limit(n)
+    """First ``n`` rows by an explicit order.
+
+    ``orderBy().limit()`` merges the first ``n`` rows of every task in one task, which is much for
+    hundreds of thousands of tasks. So groups of tasks are merged first: Spark keeps ``n`` rows per
+    task before that shuffle too, as long as ``n`` is small.
+    """
+    if n > _GROUPED_HEAD_ROWS:
+        return df.orderBy(*order_by).limit(n)
+    within_group = Window.partitionBy("_group").orderBy(*order_by)
+    heads = (
+        df.withColumn("_group", F.spark_partition_id() % _HEAD_GROUPS)
+        .withColumn("_position", F.row_number().over(within_group))
+        .filter(F.col("_position") <= n)
+        .drop("_group", "_position")
+    )
+    return heads.orderBy(*order_by).limit(n)
 
 
 def pilot_sample(df: DataFrame, total: int, seed: int = 42) -> DataFrame:

@@ -1,5 +1,6 @@
 """The review job: read, clean, score, write, and sum up, in one pass over the data."""
 
+import logging
 import time
 from dataclasses import dataclass, field
 
@@ -15,7 +16,7 @@ from reviewloom.operators.observation import (
     observe,
     scored_aggregates,
 )
-from reviewloom.operators.partitioning import spread_plan
+from reviewloom.operators.partitioning import spread, spread_plan
 from reviewloom.operators.scoring import ERROR_LABEL, LexiconScorer, score
 from reviewloom.operators.statistics import with_share
 from reviewloom.sinks.csv import (
@@ -30,6 +31,8 @@ from reviewloom.sinks.report import write_report
 from reviewloom.sources.reviews import load_reviews, resolve_dataset
 from reviewloom.sources.storage import input_bytes, small_table
 
+logger = logging.getLogger("reviewloom")
+
 
 @dataclass(frozen=True)
 class ReviewJob:
@@ -76,9 +79,9 @@ def run_review_job(spark: SparkSession, job: ReviewJob) -> ReviewResult:
     started = time.time()
     path = resolve_dataset(spark, job.dataset, job.input_root, job.input_file)
     reviews = load_reviews(spark, path, job.sample_ratio, job.sample_count, job.seed, job.sample_keys)
-    partitions, shuffle = spread_plan(reviews, input_bytes(spark, path), job.target_partition_mb)
-    if shuffle:
-        reviews = reviews.repartition(partitions)
+    plan = spread_plan(reviews, input_bytes(spark, path), job.target_partition_mb)
+    partitions, reviews = plan[0], spread(reviews, plan)
+    logger.info("Scoring %s in %s partitions", path, partitions)
 
     reviews, seen = observe(reviews, "input", input_aggregates())
     scored, totals = observe(scored_reviews(reviews, job), "scored", scored_aggregates(job.scorer.labels))
@@ -89,6 +92,7 @@ def run_review_job(spark: SparkSession, job: ReviewJob) -> ReviewResult:
     write_csv(scored, results_path, job.compression)
     processing_seconds = time.time() - processing_started
     seen, totals = seen.get, totals.get
+    _log_totals(seen, totals, job.scorer.labels, processing_seconds)
 
     distribution = observed_distribution(spark, totals, job.scorer.labels)
     score_stats = _observed_row(spark, totals, schemas.SCORE_STATS_SCHEMA)
@@ -120,6 +124,16 @@ def run_review_job(spark: SparkSession, job: ReviewJob) -> ReviewResult:
     )
 
 
+def _log_totals(seen: dict, totals: dict, labels, seconds: float) -> None:
+    rejected = seen["loaded"] - seen["retained"]
+    logger.info("%s reviews read, %s retained, %s rejected", seen["loaded"], seen["retained"], rejected)
+    for label in [*labels, ERROR_LABEL]:
+        logger.info("  %s: %s", label, totals[label_metric(label)])
+    for name in schemas.SCORE_STATS_SCHEMA.names + schemas.TOKEN_STATS_SCHEMA.names:
+        logger.info("  %s: %s", name, totals[name])
+    logger.info("Scored and written in %.1f seconds", seconds)
+
+
 def observed_distribution(spark: SparkSession, totals: dict, labels) -> DataFrame:
     """Rows and share per label that occurs, from observed counts."""
     counts = [(label, totals[label_metric(label)]) for label in [*labels, ERROR_LABEL]]

@@ -12,6 +12,7 @@ from reviewloom.operators.partitioning import (
     round_up_to_multiple,
     serialized_size,
     spread_evenly,
+    spread_plan,
     task_slots,
 )
 from reviewloom.sources.storage import input_mb, input_size, scratch_path, staged_table
@@ -67,7 +68,7 @@ def test_sizes(spark, tmp_path):
     assert serialized_size(spark.createDataFrame([("ab",)], "text string")).first()[0] == len('{"text":"ab"}')
 
 
-def test_small_scans_are_spread_and_large_ones_left_alone(spark, tmp_path):
+def test_small_scans_are_spread_and_large_ones_left_alone(spark, tmp_path, plan_of):
     path = str(tmp_path / "one.json")
     spark.range(100).selectExpr("concat('text ', id) as text").coalesce(1).write.json(path)
     scan = spark.read.schema("text string").json(path)
@@ -76,6 +77,11 @@ def test_small_scans_are_spread_and_large_ones_left_alone(spark, tmp_path):
     wide = spark.range(100, numPartitions=10)
     assert spread_evenly(wide, 10 * 128 * MIB) is wide
     assert spread_evenly(wide, 10 * 128 * MIB + 5 * 128 * MIB) is wide  # more targets, but no idle slots
+    many = spark.range(1000, numPartitions=200)
+    assert spread_plan(many, 10 * 128 * MIB) == (16, "merge")
+    assert spread_evenly(many, 10 * 128 * MIB).rdd.getNumPartitions() == 16
+    assert "Exchange" not in plan_of(spread_evenly(many, 10 * 128 * MIB))
+    assert spread_plan(spark.range(900, numPartitions=900), 800 * 128 * MIB) == (900, "keep")
     assert spread_evenly(wide, 100 * 128 * MIB).rdd.getNumPartitions() == 104  # as with gzip
 
 

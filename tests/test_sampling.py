@@ -106,6 +106,14 @@ def test_null_keys_are_told_apart_from_text(spark):
     assert take_random(df, 2, keys=["key"]).count() == 2
 
 
+def test_head_is_limited_per_task_and_per_group(spark, plan_of):
+    plan = plan_of(head_rows(spark.range(0, 10000, 1, 50), 10, ["id"]))
+    assert "WindowGroupLimit" in plan and "Partial" in plan and "TakeOrderedAndProject" in plan
+    for n in (1, 10, 1000, 1001, 20000):
+        head = head_rows(spark.range(10000).repartition(20), n, ["id"])
+        assert [row["id"] for row in head.collect()] == list(range(min(n, 10000)))
+
+
 def test_head_and_pilot(numbered, spark):
     assert [r["id"] for r in head_rows(spark.range(100).repartition(5), 3, ["id"]).collect()] == [0, 1, 2]
     assert pilot_sample(numbered, 2000).count() < 400
