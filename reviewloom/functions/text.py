@@ -21,6 +21,7 @@ MENTION_PATTERN = rf"@[{WORD}]+"
 # Java steps back over a character outside the basic plane only if the look-behind names one.
 _WORD_BEHIND = WORD + "\U0001d4b4"
 CODE_PATTERN = rf"[A-Z0-9](?<![{_WORD_BEHIND}].)[A-Z0-9]{{9,}}+(?![{WORD}])"
+DIGITS_PATTERN = rf"[0-9](?<![{_WORD_BEHIND}].)[0-9]{{9,}}+(?![{WORD}])"
 CODE_NOT_MENTION_PATTERN = rf"[A-Z0-9](?<![{_WORD_BEHIND}@].)[A-Z0-9]{{9,}}+(?![{WORD}])"
 # Runs of blanks other than a lone U+0020, which already is the wanted result.
 _ONE_BLANK = rf"(?:(?![!-\x84])[{BLANK}])"
@@ -69,7 +70,9 @@ def clean_text(text, mask_codes_before_lower: bool = False) -> Column:
     may_have_url = F.contains(lowered, F.lit("://")) | F.contains(lowered, F.lit("www."))
     masked = F.when(may_have_url, mask_urls(lowered)).otherwise(lowered)
     masked = F.when(F.contains(source, F.lit("@")), mask_mentions(masked)).otherwise(masked)
-    cleaned = squeeze_blanks(mask_codes(masked))
+    # What is left of upper-case letters are the short mask tokens, so codes are digits by now.
+    masked = F.regexp_replace(masked, F.lit(DIGITS_PATTERN), F.lit(CODE_TOKEN))
+    cleaned = squeeze_blanks(masked)
     if mask_codes_before_lower:
         cleaned = F.replace(cleaned, F.lit(_CODE_PLACEHOLDER), F.lit(CODE_TOKEN))
     return F.coalesce(cleaned, F.lit(""))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 _PREFIX_DIGITS = 5  # 16**5, about a million histogram buckets
 _HASH = "_order_hash"
+_BLOCK_ROWS = 10_000
 _HEAD_GROUPS = 1000  # groups of tasks whose first rows are merged separately
 _GROUPED_HEAD_ROWS = 1000  # Spark's own bound for limiting window groups before the shuffle
 _NULL_KEY = "\\N"
@@ -127,10 +128,15 @@ def take_random(
 
 
 def _repeat_row(copies: DataFrame, times: int) -> DataFrame:
-    """``times`` rows equal to the (mutually equal) rows of ``copies``, made in parallel."""
-    one_row = copies.limit(1).withColumn("_slot", F.lit(0))
-    slots = copies.sparkSession.range(times).select((F.col("id") * 0).cast("int").alias("_slot"))
-    return slots.join(F.broadcast(one_row), "_slot").select(*copies.columns)
+    """``times`` rows equal to the (mutually equal) rows of ``copies``.
+
+    One row becomes one row per block; the blocks are spread, and each is filled where it lies.
+    """
+    last_block = (times - 1) // _BLOCK_ROWS
+    blocks = copies.limit(1).withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(last_block))))
+    filled = F.when(F.col("_block") == last_block, times - last_block * _BLOCK_ROWS).otherwise(_BLOCK_ROWS)
+    rows = blocks.repartition("_block").withColumn("_row", F.explode(F.sequence(F.lit(1), filled)))
+    return rows.select(*[f"`{name}`" for name in copies.columns])
 
 
 def sample_rows(

@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 
 from reviewloom.operators.sampling import (
+    _repeat_row,
     head_rows,
     pilot_sample,
     sample_ratio,
@@ -48,7 +49,7 @@ def test_seed_changes_the_sample(numbered, rows_of):
     assert rows_of(take_random(numbered, 50, 1, ["key"])) != rows_of(take_random(numbered, 50, 2, ["key"]))
 
 
-def test_copies_of_one_row_are_cut_exactly(spark):
+def test_copies_of_one_row_are_cut_exactly(spark, plan_of):
     """A third and more of the rows are copies of one; some of them belong to the sample."""
     hot = spark.range(3000).selectExpr("'same text' as text", "cast(1 as int) as part")
     rest = spark.range(1000).selectExpr("concat('text ', id) as text", "cast(2 as int) as part")
@@ -63,12 +64,21 @@ def test_copies_of_one_row_are_cut_exactly(spark):
     for n in (before_hot, before_hot + 1, before_hot + 1500, before_hot + 2999, before_hot + 3000, 3999):
         if n == 0:
             continue
-        counts = Counter(row["text"] for row in take_random(df, n).collect())
+        sample = take_random(df, n)
+        assert "Join" not in plan_of(sample) and "Cartesian" not in plan_of(sample)
+        counts = Counter(row["text"] for row in sample.collect())
         assert sum(counts.values()) == n
         assert counts["same text"] == min(max(n - before_hot, 0), 3000)
         assert all(count == 1 for text, count in counts.items() if text != "same text")
 
 
+@pytest.mark.parametrize("times", [1, 9_999, 10_000, 10_001, 25_000])
+def test_repeated_row(spark, times):
+    df = spark.range(5).selectExpr("'x' as `a b`", "1 as n")
+    assert [tuple(row) for row in _repeat_row(df, times).distinct().collect()] == [("x", 1)]
+    assert _repeat_row(df, times).count() == times
+
+
 def test_rows_that_share_a_key_are_ordered_by_content(spark):
     df = spark.range(100).selectExpr("'one key' as key", "id")
     sample = take_random(df, 30, keys=["key"])
