@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from reviewloom.schemas import SUMMARY_SCHEMA
-from reviewloom.sources.runs import CSV_OPTIONS, read_results_csv
+from reviewloom.sources.runs import CSV_OPTIONS, escape_nulls, read_results_csv
 from reviewloom.sources.storage import hadoop_path, input_bytes, small_table
 
 SINGLE_FILE_BYTES = 1 << 30
@@ -15,7 +15,7 @@ SINGLE_FILE_BYTES = 1 << 30
 
 def write_csv(df: DataFrame, path: str, compression: str | None = None) -> str:
     """One part file per partition, each with the header; what is read back equals what was written."""
-    writer = df.write.mode("overwrite").options(**CSV_OPTIONS)
+    writer = escape_nulls(df).write.mode("overwrite").options(**CSV_OPTIONS)
     if compression:
         writer = writer.option("compression", compression)
     writer.csv(path)

@@ -1,17 +1,19 @@
 """Reading run metrics and written results."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
 from reviewloom.schemas import CORE_RUN_SCHEMA, THREAD_RUN_SCHEMA
 
-# Null is written as \N, so that it differs from an empty text; texts may hold line breaks.
+# Null is written as \N, so that it differs from an empty text; a text that looks like it gets one
+# more backslash in front. Texts may hold line breaks.
+NULL_MARKER = "\\N"
 CSV_OPTIONS = {
     "header": "true",
     "quote": '"',
     "escape": '"',
-    "nullValue": "\\N",
+    "nullValue": NULL_MARKER,
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
@@ -56,4 +58,27 @@ def read_thread_runs(
 
 def read_results_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
     """Read back what ``sinks.csv`` wrote: the same rows, line breaks and empty texts included."""
-    return spark.read.schema(schema).options(multiLine="true", **CSV_OPTIONS).csv(path)
+    rows = spark.read.schema(schema).options(multiLine="true", **CSV_OPTIONS).csv(path)
+    return _map_strings(rows, lambda text: F.when(_looks_null(text), F.substr(text, F.lit(2))).otherwise(text))
+
+
+def escape_nulls(df: DataFrame) -> DataFrame:
+    """Texts made of backslashes and an N get one more backslash, so that none equals the marker."""
+    return _map_strings(
+        df, lambda text: F.when(_looks_null(text), F.concat(F.lit("\\"), text)).otherwise(text)
+    )
+
+
+def _looks_null(text: Column) -> Column:
+    return text.startswith("\\") & text.rlike(r"^\\+N\z")
+
+
+def _map_strings(df: DataFrame, change) -> DataFrame:
+    return df.select(
+        *[
+            change(F.col(f"`{field.name}`")).alias(field.name)
+            if isinstance(field.dataType, StringType)
+            else F.col(f"`{field.name}`")
+            for field in df.schema.fields
+        ]
+    )
