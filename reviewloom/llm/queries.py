@@ -3,28 +3,93 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import exact_dedup, mixing
+from reviewloom.llm import archive, exact_dedup, language_model, mixing, near_duplicates, packing, piece_counts
+from reviewloom.llm.staging import shared_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def _fold(doc_id: str = "doc_id"):
+    return F.crc32(F.col(doc_id).cast("string")) % 5
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text by the piece model: rank-synchronous merging of arrays."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    counted = piece_counts.token_counts(documents, _vocabulary("piece_bpe_32k.model"))
+    return counted.select(
+        "doc_id",
+        F.octet_length("text").cast("bigint").alias("n_bytes"),
+        "n_tokens",
+        (F.col("n_tokens") > 4096).alias("over_limit"),
+    )
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which row of equal texts stays: composable polynomial fingerprints, then chunkwise comparison."""
     found = exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"), carry=["doc_id"])
     return found.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_token_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids written as independent zstandard frames with a seek table, and read back."""
+    path = shared_path(spark, "archive")
+    read = archive.archive_of(spark, _table(spark, sf_dir, "documents"), path, _vocabulary("word_bpe_49k.json"), 2)
+    return read.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of two-word shingles are similar to 0.8 or more."""
+    found = near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"), carry=["doc_id"], words=2, percent=80)
+    return found.select("row.doc_id", "n_shingles", "component_id", "kept")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 1024 ids: one stream, cut at every multiple."""
+    pieces = packing.pack(
+        _table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), 0, carry=["doc_id"], with_ids=False
+    )
+    return pieces.select("row.*", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of the sources takes of each document: Sainte-Lague seats for blocks of 32 words."""
     mixture = mixing.mix(_table(spark, sf_dir, "documents"), carry=["doc_id"])
     return mixture.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every text under a bigram automaton with failure arcs, learned from four fifths of them."""
+    scored = language_model.language_scores(
+        _table(spark, sf_dir, "documents").select("doc_id", "text"), _fold() != 1, carry=["doc_id"]
+    )
+    return scored.select(
+        "row.doc_id",
+        (_fold("row.doc_id") == 1).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        F.round("base_score", 6).alias("base_score"),
+        F.round("score", 6).alias("score"),
+    )
+
+
 QUERIES = {
+    "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_token_archive": op5_token_archive,
+    "op6_near_duplicates": op6_near_duplicates,
+    "op7_packing": op7_packing,
     "op8_mixing": op8_mixing,
+    "op10_language_model": op10_language_model,
 }
 
 _SIZED_SQL = r"""
