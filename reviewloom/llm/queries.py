@@ -3,7 +3,18 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import archive, exact_dedup, language_model, mixing, near_duplicates, packing, piece_counts
+from reviewloom.llm import (
+    archive,
+    collision_search,
+    compression_quality,
+    exact_dedup,
+    language_model,
+    licenses,
+    mixing,
+    near_duplicates,
+    packing,
+    piece_counts,
+)
 from reviewloom.llm.staging import shared_path
 
 
@@ -21,6 +32,24 @@ def _fold(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string")) % 5
 
 
+def op1_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows, by inner product, of every 20th row: collision counting in widening windows."""
+    return collision_search.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op2_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability that a text is good, by how well dictionaries of good and bad text compress it."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").filter(_fold() != 0)
+    scored = compression_quality.quality_scores(documents, compression_quality.fit(documents, labels))
+    return scored.select(
+        "doc_id",
+        (_fold() == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every text by the piece model: rank-synchronous merging of arrays."""
     documents = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -66,6 +95,18 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices of every document: how many lines are one, and the families they name."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.license_paragraphs(documents, carry=["doc_id"]).groupBy("row.doc_id").agg(
+        F.count(F.lit(1)).alias("n_paragraphs"),
+        F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"),
+    )
+    return documents.select("doc_id").join(found, "doc_id", "left").select(
+        "doc_id", F.coalesce("n_paragraphs", F.lit(0)).alias("n_paragraphs"), F.coalesce("families", F.lit("")).alias("families")
+    )
+
+
 def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """log10 probability of every text under a bigram automaton with failure arcs, learned from four fifths of them."""
     scored = language_model.language_scores(
@@ -83,12 +124,15 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_collision_search": op1_collision_search,
+    "op2_compression_quality": op2_compression_quality,
     "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_token_archive": op5_token_archive,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_packing": op7_packing,
     "op8_mixing": op8_mixing,
+    "op9_license_scan": op9_license_scan,
     "op10_language_model": op10_language_model,
 }
 
