@@ -11,6 +11,7 @@ import pyarrow as pa
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 2**64)
+_RUN_BYTES = 1 << 18
 _BLANKS = np.zeros(256, bool)
 _BLANKS[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -32,18 +33,13 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=4)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     forward, back = np.full(n, _BASE, np.uint64), np.full(n, _INVERSE, np.uint64)
     forward[0] = back[0] = 1
     return np.multiply.accumulate(forward), np.multiply.accumulate(back)
 
 
-def _powers_for(n: int):
-    room = 1 << max(16, (n + 1).bit_length())
-    return _powers(room)
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit over all others."""
     h = h ^ (h >> np.uint64(30))
@@ -55,12 +51,24 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each ``data[start:end]``; equal bytes give equal hashes wherever they stand."""
-    forward, back = _powers_for(len(data))
-    running = np.zeros(len(data) + 1, np.uint64)
-    # bytes count from 1, so that a zero byte changes the hash as well
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * forward[: len(data)], out=running[1:])
-    return mix((running[ends] - running[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of each ``data[start:end]``; equal bytes give equal hashes wherever they stand.
+
+    Spans are in ascending order and do not overlap; they are worked off in runs of about ``_RUN_BYTES``.
+    """
+    out = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        begin = starts[first]
+        last = max(first + 1, int(np.searchsorted(ends, begin + _RUN_BYTES, side="right")))
+        part = data[begin : ends[last - 1]]
+        forward, back = _powers(1 << max(16, len(part).bit_length()))
+        running = np.zeros(len(part) + 1, np.uint64)
+        # bytes count from 1, so that a zero byte changes the hash as well
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * forward[: len(part)], out=running[1:])
+        b, e = starts[first:last] - begin, ends[first:last] - begin
+        out[first:last] = mix((running[e] - running[b]) * back[b] + (e - b).astype(np.uint64))
+        first = last
+    return out
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
