@@ -10,27 +10,49 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    IntegralType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 _PREFIX_DIGITS = 5  # 16**5, about a million histogram buckets
 _HASH = "_order_hash"
-_BLOCK_ROWS = 10_000
 _HEAD_GROUPS = 1000  # groups of tasks whose first rows are merged separately
-_GROUPED_HEAD_ROWS = 1000  # Spark's own bound for limiting window groups before the shuffle
 _NULL_KEY = "\\N"
+_TASK_ROWS = 2**33  # fixed value: row numbers that monotonically_increasing_id leaves for a task
 
 
 def order_hash(df: DataFrame, seed: int = 42, keys: list[str] | None = None) -> Column:
     """Pseudo-random, partitioning-independent sort value of a row.
 
-    ``keys`` names columns that identify a row; without it the whole row is hashed.
+    ``keys`` names columns that identify a row; without it the exact values of the whole row are hashed
+    (all digits of numbers, microseconds of timestamps).
     """
     if keys:
         parts = [F.coalesce(F.col(key).cast("string"), F.lit(_NULL_KEY)) for key in keys]
     else:
-        parts = [F.to_json(F.struct(*[F.col(f"`{name}`") for name in df.columns]))]
+        parts = [F.to_json(F.struct(*[_exact(field).alias(field.name) for field in df.schema.fields]))]
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
 
 
+def _exact(field: StructField) -> Column:
+    """A value that JSON keeps without loss; null stays null."""
+    value, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(value)
+    if isinstance(kind, MapType):
+        value = F.array_sort(F.map_entries(value))
+    if isinstance(kind, MapType | ArrayType | StructType):
+        return F.when(value.isNotNull(), F.struct(value.alias("json"), F.xxhash64(value).alias("exact")))
+    return value if isinstance(kind, StringType | IntegralType | BooleanType) else value.cast("string")
+
+
 def shuffle_rows(
     df: DataFrame, seed: int = 42, keys: list[str] | None = None, partition_dependent: bool = False
 ) -> DataFrame:
@@ -105,9 +127,9 @@ def take_random(
 ) -> DataFrame:
     """Exactly ``n`` random rows (all of them when there are fewer); 0 and None keep every row.
 
-    Runs two counting jobs over the key columns right away; the result is a filter, with no sort,
-    no shuffle and no single task that all sampled rows would have to pass. The input must read
-    the same rows each time it is evaluated, as a file scan does.
+    Runs two counting jobs over the key columns right away (a third where the cut falls between rows of one
+    hash); the result is a filter, with no sort, no shuffle and no single task that all sampled rows would have
+    to pass. The input must read the same rows each time it is evaluated, as a file scan does.
     """
     if n is not None and n < 0:
         raise ValueError("the sample count must not be negative")
@@ -122,21 +144,23 @@ def take_random(
     ties = df.filter(hash_col == F.lit(cut.hash))
     if keys:  # rows that share a key: order them by their whole content
         chosen = take_random(ties, cut.wanted, seed)
-    else:  # rows equal in every column: any of them will do
-        chosen = _repeat_row(ties, cut.wanted)
+    else:
+        chosen = _some_of(ties, cut.wanted)
     return df.filter(hash_col < F.lit(cut.hash)).unionByName(chosen)
 
 
-def _repeat_row(copies: DataFrame, times: int) -> DataFrame:
-    """``times`` rows equal to the (mutually equal) rows of ``copies``.
+def _some_of(ties: DataFrame, wanted: int) -> DataFrame:
+    """``wanted`` actual rows of ``ties``, taken task by task in scan order.
 
-    One row becomes one row per block; the blocks are spread, and each is filled where it lies.
+    The rows are counted per task; the table of how many each task gives has a row per task.
     """
-    last_block = (times - 1) // _BLOCK_ROWS
-    blocks = copies.limit(1).withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(last_block))))
-    filled = F.when(F.col("_block") == last_block, times - last_block * _BLOCK_ROWS).otherwise(_BLOCK_ROWS)
-    rows = blocks.repartition("_block").withColumn("_row", F.explode(F.sequence(F.lit(1), filled)))
-    return rows.select(*[f"`{name}`" for name in copies.columns])
+    numbered = ties.withColumn("_row", F.monotonically_increasing_id())
+    task, place = F.floor(F.col("_row") / _TASK_ROWS), F.col("_row") % _TASK_ROWS
+    counts = numbered.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("rows"))
+    before = F.sum("rows").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))
+    quotas = counts.select("_task", (F.lit(wanted) - F.coalesce(before, F.lit(0))).alias("_quota"))
+    given = numbered.withColumn("_task", task).join(F.broadcast(quotas.filter("_quota > 0")), "_task")
+    return given.filter(place < F.col("_quota")).select(*[f"`{name}`" for name in ties.columns])
 
 
 def sample_rows(
@@ -154,11 +178,8 @@ def head_rows(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
     """First ``n`` rows by an explicit order.
 
     ``orderBy().limit()`` merges the first ``n`` rows of every task in one task, which is much for
-    hundreds of thousands of tasks. So groups of tasks are merged first: Spark keeps ``n`` rows per
-    task before that shuffle too, as long as ``n`` is small.
+    hundreds of thousands of tasks. So groups of tasks are merged first, whatever ``n`` is.
     """
-    if n > _GROUPED_HEAD_ROWS:
-        return df.orderBy(*order_by).limit(n)
     within_group = Window.partitionBy("_group").orderBy(*order_by)
     heads = (
         df.withColumn("_group", F.spark_partition_id() % _HEAD_GROUPS)
@@ -167,8 +188,3 @@ def head_rows(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
         .drop("_group", "_position")
     )
     return heads.orderBy(*order_by).limit(n)
-
-
-def pilot_sample(df: DataFrame, total: int, seed: int = 42) -> DataFrame:
-    """About a thousand rows, and at most a tenth, for a first look at the data."""
-    return df.sample(fraction=min(0.1, 1000.0 / total) if total else 0.1, seed=seed)

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from reviewloom.operators.sampling import (
     head_rows,
     order_hash,
-    pilot_sample,
     sample_ratio,
     sample_rows,
     shuffle_rows,
@@ -52,10 +51,17 @@ def first_turns(spark, sf_dir):
     return head_rows(table(spark, sf_dir, "conversations"), HEAD, ["conv_id", "turn"])
 
 
-def pilot(spark, sf_dir):
-    source = reviews(spark, sf_dir)
-    rows = pilot_sample(source, source.count(), SEED)
-    return rows.agg(F.count(F.lit(1)).alias("rows"), F.avg(F.length("text")).alias("mean_text_length"))
+def many_first_turns(spark, sf_dir):
+    return head_rows(table(spark, sf_dir, "conversations"), 5000, ["conv_id", "turn"])
+
+
+def count_sample_of_events(spark, sf_dir):
+    """No key, and values that may differ below the millisecond."""
+    return take_random(_events(spark, sf_dir), COUNT, SEED)
+
+
+def _events(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value")
 
 
 QUERIES = {
@@ -66,7 +72,8 @@ QUERIES = {
     "sample_everything": whole_sample,
     "shuffled_rows": shuffled,
     "head_n": first_turns,
-    "pilot_sample": pilot,
+    "head_n_large": many_first_turns,
+    "sample_count_exact_values": count_sample_of_events,
 }
 
 _COLUMNS = "text, asin, user_id, rating, title"
@@ -81,6 +88,11 @@ WITH {REVIEWS_SQL} SELECT {_COLUMNS} FROM reviews WHERE {_BELOW} ORDER BY {_HASH
     "sample_count_by_content": f"""
 SELECT text, lang FROM documents
 ORDER BY md5('{SEED}:' || CAST(to_json({{'text': text, 'lang': lang}}) AS VARCHAR)) LIMIT {COUNT}""",
+    "sample_count_exact_values": f"""
+SELECT ts, user_id, event_type, value FROM events
+ORDER BY md5('{SEED}:' || CAST(to_json({{'ts': CAST(ts AS VARCHAR), 'user_id': user_id, 'event_type': event_type,
+                                       'value': CAST(value AS VARCHAR)}}) AS VARCHAR)) LIMIT {COUNT}""",
+    "head_n_large": "SELECT conv_id, turn, role, text FROM conversations ORDER BY conv_id, turn LIMIT 5000",
     "sample_everything": f"WITH {REVIEWS_SQL} SELECT {_COLUMNS} FROM reviews",
     "shuffled_rows": f"WITH {REVIEWS_SQL} SELECT asin, rating, {_HASH} AS order_hash FROM reviews",
     "head_n": f"SELECT conv_id, turn, role, text FROM conversations ORDER BY conv_id, turn LIMIT {HEAD}",
