@@ -1,13 +1,13 @@
 """Analytics over run metrics: throughput, speedup, efficiency, comparison of two systems.
 
 All of it works on tables of any length: baselines are aggregated per system and joined back, so no
-task has to hold all runs of one system. The functions below use their input more than once, so runs
-that come out of an expensive query should be staged first (``sources.storage.staged_table``).
+task has to hold all runs of one system. For runs that are aggregated to a row per system and level
+already, ``aggregated=True`` takes the baseline over a window of these few rows instead, and the input is evaluated once.
 """
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.functions.numeric import ratio_or_zero
@@ -142,18 +142,24 @@ def baseline_of(
     then values); ``require_level_one=True`` raises instead. One aggregate, summed up per task
     before the shuffle.
     """
+    picked = runs.groupBy(*system_cols).agg(_first_run(values, level_col, order_by).alias("run"))
+    return picked.select(*system_cols, *_base_values("run", values, require_level_one))
+
+
+def _first_run(values: list[str], level_col: str, order_by: list[str] | None) -> Column:
     order = [F.col(name) for name in order_by or [level_col, *values]]
     rank = F.struct(F.when(F.col(level_col) == 1, 0).otherwise(1).alias("missing"), *order)
-    first_run = F.struct(F.col(level_col).alias("level"), *values)
-    picked = runs.groupBy(*system_cols).agg(F.min_by(first_run, rank).alias("run"))
+    return F.min_by(F.struct(F.col(level_col).alias("level"), *values), rank)
+
 
+def _base_values(run: str, values: list[str], require_level_one: bool) -> list[Column]:
     def base(name):
         if not require_level_one:
-            return F.col(f"run.{name}")
+            return F.col(f"{run}.{name}")
         problem = F.raise_error(F.lit("a system has no run at level 1"))
-        return F.when(F.col("run.level") == 1, F.col(f"run.{name}")).otherwise(problem)
+        return F.when(F.col(f"{run}.level") == 1, F.col(f"{run}.{name}")).otherwise(problem)
 
-    return picked.select(*system_cols, *[base(name).alias(f"base_{name}") for name in values])
+    return [base(name).alias(f"base_{name}") for name in values]
 
 
 def with_baseline(runs: DataFrame, baseline: DataFrame, system_cols: list[str]) -> DataFrame:
@@ -173,13 +179,21 @@ def speedup_and_efficiency(
     throughput_col: str | None = None,
     order_by: list[str] | None = None,
     require_level_one: bool = False,
+    aggregated: bool = False,
 ) -> DataFrame:
-    """Add ``speedup``, ``efficiency`` and, given a throughput, ``throughput_ratio``."""
+    """Add ``speedup``, ``efficiency`` and, given a throughput, ``throughput_ratio``.
+
+    ``aggregated`` says that a system has few rows, so that a window may hold them.
+    """
     values = [time_col] + ([throughput_col] if throughput_col else [])
-    baseline = baseline_of(runs, values, system_cols, level_col, order_by, require_level_one)
-    result = with_baseline(runs, baseline, system_cols).withColumn(
-        "speedup", F.try_divide(F.col(f"base_{time_col}"), F.col(time_col))
-    )
+    if aggregated:
+        first = _first_run(values, level_col, order_by).over(Window.partitionBy(*system_cols))
+        based = runs.withColumn("_first_run", first)
+        based = based.select(*runs.columns, *_base_values("_first_run", values, require_level_one))
+    else:
+        baseline = baseline_of(runs, values, system_cols, level_col, order_by, require_level_one)
+        based = with_baseline(runs, baseline, system_cols)
+    result = based.withColumn("speedup", F.try_divide(F.col(f"base_{time_col}"), F.col(time_col)))
     result = result.withColumn("efficiency", ratio_or_zero("speedup", level_col))
     if throughput_col:
         ratio = F.try_divide(F.col(throughput_col), F.col(f"base_{throughput_col}"))
@@ -190,15 +204,6 @@ def speedup_and_efficiency(
 # ---- two systems side by side ---------------------------------------------------------------
 
 
-def first_per_level(
-    runs: DataFrame, level_col: str, values: list[str], order_by: list[str] | None = None
-) -> DataFrame:
-    """One run per level: the first in the order of ``order_by`` (by default of the values)."""
-    order = F.struct(*(order_by or values))
-    picked = runs.groupBy(level_col).agg(F.min_by(F.struct(*values), order).alias("run"))
-    return picked.select(level_col, "run.*")
-
-
 def compare_systems(
     left: DataFrame,
     right: DataFrame,
@@ -206,37 +211,50 @@ def compare_systems(
     left_name: str = "spark",
     right_name: str = "torch",
     order_by: list[str] | None = None,
+) -> DataFrame:
+    """``compare_tagged`` for two systems in two tables."""
+    both = concat_runs(left.withColumn("_side", F.lit("left")), right.withColumn("_side", F.lit("right")))
+    sides = F.col("_side") == "left", F.col("_side") == "right"
+    return compare_tagged(both, *sides, level_col, left_name, right_name, order_by)
+
+
+def compare_tagged(
+    runs: DataFrame,
+    is_left: Column,
+    is_right: Column,
+    level_col: str = "parallelism",
+    left_name: str = "spark",
+    right_name: str = "torch",
+    order_by: list[str] | None = None,
 ) -> DataFrame:
     """Time, speedup and efficiency of two systems per level of the left one, and their ratios.
 
-    Both sides carry ``total_time``, ``speedup`` and ``efficiency``. A level the right side lacks
-    gives nulls; a ratio with a denominator that is not positive is 0.
+    Runs carry ``total_time``, ``speedup`` and ``efficiency``. Of several runs of a system at one level the first
+    in the order of ``order_by`` (by default of the values) counts. A level the right side lacks
+    gives nulls; a ratio with a denominator that is not positive is 0. One aggregate, and no join.
     """
     values = ["total_time", "speedup", "efficiency"]
 
-    def side(runs, name):
-        renamed = [
-            F.col("total_time").alias(f"{name}_time"),
-            F.col("speedup").alias(f"{name}_speedup"),
-            F.col("efficiency").alias(f"{name}_efficiency"),
-        ]
-        return first_per_level(runs, level_col, values, order_by).select(level_col, *renamed)
+    def first(of_side):
+        run, order = F.struct(*values), F.struct(*(order_by or values))
+        return F.min_by(F.when(of_side, run), F.when(of_side, order))
 
-    joined = side(left, left_name).join(side(right, right_name), level_col, "left")
+    per_level = runs.groupBy(level_col).agg(first(is_left).alias("left"), first(is_right).alias("right"))
 
     def ratio(measure):
-        return ratio_or_zero(f"{right_name}_{measure}", f"{left_name}_{measure}").alias(f"{measure}_ratio")
+        return ratio_or_zero(f"right.{measure}", f"left.{measure}").alias(f"{measure}_ratio")
 
-    return joined.select(
+    # The names of the columns of a comparison.
+    return per_level.filter("left is not null").select(
         level_col,
-        f"{left_name}_time",
-        f"{right_name}_time",
-        F.try_divide(F.col(f"{right_name}_time"), F.col(f"{left_name}_time")).alias("time_ratio"),
-        f"{left_name}_speedup",
-        f"{right_name}_speedup",
+        F.col("left.total_time").alias(f"{left_name}_time"),
+        F.col("right.total_time").alias(f"{right_name}_time"),
+        F.try_divide(F.col("right.total_time"), F.col("left.total_time")).alias("time_ratio"),
+        F.col("left.speedup").alias(f"{left_name}_speedup"),
+        F.col("right.speedup").alias(f"{right_name}_speedup"),
         ratio("speedup"),
-        f"{left_name}_efficiency",
-        f"{right_name}_efficiency",
+        F.col("left.efficiency").alias(f"{left_name}_efficiency"),
+        F.col("right.efficiency").alias(f"{right_name}_efficiency"),
         ratio("efficiency"),
     ).orderBy(level_col)
 

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from reviewloom.operators import runs
 from reviewloom.queries.tables import RUNS_SQL, round_columns, system_runs, table
-from reviewloom.sources.storage import staged_table
 
 NAMES = {"A": "Alpha", "N": "Nova", "R": "Rho"}
 
@@ -20,16 +19,8 @@ def by_level(records, *keys):
     )
 
 
-def batch_totals(spark, sf_dir):
-    """The run records summed up per system, level and batch: a few dozen rows, staged as a table of
-    their own because the queries below use them repeatedly."""
-    totals = system_runs(spark, sf_dir).groupBy("framework", "parallelism", "batch")
-    sums = [F.sum("hundredths").alias("hundredths"), F.sum("tokens").alias("tokens")]
-    return staged_table(totals.agg(F.count(F.lit(1)).alias("samples"), *sums), "batches")
-
-
-def staged_levels(spark, sf_dir):
-    return by_level(batch_totals(spark, sf_dir))
+def levels_of(spark, sf_dir):
+    return by_level(system_runs(spark, sf_dir).withColumn("samples", F.lit(1)))
 
 
 def throughput(spark, sf_dir):
@@ -42,7 +33,7 @@ def throughput(spark, sf_dir):
 
 
 def speedup(spark, sf_dir):
-    scaled = runs.speedup_and_efficiency(staged_levels(spark, sf_dir), ["framework"], require_level_one=True)
+    scaled = runs.speedup_and_efficiency(levels_of(spark, sf_dir), ["framework"], require_level_one=True, aggregated=True)
     return round_columns(scaled, "speedup", "efficiency").select(
         "framework", "parallelism", "speedup", "efficiency"
     )
@@ -50,8 +41,8 @@ def speedup(spark, sf_dir):
 
 def speedup_without_level_one(spark, sf_dir):
     """One system lacks level 1: its first level is the baseline then."""
-    known = staged_levels(spark, sf_dir).filter("not (framework = 'R' and parallelism = 1)")
-    scaled = runs.speedup_and_efficiency(known, ["framework"])
+    known = levels_of(spark, sf_dir).filter("not (framework = 'R' and parallelism = 1)")
+    scaled = runs.speedup_and_efficiency(known, ["framework"], aggregated=True)
     return round_columns(scaled, "speedup", "efficiency").select(
         "framework", "parallelism", "speedup", "efficiency"
     )
@@ -59,23 +50,19 @@ def speedup_without_level_one(spark, sf_dir):
 
 def throughput_ratio(spark, sf_dir):
     scaled = runs.speedup_and_efficiency(
-        staged_levels(spark, sf_dir), ["framework"], throughput_col="throughput_tokens_per_second"
+        levels_of(spark, sf_dir), ["framework"], throughput_col="throughput_tokens_per_second", aggregated=True
     )
     return round_columns(scaled, "throughput_ratio").select("framework", "parallelism", "throughput_ratio")
 
 
-def sides(spark, sf_dir):
-    """Left: system N. Right: system R up to level 5, with two runs per level."""
-    batches = batch_totals(spark, sf_dir)
-    left = by_level(batches).filter("framework = 'N'").withColumn("batch", F.lit("all"))
-    right = by_level(batches, "batch").filter("framework = 'R' and parallelism <= 5")
-    order = ["parallelism", "batch"]
-    return tuple(runs.speedup_and_efficiency(side, ["framework"], order_by=order) for side in (left, right))
-
-
 def comparison(spark, sf_dir):
-    left, right = sides(spark, sf_dir)
-    compared = runs.compare_systems(left, right, order_by=["batch"])
+    """Left: system N. Right: system R up to level 5, with two runs per level, of which the first counts."""
+    is_left, is_right = F.col("framework") == "N", F.col("framework") == "R"
+    records = system_runs(spark, sf_dir).filter(is_left | is_right & (F.col("parallelism") <= 5))
+    batches = records.withColumns({"samples": F.lit(1), "batch": F.when(is_left, F.lit("all")).otherwise(F.col("batch"))})
+    order = ["parallelism", "batch"]
+    scaled = runs.speedup_and_efficiency(by_level(batches, "batch"), ["framework"], order_by=order, aggregated=True)
+    compared = runs.compare_tagged(scaled, is_left, is_right, order_by=["batch"])
     return round_columns(compared, *[name for name in compared.columns if name != "parallelism"])
 
 
@@ -93,7 +80,7 @@ def distinct_levels(spark, sf_dir):
 
 def concatenated(spark, sf_dir):
     """The runs of each system under its own level column, put together again under one."""
-    all_runs = staged_levels(spark, sf_dir)
+    all_runs = levels_of(spark, sf_dir)
     parts = []
     for flag, name in NAMES.items():
         own = all_runs.filter(F.col("framework") == flag).drop("framework")
@@ -104,7 +91,7 @@ def concatenated(spark, sf_dir):
 
 
 def best(spark, sf_dir):
-    rows = staged_levels(spark, sf_dir).withColumnRenamed("throughput_tokens_per_second", "throughput")
+    rows = levels_of(spark, sf_dir).withColumnRenamed("throughput_tokens_per_second", "throughput")
     return round_columns(runs.best_configuration(rows, ["framework", "parallelism"]), "throughput")
 
 
@@ -146,9 +133,10 @@ def usage_of_arrays(spark, sf_dir):
 
 
 def memory_peak(spark, sf_dir):
-    peaks = runs.peak_and_increase(
-        table(spark, sf_dir, "events"), ["user_id"], "value", ["ts"]
-    )
+    # Time and number as one decimal: a single value to compare keeps this a hash aggregate.
+    place = F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(38,0)") * F.lit(10**15).cast("decimal(18,0)") + F.col("event_id")
+    events = table(spark, sf_dir, "events").withColumn("place", place.cast("decimal(38,0)"))
+    peaks = runs.peak_and_increase(events, ["user_id"], "value", ["place"])
     return round_columns(peaks, "first_value", "peak_value", "increase")
 
 

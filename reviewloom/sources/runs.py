@@ -1,10 +1,12 @@
 """Reading run metrics and written results."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
-from reviewloom.schemas import CORE_RUN_SCHEMA, THREAD_RUN_SCHEMA
+from reviewloom.schemas import CORE_RUN_SCHEMA, SUMMARY_SCHEMA, THREAD_RUN_SCHEMA
 
 # Null is written as \N, so that it differs from an empty text; a text that looks like it gets one
 # more backslash in front. Texts may hold line breaks.
@@ -26,7 +28,7 @@ def read_metrics_csv(
 
     Columns are found by name: the header may order them differently, lack some, or have others,
     which are dropped. Files with differing headers raise; read those one by one and concatenate.
-    ``position_col`` keeps the order of the rows in the file.
+    ``position_col`` keeps the order of the rows: by file path, then as they stand in the file.
     """
     reader = spark.read.options(header="true", quote='"', escape='"', enforceSchema="false")
     header = reader.csv(path).columns
@@ -36,7 +38,8 @@ def read_metrics_csv(
     ).csv(path)
     columns = [F.col(name) for name in schema.names if name in header]
     if position_col:
-        columns.append(F.monotonically_increasing_id().alias(position_col))
+        place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+        columns.append(place.alias(position_col))
     return rows.select(*columns)
 
 
@@ -56,6 +59,15 @@ def read_thread_runs(
     return runs.withColumn("per_core_usage", F.from_json("per_core_usage", ArrayType(DoubleType())))
 
 
+def read_run_summaries(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """The summaries of several jobs as one table, each with the name of its configuration."""
+    tables = [
+        read_metrics_csv(spark, path, SUMMARY_SCHEMA).withColumn("config_name", F.lit(name))
+        for name, path in paths.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
 def read_results_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
     """Read back what ``sinks.csv`` wrote: the same rows, line breaks and empty texts included."""
     rows = spark.read.schema(schema).options(multiLine="true", **CSV_OPTIONS).csv(path)

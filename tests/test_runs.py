@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from reviewloom.operators import runs
 from reviewloom.plans.comparison import compare_run_files, scaling, write_comparison
+from reviewloom.queries import runs as run_queries
 from reviewloom.schemas import CORE_RUN_SCHEMA, SIZE_SWEEP_SCHEMA
 from reviewloom.sinks.csv import write_single_csv
-from reviewloom.sinks.report import sweep_lines
+from reviewloom.sinks.report import write_report
 from reviewloom.sources.runs import read_core_runs, read_metrics_csv, read_thread_runs
 
 # Published runs, level -> (seconds, tokens per second), and their comparison.
@@ -215,7 +216,7 @@ def test_many_metric_files_make_one_table(spark, tmp_path):
         read_metrics_csv(spark, str(tmp_path / "cores_*.csv"), CORE_RUN_SCHEMA).collect()
 
 
-def test_sweep_report(spark):
+def test_sweep_report(spark, tmp_path):
     sweep = spark.createDataFrame(
         [
             (2.0, 5, 3243.2, 16216, 16216, 1224.58, 1225.08, 13.24),
@@ -223,18 +224,29 @@ def test_sweep_report(spark):
         ],
         SIZE_SWEEP_SCHEMA,
     )
-    report = sweep_lines(sweep, "target_mb", "num_partitions", "target partition size (MB)")
-    lines = [r["line"] for r in report.orderBy("config", "line_no").collect()]
-    assert lines[3:6] == [
-        "Total reviews processed: 16216",
-        "Best target partition size (MB): 4.0",
-        "Best number of partitions: 3",
-    ]
-    assert lines[7:13] == [
-        "target partition size (MB): 2.0",
-        "  Actual partitions: 5",
-        "  Reviews per partition: 3243",
-        "  Process time: 1224.58 seconds",
-        "  Total time: 1225.08 seconds",
-        "  Throughput: 13.24 reviews/second",
+    path = write_report({"Best": runs.best_configuration(sweep, ["target_mb"]), "Runs": sweep}, str(tmp_path), "sweep")
+    assert open(path).read().splitlines() == [
+        "Best",
+        "target_mb 4.0, throughput 15.24",
+        "Runs",
+        "target_mb 2.0, num_partitions 5, reviews_per_partition 3243.2, total_reviews 16216, result_count 16216, "
+        "process_time 1224.58, total_time 1225.08, throughput 13.24",
+        "target_mb 4.0, num_partitions 3, reviews_per_partition 5405.3, total_reviews 16216, result_count 16216, "
+        "process_time 1063.96, total_time 1064.14, throughput 15.24",
     ]
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["speedup_efficiency", "speedup_first_run_baseline", "throughput_ratio", "framework_comparison", "best_configuration"],
+)
+def test_analytics_read_their_table_once(spark, plan_of, name):
+    plan = plan_of(run_queries.QUERIES[name](spark, "/root/testdata/sf0.001"))
+    assert plan.count("FileScan parquet") == 1 and "Join" not in plan
+
+
+def test_rows_of_several_files_keep_their_order(spark, tmp_path):
+    for name, rows in (("a", "2,1.0\n1,2.0\n"), ("b", "1,9.0\n")):
+        (tmp_path / f"{name}.csv").write_text("cores,total_time\n" + rows)
+    read = read_core_runs(spark, str(tmp_path / "*.csv"), "position").orderBy("position")
+    assert [(r["cores"], r["total_time"]) for r in read.collect()] == [(2, 1.0), (1, 2.0), (1, 9.0)]
