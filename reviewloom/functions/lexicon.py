@@ -2,14 +2,12 @@
 
 from dataclasses import dataclass
 
-MAX_LEXICON_WORDS = 5000
-
 
 @dataclass(frozen=True)
 class Lexicon:
     """Lower-case words that count for each class.
 
-    The words travel inside the query plan as literals, hence the size bound.
+    The words travel inside the query plan as sets of literals.
     ``neutral_prior`` is the score NEU starts from: less than one hit, so that a text without any
     hit is NEU, and one hit decides.
     """
@@ -21,8 +19,6 @@ class Lexicon:
 
     def __post_init__(self):
         words = self.negative + self.neutral + self.positive
-        if len(words) > MAX_LEXICON_WORDS:
-            raise ValueError(f"a lexicon holds at most {MAX_LEXICON_WORDS} words, got {len(words)}")
         if len(set(words)) != len(words):
             raise ValueError("a lexicon word may count for one class only, and be listed once")
         if any(not word or word != word.lower() or len(word.split()) != 1 for word in words):

@@ -7,6 +7,8 @@ Java's ``\\w``, ``\\s`` and ``\\b`` are ASCII-only, so the classes below are wri
 cover Unicode letters, digits and blanks.
 """
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,7 +33,6 @@ BLANK_RUN_PATTERN = (
 URL_TOKEN = "[URL]"
 MENTION_TOKEN = "[USER]"
 CODE_TOKEN = "[PRODUCT]"
-_CODE_PLACEHOLDER = "\ue000"
 
 
 def _column(col) -> Column:
@@ -59,13 +60,17 @@ def clean_text(text, mask_codes_before_lower: bool = False) -> Column:
     """Lower-case, mask URLs, mentions and product codes, squeeze blanks; null becomes ``""``.
 
     By default codes are masked after lower-casing, so only runs of ten or more digits can
-    match. ``mask_codes_before_lower=True`` also masks upper-case alphanumeric codes: they are
-    swapped for a private-use character first, so that lower-casing leaves the token alone.
+    match. ``mask_codes_before_lower=True`` also masks upper-case alphanumeric codes first, and
+    lower-cases what lies between the tokens.
     """
     source = _column(text)
-    if mask_codes_before_lower:
-        source = F.regexp_replace(source, F.lit(CODE_NOT_MENTION_PATTERN), F.lit(_CODE_PLACEHOLDER))
     lowered = F.lower(source)
+    if mask_codes_before_lower:
+        # A text that holds the token itself is lower-cased there, like everywhere else.
+        plain = F.replace(source, F.lit(CODE_TOKEN), F.lit(CODE_TOKEN.lower()))
+        coded = F.regexp_replace(plain, F.lit(CODE_NOT_MENTION_PATTERN), F.lit(CODE_TOKEN))
+        between = F.split(coded, re.escape(CODE_TOKEN))
+        lowered = F.array_join(F.transform(between, F.lower), CODE_TOKEN)
     # Substring tests are much cheaper than a regular expression that finds nothing.
     may_have_url = F.contains(lowered, F.lit("://")) | F.contains(lowered, F.lit("www."))
     masked = F.when(may_have_url, mask_urls(lowered)).otherwise(lowered)
@@ -73,8 +78,6 @@ def clean_text(text, mask_codes_before_lower: bool = False) -> Column:
     # What is left of upper-case letters are the short mask tokens, so codes are digits by now.
     masked = F.regexp_replace(masked, F.lit(DIGITS_PATTERN), F.lit(CODE_TOKEN))
     cleaned = squeeze_blanks(masked)
-    if mask_codes_before_lower:
-        cleaned = F.replace(cleaned, F.lit(_CODE_PLACEHOLDER), F.lit(CODE_TOKEN))
     return F.coalesce(cleaned, F.lit(""))
 
 

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from reviewloom.functions.lexicon import OPINION_WORDS, Lexicon
 from reviewloom.schemas import SCORE_SCHEMA
@@ -24,19 +25,36 @@ ERROR_SCORE = 0.0
 SPECIAL_TOKENS = 2
 MODEL_WINDOW = 128
 
+RESULT = "result"
 PUNCTUATION = '.,;:!?"()'
+OUTER_PUNCTUATION = rf"[{PUNCTUATION}](?:(?<=^.| .)[{PUNCTUATION}]*+|[{PUNCTUATION}]*+(?= |\z))"
 MAX_BROADCAST_BYTES = 1 << 30
 
 
 def score(df: DataFrame, scorer, text_col: str = "preprocessed_text") -> DataFrame:
-    """Add ``token_count``, ``sentiment`` and ``score``. Every input row gives one output row."""
-    return flatten_result(scorer.apply(df, text_col))
+    """Add ``token_count``, ``sentiment`` and ``score``. Every input row gives one output row.
+
+    Other columns stay whatever their names are; an input that has one of the three already is refused.
+    """
+    result_col = free_name(df, RESULT)
+    scored = scorer.apply(df, text_col, result_col)
+    clash = sorted(set(df.columns) & set(scored.schema[result_col].dataType.names))
+    if clash:
+        raise ValueError(f"the input has columns that scoring adds: {', '.join(clash)}")
+    return flatten_result(scored, result_col)
 
 
-def flatten_result(df: DataFrame, result_col: str = "result") -> DataFrame:
+def flatten_result(df: DataFrame, result_col: str = RESULT) -> DataFrame:
     return df.select("*", f"{result_col}.*").drop(result_col)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column has it."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def result_view(df: DataFrame, text_col: str = "text") -> DataFrame:
     """The columns a reader of the results needs."""
     return df.select("asin", "user_id", F.col(text_col).alias("review_text"), "sentiment", "score")
@@ -66,61 +84,46 @@ def confidence(logits: dict[str, Column]) -> Column:
 
 
 class LexiconScorer:
-    """Counts the words of each class; the counts are the logits.
-
-    The whole text is scored. ``max_tokens`` gives it the window of a model instead: tokens
-    beyond it are neither counted nor scored.
-    """
+    """Counts the words of each class in the whole text; the counts are the logits."""
 
     labels = LABELS
 
-    def __init__(self, lexicon: Lexicon = OPINION_WORDS, max_tokens: int | None = None):
-        if max_tokens is not None and max_tokens <= SPECIAL_TOKENS:
-            raise ValueError(f"max_tokens must be larger than {SPECIAL_TOKENS}")
+    def __init__(self, lexicon: Lexicon = OPINION_WORDS):
         self.lexicon = lexicon
-        self.max_tokens = max_tokens
 
-    def apply(self, df: DataFrame, text_col: str) -> DataFrame:
-        text = F.col(text_col)
-        words = F.split(text, " ")
+    def apply(self, df: DataFrame, text_col: str, result_col: str = RESULT) -> DataFrame:
+        text, lexicon = F.col(text_col), self.lexicon
+        # Punctuation around words goes from the text at once; words of nothing else stay, as empty ones.
+        words = F.split(F.regexp_replace(text, F.lit(OUTER_PUNCTUATION), F.lit("")), " ")
         tokens = F.when(text == "", F.lit(0)).otherwise(F.size(words)) + SPECIAL_TOKENS
-        if self.max_tokens is not None:
-            words = F.slice(words, 1, self.max_tokens - SPECIAL_TOKENS)
-            tokens = F.least(tokens, F.lit(self.max_tokens))
-
-        lexicon = self.lexicon
         known = lexicon.negative + lexicon.neutral + lexicon.positive
-        # One pass over the text keeps the few words of the lexicon; the classes count those.
-        hits = F.filter(words, lambda word: _bare(word).isin(*known))
+        # One pass over the words keeps the few of the lexicon; the classes count those.
+        found = F.filter(words, lambda word: word.isin(*known))
+        seen = free_name(df, "_seen")
+        hits, counts = F.col(f"{seen}.hits"), free_name(df, "_counts")
 
         def count_of(class_words):
-            matches = F.filter("_hits", lambda word: _bare(word).isin(*class_words))
-            return F.size(matches).cast("double")
-
-        logits = {
-            "NEG": F.col("_neg"),
-            "NEU": F.col("_neu") + F.lit(float(lexicon.neutral_prior)),
-            "POS": F.col("_pos"),
-        }
+            return F.size(F.filter(hits, lambda word: word.isin(*class_words))).cast("double")
+
+        per_class = F.struct(
+            count_of(lexicon.negative).alias("NEG"),
+            (count_of(lexicon.neutral) + F.lit(float(lexicon.neutral_prior))).alias("NEU"),
+            count_of(lexicon.positive).alias("POS"),
+        )
+        logits = {label: F.col(f"{counts}.{label}") for label in LABELS}
         result = F.when(
             text.isNotNull(),
             F.struct(
-                F.col("_tokens").alias("token_count"),
+                F.col(f"{seen}.tokens").alias("token_count"),
                 decide(logits).alias("sentiment"),
                 confidence(logits).alias("score"),
             ),
         ).otherwise(_error_result())
         return (
-            df.withColumns({"_tokens": tokens, "_hits": hits})
-            .withColumns(
-                {
-                    "_neg": count_of(lexicon.negative),
-                    "_neu": count_of(lexicon.neutral),
-                    "_pos": count_of(lexicon.positive),
-                }
-            )
-            .withColumn("result", result)
-            .drop("_tokens", "_hits", "_neg", "_neu", "_pos")
+            df.withColumn(seen, F.struct(tokens.alias("tokens"), found.alias("hits")))
+            .withColumn(counts, per_class)
+            .withColumn(result_col, result)
+            .drop(seen, counts)
         )
 
 
@@ -131,7 +134,11 @@ class ModelScorer:
     ``(token_counts, logits)`` comes out, ``logits`` being rows x labels. It gets ``batch_rows``
     texts at a time. A batch the callable rejects is halved and scored again, down to the texts
     that cannot be scored: these become ``(0, 'ERROR', 0.0)``, and null texts too, without the
-    model being asked.
+    model being asked. Failures of memory or imports are not a text's fault and end the task.
+
+    ``keep_errors`` adds a column ``error`` with the reason. ``max_error_share`` ends a task in which a larger
+    share of the texts was refused. ``window_words`` is for models that see so many words at a time: a longer text
+    is scored in windows one after the other, whose token counts and logits are added up.
 
     Each scorer builds its own UDF, so two scorers with different factories can be used side by
     side in one session.
@@ -142,10 +149,16 @@ class ModelScorer:
         factory: Callable[[], Callable],
         labels: tuple[str, ...] = LABELS,
         batch_rows: int = 256,
+        keep_errors: bool = False,
+        max_error_share: float = 1.0,
+        window_words: int | None = None,
     ):
         self.factory = factory
         self.labels = tuple(labels)
         self.batch_rows = batch_rows
+        self.keep_errors = keep_errors
+        self.max_error_share = max_error_share
+        self.window_words = window_words
 
     @classmethod
     def from_broadcast(cls, spark: SparkSession, payload, build: Callable, **options):
@@ -162,13 +175,8 @@ class ModelScorer:
         shared = spark.sparkContext.broadcast(payload)
         return cls(lambda: build(shared.value), **options)
 
-    def apply(self, df: DataFrame, text_col: str) -> DataFrame:
-        return df.withColumn("result", _model_udf(self)(F.col(text_col)))
-
-
-def _bare(word: Column) -> Column:
-    """A word without the punctuation around it."""
-    return F.btrim(word, F.lit(PUNCTUATION))
+    def apply(self, df: DataFrame, text_col: str, result_col: str = RESULT) -> DataFrame:
+        return df.withColumn(result_col, _model_udf(self)(F.col(text_col)))
 
 
 def _error_result() -> Column:
@@ -183,43 +191,75 @@ def _model_udf(scorer: ModelScorer):
     """The functions are nested, and the values local, so that the UDF is shipped by value and
     the workers need not have this package installed."""
     factory, labels, batch_rows = scorer.factory, list(scorer.labels), scorer.batch_rows
+    keep_errors, max_share, window = scorer.keep_errors, scorer.max_error_share, scorer.window_words
     error = (ERROR_TOKENS, ERROR_LABEL, ERROR_SCORE)
-    columns = SCORE_SCHEMA.names
+    schema = StructType(SCORE_SCHEMA.fields + ([StructField("error", StringType())] if keep_errors else []))
+    columns = [*SCORE_SCHEMA.names, "error"]
 
-    def predict(model, texts):
+    def windows(text):
+        words = text.split(" ")
+        return [" ".join(words[i : i + window]) for i in range(0, len(words), window)]
+
+    def ask(model, texts):
         import numpy as np
 
         token_counts, logits = model(texts)
         logits = np.asarray(logits, dtype="float64").reshape(len(texts), len(labels))
+        if len(token_counts) != len(texts):
+            raise ValueError(f"{len(token_counts)} token counts for {len(texts)} texts")
+        return np.asarray(token_counts), logits
+
+    def ask_in_windows(model, texts):
+        import numpy as np
+
+        parts = [windows(text) for text in texts]
+        flat = [part for of_text in parts for part in of_text]
+        asked = [ask(model, flat[i : i + batch_rows]) for i in range(0, len(flat), batch_rows)]
+        counts, logits = (np.concatenate(column) for column in zip(*asked, strict=True))
+        starts = np.cumsum([0] + [len(of_text) for of_text in parts[:-1]])
+        return np.add.reduceat(counts, starts), np.add.reduceat(logits, starts, axis=0)
+
+    def predict(model, texts):
+        import numpy as np
+
+        token_counts, logits = (ask if window is None else ask_in_windows)(model, texts)
         best = logits.argmax(axis=1)
         shifted = np.exp(logits - logits.max(axis=1, keepdims=True))
         chosen = shifted[np.arange(len(texts)), best] / shifted.sum(axis=1)
         return [
-            (int(count), labels[index], float(probability))
+            (int(count), labels[index], float(probability), None)
             for count, index, probability in zip(token_counts, best, chosen, strict=True)
         ]
 
     def contained(model, texts):
         try:
             return predict(model, texts)
-        except Exception:
+        except (MemoryError, ImportError):
+            raise
+        except Exception as problem:
             if len(texts) == 1:
-                return [error]
+                return [(*error, f"{type(problem).__name__}: {problem}")]
         half = len(texts) // 2
         return contained(model, texts[:half]) + contained(model, texts[half:])
 
-    @F.pandas_udf(SCORE_SCHEMA)
+    @F.pandas_udf(schema)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = factory()
+        asked, refused = 0, []
         for batch in batches:
             known = batch.notna()
             texts = batch[known].tolist()
-            rows = pd.Series([error] * len(batch), dtype=object)
+            rows = pd.Series([(*error, None)] * len(batch), dtype=object)
             scored = []
             for start in range(0, len(texts), batch_rows):
                 scored += contained(model, texts[start : start + batch_rows])
+            asked += len(scored)
+            refused += [row[3] for row in scored if row[3]]
             rows[known.to_numpy().nonzero()[0]] = pd.Series(scored, dtype=object).to_numpy()
             result = pd.DataFrame(rows.tolist(), columns=columns)
-            yield result.astype({"token_count": "int32", "score": "float32"})
+            result = result.astype({"token_count": "int32", "score": "float32"})
+            yield result if keep_errors else result.drop(columns="error")
+        if len(refused) > max_share * asked:
+            raise RuntimeError(f"{len(refused)} of {asked} texts were refused, first: {refused[0]}")
 
     return run

@@ -5,13 +5,13 @@ from pyspark.sql import functions as F
 from reviewloom.operators.filters import prepare_reviews
 from reviewloom.operators.scoring import (
     MODEL_WINDOW,
-    LexiconScorer,
     ModelScorer,
     label_view,
     result_view,
     score,
 )
 from reviewloom.queries.tables import (
+    WINDOW_SQL,
     CLEANED_SQL,
     PATCHY_SQL,
     REVIEWS_SQL,
@@ -35,7 +35,7 @@ def vowel_model():
     def model(texts):
         if any("aa" in text for text in texts):
             raise ValueError("unreadable text")
-        tokens = [min(len(text.split(" ")) if text else 0, 126) + 2 for text in texts]
+        tokens = [(len(text.split(" ")) if text else 0) + 2 for text in texts]
         return tokens, [[text.count(vowel) / 10 for vowel in "aei"] for text in texts]
 
     return model
@@ -66,10 +66,32 @@ def lexicon_scores(spark, sf_dir):
     return round_columns(scored(spark, sf_dir).select(*columns), "score")
 
 
+def make_word_factory():
+    """A model that counts the words of the stand-in lexicon and sees ``MODEL_WINDOW`` tokens at a time."""
+    classes = [set(STAND_IN_LEXICON.negative), set(STAND_IN_LEXICON.neutral), set(STAND_IN_LEXICON.positive)]
+    window = MODEL_WINDOW - 2
+
+    def factory():
+        def model(texts):
+            split = [text.split(" ") if text else [] for text in texts]
+            if any(len(words) > window for words in split):
+                raise ValueError("too long")
+            counts = [[float(sum(word in known for word in words)) for known in classes] for words in split]
+            return [len(words) + 2 for words in split], counts
+
+        return model
+
+    return factory
+
+
+def windowed(spark, sf_dir):
+    """Every window of a text is scored, by a model that refuses longer ones."""
+    scorer = ModelScorer(make_word_factory(), window_words=MODEL_WINDOW - 2)
+    return score(prepare_reviews(spread_reviews(spark, sf_dir)), scorer)
+
+
 def window_scores(spark, sf_dir):
-    """The token window of the model is the feature here: tokens beyond it do not count."""
-    scorer = LexiconScorer(STAND_IN_LEXICON, max_tokens=MODEL_WINDOW)
-    result = score(prepare_reviews(spread_reviews(spark, sf_dir)), scorer)
+    result = windowed(spark, sf_dir)
     return round_columns(result.select("asin", "token_count", "sentiment", "score"), "score")
 
 
@@ -87,8 +109,9 @@ def raw_scores_with_nulls(spark, sf_dir):
 
 def model_scores(spark, sf_dir):
     """Unreadable and null texts end as ERROR rows; the others of their batch are scored."""
-    result = score(patchy_reviews(spark, sf_dir), ModelScorer(make_vowel_factory()), "text")
-    return round_columns(result.select("asin", "token_count", "sentiment", "score"), "score")
+    scorer = ModelScorer(make_vowel_factory(), keep_errors=True)
+    result = score(patchy_reviews(spark, sf_dir), scorer, "text")
+    return round_columns(result.select("asin", "token_count", "sentiment", "score", "error"), "score")
 
 
 def broadcast_model_scores(spark, sf_dir):
@@ -143,7 +166,8 @@ logits AS (
 scored AS (
   SELECT asin,
          CAST(CASE WHEN failed THEN 0 WHEN text = '' THEN 2
-                   ELSE least(len(string_split(text, ' ')), 126) + 2 END AS INTEGER) AS token_count,
+                   ELSE len(string_split(text, ' ')) + 2 END AS INTEGER) AS token_count,
+         CASE WHEN contains(text, 'aa') THEN 'ValueError: unreadable text' END AS error,
          CASE WHEN failed THEN 'ERROR' WHEN l0 >= l1 AND l0 >= l2 THEN 'NEG'
               WHEN l1 >= l2 THEN 'NEU' ELSE 'POS' END AS sentiment,
          CAST(CASE WHEN failed THEN 0 ELSE 1.0::DOUBLE / (
@@ -153,14 +177,12 @@ scored AS (
 
 ORACLES = {
     "score_lexicon": f"{SCORED_SQL} SELECT asin, {_SCORE_COLUMNS} FROM scored",
-    "score_model_window": f"""
-WITH {REVIEWS_SQL}, {CLEANED_SQL}, {score_sql("cleaned", "preprocessed_text", max_tokens=MODEL_WINDOW)}
-SELECT asin, {_SCORE_COLUMNS} FROM scored""",
+    "score_model_window": f"{WINDOW_SQL} SELECT asin, {_SCORE_COLUMNS} FROM scored",
     "score_raw_text": f"""
 WITH {score_sql("conversations", "text")} SELECT conv_id, turn, {_SCORE_COLUMNS} FROM scored""",
     "score_raw_text_nulls": f"""
 WITH {PATCHY_SQL}, {score_sql("reviews", "text")} SELECT asin, {_SCORE_COLUMNS} FROM scored""",
-    "score_udf_errors": f"{_MODEL_SQL} SELECT asin, {_SCORE_COLUMNS} FROM scored",
+    "score_udf_errors": f"{_MODEL_SQL} SELECT asin, {_SCORE_COLUMNS}, error FROM scored",
     "score_udf_labels": f"{_MODEL_SQL} SELECT sentiment, count(*) AS count FROM scored GROUP BY sentiment",
     "score_udf_broadcast": f"""
 WITH {REVIEWS_SQL},

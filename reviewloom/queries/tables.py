@@ -113,8 +113,9 @@ _BLANKS = (
 )
 
 
-def clean_sql(text: str) -> str:
-    masked = f"regexp_replace(lower({text}), 'https?://[^{_BLANKS}]+|www\\.[^{_BLANKS}]+', '[URL]', 'g')"
+def clean_sql(text: str, lowered: bool = False) -> str:
+    text = text if lowered else f"lower({text})"
+    masked = f"regexp_replace({text}, 'https?://[^{_BLANKS}]+|www\\.[^{_BLANKS}]+', '[URL]', 'g')"
     masked = f"regexp_replace({masked}, '@[\\p{{L}}\\p{{N}}_]+', '[USER]', 'g')"
     # Two passes, because neighbouring codes may share the character between them.
     for _ in range(2):
@@ -135,13 +136,10 @@ def _in_list(words) -> str:
     return ", ".join(f"'{word}'" for word in words)
 
 
-def score_sql(source: str, text: str, name: str = "scored", max_tokens: int | None = None) -> str:
+def score_sql(source: str, text: str, name: str = "scored") -> str:
     """CTEs that add token_count, sentiment and score (not rounded, FLOAT) to ``source``."""
     words = f"string_split({text}, ' ')"
     tokens = f"CASE WHEN {text} = '' THEN 2 ELSE len({words}) + 2 END"
-    if max_tokens is not None:
-        words = f"({words})[1:{max_tokens - 2}]"
-        tokens = f"least({tokens}, {max_tokens})"
 
     def count(class_words):
         return f"len(list_filter({words}, lambda w: trim(w, '{PUNCTUATION}') IN ({_in_list(class_words)})))"
@@ -168,6 +166,27 @@ hits AS (
 SCORED_SQL = f"WITH {REVIEWS_SQL}, {CLEANED_SQL}, {score_sql('cleaned', 'preprocessed_text')}"
 ROUNDED_SCORE = "round(CAST(score AS DOUBLE), 6)"
 
+def _window_count(words) -> str:
+    return f"len(list_filter(string_split(preprocessed_text, ' '), lambda w: w IN ({_in_list(words)})))"
+
+
+# A model that sees 126 words at a time adds two tokens to every window; counts of words add up.
+WINDOW_SQL = f"""
+WITH {REVIEWS_SQL}, {CLEANED_SQL},
+hits AS (
+  SELECT asin, CASE WHEN preprocessed_text = '' THEN 0 ELSE len(string_split(preprocessed_text, ' ')) END AS n,
+         {_window_count(STAND_IN_LEXICON.negative)} * 1.0::DOUBLE AS neg,
+         {_window_count(STAND_IN_LEXICON.neutral)} * 1.0::DOUBLE AS neu,
+         {_window_count(STAND_IN_LEXICON.positive)} * 1.0::DOUBLE AS pos
+  FROM cleaned),
+scored AS (
+  SELECT asin, CAST(n + 2 * greatest(1, ceil(n / 126.0)) AS INTEGER) AS token_count,
+         CASE WHEN neg >= neu AND neg >= pos THEN 'NEG'
+              WHEN neu >= pos THEN 'NEU' ELSE 'POS' END AS sentiment,
+         CAST(1.0::DOUBLE / (exp(neg - greatest(neg, neu, pos)) + exp(neu - greatest(neg, neu, pos))
+                             + exp(pos - greatest(neg, neu, pos))) AS FLOAT) AS score
+  FROM hits)"""
+
 RUNS_SQL = """
 runs AS (
   SELECT l_returnflag AS framework, l_linenumber AS parallelism, l_linestatus AS batch,

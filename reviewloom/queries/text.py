@@ -95,8 +95,10 @@ def mask_counts(spark, sf_dir):
 
 
 def codes_before_lower(spark, sf_dir):
+    """With a private-use character and the token itself in every text."""
+    text = F.concat("text", F.lit(" \ue000 [PRODUCT]"))
     return spread_reviews(spark, sf_dir).select(
-        "asin", clean_text("text", mask_codes_before_lower=True).alias("preprocessed_text")
+        "asin", clean_text(text, mask_codes_before_lower=True).alias("preprocessed_text")
     )
 
 
@@ -127,7 +129,13 @@ def _mask_codes_sql(text, before="", token="[PRODUCT]"):
     return f"regexp_replace({once}, '{pattern}', '\\1{token}\\2', 'g')"
 
 
-_PRIVATE = "\ue000"
+# A private-use character, and the token itself, as parts of the input.
+_MARKED_SQL = "replace(text || ' ' || chr(57344) || ' [PRODUCT]', '[PRODUCT]', '[product]')"
+
+
+def _lower_between(text):
+    return f"array_to_string(list_transform(string_split({text}, '[PRODUCT]'), lambda t: lower(t)), '[PRODUCT]')"
+
 
 ORACLES = {
     "reviews_projection": f"WITH {REVIEWS_SQL} SELECT text, asin, user_id, rating, title FROM reviews",
@@ -166,7 +174,6 @@ SELECT source_table,
 FROM masked GROUP BY source_table""",
     "clean_codes_before_lower": f"""
 WITH {REVIEWS_SQL}
-SELECT asin, replace({clean_sql(_mask_codes_sql("text", "@", _PRIVATE))}, '{_PRIVATE}', '[PRODUCT]')
-         AS preprocessed_text
+SELECT asin, {clean_sql(_lower_between(_mask_codes_sql(_MARKED_SQL, "@")), lowered=True)} AS preprocessed_text
 FROM reviews""",
 }

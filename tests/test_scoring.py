@@ -44,12 +44,34 @@ def test_lexicon_scores(spark):
         assert result[2] == pytest.approx(probability, rel=1e-6)
 
 
-def test_whole_text_unless_a_window_is_given(spark):
+def test_the_whole_text_counts(spark):
     df = texts(spark, " ".join(["x"] * 200 + ["good"] * 3), " ".join(["good"] * 126), " ".join(["x"] * 127))
     assert [r[:2] for r in scores(df, LexiconScorer(WORDS))] == [(205, "POS"), (128, "POS"), (129, "NEU")]
-    assert [r[:2] for r in scores(df, LexiconScorer(WORDS, 128))] == [(128, "NEU"), (128, "POS"), (128, "NEU")]
-    with pytest.raises(ValueError):
-        LexiconScorer(WORDS, 2)
+
+
+def test_a_model_with_a_window_sees_the_whole_text(spark):
+    def factory():
+        def model(batch):
+            if any(len(text.split(" ")) > 5 for text in batch):
+                raise ValueError("too long")
+            return [len(text.split(" ")) for text in batch], [[float(text.count("n")), 0.5, float(text.count("p"))] for text in batch]
+
+        return model
+
+    df = texts(spark, "n " * 3 + "x " * 20 + "p p p p p p", "p", "", None, "x x n x x n")
+    result = scores(df, ModelScorer(factory, window_words=5, batch_rows=2))
+    assert [r[:2] for r in result] == [(29, "POS"), (1, "POS"), (1, "NEU"), (0, "ERROR"), (6, "NEG")]
+    assert result[0][2] == pytest.approx(softmax(3, 0.5 * 6, 6), rel=1e-6)
+
+
+def test_columns_of_the_user_stay(spark):
+    df = texts(spark, "good", None).selectExpr("id", "text", "1 as result", "2 as _seen", "3 as _counts", "4 as _tokens")
+    for scorer in (LexiconScorer(WORDS), ModelScorer(make_factory())):
+        got = score(df, scorer, "text")
+        assert got.columns == [*df.columns, *SCORE_SCHEMA.names]
+        assert [(r["result"], r["_seen"], r["_counts"]) for r in got.collect()] == [(1, 2, 3)] * 2
+    with pytest.raises(ValueError, match="sentiment"):
+        score(df.withColumn("sentiment", F.lit("x")), LexiconScorer(WORDS), "text")
 
 
 def test_result_schema(spark):
@@ -73,8 +95,7 @@ def test_lexicon_is_checked():
     for words in ((("a",), ("a",), ()), (("A",), (), ()), (("a b",), (), ()), (("",), (), ())):
         with pytest.raises(ValueError):
             Lexicon(*words)
-    with pytest.raises(ValueError):
-        Lexicon(tuple(f"w{i}" for i in range(6000)), (), ())
+    assert len(Lexicon(tuple(f"w{i}" for i in range(6000)), (), ()).negative) == 6000
 
 
 def make_factory(sign=1.0, log=None):
@@ -149,6 +170,27 @@ def test_model_with_wrong_output_gives_error_rows(spark):
     assert [r[1] for r in scores(texts(spark, "x", "y"), ModelScorer(factory))] == ["ERROR", "ERROR"]
 
 
+def test_reasons_and_shares_of_errors(spark):
+    df = texts(spark, "p", "boom", None).coalesce(1)
+    reasons = score(df, ModelScorer(make_factory(), keep_errors=True), "text").orderBy("id").collect()
+    assert [r["error"] for r in reasons] == [None, "RuntimeError: cannot read this", None]
+    assert len(scores(df, ModelScorer(make_factory(), max_error_share=0.5))) == 3
+    with pytest.raises(Exception, match="1 of 2 texts were refused, first: RuntimeError: cannot read this"):
+        scores(df, ModelScorer(make_factory(), max_error_share=0.4))
+
+
+@pytest.mark.parametrize("kind", [MemoryError, ImportError])
+def test_failures_that_are_no_texts_fault_end_the_task(spark, kind):
+    def factory():
+        def model(batch):
+            raise kind("not the text")
+
+        return model
+
+    with pytest.raises(Exception, match="not the text"):
+        scores(texts(spark, "x"), ModelScorer(factory))
+
+
 def test_broadcast_model_is_size_checked(spark, monkeypatch):
     def build(weights):
         return lambda batch: ([1] * len(batch), [weights for _ in batch])

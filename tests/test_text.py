@@ -87,9 +87,14 @@ def test_cleaner_equals_restatement(spark, texts):
 
 def test_codes_before_lower_case(spark):
     texts = ["ASIN C12AB345XY!", "c12ab345xy", "@ABCDEFGHIJ hi", "WWW.X.COM/ABCDEFGHIJ", "1234567890", "AB"]
+    texts += ["icon \ue000 HERE", "[PRODUCT] C12AB345XY", "C12AB345XY"]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     cleaned = [r[0] for r in df.select(clean_text("text", mask_codes_before_lower=True)).collect()]
-    assert cleaned == ["asin [PRODUCT]!", "c12ab345xy", "[USER] hi", "[URL]", "[PRODUCT]", "ab"]
+    assert cleaned == ["asin [PRODUCT]!", "c12ab345xy", "[USER] hi", "[URL]", "[PRODUCT]", "ab"] + [
+        "icon \ue000 here",
+        "[product] [PRODUCT]",
+        "[PRODUCT]",
+    ]
 
 
 def test_blank_filter_keeps_newline_only_text(spark):
