@@ -11,8 +11,10 @@ from reviewloom.operators.scoring import LexiconScorer
 from reviewloom.plans.comparison import compare_run_files, write_comparison
 from reviewloom.plans.review_job import ReviewJob, run_review_job
 from reviewloom.plans.sweeps import core_scaling, partition_count_sweep, partition_size_sweep
-from reviewloom.sinks.csv import write_single_csv
-from reviewloom.sinks.report import write_sweep_report
+from reviewloom.sinks.csv import CODEC_SUFFIXES, write_single_csv
+from reviewloom.operators.partitioning import task_slots
+from reviewloom.operators.runs import best_configuration
+from reviewloom.sinks.report import write_report
 from reviewloom.sources.reviews import load_reviews
 from reviewloom.sources.storage import input_bytes
 
@@ -33,10 +35,14 @@ def analyze(spark: SparkSession, options) -> int:
         sample_ratio=options.sample_ratio,
         sample_count=options.sample_count,
         seed=options.seed,
+        sample_keys=options.sample_keys,
+        target_partition_mb=options.target_mb,
+        mask_codes_before_lower=options.mask_codes_before_lower,
+        merge_results=options.merge,
         output_dir=options.output_dir,
         summary_dir=options.summary_dir,
         compression=options.compression,
-        scorer=LexiconScorer(OPINION_WORDS, options.max_tokens),
+        scorer=LexiconScorer(OPINION_WORDS),
     )
     result = run_review_job(spark, job)
     print(f"{result.loaded:,} reviews read, {result.retained:,} with text")
@@ -47,7 +53,8 @@ def analyze(spark: SparkSession, options) -> int:
 
 
 def cores(spark: SparkSession, options) -> int:
-    runs = core_scaling(_sample(spark, options), LexiconScorer(), options.levels)
+    levels = options.levels or [task_slots(spark), 2 * task_slots(spark)]
+    runs = core_scaling(_sample(spark, options), LexiconScorer(), levels)
     print(write_single_csv(runs, options.output_dir, "core_scaling"))
     return 0
 
@@ -57,13 +64,15 @@ def partitions(spark: SparkSession, options) -> int:
     if options.target_mb:
         size = input_bytes(spark, options.data)
         sweep = partition_size_sweep(reviews, LexiconScorer(), size, options.target_mb)
-        columns, name = ("target_mb", "num_partitions", "Target partition size (MB)"), "partition_size"
+        column, name = "target_mb", "partition_size"
     else:
-        sweep = partition_count_sweep(reviews, LexiconScorer(), options.counts)
-        columns = ("target_num_partitions", "actual_partitions", "Target partition count")
-        name = "partition_count"
+        slots = task_slots(spark)
+        counts = options.counts or [slots * waves for waves in (1, 2, 4, 8)]
+        sweep = partition_count_sweep(reviews, LexiconScorer(), counts)
+        column, name = "target_num_partitions", "partition_count"
     print(write_single_csv(sweep, folder, f"{name}_sweep"))
-    print(write_sweep_report(sweep, *columns, folder, f"{name}_sweep"))
+    sections = {"Best": best_configuration(sweep, [column]), "Runs": sweep}
+    print(write_report(sections, folder, f"{name}_sweep"))
     return 0
 
 
@@ -75,7 +84,8 @@ def compare(spark: SparkSession, options) -> int:
 
 
 def _sample(spark: SparkSession, options):
-    return load_reviews(spark, options.data, options.sample_ratio, options.sample_count, options.seed)
+    ratio, count, keys = options.sample_ratio, options.sample_count, options.sample_keys
+    return load_reviews(spark, options.data, ratio, count, options.seed, keys)
 
 
 def _numbers(kind):
@@ -83,6 +93,7 @@ def _numbers(kind):
 
 
 def _parser() -> argparse.ArgumentParser:
+    # Names of commands and options are an interface.
     parser = argparse.ArgumentParser(prog="reviewloom")
     commands = parser.add_subparsers(dest="command", required=True)
 
@@ -90,26 +101,29 @@ def _parser() -> argparse.ArgumentParser:
     sampling.add_argument("--sample-ratio", type=float, default=1.0, help="1.0 keeps every review")
     sampling.add_argument("--sample-count", type=int, default=None, help="0 keeps every review")
     sampling.add_argument("--seed", type=int, default=42)
+    sampling.add_argument("--sample-keys", type=_numbers(str), default=None, help="columns that identify a row")
 
     command = commands.add_parser("analyze", parents=[sampling], help="classify and sum up a dataset")
     command.add_argument("--dataset", required=True)
     command.add_argument("--input-root", default="/")
     command.add_argument("--input-file", default=None, help="used if the dataset is not in the root")
-    command.add_argument("--output-dir", default="/analysis_outputs")
-    command.add_argument("--summary-dir", default="/summary_outputs")
-    command.add_argument("--compression", choices=["gzip", "bzip2"], default=None)
-    command.add_argument("--max-tokens", type=int, default=None, help="token window; default: whole text")
+    command.add_argument("--output-dir", required=True)
+    command.add_argument("--summary-dir", required=True)
+    command.add_argument("--compression", choices=sorted(CODEC_SUFFIXES), default=None)
+    command.add_argument("--target-mb", type=float, default=128)
+    command.add_argument("--mask-codes-before-lower", action="store_true")
+    command.add_argument("--merge", action="store_true", help="also put the results into one file, by one task")
     command.set_defaults(run=analyze)
 
     command = commands.add_parser("cores", parents=[sampling], help="time the scorer per core count")
     command.add_argument("--data", required=True)
-    command.add_argument("--levels", type=_numbers(int), default=[1, 2, 3, 4])
+    command.add_argument("--levels", type=_numbers(int), default=None, help="default: once and twice the task slots")
     command.add_argument("--output-dir", required=True)
     command.set_defaults(run=cores)
 
     command = commands.add_parser("partitions", parents=[sampling], help="time the scorer per partitioning")
     command.add_argument("--data", required=True)
-    command.add_argument("--counts", type=_numbers(int), default=[2, 3, 4, 6, 8, 10, 12, 16, 32, 64, 128])
+    command.add_argument("--counts", type=_numbers(int), default=None, help="default: whole waves of task slots")
     command.add_argument("--target-mb", type=_numbers(float), default=None, help="sizes instead of counts")
     command.add_argument("--output-dir", required=True)
     command.set_defaults(run=partitions)

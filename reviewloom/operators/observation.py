@@ -5,9 +5,6 @@ the metrics of a partition of that stage once, also when its task is repeated, w
 map task of an earlier stage would be counted twice.
 """
 
-from contextlib import contextmanager
-
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -40,16 +37,3 @@ def observe(df: DataFrame, name: str, aggregates: list[Column]) -> tuple[DataFra
     observation = Observation(name)
     return df.observe(observation, *aggregates), observation
 
-
-@contextmanager
-def reused(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
-    """Keep ``df`` for several actions, and let go of it in any case.
-
-    Meant for results that fit the cluster's memory and disks, such as samples; a large result is
-    better written and read back.
-    """
-    df.persist(level)
-    try:
-        yield df
-    finally:
-        df.unpersist()

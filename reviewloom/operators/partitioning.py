@@ -9,10 +9,6 @@ MIB = 1024 * 1024
 TOLERANCE = 4  # times by which a scan's partitions may miss the target size and be left alone
 
 
-def round_up_to_multiple(n: int, multiple: int) -> int:
-    return math.ceil(n / multiple) * multiple
-
-
 def task_slots(spark: SparkSession) -> int:
     """Tasks that can run at the same time."""
     task_cpus = int(spark.conf.get("spark.task.cpus", "1"))
@@ -22,7 +18,8 @@ def task_slots(spark: SparkSession) -> int:
 def plan_by_file_size(size_bytes: int, target_mb: float, slots: int) -> int:
     """Whole targets that fit in the input, rounded up to full waves of tasks."""
     whole_targets = max(1, int(size_bytes / MIB / target_mb))
-    return round_up_to_multiple(whole_targets, slots)
+    waves = -(-whole_targets // slots)
+    return waves * slots
 
 
 def plan_by_ceiling(size_bytes: int, target_bytes: int, min_partitions: int = 1) -> int:
@@ -31,7 +28,7 @@ def plan_by_ceiling(size_bytes: int, target_bytes: int, min_partitions: int = 1)
 
 
 def estimated_row_bytes(mean_text_length: float) -> float:
-    """Two bytes per character and 200 for the rest of the row."""
+    """Two bytes per character and 200 for the rest of the row."""
     return mean_text_length * 2 + 200
 
 
@@ -56,13 +53,13 @@ def serialized_size(df: DataFrame) -> DataFrame:
     return df.agg(F.coalesce(F.sum(F.length(as_json).cast("bigint")), F.lit(0)).alias("serialized_chars"))
 
 
-def repartition_by_rows(df: DataFrame, target_mb: float, text_col: str = "text") -> DataFrame:
-    """Repartition by the row sizes of ``df`` itself, so a sample is not planned as its whole file."""
+def repartition_by_rows(df: DataFrame, target_mb: float, text_col: str = "text") -> tuple[int, DataFrame]:
+    """(partitions, ``df`` dealt to them) by the row sizes of ``df`` itself, so a sample is not planned as its whole file."""
     stats = text_size_stats(df, text_col).first()
     _, partitions = plan_by_row_size(
         stats["mean_text_length"], stats["total_reviews"], int(target_mb * MIB)
     )
-    return df.repartition(partitions)
+    return partitions, df.repartition(partitions)
 
 
 def scan_partitions(df: DataFrame) -> int:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.display import label_caption, label_color
 from reviewloom.functions.numeric import mean_or_zero, percent_of, progress_percent, ratio_or_zero
+from reviewloom.schemas import SUMMARY_SCHEMA
 
 
 def score_aggregates() -> list[Column]:
@@ -66,36 +67,37 @@ def text_length_stats(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def run_summary(
-    scored: DataFrame,
+    totals: DataFrame,
     processing_seconds: float,
     total_seconds: float,
     partitions: int,
     started_at: str,
     completed_at: str,
 ) -> DataFrame:
-    """One row of job metrics over the scored reviews, in a single aggregate."""
-    seconds = F.lit(float(processing_seconds))
-    totals = scored.agg(
-        F.count(F.lit(1)).alias("total_reviews"),
-        F.coalesce(F.sum(F.col("token_count").cast("bigint")), F.lit(0)).alias("total_tokens"),
-        F.min("token_count").alias("min_tokens_per_review"),
-        F.max("token_count").alias("max_tokens_per_review"),
-    )
-    return totals.select(
-        "total_reviews",
-        F.lit(int(partitions)).alias("partitions_count"),
-        F.floor(F.col("total_reviews") / F.lit(int(partitions))).alias("reviews_per_partition"),
-        seconds.alias("processing_time_seconds"),
-        ratio_or_zero("total_reviews", seconds).alias("reviews_per_second"),
-        F.lit(float(total_seconds)).alias("total_time_seconds"),
-        F.lit(started_at).alias("started_at"),
-        F.lit(completed_at).alias("completed_at"),
-        "total_tokens",
-        mean_or_zero("total_tokens", "total_reviews").alias("avg_tokens_per_review"),
-        "min_tokens_per_review",
-        "max_tokens_per_review",
-        ratio_or_zero("total_tokens", seconds).alias("tokens_per_second"),
-    )
+    """Job metrics (``SUMMARY_SCHEMA``) of one row of totals: aggregated (``summary_totals``) or observed."""
+    seconds, n = F.lit(float(processing_seconds)), F.lit(int(partitions))
+    tokens = F.coalesce("total_tokens", F.lit(0)).cast("bigint")
+    values = {
+        "total_reviews": F.col("total_reviews"),
+        "partitions_count": n,
+        "reviews_per_partition": F.when(n > 0, F.floor(F.try_divide("total_reviews", n))).otherwise(0),
+        "processing_time_seconds": seconds,
+        "reviews_per_second": ratio_or_zero("total_reviews", seconds),
+        "total_time_seconds": F.lit(float(total_seconds)),
+        "started_at": F.lit(started_at),
+        "completed_at": F.lit(completed_at),
+        "total_tokens": tokens,
+        "avg_tokens_per_review": mean_or_zero(tokens, "total_reviews"),
+        "min_tokens_per_review": F.col("min_token_count"),
+        "max_tokens_per_review": F.col("max_token_count"),
+        "tokens_per_second": ratio_or_zero(tokens, seconds),
+    }
+    return totals.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in SUMMARY_SCHEMA.fields])
+
+
+def summary_totals(scored: DataFrame) -> DataFrame:
+    """The totals that ``run_summary`` needs, in a single aggregate."""
+    return scored.agg(F.count(F.lit(1)).alias("total_reviews"), *token_aggregates())
 
 
 def progress(current: Column, total: Column) -> Column:

@@ -3,6 +3,7 @@
 import logging
 import time
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -16,19 +17,18 @@ from reviewloom.operators.observation import (
     observe,
     scored_aggregates,
 )
-from reviewloom.operators.partitioning import spread, spread_plan
+from reviewloom.operators.partitioning import repartition_by_rows, spread, spread_plan
 from reviewloom.operators.scoring import ERROR_LABEL, LexiconScorer, score
-from reviewloom.operators.statistics import with_share
+from reviewloom.operators.statistics import run_summary, with_share
 from reviewloom.sinks.csv import (
-    SINGLE_FILE_BYTES,
     merge_csv,
-    metrics_row,
     write_csv,
     write_single_csv,
     write_single_json,
 )
 from reviewloom.sinks.report import write_report
-from reviewloom.sources.reviews import load_reviews, resolve_dataset
+from reviewloom.operators.sampling import sample_ratio, take_random
+from reviewloom.sources.reviews import read_reviews, resolve_dataset
 from reviewloom.sources.storage import input_bytes, small_table
 
 logger = logging.getLogger("reviewloom")
@@ -37,19 +37,19 @@ logger = logging.getLogger("reviewloom")
 @dataclass(frozen=True)
 class ReviewJob:
     dataset: str
+    output_dir: str
+    summary_dir: str
     input_root: str = "/"
     input_file: str | None = None
     sample_ratio: float | None = None
     sample_count: int | None = None
     seed: int = 42
     sample_keys: list[str] | None = None
-    output_dir: str = "/analysis_outputs"
-    summary_dir: str = "/summary_outputs"
     target_partition_mb: float = 128
     mask_codes_before_lower: bool = False
     clean: bool = True
     compression: str | None = None
-    single_file_bytes: int = SINGLE_FILE_BYTES
+    merge_results: bool = False
     scorer: object = field(default_factory=lambda: LexiconScorer(OPINION_WORDS))
 
 
@@ -65,9 +65,11 @@ class ReviewResult:
 
 
 def scored_reviews(reviews: DataFrame, job: ReviewJob) -> DataFrame:
-    """The transformation alone, without reading or writing."""
+    """The transformation alone, without reading or writing. Without cleaning nothing is filtered either."""
+    if not job.clean:
+        return score(reviews, job.scorer, "text")
     prepared = prepare_reviews(reviews, mask_codes_before_lower=job.mask_codes_before_lower)
-    return score(prepared, job.scorer, "preprocessed_text" if job.clean else "text")
+    return score(prepared, job.scorer)
 
 
 def run_review_job(spark: SparkSession, job: ReviewJob) -> ReviewResult:
@@ -78,9 +80,7 @@ def run_review_job(spark: SparkSession, job: ReviewJob) -> ReviewResult:
     """
     started = time.time()
     path = resolve_dataset(spark, job.dataset, job.input_root, job.input_file)
-    reviews = load_reviews(spark, path, job.sample_ratio, job.sample_count, job.seed, job.sample_keys)
-    plan = spread_plan(reviews, input_bytes(spark, path), job.target_partition_mb)
-    partitions, reviews = plan[0], spread(reviews, plan)
+    partitions, reviews = planned_reviews(spark, path, job)
     logger.info("Scoring %s in %s partitions", path, partitions)
 
     reviews, seen = observe(reviews, "input", input_aggregates())
@@ -95,28 +95,36 @@ def run_review_job(spark: SparkSession, job: ReviewJob) -> ReviewResult:
     _log_totals(seen, totals, job.scorer.labels, processing_seconds)
 
     distribution = observed_distribution(spark, totals, job.scorer.labels)
-    score_stats = _observed_row(spark, totals, schemas.SCORE_STATS_SCHEMA)
-    token_stats = _observed_row(spark, totals, schemas.TOKEN_STATS_SCHEMA)
+    score_stats = observed_row(spark, totals, schemas.SCORE_STATS_SCHEMA)
+    token_stats = observed_row(spark, totals, schemas.TOKEN_STATS_SCHEMA)
     files = {
         "results": results_path,
-        "sentiment_analysis_full_results": merge_csv(
-            spark,
-            results_path,
-            summary_path,
-            "sentiment_analysis_full_results",
-            scored.schema,
-            job.compression,
-            job.single_file_bytes,
-        ),
         "sentiment_distribution": write_single_csv(distribution, summary_path, "sentiment_distribution"),
         "sentiment_overall_stats": write_single_csv(score_stats, summary_path, "sentiment_overall_stats"),
         "sentiment_token_stats": write_single_csv(token_stats, summary_path, "sentiment_token_stats"),
         "sentiment_analysis_report": write_report(
-            distribution, score_stats, summary_path, "sentiment_analysis_report"
+            {"Labels": distribution, "Confidence": score_stats, "Tokens": token_stats},
+            summary_path,
+            "sentiment_analysis_report",
         ),
     }
-    metrics = summary_metrics(totals, partitions, processing_seconds, started, time.time())
-    summary = metrics_row(spark, metrics)
+    if job.merge_results:
+        name = "sentiment_analysis_full_results"
+        files[name] = merge_csv(spark, results_path, summary_path, name, scored.schema, job.compression)
+    ended = time.time()
+    summary = small_table(
+        spark,
+        run_summary(
+            observed_row(spark, totals, StructType(schemas.SCORE_STATS_SCHEMA.fields[:1] + schemas.TOKEN_STATS_SCHEMA.fields)),
+            processing_seconds,
+            ended - started,
+            partitions,
+            datetime.fromtimestamp(started).isoformat(" ", "seconds"),
+            datetime.fromtimestamp(ended).isoformat(" ", "seconds"),
+        ).collect(),
+        schemas.SUMMARY_SCHEMA,
+    )
+    metrics = summary.first().asDict()
     files["summary_metrics"] = write_single_csv(summary, summary_path, "summary_metrics")
     files["summary_metrics_json"] = write_single_json(summary, summary_path, "summary_metrics")
     return ReviewResult(
@@ -142,24 +150,21 @@ def observed_distribution(spark: SparkSession, totals: dict, labels) -> DataFram
     return with_share(small_table(spark, occurring, schema)).orderBy("sentiment")
 
 
-def _observed_row(spark: SparkSession, totals: dict, schema) -> DataFrame:
+def observed_row(spark: SparkSession, totals: dict, schema) -> DataFrame:
     return small_table(spark, [tuple(totals[name] for name in schema.names)], schema)
 
 
-def summary_metrics(totals: dict, partitions: int, processing: float, started: float, ended: float) -> dict:
-    total, tokens = totals["total_reviews"], totals["total_tokens"] or 0
-    return {
-        "total_reviews": total,
-        "partitions_count": partitions,
-        "reviews_per_partition": total // partitions if partitions else 0,
-        "processing_time_seconds": processing,
-        "reviews_per_second": total / processing if processing > 0 else 0.0,
-        "total_time_seconds": ended - started,
-        "started_at": time.strftime("%Y-%m-%d %H:%M:%S", time.localtime(started)),
-        "completed_at": time.strftime("%Y-%m-%d %H:%M:%S", time.localtime(ended)),
-        "total_tokens": tokens,
-        "avg_tokens_per_review": tokens / total if total else 0.0,
-        "min_tokens_per_review": totals["min_token_count"],
-        "max_tokens_per_review": totals["max_token_count"],
-        "tokens_per_second": tokens / processing if processing > 0 else 0.0,
-    }
+def planned_reviews(spark: SparkSession, path: str, job: ReviewJob) -> tuple[int, DataFrame]:
+    """(partitions, reviews), sampled if the job asks for it.
+
+    The scan is planned by the bytes that a ratio leaves of it. How large the rows of a sample of fixed count are is not known
+    beforehand, so such a sample is measured (one more pass over it) and dealt anew.
+    """
+    scan = read_reviews(spark, path)
+    kept = job.sample_ratio if job.sample_ratio and job.sample_ratio < 1 else 1.0
+    plan = spread_plan(scan, int(input_bytes(spark, path) * kept), job.target_partition_mb)
+    reviews = sample_ratio(scan, job.sample_ratio, job.seed, job.sample_keys)
+    if job.sample_count:
+        sample = take_random(reviews, job.sample_count, job.seed, job.sample_keys)
+        return repartition_by_rows(sample, job.target_partition_mb)
+    return plan[0], spread(reviews, plan)

@@ -31,7 +31,7 @@ def core_scaling(
 ) -> DataFrame:
     """One run per level; as many tasks as the level, so at most that many cores work.
 
-    The raw text is scored, without cleaning or filtering: a null text gives an ERROR row.
+    Levels are meant to be multiples of an executor's cores. The raw text is scored, without cleaning or filtering: a null text gives an ERROR row.
     """
     rows = []
     for level in level_counts:

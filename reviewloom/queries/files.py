@@ -2,10 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from reviewloom.operators.statistics import score_stats, sentiment_distribution
+from reviewloom.operators.observation import observe, scored_aggregates
+from reviewloom.operators.runs import best_configuration
+from reviewloom.operators.scoring import LABELS, label_view
+from reviewloom.operators.statistics import run_summary, sentiment_distribution, token_aggregates
 from reviewloom.plans.comparison import compare_run_files
-from reviewloom.plans.review_job import ReviewJob, run_review_job
-from reviewloom.queries.runs import staged_levels
+from reviewloom.plans.review_job import ReviewJob, observed_distribution, observed_row, run_review_job
+from reviewloom.queries.runs import levels_of
 from reviewloom.queries.statistics import ORACLES as STATISTICS_ORACLES
 from reviewloom.queries.tables import (
     PATCHY_SQL,
@@ -20,12 +23,16 @@ from reviewloom.queries.tables import (
     scored,
     spread_reviews,
 )
-from reviewloom.schemas import DISTRIBUTION_SCHEMA, REVIEW_SCHEMA, SCORED_SCHEMA
+from reviewloom.schemas import DISTRIBUTION_SCHEMA, REVIEW_SCHEMA, SCORE_STATS_SCHEMA, SCORED_SCHEMA, SUMMARY_SCHEMA
 from reviewloom.sinks.csv import merge_csv, write_csv, write_single_csv
 from reviewloom.sinks.report import write_report
 from reviewloom.sources.reviews import CORRUPT_COLUMN, read_reviews, resolve_dataset, split_rejects
-from reviewloom.sources.runs import read_results_csv
-from reviewloom.sources.storage import scratch_path, staged_table
+from reviewloom.sources.runs import read_metrics_csv, read_results_csv, read_run_summaries
+from reviewloom.sources.storage import input_size, scratch_path
+
+# fixed values: files of the size test, sources that stand in for configurations
+SIZED_FILES = 4
+SHAPES = ("src0", "src1", "src2")
 
 
 def jsonl_roundtrip(spark, sf_dir):
@@ -100,17 +107,36 @@ def single_file_csv(spark, sf_dir):
 
 
 def merged_csv(spark, sf_dir):
-    """Part files become one file when they are small enough, and are read in place otherwise."""
+    """Part files put together as one file."""
     parts = write_csv(scored(spark, sf_dir), scratch_path(spark, "parts"))
     merged = merge_csv(spark, parts, scratch_path(spark, "merged"), "full_results", SCORED_SCHEMA)
     return round_columns(read_results_csv(spark, merged, SCORED_SCHEMA), "score")
 
 
 def text_report(spark, sf_dir):
-    result = staged_table(scored(spark, sf_dir).select("sentiment", "score"), "scores")
-    distribution, statistics = sentiment_distribution(result), score_stats(result)
-    path = write_report(distribution, statistics, scratch_path(spark, "report"), "report")
-    return spark.read.text(path).withColumnRenamed("value", "line").filter("line <> ''")
+    """One pass: counts and score statistics are observed, the report is made of them."""
+    result, totals = observe(scored(spark, sf_dir), "report", scored_aggregates(LABELS))
+    result.write.format("noop").mode("overwrite").save()
+    sections = {
+        "Labels": observed_distribution(spark, totals.get, LABELS),
+        "Confidence": observed_row(spark, totals.get, SCORE_STATS_SCHEMA),
+    }
+    path = write_report(sections, scratch_path(spark, "report"), "report")
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+def label_file(spark, sf_dir):
+    """Labels only, written as CSV and read back."""
+    labels = label_view(scored(spark, sf_dir))
+    path = write_csv(labels, scratch_path(spark, "labels"))
+    return read_results_csv(spark, path, labels.schema)
+
+
+def written_size(spark, sf_dir):
+    """Files and bytes of lines that were written for it."""
+    path = scratch_path(spark, "lines")
+    reviews(spark, sf_dir).select("asin").repartition(SIZED_FILES).write.text(path)
+    return input_size(spark, path)
 
 
 def review_job(spark, sf_dir):
@@ -138,7 +164,31 @@ def review_job_metrics(spark, sf_dir):
     )
 
 
-def _run_job(spark, sf_dir):
+def review_job_metrics_file(spark, sf_dir):
+    """The same from the CSV file."""
+    path = _run_job(spark, sf_dir).files["summary_metrics"]
+    metrics = read_metrics_csv(spark, path, SUMMARY_SCHEMA)
+    return metrics.select("total_reviews", "total_tokens", "partitions_count", "reviews_per_partition")
+
+
+def review_job_sampled(spark, sf_dir):
+    """The results of a job on a sample by key, ratio first, then count."""
+    result = _run_job(spark, sf_dir, sample_keys=["asin"], sample_ratio=0.3, sample_count=150)
+    return round_columns(read_results_csv(spark, result.files["results"], SCORED_SCHEMA), "score").select("asin", "sentiment", "score")
+
+
+def best_run_summary(spark, sf_dir):
+    """Run summaries of several jobs under their configurations' names, and the best of them."""
+    folder = scratch_path(spark, "summaries")
+    totals = scored(spark, sf_dir).groupBy("user_id").agg(F.count(F.lit(1)).alias("total_reviews"), *token_aggregates())
+    for name in SHAPES:
+        one = totals.filter(F.col("user_id") == name)
+        write_single_csv(run_summary(one, 10.0, 12.0, 8, "a", "b"), f"{folder}/{name}", "summary_metrics")
+    summaries = read_run_summaries(spark, {name: f"{folder}/{name}/summary_metrics.csv" for name in SHAPES})
+    return best_configuration(summaries, ["config_name"], "reviews_per_second")
+
+
+def _run_job(spark, sf_dir, **options):
     root = scratch_path(spark, "job")
     spread_reviews(spark, sf_dir).write.json(f"{root}/input/sample.jsonl")
     job = ReviewJob(
@@ -147,6 +197,7 @@ def _run_job(spark, sf_dir):
         output_dir=f"{root}/analysis",
         summary_dir=f"{root}/summary",
         scorer=STAND_IN_SCORER,
+        **options,
     )
     return run_review_job(spark, job)
 
@@ -154,7 +205,7 @@ def _run_job(spark, sf_dir):
 def comparison_of_files(spark, sf_dir):
     """Runs of two systems, written as CSV and compared from there."""
     folder = scratch_path(spark, "runs")
-    runs = staged_levels(spark, sf_dir)
+    runs = levels_of(spark, sf_dir)
     columns = ["total_samples", "total_tokens", "total_time", "throughput_tokens_per_second"]
     left = runs.filter("framework = 'N'").select(F.col("parallelism").alias("cores"), *columns)
     right = runs.filter("framework = 'R' and parallelism <> 3").select(
@@ -176,6 +227,11 @@ QUERIES = {
     "csv_single_file": single_file_csv,
     "csv_merged": merged_csv,
     "text_report": text_report,
+    "label_csv": label_file,
+    "input_size": written_size,
+    "review_job_metrics_csv": review_job_metrics_file,
+    "review_job_sampled": review_job_sampled,
+    "best_run_summary": best_run_summary,
     "review_job_distribution": review_job,
     "review_job_results": review_job_results,
     "review_job_metrics": review_job_metrics,
@@ -215,16 +271,31 @@ s AS (
   SELECT count(*) AS n, avg(CAST(score AS DOUBLE)) AS mean, stddev_samp(CAST(score AS DOUBLE)) AS sd,
          min(CAST(score AS DOUBLE)) AS lo, max(CAST(score AS DOUBLE)) AS hi
   FROM scored)
-SELECT 'Sentiment Analysis Summary Report' AS line
-UNION ALL SELECT repeat('=', 33)
-UNION ALL SELECT format('Total processed reviews: {{:,}}', n) FROM s
-UNION ALL SELECT 'Sentiment Distribution:'
-UNION ALL SELECT format('  {{}}: {{:,}} reviews ({{}}%)', sentiment, n, CAST(pct AS VARCHAR)) FROM distribution
-UNION ALL SELECT 'Confidence Score Statistics:'
-UNION ALL SELECT format('  Mean: {{:.4f}}', mean) FROM s
-UNION ALL SELECT format('  StdDev: {{:.4f}}', sd) FROM s
-UNION ALL SELECT format('  Min: {{:.4f}}', lo) FROM s
-UNION ALL SELECT format('  Max: {{:.4f}}', hi) FROM s""",
+SELECT 'Labels' AS line
+UNION ALL SELECT format('sentiment {{}}, count {{}}, percentage {{}}', sentiment, n, CAST(pct AS VARCHAR)) FROM distribution
+UNION ALL SELECT 'Confidence'
+UNION ALL SELECT format('total_reviews {{}}, mean_confidence {{}}, stddev_confidence {{}}, min_confidence {{}}, max_confidence {{}}',
+    n, CAST(round(mean, 4) AS VARCHAR), CAST(round(sd, 4) AS VARCHAR), CAST(round(lo, 4) AS VARCHAR), CAST(round(hi, 4) AS VARCHAR))
+FROM s""",
+    "label_csv": f"{SCORED_SQL} SELECT text AS review_text, sentiment FROM scored",
+    "input_size": f"""
+SELECT CAST({SIZED_FILES} AS BIGINT) AS files, CAST(sum(length('D' || doc_id) + 1) AS BIGINT) AS bytes
+FROM documents""",
+    "review_job_metrics_csv": f"""
+{SCORED_SQL}
+SELECT count(*) AS total_reviews, CAST(sum(token_count) AS BIGINT) AS total_tokens,
+       CAST(8 AS INTEGER) AS partitions_count, count(*) // 8 AS reviews_per_partition
+FROM scored""",
+    "review_job_sampled": f"""
+{SCORED_SQL}
+SELECT asin, sentiment, {ROUNDED_SCORE} AS score FROM scored
+WHERE asin IN (SELECT asin FROM reviews WHERE CAST('0x' || substr(md5('42:' || asin), 1, 8) AS BIGINT) < 0.3 * 4294967296
+               ORDER BY md5('42:' || asin) LIMIT 150)""",
+    "best_run_summary": f"""
+{SCORED_SQL},
+runs AS (SELECT user_id, count(*) / 10.0::DOUBLE AS reviews_per_second FROM scored
+         WHERE user_id IN ({", ".join(f"'{name}'" for name in SHAPES)}) GROUP BY user_id)
+SELECT user_id AS config_name, reviews_per_second FROM runs ORDER BY reviews_per_second DESC, config_name LIMIT 1""",
     "review_job_distribution": STATISTICS_ORACLES["sentiment_distribution"],
     "review_job_results": f"""
 {SCORED_SQL} SELECT {_COLUMNS}, text_length, preprocessed_text, token_count, sentiment, {ROUNDED_SCORE} AS score

@@ -1,7 +1,5 @@
 """Partition planning and profiles."""
 
-from pyspark.sql import functions as F
-
 from reviewloom.operators.partitioning import (
     MIB,
     partition_profile,
@@ -11,20 +9,17 @@ from reviewloom.operators.partitioning import (
     serialized_size,
     text_size_stats,
 )
-from reviewloom.plans.sweeps import core_scaling, partition_count_sweep, partition_size_sweep
+from reviewloom.plans.sweeps import partition_size_sweep
 from reviewloom.queries.tables import (
     REVIEWS_SQL,
     STAND_IN_SCORER,
     reviews,
-    score_sql,
     table,
 )
-from reviewloom.sources.storage import input_size
 
 TARGETS_MB = (0.25, 0.5, 1.0, 8.0, 128.0)
 SLOTS = 4
 FIXED_PARTITIONS = 8
-LEVELS = (1, 2, 4)
 
 
 def plan_rows(spark, sf_dir):
@@ -63,7 +58,7 @@ def plan_bytes(spark, sf_dir):
 
 
 def serialized(spark, sf_dir):
-    return serialized_size(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return serialized_size(table(spark, sf_dir, "documents"))
 
 
 def profile(spark, sf_dir):
@@ -71,31 +66,6 @@ def profile(spark, sf_dir):
     return partition_profile(rows).select("partitions", "total_rows", "avg_rows")
 
 
-def file_sizes(spark, sf_dir):
-    return input_size(spark, f"{sf_dir}/documents.parquet")
-
-
-def core_runs(spark, sf_dir):
-    """The timings differ from run to run; the counts do not."""
-    runs = core_scaling(table(spark, sf_dir, "conversations"), STAND_IN_SCORER, LEVELS)
-    return runs.select(
-        "cores",
-        "total_samples",
-        "total_tokens",
-        "min_tokens",
-        "max_tokens",
-        F.round("avg_tokens", 6).alias("avg_tokens"),
-        (F.col("total_time") > 0).alias("timed"),
-    )
-
-
-def count_sweep(spark, sf_dir):
-    runs = partition_count_sweep(reviews(spark, sf_dir), STAND_IN_SCORER, LEVELS)
-    return runs.select(
-        "target_num_partitions", "actual_partitions", "reviews_per_partition", "total_reviews", "result_count"
-    )
-
-
 def size_sweep(spark, sf_dir):
     source = reviews(spark, sf_dir)
     size = text_size_stats(source).first()["text_bytes"]
@@ -108,9 +78,6 @@ QUERIES = {
     "partition_plan_bytes": plan_bytes,
     "serialized_size": serialized,
     "partition_profile": profile,
-    "input_size": file_sizes,
-    "core_scaling_runs": core_runs,
-    "partition_count_sweep": count_sweep,
     "partition_size_sweep": size_sweep,
 }
 
@@ -138,27 +105,13 @@ SELECT target_mb, bytes AS text_bytes,
        greatest({SLOTS}, CAST(ceil(bytes / (target_mb * {MIB})) AS BIGINT)) AS at_least_slots
 FROM stats, {_TARGETS}""",
     "serialized_size": """
-SELECT CAST(sum(length(CAST(to_json({'doc_id': doc_id, 'text': text, 'lang': lang, 'source': source}) AS VARCHAR)))
+SELECT CAST(sum(length(CAST(to_json({'doc_id': doc_id, 'text': text, 'lang': lang, 'source': source, 'n_chars': n_chars}) AS VARCHAR)))
        AS BIGINT) AS serialized_chars
 FROM documents""",
     "partition_profile": f"""
 SELECT CAST({FIXED_PARTITIONS} AS BIGINT) AS partitions, count(*) AS total_rows,
        count(*) / {FIXED_PARTITIONS}::DOUBLE AS avg_rows
 FROM documents""",
-    "core_scaling_runs": f"""
-WITH {score_sql("conversations", "text")}
-SELECT CAST(cores AS INTEGER) AS cores, count(*) AS total_samples,
-       CAST(sum(token_count) AS BIGINT) AS total_tokens,
-       min(token_count) AS min_tokens, max(token_count) AS max_tokens,
-       round(avg(token_count), 6) AS avg_tokens, true AS timed
-FROM scored, (VALUES {", ".join(f"({n})" for n in LEVELS)}) AS levels(cores)
-GROUP BY cores""",
-    "partition_count_sweep": f"""
-SELECT CAST(p AS INTEGER) AS target_num_partitions, CAST(p AS INTEGER) AS actual_partitions,
-       count(*) / CAST(p AS DOUBLE) AS reviews_per_partition,
-       count(*) AS total_reviews, count(*) AS result_count
-FROM documents, (VALUES {", ".join(f"({n})" for n in LEVELS)}) AS levels(p)
-GROUP BY p""",
     "partition_size_sweep": f"""{_STATS},
 plans AS (
   SELECT target_mb, n, CAST(greatest(1, ceil(bytes / (target_mb * {MIB}))) AS INTEGER) AS partitions

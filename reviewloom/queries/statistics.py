@@ -6,14 +6,14 @@ from reviewloom.functions.numeric import mean_or_zero
 from reviewloom.operators import statistics as stats
 from reviewloom.operators.filters import prepare_reviews
 from reviewloom.operators.observation import input_aggregates, observe, scored_aggregates
-from reviewloom.operators.scoring import LABELS, MODEL_WINDOW, LexiconScorer, score
+from reviewloom.operators.scoring import LABELS, score
+from reviewloom.queries.scoring import windowed
 from reviewloom.queries.tables import (
     CLEANED_SQL,
     HAS_TEXT_SQL,
     PATCHY_SQL,
     REVIEWS_SQL,
     SCORED_SQL,
-    STAND_IN_LEXICON,
     STAND_IN_SCORER,
     patchy_reviews,
     reviews,
@@ -22,6 +22,7 @@ from reviewloom.queries.tables import (
     scored,
     spread_reviews,
     table,
+    WINDOW_SQL,
 )
 
 SECONDS, TOTAL_SECONDS, PARTITIONS = 12.5, 20.0, 8
@@ -55,10 +56,8 @@ def tokens(spark, sf_dir):
 
 
 def window_tokens(spark, sf_dir):
-    """Token statistics within the token window of a model, which is the feature here."""
-    scorer = LexiconScorer(STAND_IN_LEXICON, max_tokens=MODEL_WINDOW)
-    result = score(prepare_reviews(spread_reviews(spark, sf_dir)), scorer)
-    return round_columns(stats.token_stats(result), "mean_token_count", "stddev_token_count")
+    """Token statistics of a model that scores texts window by window."""
+    return round_columns(stats.token_stats(windowed(spark, sf_dir)), "mean_token_count", "stddev_token_count")
 
 
 def text_lengths(spark, sf_dir):
@@ -67,7 +66,7 @@ def text_lengths(spark, sf_dir):
 
 def summary(spark, sf_dir):
     row = stats.run_summary(
-        scored(spark, sf_dir), SECONDS, TOTAL_SECONDS, PARTITIONS, STARTED, COMPLETED
+        stats.summary_totals(scored(spark, sf_dir)), SECONDS, TOTAL_SECONDS, PARTITIONS, STARTED, COMPLETED
     )
     return round_columns(row, "reviews_per_second", "avg_tokens_per_review", "tokens_per_second")
 
@@ -166,9 +165,7 @@ SELECT count(*) AS total_reviews, round(avg(score), 6) AS mean_confidence,
        round(min(score), 6) AS min_confidence, round(max(score), 6) AS max_confidence
 FROM s""",
     "token_stats": SCORED_SQL + _TOKEN_STATS,
-    "token_stats_model_window": f"""
-WITH {REVIEWS_SQL}, {CLEANED_SQL},
-{score_sql("cleaned", "preprocessed_text", max_tokens=MODEL_WINDOW)}""" + _TOKEN_STATS,
+    "token_stats_model_window": WINDOW_SQL + _TOKEN_STATS,
     "token_stats_conversations": f"WITH {score_sql('conversations', 'text')}" + _TOKEN_STATS,
     "text_length_stats": f"""
 WITH {REVIEWS_SQL} SELECT round(avg(length(text)), 6) AS mean_text_length FROM reviews""",

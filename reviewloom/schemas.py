@@ -44,6 +44,7 @@ TOKEN_STATS_SCHEMA = _struct(
     min_token_count=_INT,
 )
 
+# The column names of run summaries.
 SUMMARY_SCHEMA = _struct(
     total_reviews=_LONG,
     partitions_count=_INT,

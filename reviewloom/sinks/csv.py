@@ -8,13 +8,24 @@ from pyspark.sql.types import StructType
 
 from reviewloom.schemas import SUMMARY_SCHEMA
 from reviewloom.sources.runs import CSV_OPTIONS, escape_nulls, read_results_csv
-from reviewloom.sources.storage import hadoop_path, input_bytes, small_table
+from reviewloom.sources.storage import hadoop_path, small_table
 
-SINGLE_FILE_BYTES = 1 << 30
+# What the writer appends to the names of files it packs with a codec.
+CODEC_SUFFIXES = {
+    "none": "",
+    "uncompressed": "",
+    "gzip": ".gz",
+    "bzip2": ".bz2",
+    "deflate": ".deflate",
+    "lz4": ".lz4",
+    "snappy": ".snappy",
+    "zstd": ".zst",
+}
 
 
 def write_csv(df: DataFrame, path: str, compression: str | None = None) -> str:
     """One part file per partition, each with the header; what is read back equals what was written."""
+    codec_suffix(compression)
     writer = escape_nulls(df).write.mode("overwrite").options(**CSV_OPTIONS)
     if compression:
         writer = writer.option("compression", compression)
@@ -28,7 +39,7 @@ def write_single_csv(df: DataFrame, directory: str, name: str, compression: str
     For tables whose size does not grow with the data, such as aggregates and metrics.
     """
     return _write_single(
-        df, directory, name, lambda one, path: write_csv(one, path, compression), ".csv" + _suffix(compression)
+        df, directory, name, lambda one, path: write_csv(one, path, compression), ".csv" + codec_suffix(compression)
     )
 
 
@@ -47,30 +58,25 @@ def merge_csv(
     name: str,
     schema: StructType,
     compression: str | None = None,
-    single_file_bytes: int = SINGLE_FILE_BYTES,
 ) -> str:
-    """Part files put together as one CSV file with one header; returns where the rows are.
+    """Part files put together as one CSV file with one header, at any size.
 
-    One task would have to write the file, so parts of more than ``single_file_bytes`` are left
-    as they are and their path is returned. ``read_results_csv`` reads the same rows from either.
+    One task writes it, so this is for readers that need a single file; ``read_results_csv`` reads the
+    same rows from the part files.
     """
-    if input_bytes(spark, parts_path) > single_file_bytes:
-        return parts_path
-    rows = read_results_csv(spark, parts_path, schema)
-    return write_single_csv(rows, directory, name, compression)
-
-
-def write_metrics(spark: SparkSession, metrics: dict, directory: str, schema: StructType = SUMMARY_SCHEMA) -> str:
-    """One row of metrics as ``summary_metrics.csv``."""
-    return write_single_csv(metrics_row(spark, metrics, schema), directory, "summary_metrics")
+    return write_single_csv(read_results_csv(spark, parts_path, schema), directory, name, compression)
 
 
 def metrics_row(spark: SparkSession, metrics: dict, schema: StructType = SUMMARY_SCHEMA) -> DataFrame:
     return small_table(spark, [tuple(metrics[name] for name in schema.names)], schema)
 
 
-def _suffix(compression: str | None) -> str:
-    return {None: "", "none": "", "gzip": ".gz", "bzip2": ".bz2"}[compression]
+def codec_suffix(compression: str | None) -> str:
+    """File name suffix of a codec; an unknown one is refused before anything is written."""
+    codec = (compression or "none").lower()
+    if codec not in CODEC_SUFFIXES:
+        raise ValueError(f"unknown compression {compression}: one of {', '.join(CODEC_SUFFIXES)}")
+    return CODEC_SUFFIXES[codec]
 
 
 def _write_single(df: DataFrame, directory: str, name: str, write, extension: str) -> str:
@@ -85,7 +91,10 @@ def _write_single(df: DataFrame, directory: str, name: str, write, extension: st
         for status in file_system.listStatus(staged)
         if status.getPath().getName().startswith("part-")
     )
-    file_system.delete(target, True)
+    # The old file is moved aside, so that a crash loses neither it nor the new one.
+    old, _ = hadoop_path(spark, posixpath.join(staging, "replaced"))
+    if file_system.exists(target) and not file_system.rename(target, old):
+        raise OSError(f"could not move {target_path} aside")
     if not file_system.rename(part, target):
         raise OSError(f"could not move {part.toString()} to {target_path}")
     file_system.delete(staged, True)

@@ -1,107 +1,41 @@
-"""Text reports over small result tables (statistics, distributions, sweeps)."""
+"""Text reports over small result tables, one line per row, made from the tables' own columns."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FractionalType
 
 from reviewloom.sinks.csv import write_single_text
 
 
-def report_lines(distribution: DataFrame, score_stats: DataFrame) -> DataFrame:
-    """(line_no, line) of the summary report, not sorted. A missing statistic reads ``n/a``."""
-    total = F.format_string("Total processed reviews: %s", F.format_number("total_reviews", 0))
-    intro = _lines(
-        score_stats,
-        0,
-        [_text("Sentiment Analysis Summary Report"), _text("=" * 33), _text(""), total, _text("")],
-    )
-    shares = distribution.select(
-        F.format_string(
-            "  %s: %s reviews (%s%%)",
-            "sentiment",
-            F.format_number("count", 0),
-            F.col("percentage").cast("string"),
-        ).alias("line")
-    )
-    # One line per label, so one short array.
-    label_lines = shares.agg(F.sort_array(F.collect_list("line")).alias("lines")).select(
-        F.posexplode(F.concat(F.array(_text("Sentiment Distribution:")), "lines")).alias("position", "line")
-    )
-    body = label_lines.select((F.col("position") + 100).alias("line_no"), "line")
-    outro = _lines(
-        score_stats,
-        1000,
-        [
-            _text(""),
-            _text("Confidence Score Statistics:"),
-            _statistic("Mean", "mean_confidence"),
-            _statistic("StdDev", "stddev_confidence"),
-            _statistic("Min", "min_confidence"),
-            _statistic("Max", "max_confidence"),
-        ],
-    )
-    return intro.unionByName(body).unionByName(outro)
+def table_lines(df: DataFrame, title: str, digits: int = 4) -> DataFrame:
+    """(line_no, line): the title, then every row as ``column value, column value``.
 
-
-def sweep_lines(sweep: DataFrame, config_col: str, partitions_col: str, caption: str) -> DataFrame:
-    """(config, line_no, line) of a sweep report, not sorted: the best run, then each run in turn."""
-    best = F.max_by(F.struct(config_col, partitions_col), F.struct("throughput", -F.col(config_col)))
-    totals = sweep.agg(F.max("total_reviews").alias("total"), best.alias("best"))
-    head = _lines(
-        totals,
-        0,
-        [
-            _text("Partition Benchmark Summary"),
-            _text("=" * 27),
-            _text(""),
-            F.format_string("Total reviews processed: %d", "total"),
-            F.format_string(f"Best {caption}: %s", F.col(f"best.{config_col}").cast("string")),
-            F.format_string("Best number of partitions: %d", f"best.{partitions_col}"),
-            _text(""),
-        ],
-    ).withColumn("config", F.lit(-1.0))
-    runs = _lines(
-        sweep,
-        0,
-        [
-            F.format_string(f"{caption}: %s", F.col(config_col).cast("string")),
-            F.format_string("  Actual partitions: %d", partitions_col),
-            F.format_string("  Reviews per partition: %d", F.col("reviews_per_partition").cast("bigint")),
-            F.format_string("  Process time: %.2f seconds", "process_time"),
-            F.format_string("  Total time: %.2f seconds", "total_time"),
-            F.format_string("  Throughput: %.2f reviews/second", "throughput"),
-        ],
-        F.col(config_col).cast("double").alias("config"),
+    Rows are in the order of their columns. Null reads ``n/a``, fractions are rounded.
+    """
+    columns = [f"`{name}`" for name in df.columns]
+    rows = df.select(
+        F.row_number().over(Window.orderBy(*columns)).alias("line_no"),
+        F.concat_ws(", ", *[_item(field, digits) for field in df.schema.fields]).alias("line"),
     )
-    return head.unionByName(runs).select("config", "line_no", "line")
-
-
-def write_report(distribution: DataFrame, score_stats: DataFrame, directory: str, name: str) -> str:
-    return _write_lines(report_lines(distribution, score_stats), ["line_no"], directory, name)
-
-
-def write_sweep_report(
-    sweep: DataFrame, config_col: str, partitions_col: str, caption: str, directory: str, name: str
-) -> str:
-    lines = sweep_lines(sweep, config_col, partitions_col, caption)
-    return _write_lines(lines, ["config", "line_no"], directory, name)
-
-
-def _write_lines(lines: DataFrame, order_by: list[str], directory: str, name: str) -> str:
-    """A report has a few dozen lines: one partition, sorted in place."""
-    ordered = lines.coalesce(1).sortWithinPartitions(*order_by)
+    head = df.sparkSession.range(1).select(F.lit(0).alias("line_no"), F.lit(title).alias("line"))
+    return head.unionByName(rows)
+
+
+def write_report(sections: dict[str, DataFrame], directory: str, name: str) -> str:
+    """The tables of ``sections`` under their titles. They are aggregates, so one task writes them."""
+    numbered = [
+        table_lines(df, title).withColumn("section", F.lit(number))
+        for number, (title, df) in enumerate(sections.items())
+    ]
+    lines = numbered[0]
+    for more in numbered[1:]:
+        lines = lines.unionByName(more)
+    ordered = lines.coalesce(1).sortWithinPartitions("section", "line_no")
     return write_single_text(ordered.select("line"), directory, name)
 
 
-def _text(value: str) -> Column:
-    return F.lit(value)
-
-
-def _statistic(caption: str, column: str) -> Column:
-    value = F.format_string(f"  {caption}: %.4f", F.col(column).cast("double"))
-    return F.when(F.col(column).isNull(), F.lit(f"  {caption}: n/a")).otherwise(value)
-
-
-def _lines(df: DataFrame, first_line: int, lines: list[Column], *keep: Column) -> DataFrame:
-    """Each row of ``df`` gives these lines."""
-    exploded = df.select(*keep, F.posexplode(F.array(*lines)).alias("position", "line"))
-    return exploded.withColumn("line_no", F.col("position") + first_line).drop("position")
+def _item(field, digits: int) -> Column:
+    value = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, FractionalType):
+        value = F.round(value.cast("double"), digits)
+    return F.concat(F.lit(f"{field.name} "), F.coalesce(value.cast("string"), F.lit("n/a")))

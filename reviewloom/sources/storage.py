@@ -1,7 +1,6 @@
 """Paths: existence, size, scratch space."""
 
 import os
-import tempfile
 import uuid
 
 import pyarrow as pa
@@ -49,20 +48,9 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return sum(file_system.getContentSummary(match.getPath()).getLength() for match in matches)
 
 
-def input_mb(spark: SparkSession, path: str) -> float:
-    return input_bytes(spark, path) / (1024 * 1024)
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the folder the cluster shares (``spark.checkpoint.dir``).
-
-    Only a local session may do without that setting; it gets a temporary folder.
-    """
-    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
-        root = tempfile.mkdtemp(prefix="reviewloom-")
+    """A new path below a folder the cluster shares: ``spark.checkpoint.dir``, else the warehouse."""
+    root = spark.conf.get(CHECKPOINT_DIR, None) or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "scratch")
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
 
 
@@ -71,10 +59,3 @@ def small_table(spark: SparkSession, rows: list[tuple], schema: StructType) -> D
     records = [dict(zip(schema.names, row, strict=True)) for row in rows]
     return spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(schema)), schema)
 
-
-def staged_table(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once and read back: several uses then share one evaluation, the size of the
-    table is known to the planner, and a lost executor costs nothing."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from reviewloom.schemas import REVIEW_SCHEMA, SUMMARY_SCHEMA
 from reviewloom.sinks.csv import (
+    codec_suffix,
     merge_csv,
     metrics_row,
     write_csv,
-    write_metrics,
     write_single_csv,
     write_single_json,
 )
@@ -134,21 +134,33 @@ def test_single_csv(spark, tmp_path):
     assert os.path.exists(f"{folder}/none.csv")
 
 
-def test_merge_has_one_header_and_respects_the_bound(spark, tmp_path, rows_of):
+def test_merge_has_one_header(spark, tmp_path, rows_of):
     df = spark.range(100).select(F.col("id"), F.concat(F.lit("line\n"), F.col("id")).alias("text"))
     parts = write_csv(df.repartition(7), str(tmp_path / "parts"))
     merged = merge_csv(spark, parts, str(tmp_path / "merged"), "all", df.schema)
     assert open(merged).read().count("id,text") == 1
     assert rows_of(read_results_csv(spark, merged, df.schema)) == rows_of(df)
-    left = merge_csv(spark, parts, str(tmp_path / "merged"), "large", df.schema, single_file_bytes=100)
-    assert left == parts
-    assert rows_of(read_results_csv(spark, left, df.schema)) == rows_of(df)
+
+
+@pytest.mark.parametrize("codec", ["gzip", "bzip2", "deflate", "GZIP", "none"])
+def test_codecs(spark, tmp_path, rows_of, codec):
+    df = spark.range(20).select(F.concat(F.lit("text "), F.col("id")).alias("text"))
+    parts = write_csv(df, str(tmp_path / "parts"), codec)
+    merged = merge_csv(spark, parts, str(tmp_path / "merged"), "all", df.schema, codec)
+    assert merged.endswith(".csv" + codec_suffix(codec))
+    assert rows_of(read_results_csv(spark, merged, df.schema)) == rows_of(df)
+
+
+def test_unknown_codec_is_refused_before_writing(spark, tmp_path):
+    with pytest.raises(ValueError, match="unknown compression"):
+        write_csv(spark.range(3), str(tmp_path / "never"), "rar")
+    assert not os.path.exists(tmp_path / "never")
 
 
 def test_metrics(spark, tmp_path):
     metrics = {name: None for name in SUMMARY_SCHEMA.names}
     metrics |= {"total_reviews": 3, "processing_time_seconds": 1.5, "started_at": "2025-01-01 00:00:00"}
-    path = write_metrics(spark, metrics, str(tmp_path))
+    path = write_single_csv(metrics_row(spark, metrics), str(tmp_path), "summary_metrics")
     assert path.endswith("/summary_metrics.csv")
     header, line = open(path).read().splitlines()
     assert header.split(",") == SUMMARY_SCHEMA.names

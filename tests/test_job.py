@@ -7,7 +7,7 @@ from reviewloom.__main__ import main
 from reviewloom.functions.lexicon import Lexicon
 from reviewloom.operators.scoring import LexiconScorer, ModelScorer
 from reviewloom.operators.statistics import score_stats, sentiment_distribution, token_stats
-from reviewloom.plans.review_job import ReviewJob, run_review_job
+from reviewloom.plans.review_job import ReviewJob, planned_reviews, run_review_job
 from reviewloom.plans.sweeps import core_scaling, partition_count_sweep, partition_size_sweep
 from reviewloom.schemas import DISTRIBUTION_SCHEMA, SCORED_SCHEMA
 from reviewloom.sources.runs import read_results_csv
@@ -36,7 +36,7 @@ def job(root, tmp_path, **changes):
 
 
 def test_whole_job(spark, dataset, tmp_path, rows_of):
-    result = run_review_job(spark, job(dataset, tmp_path))
+    result = run_review_job(spark, job(dataset, tmp_path, merge_results=True))
     assert (result.loaded, result.retained) == (80, 60)
     scored = read_results_csv(spark, result.files["results"], SCORED_SCHEMA)
     assert scored.count() == 60
@@ -67,25 +67,21 @@ def test_whole_job(spark, dataset, tmp_path, rows_of):
     assert metrics["reviews_per_partition"] == 7
     assert metrics["tokens_per_second"] == pytest.approx(metrics["total_tokens"] / metrics["processing_time_seconds"])
     report = (tmp_path / "summary" / "sample" / "sentiment_analysis_report.txt").read_text().splitlines()
-    assert report[:9] == [
-        "Sentiment Analysis Summary Report",
-        "=" * 33,
-        "",
-        "Total processed reviews: 60",
-        "",
-        "Sentiment Distribution:",
-        "  NEG: 20 reviews (33.33%)",
-        "  NEU: 20 reviews (33.33%)",
-        "  POS: 20 reviews (33.33%)",
+    assert report[:5] == [
+        "Labels",
+        "sentiment NEG, count 20, percentage 33.33",
+        "sentiment NEU, count 20, percentage 33.33",
+        "sentiment POS, count 20, percentage 33.33",
+        "Confidence",
     ]
 
 
 def test_sampled_and_compressed_job(spark, dataset, tmp_path):
     result = run_review_job(
-        spark, job(dataset, tmp_path, sample_count=30, compression="gzip", single_file_bytes=1)
+        spark, job(dataset, tmp_path, sample_count=30, compression="gzip")
     )
-    assert result.loaded == 30
-    assert result.files["sentiment_analysis_full_results"] == result.files["results"]
+    assert result.loaded == 30 and result.metrics["partitions_count"] == 1
+    assert "sentiment_analysis_full_results" not in result.files
     assert read_results_csv(spark, result.files["results"], SCORED_SCHEMA).count() == result.retained
 
 
@@ -99,7 +95,21 @@ def test_job_on_raw_text_with_a_model(spark, dataset, tmp_path, rows_of):
         return model
 
     result = run_review_job(spark, job(dataset, tmp_path, scorer=ModelScorer(factory), clean=False))
-    assert rows_of(result.distribution) == [("ERROR", 10, 16.67), ("NEU", 50, 83.33)]
+    # Nothing is filtered: null texts are errors, blank ones are scored.
+    assert (result.loaded, result.metrics["total_reviews"]) == (80, 80)
+    assert rows_of(result.distribution) == [("ERROR", 20, 25.0), ("NEU", 60, 75.0)]
+
+
+def test_planning_runs_no_job(spark, dataset, tmp_path):
+    """A sample by ratio is planned from the scan and its share of the bytes."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        options = job(dataset, tmp_path, sample_ratio=0.5, sample_keys=["asin"])
+        planned_reviews(spark, f"{dataset}/sample.jsonl", options)
+        assert list(tracker.getJobIdsForGroup("planning")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_job_without_rows(spark, tmp_path):
@@ -141,7 +151,8 @@ def test_command_line(spark, dataset, tmp_path, capsys):
     assert "80 reviews read, 60 with text" in capsys.readouterr().out
     assert main(["cores", "--data", data, "--levels", "1,2", *common]) == 0
     assert main(["partitions", "--data", data, "--counts", "2,3", *common]) == 0
-    assert main(["partitions", "--data", data, "--target-mb", "1,2", "--sample-count", "10", *common]) == 0
+    sampled = ["--sample-count", "10", "--sample-keys", "asin"]
+    assert main(["partitions", "--data", data, "--target-mb", "1,2", *sampled, *common]) == 0
     names = [name for name in os.listdir(out) if not name.startswith(".")]
     assert {
         "core_scaling.csv",

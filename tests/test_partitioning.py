@@ -9,13 +9,12 @@ from reviewloom.operators.partitioning import (
     plan_by_file_size,
     plan_by_row_size,
     repartition_by_rows,
-    round_up_to_multiple,
     serialized_size,
     spread_evenly,
     spread_plan,
     task_slots,
 )
-from reviewloom.sources.storage import input_mb, input_size, scratch_path, staged_table
+from reviewloom.sources.storage import input_bytes, input_size, scratch_path
 
 TB = 1024 * 1024 * MIB
 
@@ -49,10 +48,6 @@ def test_plan_by_row_size():
     assert plan_by_row_size(1e9, 10, MIB) == (1, 10)
 
 
-def test_round_up():
-    assert [round_up_to_multiple(n, 4) for n in (1, 4, 5)] == [4, 4, 8]
-
-
 def test_sizes(spark, tmp_path):
     df = spark.range(1000).selectExpr("concat('text ', id) as text")
     path = str(tmp_path / "parts")
@@ -61,9 +56,7 @@ def test_sizes(spark, tmp_path):
     total = sum(os.path.getsize(os.path.join(path, name)) for name in files)
     assert input_size(spark, path).first() == (3, total)
     assert input_size(spark, path + "/part-*.json").first() == (3, total)
-    assert input_mb(spark, os.path.join(path, files[0])) == os.path.getsize(
-        os.path.join(path, files[0])
-    ) / (1024 * 1024)
+    assert input_bytes(spark, os.path.join(path, files[0])) == os.path.getsize(os.path.join(path, files[0]))
     assert serialized_size(df.limit(0)).first()[0] == 0
     assert serialized_size(spark.createDataFrame([("ab",)], "text string")).first()[0] == len('{"text":"ab"}')
 
@@ -94,7 +87,8 @@ def test_profile(spark):
 
 def test_repartition_by_rows(spark):
     df = spark.range(1000).selectExpr("repeat('x', 100) as text")  # 400 bytes each
-    assert repartition_by_rows(df, 0.05).rdd.getNumPartitions() == 7
+    partitions, spread = repartition_by_rows(df, 0.05)
+    assert partitions == spread.rdd.getNumPartitions() == 7
 
 
 def test_scratch_follows_the_cluster_setting(spark):
@@ -102,9 +96,3 @@ def test_scratch_follows_the_cluster_setting(spark):
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first.startswith(root) and first != second
 
-
-def test_staged_table(spark, rows_of, plan_of):
-    df = spark.range(10)
-    staged = staged_table(df, "numbers")
-    assert rows_of(staged) == rows_of(df)
-    assert "FileScan parquet" in plan_of(staged)

@@ -3,9 +3,9 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.numeric import mean_or_zero, one_decimal, percent_of, progress_percent, ratio_or_zero
 from reviewloom.operators import statistics as stats
-from reviewloom.operators.observation import input_aggregates, observe, reused, scored_aggregates
+from reviewloom.operators.observation import input_aggregates, observe, scored_aggregates
 from reviewloom.operators.scoring import LABELS
-from reviewloom.sinks.report import report_lines
+from reviewloom.sinks.report import table_lines
 
 SCHEMA = "token_count int, sentiment string, score float"
 
@@ -15,7 +15,7 @@ def scored(spark, *rows):
 
 
 def summary(df):
-    return stats.run_summary(df, 2.0, 3.0, 4, "a", "b").first()
+    return stats.run_summary(stats.summary_totals(df), 2.0, 3.0, 4, "a", "b").first()
 
 
 def test_no_rows(spark):
@@ -27,9 +27,11 @@ def test_no_rows(spark):
     row = summary(empty)
     assert (row["total_reviews"], row["total_tokens"], row["avg_tokens_per_review"]) == (0, 0, 0.0)
     assert (row["reviews_per_second"], row["min_tokens_per_review"]) == (0.0, None)
-    report = report_lines(stats.sentiment_distribution(empty), stats.score_stats(empty))
-    lines = [r["line"] for r in report.orderBy("line_no").collect()]
-    assert lines[3] == "Total processed reviews: 0" and lines[-1] == "  Max: n/a"
+    lines = [r["line"] for r in table_lines(stats.score_stats(empty), "Scores").orderBy("line_no").collect()]
+    assert lines[0] == "Scores" and lines[1].startswith("total_reviews 0, mean_confidence n/a, ")
+    assert table_lines(stats.sentiment_distribution(empty), "Labels").count() == 1
+    none = stats.run_summary(stats.summary_totals(empty), 0.0, 0.0, 0, "a", "b").first()
+    assert (none["reviews_per_partition"], none["reviews_per_second"]) == (0, 0.0)
 
 
 def test_one_row(spark):
@@ -67,7 +69,8 @@ def test_summary(spark):
         "max_tokens_per_review": 5,
         "tokens_per_second": 5.0,
     }
-    no_time = stats.run_summary(scored(spark, (3, "POS", 0.5)), 0.0, 0.0, 1, "a", "b").first()
+    totals = stats.summary_totals(scored(spark, (3, "POS", 0.5)))
+    no_time = stats.run_summary(totals, 0.0, 0.0, 1, "a", "b").first()
     assert (no_time["reviews_per_second"], no_time["tokens_per_second"]) == (0.0, 0.0)
 
 
@@ -102,11 +105,3 @@ def test_observed_counts_are_exact(spark):
     assert result["total_reviews"] == 987
     assert sum(result[f"label_{label}"] for label in [*LABELS, "ERROR"]) == 987
     assert result["total_tokens"] == 3 * 987
-
-
-def test_reused_lets_go(spark):
-    df = spark.range(10)
-    with pytest.raises(KeyError), reused(df) as kept:
-        assert kept.is_cached
-        raise KeyError
-    assert not df.is_cached
