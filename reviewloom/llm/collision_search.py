@@ -24,8 +24,8 @@ from reviewloom.llm.staging import staged
 
 BLOCK_ROWS = 8192
 QUERY_ROWS = 1024
-FIRST_WINDOW = 0.75  # half width, in units of the root mean square of a coordinate
-WIDER = 1.2
+FIRST_WINDOW = 1.0  # half width, in units of the root mean square of a coordinate
+WIDER = 1.15
 THRESHOLD = 0.7  # collisions, as a share of the projections
 VERIFIED = 0.12  # share of a block's vectors above the threshold at which the windows stop growing
 
@@ -61,30 +61,31 @@ class CollisionIndex:
         lifted = np.column_stack([self.vectors, np.sqrt(np.maximum(longest**2 - squares, 0))])
         self._basis = _bases(lifted.shape[1], lifted.shape[1], seed)
         turned = lifted @ self._basis
-        self._order = np.ascontiguousarray(np.argsort(turned, axis=0, kind="stable").T)
-        self._sorted = np.ascontiguousarray(np.sort(turned, axis=0).T)
+        # All sorted arrays one after the other, each moved up beyond the one before, so that one search serves all.
+        self._reach = 4 * longest + 1
+        self._shift = np.arange(turned.shape[1]) * 2 * self._reach
+        self._order = np.argsort(turned, axis=0, kind="stable").T.ravel()
+        self._sorted = (np.sort(turned, axis=0) + self._shift).T.ravel()
         self._unit = longest / np.sqrt(lifted.shape[1])
 
     def candidates(self, query: np.ndarray, wanted: int) -> np.ndarray:
         """Numbers of the vectors above the threshold when there are enough of them (all, if the windows span everything)."""
-        n, m = len(self.vectors), len(self._order)
+        n, m = len(self.vectors), len(self._shift)
         enough = min(n, wanted + int(np.ceil(VERIFIED * n)))
         at = np.append(query * (self.longest / np.linalg.norm(query)), 0.0) @ self._basis
         counts = np.zeros(n, np.int64)
         low = high = None
         width = FIRST_WINDOW * self._unit
         while True:
-            new_low = np.array([np.searchsorted(s, x - width) for s, x in zip(self._sorted, at, strict=True)])
-            new_high = np.array([np.searchsorted(s, x + width, side="right") for s, x in zip(self._sorted, at, strict=True)])
-            if low is None:
-                rims = [o[b:e] for o, b, e in zip(self._order, new_low, new_high, strict=True)]
-            else:
-                rims = [o[b:e] for o, b, e in zip(self._order, new_low, low, strict=True)]
-                rims += [o[b:e] for o, b, e in zip(self._order, high, new_high, strict=True)]
+            reach = min(width, self._reach)
+            new_low = np.searchsorted(self._sorted, at + self._shift - reach)
+            new_high = np.searchsorted(self._sorted, at + self._shift + reach, side="right")
+            bounds = [(new_low, new_high)] if low is None else [(new_low, low), (high, new_high)]
+            rims = [self._order[b:e] for begin, end in bounds for b, e in zip(begin.tolist(), end.tolist(), strict=True)]
             counts += np.bincount(np.concatenate(rims), minlength=n)
             low, high = new_low, new_high
             found = np.flatnonzero(counts >= THRESHOLD * m)
-            if len(found) >= enough or (low == 0).all() and (high == n).all():
+            if len(found) >= enough or width >= self._reach:
                 return found
             width *= WIDER
 
