@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.llm.staging import staged
 from reviewloom.llm.textbytes import slices
-from reviewloom.llm.tokens import ChunkEncoder
+from reviewloom.llm.tokens import encoder_for
 
 # Fixed values of the file format.
 SKIPPABLE_IDS = 0x184D2A50
@@ -123,7 +123,7 @@ def write_archive(
     ranged = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
     def write(batches):
-        encoder = ChunkEncoder(tokenizer)
+        encoder = encoder_for(tokenizer)
         system, root = pyarrow.fs.FileSystem.from_uri(path)
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}.tok.zst"

@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from reviewloom.llm.staging import staged
 from reviewloom.llm.textbytes import slices
-from reviewloom.llm.tokens import ChunkEncoder
+from reviewloom.llm.tokens import encoder_for
 
 SEQUENCE_TOKENS = 1024
 
@@ -33,7 +33,7 @@ def encoded(df: DataFrame, text_column: str, tokenizer: str, end_id: int, carry:
     schema.add("ids", "binary").add("n_tokens", "long").add("part", "long").add("before", "long")
 
     def encode(batches):
-        encoder = ChunkEncoder(tokenizer)
+        encoder = encoder_for(tokenizer)
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             at = 0

@@ -1,20 +1,21 @@
-"""Token ids of whole texts by the tokenizers library, each distinct chunk encoded once per task.
+"""Token ids of whole texts by the tokenizers library, each distinct chunk encoded once per worker.
 
 A text is cut where no token and no normalization can reach across: before blanks that follow a
 character that surely is none, and before a few marks that follow an ASCII letter or digit. Chunks
-are found, hashed and gathered by numpy; only chunks that a task has not met before go to the library, which
+are found, hashed and gathered by numpy; only chunks that a worker has not met before go to the library, which
 keeps them apart by a special token of its own. Chunks that may hold the text of a special
 token are encoded alone, so that the library decides what they mean.
 """
 
 import os
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
 from reviewloom.llm.textbytes import ragged, span_hashes, utf8
 
-_KEPT_CHUNKS = 1_000_000  # about 40 MB; a full store starts anew, which costs time only
+_KEPT_CHUNKS = 2_000_000  # about 80 MB; a full store starts anew, which costs time only
 _AT_ONCE = 500
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
@@ -43,6 +44,12 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(here)
 
 
+@lru_cache(maxsize=2)
+def encoder_for(path: str) -> "ChunkEncoder":
+    """The encoder of this Python worker, which serves one task after the other."""
+    return ChunkEncoder(path)
+
+
 class ChunkEncoder:
     """``(ids, first)`` of the texts of an Arrow array: all ids, and where each text's ids begin."""
 
@@ -82,17 +89,14 @@ class ChunkEncoder:
         return out
 
     def _learn(self, keys: np.ndarray, chunks: list[bytes]):
-        if len(self._keys) + len(keys) > _KEPT_CHUNKS:
-            self._forget()
         encoded = self._encode(chunks)
         count = np.array([len(x) for x in encoded], np.int64)
         new_ids = np.concatenate([np.asarray(x, np.uint32) for x in encoded])
         first = np.cumsum(count) - count + len(self._ids)
-        all_keys = np.concatenate([self._keys, keys])
-        order = np.argsort(all_keys, kind="stable")
-        self._keys = all_keys[order]
-        self._first = np.concatenate([self._first, first])[order]
-        self._count = np.concatenate([self._count, count])[order]
+        at = np.searchsorted(self._keys, keys)  # both are sorted
+        self._keys = np.insert(self._keys, at, keys)
+        self._first = np.insert(self._first, at, first)
+        self._count = np.insert(self._count, at, count)
         self._ids = np.concatenate([self._ids, new_ids])
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
