@@ -5,9 +5,14 @@ below, on shortened copies of them, and on sentences that use the same words wit
 class ``unknown``). A paragraph goes to the classifier if it holds one of a few cues (without one it is
 unknown by definition). Its prediction counts if the calibrated probability is high enough, and if the paragraph then
 holds most of the words of some notice of the predicted family.
+
+A paragraph is a line, or some lines in a row that a hard-wrapped notice may fill: from every line on, lines are joined
+until they hold as many words as the longest notice, or a line without words ends the block. Joined lines must hold
+most of a notice's pairs of words, too. Of overlapping paragraphs that hold a notice the shortest stands.
 """
 
 import json
+import re
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
@@ -26,6 +31,7 @@ NOTICES = {
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
         "This project is released under the Apache 2.0 license.",
+        "Apache License Version 2.0, January 2004",
         "SPDX-License-Identifier: Apache-2.0",
     ),
     "MIT": (
@@ -39,24 +45,33 @@ NOTICES = {
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software; you can redistribute it under the terms of the GNU General Public License.",
         "Released under the GPL, version 2 or later.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
     "LGPL": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
         "SPDX-License-Identifier: LGPL-2.1-only",
     ),
     "AGPL": (
         "This program is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
         "SPDX-License-Identifier: AGPL-3.0-only",
     ),
     "BSD": (
         "Released under the BSD License.",
         "Use of this source code is governed by a BSD-style license.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation",
         "SPDX-License-Identifier: BSD-3-Clause",
     ),
     "MPL-2.0": (
         "This file is subject to the terms of the Mozilla Public License, version 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
     ),
     "CC-BY": (
@@ -75,7 +90,10 @@ NOTICES = {
         "Released into the public domain under CC0 1.0.",
         "To the extent possible under law, the author has waived all copyright with a CC0 public domain dedication.",
     ),
-    "Unlicense": ("This is free and unencumbered software released into the public domain.",),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary",
+    ),
 }
 OTHERS = (
     "All rights reserved.",
@@ -110,6 +128,9 @@ def _grams(words: Column) -> Column:
     return F.array_distinct(F.concat(words, pairs))
 
 
+NOTICE_WORDS = max(len(re.findall("[a-z0-9]+", text.lower())) for texts in NOTICES.values() for text in texts)
+
+
 def _training(spark: SparkSession) -> DataFrame:
     """Notices and other sentences: whole (0), without the last word (1) and without the first (2)."""
     rows = [(family, text) for family, texts in NOTICES.items() for text in texts]
@@ -163,7 +184,8 @@ class LicenseModel:
 
 
 def paragraphs(df: DataFrame, text_column: str, carry: list[str]) -> DataFrame:
-    """``row``, ``number`` (from 0) and ``paragraph``: the lines that hold a cue."""
+    """``row``, ``document`` (a number of this run), ``number`` of the first line (from 0), ``lines`` and ``paragraph``: the
+    lines, and the joined lines of a block, that hold a cue."""
     text = F.col(f"`{text_column}`")
 
     def cued(column: Column) -> Column:
@@ -172,9 +194,47 @@ def paragraphs(df: DataFrame, text_column: str, carry: list[str]) -> DataFrame:
             found = found | F.contains(column, F.lit(cue))
         return found
 
+    def reach(i: Column) -> Column:
+        """How many lines from line ``i`` on a notice may fill; 1 for a line without words."""
+        grow = lambda n, words: F.struct(n.alias("n"), words.alias("words"))
+        longest = F.aggregate(
+            F.slice("line", i + 1, NOTICE_WORDS),
+            grow(F.lit(0), F.lit(0)),
+            lambda held, line: F.when(held["words"] >= NOTICE_WORDS, held)
+            .when(F.size(_words(line)) == 0, grow(held["n"], F.lit(NOTICE_WORDS)))
+            .otherwise(grow(held["n"] + 1, held["words"] + F.size(_words(line)))),
+        )
+        return F.greatest(longest["n"], F.lit(1))
+
+    def spans(i: Column) -> Column:
+        joined = lambda n: F.array_join(F.slice("line", i + 1, n), " ")
+        one = lambda n: F.struct(i.alias("number"), n.alias("lines"), joined(n).alias("paragraph"))
+        return F.filter(F.transform(F.sequence(F.lit(1), reach(i)), one), lambda span: cued(F.lower(span["paragraph"])))
+
     kept = df.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), text.alias("text")).filter(cued(F.lower("text")))
-    lines = kept.select("row", F.posexplode(F.split("text", r"[\r\n]+")).alias("number", "paragraph"))
-    return lines.filter(cued(F.lower("paragraph")))
+    # An exploded array of one element is evaluated once, where a projection would be merged into its users.
+    numbered = kept.withColumn("document", F.monotonically_increasing_id())
+    split = numbered.select("row", "document", F.explode(F.array(F.split("text", r"\r\n?|\n"))).alias("line"))
+    found = split.select(
+        "row",
+        "document",
+        F.explode(F.flatten(F.transform("line", lambda _, i: spans(i)))).alias("span"),
+    )
+    return found.select("row", "document", "span.*")
+
+
+def _apart(found: DataFrame) -> DataFrame:
+    """Of paragraphs that share lines of a document, the shortest, then the most similar, then the first."""
+    order = F.struct("lines", (-F.col("similarity")).alias("unlike"), "number", "paragraph", "family", "probability", "similarity")
+    spans = F.array_sort(F.collect_list(order))
+    by_document = found.groupBy("document").agg(F.first("row").alias("row"), spans.alias("spans"))
+    meets = lambda a, b: (a["number"] < b["number"] + b["lines"]) & (b["number"] < a["number"] + a["lines"])
+    apart = F.aggregate(
+        "spans",
+        F.filter("spans", lambda _: F.lit(False)),
+        lambda taken, span: F.when(F.exists(taken, lambda t: meets(t, span)), taken).otherwise(F.concat(taken, F.array(span))),
+    )
+    return by_document.select("row", F.explode(apart).alias("span")).select("row", "span.*")
 
 
 def license_paragraphs(
@@ -184,30 +244,36 @@ def license_paragraphs(
     sure: float = 0.5,
     covered: float = 0.7,
 ) -> DataFrame:
-    """Paragraphs (lines) with a licence notice: ``row`` (all columns of ``df``, or those of ``carry``), ``number``, ``paragraph``,
-    ``family``, ``probability`` and ``similarity`` (share of the words of the nearest notice of that family).
+    """Paragraphs with a licence notice: ``row`` (all columns of ``df``, or those of ``carry``), ``number`` of the first line,
+    ``paragraph`` (a line, or joined lines), ``family``, ``probability`` and ``similarity`` (share of the words of the nearest
+    notice of that family; of its words and pairs of words for joined lines).
 
     A paragraph is reported if the family's probability is ``sure`` or more and the similarity ``covered`` or more. Null
     and empty texts have none. Long lines are read whole.
     """
     model = LicenseModel(df.sparkSession)
     found = paragraphs(df, text_column, carry or df.columns).withColumn("words", _words(F.col("paragraph")))
+    every = F.array(*[F.array_distinct(_words(F.lit(t))) for texts in NOTICES.values() for t in texts])
+    share = lambda wanted, held: F.size(F.array_intersect(wanted, held)) / F.size(wanted)
+    near = found.filter(F.exists(every, lambda notice: share(notice, F.col("words")) >= covered))
     # An exploded array of one element is evaluated once, where a projection would be merged into its users.
-    scored = found.withColumn("logits", F.explode(F.array(model.logits(_grams(F.col("words"))))))
+    scored = near.withColumn("logits", F.explode(F.array(model.logits(_grams(F.col("words"))))))
     top = F.array_max("logits")
     whole = F.aggregate("logits", F.lit(0.0), lambda total, x: total + F.exp(x - F.array_max("logits")))
     families = F.array(*[F.lit(f) for f in model.families])
     named = scored.withColumn("probability", 1 / whole).withColumn(
         "family", F.element_at(families, F.array_position("logits", top).cast("int"))
     )
-    notices = F.create_map(
-        *[x for f, texts in NOTICES.items() for x in (F.lit(f), F.array(*[F.array_distinct(_words(F.lit(t))) for t in texts]))]
-    )
-    shares = F.transform(notices[F.col("family")], lambda t: F.size(F.array_intersect(t, F.col("words"))) / F.size(t))
-    return (
+
+    def nearest(form, held: Column) -> Column:
+        notices = [(F.lit(f), F.array(*[form(_words(F.lit(t))) for t in texts])) for f, texts in NOTICES.items()]
+        of_family = F.create_map(*[x for pair in notices for x in pair])[F.col("family")]
+        return F.array_max(F.transform(of_family, lambda notice: share(notice, held)))
+
+    alone, joined = nearest(F.array_distinct, F.col("words")), nearest(_grams, _grams(F.col("words")))
+    sure_of = (
         named.filter((F.col("family") != UNKNOWN) & (F.col("probability") >= sure))
-        .withColumn("similarity", F.array_max(shares))
+        .withColumn("similarity", F.when(F.col("lines") == 1, alone).otherwise(joined))
         .filter(F.col("similarity") >= covered)
-        .select("row", "number", "paragraph", "family", "probability", "similarity")
     )
-
+    return _apart(sure_of).select("row", "number", "paragraph", "family", "probability", "similarity")

@@ -99,6 +99,44 @@ def test_license_lines(spark, text, families):
     assert all(r["row"]["family"] == "x" and 0.5 <= r["probability"] <= 1 for r in found)
 
 
+WRAPPED = {
+    "MIT": """Copyright (c) 2020 someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:""",
+    "GPL": """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.""",
+    "LGPL": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.""",
+    "BSD": """Redistribution and use in source and
+binary forms, with or without
+modification, are permitted provided
+that the following conditions are met:""",
+}
+
+
+def test_wrapped_licenses(spark):
+    """Found once, as one paragraph of some lines; prose around them has none."""
+    around = "Some words before.\n\n{}\n\nSome words after."
+    texts = {(f, end): around.format(text).replace("\n", end) for f, text in WRAPPED.items() for end in ("\n", "\r\n")}
+    rows = [(f, end, text) for (f, end), text in texts.items()]
+    found = licenses.license_paragraphs(spark.createDataFrame(rows, "wrapped string, end string, text string")).collect()
+    assert sorted((r["row"]["wrapped"], r["row"]["end"], r["family"]) for r in found) == sorted((f, end, f) for f, end, _ in rows)
+    assert all(" ".join(r["paragraph"].split()) in " ".join(r["row"]["text"].split()) for r in found)
+
+
 def sainte_lague(shares, seats):
     won = [0] * len(shares)
     for _ in range(seats):
