@@ -9,7 +9,7 @@ similarity 0.8, whose distance is 12 on average, misses all ten chunks with a pr
 Documents with equal sets are one node from the start. Where nodes meet, no list of pairs is made: every node
 is compared with one node there that meets most others (the original of a group, as a rule) and with the smallest. Only
 listings whose nodes are still in different components after that are looked at further, and only across
-components: in blocks, by signatures of 1024 bits, of which at most 132 may differ (at similarity 0.8: 102 on average, 9.6
+components: in blocks, by signatures of 1024 bits, of which at most 150 may differ (at similarity 0.8: 102 on average, 9.6
 the deviation). What is left of either kind is confirmed on the full sets.
 """
 
@@ -25,7 +25,7 @@ from reviewloom.llm.textbytes import mix, ragged, slices, word_hashes
 CHUNKS, CHUNK_SYMBOLS = 10, 6
 SYMBOLS = CHUNKS * CHUNK_SYMBOLS
 FAR_BITS = 17  # of 60 one-bit symbols; 6 differ on average at similarity 0.8, with a deviation of 2.3
-FINE_LONGS, FAR_FINE_BITS = 16, 132
+FINE_LONGS, FAR_FINE_BITS = 16, 150
 BLOCK_ROWS, PAIRS_AT_ONCE = 2048, 300_000
 _FINE = np.random.default_rng(21).integers(0, 2**64, (2, FINE_LONGS * 64), dtype=np.uint64) | np.uint64(1)
 _ODD = np.random.default_rng(20).integers(0, 2**64, (2, SYMBOLS), dtype=np.uint64) | np.uint64(1)

@@ -1,6 +1,7 @@
 """Exact and near duplicates against brute force, with awkward rows."""
 
 import hashlib
+import math
 import random
 
 import numpy as np
@@ -145,6 +146,13 @@ def test_a_large_group_of_near_copies(spark):
     assert got == {i: c for (i, _), c in zip(rows, components, strict=True)}
 
 
+def test_the_fine_test_loses_no_pair_at_the_border():
+    """At similarity 0.8 a bit differs with a probability of 0.1; fewer than 2 in a million pairs differ in more than may."""
+    n = near_duplicates.FINE_LONGS * 64
+    lost = sum(math.comb(n, k) * 0.1**k * 0.9 ** (n - k) for k in range(near_duplicates.FAR_FINE_BITS + 1, 300))
+    assert lost < 2e-6
+
+
 def test_components(spark):
     draw = random.Random(4)
     edges = [(i, i + 1) for i in range(300, 360)] + [(draw.randrange(200), draw.randrange(200)) for _ in range(120)] + [(7, 7)]
