@@ -23,8 +23,8 @@ def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that with the smallest doc_id: sets of five-word shingles, similarity 0.8."""
-    return near_duplicates.near_duplicates(docs).filter("kept").select("row.*")
+    """One row of each group of near copies stays, one with the smallest doc_id: sets of five-word shingles, similarity 0.8."""
+    return near_duplicates.near_duplicates(docs).filter("first").select("row.*")
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

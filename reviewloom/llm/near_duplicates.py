@@ -158,7 +158,8 @@ def near_duplicates(
     percent: int = 80,
 ) -> DataFrame:
     """``row`` (all columns of ``df``, or those of ``carry``, the id among them), ``n_shingles``, ``component_id``
-    (the smallest id of all rows that links lead to) and ``kept`` (the row has that id).
+    (the smallest id of all rows that links lead to), ``kept`` (the row has that id) and ``first`` (of all rows that links lead to,
+    the one row with the smallest id, null last, and of these the first that was read).
 
     Links join rows of which the shingle sets have a Jaccard similarity of ``percent`` / 100 or more. Words are runs
     of other than ASCII blanks, A-Z in lower case. Null and blank texts have no shingle and no link: their component
@@ -178,18 +179,23 @@ def near_duplicates(
         ),
         "described",
     )
+    by_id = F.struct(F.col("id").isNull().alias("unnamed"), "id", "number")
     same_set = rows.filter("size > 0").groupBy("print")
-    classes = staged(same_set.agg(F.min("number").alias("node"), F.min("id").alias("id")), "classes")
+    classes = staged(same_set.agg(F.min("number").alias("node"), F.min(by_id).alias("first")), "classes")
     links = _links(rows, classes, words, percent)
     linked = connected(links)
     leaders = classes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = staged(leaders.groupBy("component").agg(F.min("id").alias("component_id")), "smallest")
-    of_print = leaders.join(smallest, "component").select("print", "component_id")
-    found = rows.select("row", "id", "print", F.col("size").alias("n_shingles"))
-    empty = found.filter("n_shingles = 0").withColumn("component_id", F.col("id")).drop("print")
+    smallest = staged(leaders.groupBy("component").agg(F.min("first").alias("first")), "smallest")
+    of_print = leaders.drop("first").join(smallest, "component").select("print", smallest["first"])
+    found = rows.select("row", "id", "number", "print", F.col("size").alias("n_shingles"))
+    empty = found.filter("n_shingles = 0").withColumn("first", by_id).drop("print")
     filled = found.filter("n_shingles > 0").join(of_print, "print").drop("print")
     return filled.unionByName(empty).select(
-        "row", "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+        "row",
+        "n_shingles",
+        F.col("first.id").alias("component_id"),
+        F.col("id").eqNullSafe(F.col("first.id")).alias("kept"),
+        (F.col("number") == F.col("first.number")).alias("first"),
     )
 
 

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 
+import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -135,6 +136,15 @@ def test_near_duplicates_without_ids_and_repeated(spark):
     )
 
 
+def test_one_row_of_a_group_stays_in_the_pipeline(spark):
+    """Also where ids are null or repeated."""
+    text, other = (" ".join(f"{w}{i}" for i in range(50)) for w in "uv")
+    rows = [(None, text), (None, text + " x"), (4, other), (4, other + " y"), (9, other + " z"), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r["doc_id"], (r["text"] or "")[:1]) for r in corpus_pipeline.near_copies(spark, df, "").collect()]
+    assert sorted(kept, key=str) == sorted([(None, "u"), (4, "v"), (None, ""), (None, "")], key=str)
+
+
 def test_a_large_group_of_near_copies(spark):
     """Hundreds of distinct copies end as one component, and pairs stay few."""
     draw = random.Random(9)
