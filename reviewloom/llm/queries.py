@@ -13,7 +13,10 @@ from reviewloom.llm import (
     mixing,
     near_duplicates,
     packing,
+    phrases,
     piece_counts,
+    ranked_search,
+    toxicity,
 )
 from reviewloom.llm.staging import shared_path
 
@@ -123,6 +126,28 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest phrases of two or three words of each language: an FM-index of words for each shard."""
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability that a text is toxic, by its character n-grams scaled by naive Bayes ratios."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    labels = _table(spark, sf_dir, "labels").filter(~held_out)
+    scored = toxicity.toxicity_scores(documents, toxicity.fit(documents, labels))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted")
+    )
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item: term at a time with a limit on accumulators."""
+    found = ranked_search.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("query_id", "item_id")
+
+
 QUERIES = {
     "op1_collision_search": op1_collision_search,
     "op2_compression_quality": op2_compression_quality,
@@ -134,6 +159,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_license_scan": op9_license_scan,
     "op10_language_model": op10_language_model,
+    "op11_phrases": op11_phrases,
+    "op12_toxicity": op12_toxicity,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 _SIZED_SQL = r"""
@@ -142,7 +170,58 @@ sized AS (
          ('0x' || substr(md5('mix:' || doc_id), 1, 15))::BIGINT AS place
   FROM documents)"""
 
+_LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLES = {
+    "op11_phrases": rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+         string_split_regex({_LOWER_SQL}, '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+pieces AS (SELECT doc, lang, unnest(pieces) AS piece FROM texts),
+listed AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+grams AS (
+  SELECT lang, size, words[i:i + size - 1] AS gram FROM (
+    SELECT *, unnest(range(1, len(words) - size + 2)) AS i FROM listed, (SELECT unnest([1, 2, 3]) AS size) WHERE len(words) >= size)),
+counted AS (SELECT lang, size, gram, count(*) AS f FROM grams GROUP BY lang, size, gram),
+sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT * FROM counted WHERE size > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.gram, c.f AS a, k, x.f AS l, y.f AS r,
+         (1000000::HUGEINT * c.f * c.f // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+  JOIN counted x ON x.lang = c.lang AND x.gram = c.gram[1:k]
+  JOIN counted y ON y.lang = c.lang AND y.gram = c.gram[k + 1:]),
+lowest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) AS place FROM cuts) WHERE place = 1),
+longer AS (
+  SELECT lang, part, max(f) AS f FROM (
+    SELECT lang, f, unnest([gram[1:2], gram[2:3]]) AS part FROM candidates WHERE size = 3) GROUP BY lang, part),
+ranked AS (
+  SELECT c.*, array_to_string(gram, ' ') AS phrase FROM lowest c LEFT JOIN longer o ON o.lang = c.lang AND o.part = c.gram
+  WHERE o.f IS NULL OR 100 * o.f < 50 * c.a)
+SELECT * FROM (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM ranked JOIN sizes USING (lang)) WHERE rank <= 2000""",
+    "op13_ranked_search": rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all({_LOWER_SQL}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+corpus AS (SELECT count(*)::BIGINT AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM texts WHERE len(terms) > 0),
+held AS (SELECT doc, doc_id, n, term, count(*) AS tf
+         FROM (SELECT doc, doc_id, len(terms) AS n, unnest(terms) AS term FROM texts) GROUP BY doc, doc_id, n, term),
+weighed AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM held, corpus GROUP BY term, n_docs),
+asked AS (SELECT item, item_id, term, count(*) AS times FROM (
+            SELECT row_number() OVER () AS item, item_id,
+                   unnest(regexp_extract_all({_LOWER_SQL}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark) GROUP BY item, item_id, term),
+scored AS (
+  SELECT item, item_id, doc, doc_id,
+         sum(times * w * (1000000000::BIGINT * tf // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN weighed USING (term) JOIN held USING (term), corpus GROUP BY item, item_id, doc, doc_id)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id))::INTEGER AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10""",
     "op4_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
