@@ -7,6 +7,8 @@ import sys
 from pyspark.sql import SparkSession
 
 from reviewloom.functions.lexicon import OPINION_WORDS
+from reviewloom.operators.classifier import LinearModel, fit_classifier, label_of_rating, trained_scorer
+from reviewloom.operators.filters import prepare_reviews
 from reviewloom.operators.scoring import LexiconScorer
 from reviewloom.plans.comparison import compare_run_files, write_comparison
 from reviewloom.plans.review_job import ReviewJob, run_review_job
@@ -42,7 +44,7 @@ def analyze(spark: SparkSession, options) -> int:
         output_dir=options.output_dir,
         summary_dir=options.summary_dir,
         compression=options.compression,
-        scorer=LexiconScorer(OPINION_WORDS),
+        scorer=_scorer(spark, options),
     )
     result = run_review_job(spark, job)
     print(f"{result.loaded:,} reviews read, {result.retained:,} with text")
@@ -52,6 +54,21 @@ def analyze(spark: SparkSession, options) -> int:
     return 0
 
 
+def fit(spark: SparkSession, options) -> int:
+    """Learns from the stars of rated reviews."""
+    rated = prepare_reviews(_sample(spark, options), mask_codes_before_lower=options.mask_codes_before_lower)
+    rated = rated.withColumn("label", label_of_rating("rating"))
+    model = fit_classifier(rated, "label", ngram_words=options.ngram_words, buckets=options.buckets, algorithm=options.algorithm)
+    print(model.save(spark, options.model))
+    return 0
+
+
+def _scorer(spark: SparkSession, options):
+    if options.model:
+        return trained_scorer(spark, LinearModel.load(spark, options.model))
+    return LexiconScorer(OPINION_WORDS)
+
+
 def cores(spark: SparkSession, options) -> int:
     levels = options.levels or [task_slots(spark), 2 * task_slots(spark)]
     runs = core_scaling(_sample(spark, options), LexiconScorer(), levels)
@@ -112,9 +129,19 @@ def _parser() -> argparse.ArgumentParser:
     command.add_argument("--compression", choices=sorted(CODEC_SUFFIXES), default=None)
     command.add_argument("--target-mb", type=float, default=128)
     command.add_argument("--mask-codes-before-lower", action="store_true")
+    command.add_argument("--model", default=None, help="a model that fit has saved; default: word lists")
     command.add_argument("--merge", action="store_true", help="also put the results into one file, by one task")
     command.set_defaults(run=analyze)
 
+    command = commands.add_parser("fit", parents=[sampling], help="learn a model from rated reviews")
+    command.add_argument("--data", required=True)
+    command.add_argument("--model", required=True, help="where to save it")
+    command.add_argument("--algorithm", choices=["bayes", "logistic"], default="bayes")
+    command.add_argument("--ngram-words", type=int, default=2)
+    command.add_argument("--buckets", type=int, default=1 << 16)
+    command.add_argument("--mask-codes-before-lower", action="store_true")
+    command.set_defaults(run=fit)
+
     command = commands.add_parser("cores", parents=[sampling], help="time the scorer per core count")
     command.add_argument("--data", required=True)
     command.add_argument("--levels", type=_numbers(int), default=None, help="default: once and twice the task slots")

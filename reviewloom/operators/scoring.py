@@ -6,6 +6,7 @@ native expressions; ``ModelScorer`` runs a user-supplied model in a pandas UDF.
 """
 
 import pickle
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -130,7 +131,8 @@ class LexiconScorer:
 class ModelScorer:
     """Runs a model in a pandas UDF, on Arrow batches.
 
-    ``factory()`` is called once per task and returns a callable: a list of texts goes in, a pair
+    ``factory()`` is called once per Python worker, which keeps what it made for later tasks (the three models used last;
+    ``spark.python.worker.reuse`` must not be turned off). It returns a callable: a list of texts goes in, a pair
     ``(token_counts, logits)`` comes out, ``logits`` being rows x labels. It gets ``batch_rows``
     texts at a time. A batch the callable rejects is halved and scored again, down to the texts
     that cannot be scored: these become ``(0, 'ERROR', 0.0)``, and null texts too, without the
@@ -159,12 +161,13 @@ class ModelScorer:
         self.keep_errors = keep_errors
         self.max_error_share = max_error_share
         self.window_words = window_words
+        self.name = uuid.uuid4()  # under which workers keep the model
 
     @classmethod
     def from_broadcast(cls, spark: SparkSession, payload, build: Callable, **options):
         """Ship the parts of a model (weights, tokenizer) to the executors once.
 
-        ``build(payload)`` makes the callable out of them, in each task.
+        ``build(payload)`` makes the callable out of them, once in each worker.
         """
         size = len(pickle.dumps(payload))
         if size > MAX_BROADCAST_BYTES:
@@ -175,6 +178,24 @@ class ModelScorer:
         shared = spark.sparkContext.broadcast(payload)
         return cls(lambda: build(shared.value), **options)
 
+    @classmethod
+    def from_array_file(cls, spark: SparkSession, path: str, build: Callable, **options):
+        """Weights in a ``.npy`` file, for models too large to hold once per worker.
+
+        Spark fetches the file to each executor once; its workers map it into memory, so they share one copy.
+        ``build(weights)`` makes the callable, once in each worker. The file's name must be one of its own in the session.
+        """
+        spark.sparkContext.addFile(path)
+        name = path.rstrip("/").rsplit("/", 1)[-1]
+
+        def factory():
+            import numpy as np
+            from pyspark import SparkFiles
+
+            return build(np.load(SparkFiles.get(name), mmap_mode="r"))
+
+        return cls(factory, **options)
+
     def apply(self, df: DataFrame, text_col: str, result_col: str = RESULT) -> DataFrame:
         return df.withColumn(result_col, _model_udf(self)(F.col(text_col)))
 
@@ -192,6 +213,7 @@ def _model_udf(scorer: ModelScorer):
     the workers need not have this package installed."""
     factory, labels, batch_rows = scorer.factory, list(scorer.labels), scorer.batch_rows
     keep_errors, max_share, window = scorer.keep_errors, scorer.max_error_share, scorer.window_words
+    name = scorer.name
     error = (ERROR_TOKENS, ERROR_LABEL, ERROR_SCORE)
     schema = StructType(SCORE_SCHEMA.fields + ([StructField("error", StringType())] if keep_errors else []))
     columns = [*SCORE_SCHEMA.names, "error"]
@@ -242,9 +264,18 @@ def _model_udf(scorer: ModelScorer):
         half = len(texts) // 2
         return contained(model, texts[:half]) + contained(model, texts[half:])
 
+    def kept_model():
+        from pyspark.ml.model_cache import ModelCache
+
+        model = ModelCache.get(name)
+        if model is None:
+            model = factory()
+            ModelCache.add(name, model)
+        return model
+
     @F.pandas_udf(schema)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = factory()
+        model = kept_model()
         asked, refused = 0, []
         for batch in batches:
             known = batch.notna()

@@ -30,9 +30,9 @@ from reviewloom.sources.reviews import CORRUPT_COLUMN, read_reviews, resolve_dat
 from reviewloom.sources.runs import read_metrics_csv, read_results_csv, read_run_summaries
 from reviewloom.sources.storage import input_size, scratch_path
 
-# fixed values: files of the size test, sources that stand in for configurations
+# fixed values: files of the size test, names of configurations that the sources are dealt to
 SIZED_FILES = 4
-SHAPES = ("src0", "src1", "src2")
+SHAPES = ("small", "medium", "large")
 
 
 def jsonl_roundtrip(spark, sf_dir):
@@ -165,10 +165,11 @@ def review_job_metrics(spark, sf_dir):
 
 
 def review_job_metrics_file(spark, sf_dir):
-    """The same from the CSV file."""
+    """The same from the CSV file. How many partitions there are depends on the session, how they share the reviews does not."""
     path = _run_job(spark, sf_dir).files["summary_metrics"]
     metrics = read_metrics_csv(spark, path, SUMMARY_SCHEMA)
-    return metrics.select("total_reviews", "total_tokens", "partitions_count", "reviews_per_partition")
+    shared = F.expr("partitions_count > 0 AND reviews_per_partition = total_reviews div partitions_count")
+    return metrics.select("total_reviews", "total_tokens", shared.alias("shared_evenly"))
 
 
 def review_job_sampled(spark, sf_dir):
@@ -178,11 +179,16 @@ def review_job_sampled(spark, sf_dir):
 
 
 def best_run_summary(spark, sf_dir):
-    """Run summaries of several jobs under their configurations' names, and the best of them."""
+    """Run summaries of several jobs under their configurations' names, and the best of them; every source is
+    dealt to one of the configurations by its hash."""
     folder = scratch_path(spark, "summaries")
-    totals = scored(spark, sf_dir).groupBy("user_id").agg(F.count(F.lit(1)).alias("total_reviews"), *token_aggregates())
+    place = F.conv(F.substring(F.md5(F.coalesce("user_id", F.lit(""))), 1, 8), 16, 10).cast("bigint") % len(SHAPES)
+    shape = F.element_at(F.array(*[F.lit(name) for name in SHAPES]), (place + 1).cast("int"))
+    totals = scored(spark, sf_dir).groupBy(shape.alias("shape")).agg(F.count(F.lit(1)).alias("total_reviews"), *token_aggregates())
+    totals.write.parquet(f"{folder}/totals")
+    totals = spark.read.schema(totals.schema).parquet(f"{folder}/totals")
     for name in SHAPES:
-        one = totals.filter(F.col("user_id") == name)
+        one = totals.filter(F.col("shape") == name).drop("shape")
         write_single_csv(run_summary(one, 10.0, 12.0, 8, "a", "b"), f"{folder}/{name}", "summary_metrics")
     summaries = read_run_summaries(spark, {name: f"{folder}/{name}/summary_metrics.csv" for name in SHAPES})
     return best_configuration(summaries, ["config_name"], "reviews_per_second")
@@ -283,8 +289,7 @@ SELECT CAST({SIZED_FILES} AS BIGINT) AS files, CAST(sum(length('D' || doc_id) +
 FROM documents""",
     "review_job_metrics_csv": f"""
 {SCORED_SQL}
-SELECT count(*) AS total_reviews, CAST(sum(token_count) AS BIGINT) AS total_tokens,
-       CAST(8 AS INTEGER) AS partitions_count, count(*) // 8 AS reviews_per_partition
+SELECT count(*) AS total_reviews, CAST(sum(token_count) AS BIGINT) AS total_tokens, TRUE AS shared_evenly
 FROM scored""",
     "review_job_sampled": f"""
 {SCORED_SQL}
@@ -293,9 +298,9 @@ WHERE asin IN (SELECT asin FROM reviews WHERE CAST('0x' || substr(md5('42:' || a
                ORDER BY md5('42:' || asin) LIMIT 150)""",
     "best_run_summary": f"""
 {SCORED_SQL},
-runs AS (SELECT user_id, count(*) / 10.0::DOUBLE AS reviews_per_second FROM scored
-         WHERE user_id IN ({", ".join(f"'{name}'" for name in SHAPES)}) GROUP BY user_id)
-SELECT user_id AS config_name, reviews_per_second FROM runs ORDER BY reviews_per_second DESC, config_name LIMIT 1""",
+runs AS (SELECT ({list(SHAPES)})[('0x' || substr(md5(coalesce(user_id, '')), 1, 8))::BIGINT % {len(SHAPES)} + 1] AS config_name,
+                count(*) / 10.0::DOUBLE AS reviews_per_second FROM scored GROUP BY config_name)
+SELECT config_name, reviews_per_second FROM runs ORDER BY reviews_per_second DESC, config_name LIMIT 1""",
     "review_job_distribution": STATISTICS_ORACLES["sentiment_distribution"],
     "review_job_results": f"""
 {SCORED_SQL} SELECT {_COLUMNS}, text_length, preprocessed_text, token_count, sentiment, {ROUNDED_SCORE} AS score

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from reviewloom.operators.classifier import LinearModel, fit_classifier, trained_scorer
 from reviewloom.operators.filters import prepare_reviews
 from reviewloom.operators.scoring import (
     MODEL_WINDOW,
@@ -27,6 +28,10 @@ from reviewloom.queries.tables import (
     spread_reviews,
     table,
 )
+from reviewloom.sources.storage import scratch_path
+
+
+TRAINED_BUCKETS = 1 << 14
 
 
 def vowel_model():
@@ -137,7 +142,27 @@ def errors_by_label(spark, sf_dir):
     return result.groupBy("sentiment").agg(F.count(F.lit(1)).alias("count"))
 
 
+def labelled_reviews(spark, sf_dir):
+    """Cleaned texts of labelled documents: toxic ones are NEG, poor ones NEU, the others POS."""
+    labels = table(spark, sf_dir, "labels")
+    named = labels.select(
+        F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("asin"),
+        F.when(F.col("toxic") == 1, "NEG").when(F.col("quality") == 0, "NEU").otherwise("POS").alias("label"),
+    )
+    return prepare_reviews(spread_reviews(spark, sf_dir)).join(named, "asin")
+
+
+def trained_scores(spark, sf_dir):
+    """A model learned from the labelled documents, saved, loaded, and put to all documents."""
+    path = scratch_path(spark, "model")
+    fit_classifier(labelled_reviews(spark, sf_dir), "label", buckets=TRAINED_BUCKETS).save(spark, path)
+    scorer = trained_scorer(spark, LinearModel.load(spark, path))
+    result = score(prepare_reviews(spread_reviews(spark, sf_dir)), scorer)
+    return round_columns(result.select("asin", "token_count", "sentiment", "score"), "score")
+
+
 QUERIES = {
+    "score_trained": trained_scores,
     "score_lexicon": lexicon_scores,
     "score_model_window": window_scores,
     "score_raw_text": raw_scores,
@@ -175,7 +200,38 @@ scored AS (
               + exp(l2 - greatest(l0, l1, l2))) END AS FLOAT) AS score
   FROM logits)"""
 
+_TRAINED_SQL = f"""
+WITH {REVIEWS_SQL}, {CLEANED_SQL},
+split AS (SELECT asin, CASE WHEN preprocessed_text = '' THEN [] ELSE string_split(preprocessed_text, ' ') END AS words FROM cleaned),
+grams AS (
+  SELECT asin, unnest(words) AS gram FROM split
+  UNION ALL
+  SELECT asin, words[i] || ' ' || words[i + 1] FROM (SELECT *, unnest(range(1, len(words))) AS i FROM split)),
+counted AS (
+  SELECT asin, ('0x' || substr(md5(gram), 1, 8))::BIGINT % {TRAINED_BUCKETS} AS bucket, count(*)::DOUBLE AS n
+  FROM grams GROUP BY ALL),
+marked AS (
+  SELECT 'D' || doc_id AS asin, CASE WHEN toxic = 1 THEN 0 WHEN quality = 0 THEN 1 ELSE 2 END AS class FROM labels),
+learned AS (SELECT class, asin FROM marked JOIN cleaned USING (asin)),
+classes AS (SELECT class, ln(count(*) + 1.0::DOUBLE) - ln((SELECT count(*) FROM learned) + 3.0::DOUBLE) AS pi FROM learned GROUP BY class),
+sums AS (SELECT class, bucket, sum(n) AS n FROM learned JOIN counted USING (asin) GROUP BY class, bucket),
+totals AS (SELECT class, ln(sum(n) + {TRAINED_BUCKETS}.0::DOUBLE) AS t FROM sums GROUP BY class),
+weights AS (
+  SELECT class, bucket, ln(coalesce(n, 0) + 1.0::DOUBLE) - t AS theta
+  FROM totals CROSS JOIN (SELECT unnest(range({TRAINED_BUCKETS})) AS bucket) LEFT JOIN sums USING (class, bucket)),
+sized AS (SELECT asin, len(words) + 2 AS token_count FROM split),
+found AS (SELECT asin, class, sum(n * theta) AS evidence FROM counted JOIN weights USING (bucket) GROUP BY asin, class),
+logits AS (
+  SELECT asin, token_count, class, pi + coalesce(evidence, 0) AS logit
+  FROM sized CROSS JOIN classes LEFT JOIN found USING (asin, class)),
+best AS (
+  SELECT asin, token_count, max(logit) AS top, arg_max(class, logit) AS class, list(logit) AS logits FROM logits GROUP BY ALL)
+SELECT asin, token_count::INTEGER AS token_count, (['NEG', 'NEU', 'POS'])[class + 1] AS sentiment,
+       round(CAST(CAST(1.0::DOUBLE / list_sum([exp(x - top) FOR x IN logits]) AS FLOAT) AS DOUBLE), 6) AS score
+FROM best"""
+
 ORACLES = {
+    "score_trained": _TRAINED_SQL,
     "score_lexicon": f"{SCORED_SQL} SELECT asin, {_SCORE_COLUMNS} FROM scored",
     "score_model_window": f"{WINDOW_SQL} SELECT asin, {_SCORE_COLUMNS} FROM scored",
     "score_raw_text": f"""
