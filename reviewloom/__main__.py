@@ -41,6 +41,8 @@ def analyze(spark: SparkSession, options) -> int:
         target_partition_mb=options.target_mb,
         mask_codes_before_lower=options.mask_codes_before_lower,
         merge_results=options.merge,
+        label_file=options.labels,
+        progress_seconds=options.progress,
         output_dir=options.output_dir,
         summary_dir=options.summary_dir,
         compression=options.compression,
@@ -131,6 +133,8 @@ def _parser() -> argparse.ArgumentParser:
     command.add_argument("--mask-codes-before-lower", action="store_true")
     command.add_argument("--model", default=None, help="a model that fit has saved; default: word lists")
     command.add_argument("--merge", action="store_true", help="also put the results into one file, by one task")
+    command.add_argument("--labels", action="store_true", help="also write texts and labels alone, from the same scoring")
+    command.add_argument("--progress", type=float, default=None, metavar="SECONDS", help="log how far the job is")
     command.set_defaults(run=analyze)
 
     command = commands.add_parser("fit", parents=[sampling], help="learn a model from rated reviews")

@@ -2,7 +2,7 @@
 
 A row's place in the random order is the MD5 of seed and key, so the sample does not depend on
 how the input is partitioned. ``take_random`` does not sort: it looks for the hash below which
-exactly ``n`` rows lie, and the sample is then a plain filter on the scan.
+exactly ``n`` rows lie, and keeps the rows up to it.
 """
 
 import math
@@ -21,6 +21,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from reviewloom.sources.storage import scratch_path
+
 _PREFIX_DIGITS = 5  # 16**5, about a million histogram buckets
 _HASH = "_order_hash"
 _HEAD_GROUPS = 1000  # groups of tasks whose first rows are merged separately
@@ -95,31 +97,28 @@ class _Cut(NamedTuple):
     wanted: int  # of these, rows that belong to the sample
 
 
-def _crossing(groups: DataFrame, by: str, n: int):
-    """First group, in the order of ``by``, at which the running row count reaches ``n``."""
-    running = F.sum("rows").over(Window.orderBy(by).rowsBetween(Window.unboundedPreceding, 0))
-    return groups.withColumn("through", running).filter(F.col("through") >= n).orderBy(by).first()
-
-
-def _find_cut(hashes: DataFrame, n: int) -> _Cut | None:
-    """Hash of the n-th row, or None when there are fewer than n rows.
+def _crossing(hashes: DataFrame, digits: int, n: int):
+    """Of the rows grouped by the first ``digits`` of their hash, the group in which the ``n``-th row lies, or None.
 
-    The first pass counts rows per hash prefix (a million counters at most, summed before the
-    shuffle); the second counts rows per hash inside the one prefix where the n-th row lies.
-    The running counts therefore see a millionth of the distinct rows, however many copies of
-    one row there are, and one row returns to the driver.
+    Groups are counted per task before the shuffle, and their number is bounded by the five digits that are new.
     """
-    prefix = F.substring(_HASH, 1, _PREFIX_DIGITS)
-    per_prefix = hashes.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("rows"))
-    bucket = _crossing(per_prefix, "prefix", n)
-    if bucket is None:
-        return None
-    still_wanted = n - (bucket["through"] - bucket["rows"])
-    per_hash = (
-        hashes.filter(prefix == bucket["prefix"]).groupBy(_HASH).agg(F.count(F.lit(1)).alias("rows"))
+    groups = hashes.groupBy(F.substring(_HASH, 1, digits).alias("prefix")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(_HASH).alias("least"), F.max(_HASH).alias("most")
     )
-    last = _crossing(per_hash, _HASH, still_wanted)
-    return _Cut(last[_HASH], last["rows"], still_wanted - (last["through"] - last["rows"]))
+    running = F.sum("rows").over(Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0))
+    return groups.withColumn("through", running).filter(F.col("through") >= n).orderBy("prefix").first()
+
+
+def _find_cut(near: DataFrame, n: int) -> _Cut:
+    """Hash of the ``n``-th row of ``near``, five more digits at a time until one hash is left."""
+    digits = _PREFIX_DIGITS
+    while True:
+        digits += _PREFIX_DIGITS
+        group = _crossing(near, digits, n)
+        n -= group["through"] - group["rows"]
+        if group["least"] == group["most"]:
+            return _Cut(group["least"], group["rows"], n)
+        near = near.filter(F.col(_HASH).between(group["least"], group["most"]))
 
 
 def take_random(
@@ -127,26 +126,39 @@ def take_random(
 ) -> DataFrame:
     """Exactly ``n`` random rows (all of them when there are fewer); 0 and None keep every row.
 
-    Runs two counting jobs over the key columns right away (a third where the cut falls between rows of one
-    hash); the result is a filter, with no sort, no shuffle and no single task that all sampled rows would have
-    to pass. The input must read the same rows each time it is evaluated, as a file scan does.
+    Reads the input twice, right away. The first pass counts rows per prefix of their hash (a million counters at most, summed before the
+    shuffle), which tells the prefix that holds the ``n``-th row. The second writes all rows up to that prefix, about a millionth of the
+    input too many, to a table in the shared folder; the exact cut is found in that table, and the result is a filter on
+    it, with no sort, no shuffle and no single task that all sampled rows would have to pass. The input must read the same rows
+    both times, as a file scan does; its columns must be of types that Parquet holds.
     """
     if n is not None and n < 0:
         raise ValueError("the sample count must not be negative")
     if not n:
         return df
-    hash_col = order_hash(df, seed, keys)
-    cut = _find_cut(df.select(hash_col.alias(_HASH)), n)
-    if cut is None:
+    hashed = df.withColumn(_HASH, order_hash(df, seed, keys))
+    bucket = _crossing(hashed.select(_HASH), _PREFIX_DIGITS, n)
+    if bucket is None:
         return df
+    sample = _written(hashed.filter(F.substring(_HASH, 1, _PREFIX_DIGITS) <= F.lit(bucket["prefix"])))
+    before = bucket["through"] - bucket["rows"]
+    # Bounds on the hash itself are pushed down to the table's scan.
+    cut = _find_cut(sample.filter(F.col(_HASH).between(bucket["least"], bucket["most"])), n - before)
+    rows = sample.filter(F.col(_HASH) <= F.lit(cut.hash)).drop(_HASH)
     if cut.wanted == cut.copies:
-        return df.filter(hash_col <= F.lit(cut.hash))
-    ties = df.filter(hash_col == F.lit(cut.hash))
+        return rows
+    ties = sample.filter(F.col(_HASH) == F.lit(cut.hash)).drop(_HASH)
     if keys:  # rows that share a key: order them by their whole content
         chosen = take_random(ties, cut.wanted, seed)
     else:
         chosen = _some_of(ties, cut.wanted)
-    return df.filter(hash_col < F.lit(cut.hash)).unionByName(chosen)
+    return sample.filter(F.col(_HASH) < F.lit(cut.hash)).drop(_HASH).unionByName(chosen)
+
+
+def _written(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, "sample")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _some_of(ties: DataFrame, wanted: int) -> DataFrame:

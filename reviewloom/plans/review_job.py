@@ -2,6 +2,7 @@
 
 import logging
 import time
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -17,8 +18,10 @@ from reviewloom.operators.observation import (
     observe,
     scored_aggregates,
 )
-from reviewloom.operators.partitioning import repartition_by_rows, spread, spread_plan
-from reviewloom.operators.scoring import ERROR_LABEL, LexiconScorer, score
+from reviewloom.operators.partitioning import repartition_by_bytes, spread, spread_plan
+from reviewloom.operators.progress import Progress, progress
+from reviewloom.operators.reuse import reused
+from reviewloom.operators.scoring import ERROR_LABEL, LexiconScorer, label_view, score
 from reviewloom.operators.statistics import run_summary, with_share
 from reviewloom.sinks.csv import (
     merge_csv,
@@ -50,6 +53,8 @@ class ReviewJob:
     clean: bool = True
     compression: str | None = None
     merge_results: bool = False
+    label_file: bool = False
+    progress_seconds: float | None = None
     scorer: object = field(default_factory=lambda: LexiconScorer(OPINION_WORDS))
 
 
@@ -89,7 +94,15 @@ def run_review_job(spark: SparkSession, job: ReviewJob) -> ReviewResult:
     results_path = f"{job.output_dir}/{job.dataset}"
     summary_path = f"{job.summary_dir}/{job.dataset}"
     processing_started = time.time()
-    write_csv(scored, results_path, job.compression)
+    files = {"results": results_path}
+    with progress(spark, _log_progress, job.progress_seconds) if job.progress_seconds else nullcontext():
+        if job.label_file:  # two sinks, one scoring
+            files["labels"] = f"{summary_path}/sentiment_labels"
+            with reused(scored) as kept:
+                write_csv(kept, results_path, job.compression)
+                write_csv(label_view(kept), files["labels"], job.compression)
+        else:
+            write_csv(scored, results_path, job.compression)
     processing_seconds = time.time() - processing_started
     seen, totals = seen.get, totals.get
     _log_totals(seen, totals, job.scorer.labels, processing_seconds)
@@ -97,8 +110,7 @@ def run_review_job(spark: SparkSession, job: ReviewJob) -> ReviewResult:
     distribution = observed_distribution(spark, totals, job.scorer.labels)
     score_stats = observed_row(spark, totals, schemas.SCORE_STATS_SCHEMA)
     token_stats = observed_row(spark, totals, schemas.TOKEN_STATS_SCHEMA)
-    files = {
-        "results": results_path,
+    files |= {
         "sentiment_distribution": write_single_csv(distribution, summary_path, "sentiment_distribution"),
         "sentiment_overall_stats": write_single_csv(score_stats, summary_path, "sentiment_overall_stats"),
         "sentiment_token_stats": write_single_csv(token_stats, summary_path, "sentiment_token_stats"),
@@ -132,6 +144,10 @@ def run_review_job(spark: SparkSession, job: ReviewJob) -> ReviewResult:
     )
 
 
+def _log_progress(seen: Progress) -> None:
+    logger.info("%.1f %% of the tasks, %s of %s, %.0f seconds", seen.percent, seen.tasks_done, seen.tasks_total, seen.seconds)
+
+
 def _log_totals(seen: dict, totals: dict, labels, seconds: float) -> None:
     rejected = seen["loaded"] - seen["retained"]
     logger.info("%s reviews read, %s retained, %s rejected", seen["loaded"], seen["retained"], rejected)
@@ -158,7 +174,7 @@ def planned_reviews(spark: SparkSession, path: str, job: ReviewJob) -> tuple[int
     """(partitions, reviews), sampled if the job asks for it.
 
     The scan is planned by the bytes that a ratio leaves of it. How large the rows of a sample of fixed count are is not known
-    beforehand, so such a sample is measured (one more pass over it) and dealt anew.
+    beforehand, so such a sample is measured (one more pass over the table it was written to) and dealt anew, by bytes.
     """
     scan = read_reviews(spark, path)
     kept = job.sample_ratio if job.sample_ratio and job.sample_ratio < 1 else 1.0
@@ -166,5 +182,5 @@ def planned_reviews(spark: SparkSession, path: str, job: ReviewJob) -> tuple[int
     reviews = sample_ratio(scan, job.sample_ratio, job.seed, job.sample_keys)
     if job.sample_count:
         sample = take_random(reviews, job.sample_count, job.seed, job.sample_keys)
-        return repartition_by_rows(sample, job.target_partition_mb)
+        return repartition_by_bytes(sample, job.target_partition_mb)
     return plan[0], spread(reviews, plan)

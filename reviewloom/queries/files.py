@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from reviewloom.operators.observation import observe, scored_aggregates
+from reviewloom.operators.progress import progress
 from reviewloom.operators.runs import best_configuration
 from reviewloom.operators.scoring import LABELS, label_view
 from reviewloom.operators.statistics import run_summary, sentiment_distribution, token_aggregates
@@ -11,6 +12,7 @@ from reviewloom.plans.review_job import ReviewJob, observed_distribution, observ
 from reviewloom.queries.runs import levels_of
 from reviewloom.queries.statistics import ORACLES as STATISTICS_ORACLES
 from reviewloom.queries.tables import (
+    HAS_TEXT_SQL,
     PATCHY_SQL,
     REVIEWS_SQL,
     ROUNDED_SCORE,
@@ -178,6 +180,23 @@ def review_job_sampled(spark, sf_dir):
     return round_columns(read_results_csv(spark, result.files["results"], SCORED_SCHEMA), "score").select("asin", "sentiment", "score")
 
 
+def review_job_labels(spark, sf_dir):
+    """The labels that the job wrote beside its results, from one scoring."""
+    path = _run_job(spark, sf_dir, label_file=True).files["labels"]
+    return read_results_csv(spark, path, "review_text string, sentiment string")
+
+
+def review_job_progress(spark, sf_dir):
+    """The last progress report of a job, with its exact row counts."""
+    reports = []
+    with progress(spark, reports.append, 0.2):
+        result = _run_job(spark, sf_dir)
+    last = reports[-1]
+    row = (result.loaded, result.retained, last.percent, last.tasks_failed, all(0 <= r.percent < 100 for r in reports[:-1]))
+    schema = "loaded bigint, retained bigint, percent double, failed_tasks bigint, below_100_before boolean"
+    return spark.createDataFrame([row], schema)
+
+
 def best_run_summary(spark, sf_dir):
     """Run summaries of several jobs under their configurations' names, and the best of them; every source is
     dealt to one of the configurations by its hash."""
@@ -238,6 +257,8 @@ QUERIES = {
     "review_job_metrics_csv": review_job_metrics_file,
     "review_job_sampled": review_job_sampled,
     "best_run_summary": best_run_summary,
+    "review_job_labels": review_job_labels,
+    "review_job_progress": review_job_progress,
     "review_job_distribution": review_job,
     "review_job_results": review_job_results,
     "review_job_metrics": review_job_metrics,
@@ -296,6 +317,12 @@ FROM scored""",
 SELECT asin, sentiment, {ROUNDED_SCORE} AS score FROM scored
 WHERE asin IN (SELECT asin FROM reviews WHERE CAST('0x' || substr(md5('42:' || asin), 1, 8) AS BIGINT) < 0.3 * 4294967296
                ORDER BY md5('42:' || asin) LIMIT 150)""",
+    "review_job_labels": f"{SCORED_SQL} SELECT text AS review_text, sentiment FROM scored",
+    "review_job_progress": f"""
+WITH {REVIEWS_SQL}
+SELECT count(*) AS loaded, count(*) FILTER ({HAS_TEXT_SQL}) AS retained, 100.0::DOUBLE AS percent,
+       CAST(0 AS BIGINT) AS failed_tasks, TRUE AS below_100_before
+FROM reviews""",
     "best_run_summary": f"""
 {SCORED_SQL},
 runs AS (SELECT ({list(SHAPES)})[('0x' || substr(md5(coalesce(user_id, '')), 1, 8))::BIGINT % {len(SHAPES)} + 1] AS config_name,

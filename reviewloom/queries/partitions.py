@@ -1,11 +1,16 @@
 """Partition planning and profiles."""
 
+from pyspark.sql import functions as F
+
 from reviewloom.operators.partitioning import (
     MIB,
+    ROW_BYTES,
+    partition_bytes,
     partition_profile,
     plan_by_ceiling,
     plan_by_file_size,
     plan_by_row_size,
+    repartition_by_bytes,
     serialized_size,
     text_size_stats,
 )
@@ -73,7 +78,14 @@ def size_sweep(spark, sf_dir):
     return runs.select("target_mb", "num_partitions", "reviews_per_partition", "total_reviews", "result_count")
 
 
+def balanced(spark, sf_dir):
+    """Documents of 1 to 20,000 words in partitions of like bytes: none above one and a half times the mean."""
+    _, dealt = repartition_by_bytes(table(spark, sf_dir, "documents"), partitions=FIXED_PARTITIONS)
+    return partition_bytes(dealt).select("partitions", "total_bytes", (F.col("max_to_mean") <= 1.5).alias("balanced"))
+
+
 QUERIES = {
+    "partition_balance": balanced,
     "partition_plan_rows": plan_rows,
     "partition_plan_bytes": plan_bytes,
     "serialized_size": serialized,
@@ -89,6 +101,10 @@ stats AS (
   FROM reviews)"""
 
 ORACLES = {
+    "partition_balance": f"""
+SELECT CAST({FIXED_PARTITIONS} AS BIGINT) AS partitions, CAST(sum(strlen(coalesce(text, '')) + {ROW_BYTES}) AS BIGINT) AS total_bytes,
+       TRUE AS balanced
+FROM documents""",
     "partition_plan_rows": f"""{_STATS},
 plans AS (
   SELECT target_mb, n,

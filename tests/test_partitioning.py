@@ -4,10 +4,13 @@ import pytest
 
 from reviewloom.operators.partitioning import (
     MIB,
+    ROW_BYTES,
+    partition_bytes,
     partition_profile,
     plan_by_ceiling,
     plan_by_file_size,
     plan_by_row_size,
+    repartition_by_bytes,
     repartition_by_rows,
     serialized_size,
     spread_evenly,
@@ -91,6 +94,32 @@ def test_repartition_by_rows(spark):
     assert partitions == spread.rdd.getNumPartitions() == 7
 
 
+def test_partitions_of_like_bytes(spark, rows_of):
+    """Lengths from 0 to 20,000, the long ones side by side; null texts; other columns stay."""
+    length = "cast(case when id % 100 = 0 then 20000 when id > 3000 then 900 else id % 50 end as int)"
+    df = spark.range(4000).selectExpr("id", f"if(id % 7 = 3, null, repeat('é', {length})) as text", "array(id) as more").repartition(5, "id")
+    for wanted in (1, 3, 12, 40):
+        partitions, dealt = repartition_by_bytes(df, partitions=wanted)
+        assert partitions == dealt.rdd.getNumPartitions() == wanted and dealt.columns == df.columns
+        assert rows_of(dealt) == rows_of(df)
+        seen = partition_bytes(dealt).first()
+        assert seen["partitions"] == wanted and seen["total_bytes"] == partition_bytes(df).first()["total_bytes"]
+        assert seen["max_bytes"] <= seen["total_bytes"] / wanted + 40000 + ROW_BYTES
+    partitions, dealt = repartition_by_bytes(df, target_mb=0.25)
+    assert partitions == -(-seen["total_bytes"] // (MIB // 4)) and partition_bytes(dealt).first()["max_to_mean"] < 1.5
+
+
+def test_bytes_of_nothing(spark):
+    empty = spark.createDataFrame([], "text string")
+    partitions, dealt = repartition_by_bytes(empty, target_mb=1)
+    assert partitions == 1 and dealt.count() == 0
+    assert partition_bytes(empty).first() == (0, 0, None, None)
+    blank = spark.createDataFrame([("",), (None,)] * 50, "text string")
+    assert partition_bytes(repartition_by_bytes(blank, partitions=4)[1]).first()[:2] == (4, 100 * ROW_BYTES)
+    with pytest.raises(ValueError):
+        repartition_by_bytes(blank)
+
+
 def test_scratch_follows_the_cluster_setting(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")

@@ -94,6 +94,29 @@ def test_sample_is_a_filter_on_the_scan(spark, plan_of):
         assert costly not in plan
 
 
+@pytest.mark.parametrize(("n", "keys"), [(20, ["k"]), (1500, ["k"]), (700, None)])
+def test_a_count_sample_reads_its_input_twice(spark, rows_of, n, keys):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    source = spark.range(2000).selectExpr("concat('k', id % 1000) as k", "id").mapInArrow(counted, "k string, id long")
+    sample = take_random(source, n, keys=keys)
+    assert sample.count() == n and len(set(rows_of(sample))) == n
+    assert read.value == 2 * 2000
+
+
+def test_the_cut_is_found_where_many_hashes_share_a_prefix(spark, monkeypatch):
+    """With one digit a step, the cut takes several steps; the sample stays the same."""
+    df = spark.range(500).selectExpr("concat('k', id) as key")
+    usual = sorted(r["key"] for r in take_random(df, 123, keys=["key"]).collect())
+    monkeypatch.setattr("reviewloom.operators.sampling._PREFIX_DIGITS", 1)
+    assert sorted(r["key"] for r in take_random(df, 123, keys=["key"]).collect()) == usual
+
+
 def test_ratio_bounds(numbered):
     for everything in (None, 0, 0.0, 1, 1.0, 2.5, 1 - 1e-12):
         assert sample_ratio(numbered, everything, keys=["key"]).count() == 2000
