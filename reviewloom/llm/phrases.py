@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.llm.staging import staged
-from reviewloom.llm.terms import coded, pack, runs, spans, unpack
-from reviewloom.llm.textbytes import lower_ascii, ragged, slices, utf8
+from reviewloom.llm.terms import pack, runs, unpack
+from reviewloom.llm.textbytes import coded, lower_ascii, ragged, slices, span_values, utf8
 
 SHARD_BYTES = 8_000_000
 NO_LANGUAGE = "und"
@@ -39,7 +39,7 @@ def sequence(texts: pa.Array, languages: pa.Array) -> tuple[np.ndarray, pa.Array
     data, offsets = utf8(texts)
     data = lower_ascii(data)
     starts, ends, first = runs(_WORDS[data], offsets)
-    word, words = coded(spans(data, starts, ends))
+    word, words = coded(span_values(data, starts, ends))
     language, names = coded(languages)
     owner = np.repeat(np.arange(len(texts)), np.diff(first))
     pairs, codes = np.unique(language[owner] * max(len(words), 1) + word, return_inverse=True)

@@ -9,6 +9,8 @@ Applying a pair at all places at once equals one merge at a time where its merge
 rank; for the few other pieces only the first place counts. Runs of blanks are the exception: their pieces share one rank, the last, so they are counted by run length.
 """
 
+import secrets
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -112,6 +114,7 @@ class PieceCounter:
         beside[:, 0x80:0xC0] = True  # within a character
         beside[0x20, 0x20] = True
         self._apart = ~beside
+        self._seed = secrets.randbits(64)  # the hashes do not leave this worker
         self._keys, self._counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def _symbols(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -199,7 +202,7 @@ class PieceCounter:
         here[offsets] = True
         at = np.flatnonzero(here)
         starts, ends = at[:-1], at[1:]
-        keys, example, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        keys, example, which = np.unique(span_hashes(data, starts, ends, self._seed), return_index=True, return_inverse=True)
         fresh = ~np.isin(keys, self._keys, kind="sort")
         if len(self._keys) + fresh.sum() > _KEPT_COUNTS:
             self._keys, self._counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from reviewloom.llm.staging import staged
-from reviewloom.llm.terms import coded, pack, runs, spans, unpack
-from reviewloom.llm.textbytes import lower_ascii, slices, utf8
+from reviewloom.llm.terms import pack, runs, unpack
+from reviewloom.llm.textbytes import coded, lower_ascii, slices, span_values, utf8
 
 BLOCK_BYTES = 8_000_000
 PASS_BYTES = 8_000_000  # of the queries' texts in one pass
@@ -41,7 +41,7 @@ def terms_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     data, offsets = utf8(texts)
     data = lower_ascii(data)
     starts, ends, first = runs(_TERM_BYTES[data], offsets)
-    return spans(data, starts, ends), first
+    return span_values(data, starts, ends), first
 
 
 class Queries:

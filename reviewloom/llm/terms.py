@@ -1,12 +1,8 @@
-"""Spans of a byte array as Arrow values, so that equal spans are found by their bytes and not by a hash alone."""
+"""Runs of bytes that belong together, and arrays as compressed bytes."""
 
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 
-from reviewloom.llm.textbytes import ragged
-
 
 def runs(member: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each maximal run of true values, none across a text's edge, and the first run of each text (one
@@ -21,22 +17,6 @@ def runs(member: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """The bytes of each ``data[start:end]``."""
-    lengths = ends - starts
-    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-    packed = data[ragged(starts, lengths)] if len(starts) else np.zeros(0, np.uint8)
-    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
-
-
-def coded(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """Number of each value among the distinct ones, and these."""
-    encoded = pc.dictionary_encode(values)
-    if isinstance(encoded, pa.ChunkedArray):
-        encoded = encoded.combine_chunks()
-    return encoded.indices.to_numpy().astype(np.int64), encoded.dictionary
-
-
 def pack(values: np.ndarray) -> bytes:
     """Bytes of like weight side by side, compressed."""
     planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)

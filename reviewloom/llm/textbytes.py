@@ -1,17 +1,15 @@
 """Texts of an Arrow batch as one array of UTF-8 bytes, cut into words or chunks without a loop over rows.
 
-A span of bytes is hashed by differences of a running polynomial modulo 2**64 whose base is odd,
-so that every power has an inverse; a finalizer then spreads the bits.
+Spans of bytes are hashed all at once, or told apart by their bytes through a dictionary.
 """
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 2**64)
-_RUN_BYTES = 1 << 18
+_SHORT_BYTES = 64
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _BLANKS = np.zeros(256, bool)
 _BLANKS[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -33,13 +31,6 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-@lru_cache(maxsize=4)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    forward, back = np.full(n, _BASE, np.uint64), np.full(n, _INVERSE, np.uint64)
-    forward[0] = back[0] = 1
-    return np.multiply.accumulate(forward), np.multiply.accumulate(back)
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit over all others."""
     h = h ^ (h >> np.uint64(30))
@@ -50,24 +41,45 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def span_values(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of each ``data[start:end]``. Spans are in ascending order and do not overlap."""
+    lengths = ends - starts
+    filled = lengths > 0
+    change = np.zeros(len(data) + 1, np.int8)
+    change[starts[filled]] += 1
+    change[ends[filled]] -= 1
+    packed = data[np.cumsum(change[:-1], dtype=np.int8).astype(bool)]
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
+
+
+def coded(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Number of each value among the distinct ones, and these."""
+    encoded = pc.dictionary_encode(values)
+    if isinstance(encoded, pa.ChunkedArray):
+        encoded = encoded.combine_chunks()
+    return encoded.indices.to_numpy().astype(np.int64), encoded.dictionary
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit hash of each ``data[start:end]``; equal bytes give equal hashes wherever they stand.
 
-    Spans are in ascending order and do not overlap; they are worked off in runs of about ``_RUN_BYTES``.
+    A span of up to ``_SHORT_BYTES`` is taken in eight bytes at a time, all spans at once; between two steps the state is mixed, so
+    that (unlike with polynomials) no rearrangement of bytes cancels out. Longer ones are hashed by XXH3 one by one.
     """
-    out = np.empty(len(starts), np.uint64)
-    first = 0
-    while first < len(starts):
-        begin = starts[first]
-        last = max(first + 1, int(np.searchsorted(ends, begin + _RUN_BYTES, side="right")))
-        part = data[begin : ends[last - 1]]
-        forward, back = _powers(1 << max(16, len(part).bit_length()))
-        running = np.zeros(len(part) + 1, np.uint64)
-        # bytes count from 1, so that a zero byte changes the hash as well
-        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * forward[: len(part)], out=running[1:])
-        b, e = starts[first:last] - begin, ends[first:last] - begin
-        out[first:last] = mix((running[e] - running[b]) * back[b] + (e - b).astype(np.uint64))
-        first = last
+    lengths = ends - starts
+    out = mix(lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(seed))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each position on
+    for step in range(0, _SHORT_BYTES, 8):
+        left = lengths - step
+        at = np.flatnonzero((left > 0) & (lengths <= _SHORT_BYTES))
+        if not len(at):
+            break
+        taken = eights[starts[at] + step] & _FIRST_BYTES[np.minimum(left[at], 8)]
+        out[at] = mix(out[at] ^ (taken * np.uint64(0x9E3779B97F4A7C15)))
+    for i in np.flatnonzero(lengths > _SHORT_BYTES).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes(), seed)
     return out
 
 

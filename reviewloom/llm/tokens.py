@@ -8,6 +8,7 @@ token are encoded alone, so that the library decides what they mean.
 """
 
 import os
+import secrets
 from functools import lru_cache
 
 import numpy as np
@@ -62,6 +63,7 @@ class ChunkEncoder:
         special = {token.content: number for number, token in added.items()}
         self._separator, self._separator_id = next(iter(special.items()))
         self._suspicious = os.path.commonprefix(list(special) * (1 + (len(special) == 1)))[:2].encode()
+        self._seed = secrets.randbits(64)  # the hashes do not leave this worker
         self._forget()
 
     def _forget(self):
@@ -103,7 +105,7 @@ class ChunkEncoder:
         data, offsets = utf8(texts)
         at = cuts(data, offsets)
         starts, ends = at[:-1], at[1:]
-        keys, example, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        keys, example, which = np.unique(span_hashes(data, starts, ends, self._seed), return_index=True, return_inverse=True)
         place = np.searchsorted(self._keys, keys)
         known = np.zeros(len(keys), bool)
         inside = place < len(self._keys)

@@ -168,3 +168,19 @@ def test_counts_do_not_depend_on_batches(spark):
     one = {r["doc_id"]: r["n_tokens"] for r in piece_counts.token_counts(df.coalesce(1), path).collect()}
     many = {r["doc_id"]: r["n_tokens"] for r in piece_counts.token_counts(df.repartition(9, F.col("doc_id")), path).collect()}
     assert one == many
+
+
+def test_texts_of_rearranged_bytes(spark):
+    """Words that collide under polynomials modulo 2**64 keep their own ids and counts."""
+
+    parity = [bin(i).count("1") % 2 for i in range(2048)]
+    for a, b in ("ab", "in"):
+        texts = ["".join(a if p else b for p in parity), "".join(b if p else a for p in parity)]
+        for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+            path = public_tokenizers.path(name)
+            ids, first = tokens.ChunkEncoder(path)(pa.array(texts))
+            expected = [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]
+            assert [ids[x:y].tolist() for x, y in zip(first, first[1:], strict=False)] == expected
+        path = public_tokenizers.path("piece_bpe_32k.model")
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        assert piece_counts.PieceCounter(path)(pa.array(texts)).tolist() == [len(model.encode(t)) for t in texts]
