@@ -9,8 +9,9 @@ similarity 0.8, whose distance is 12 on average, misses all ten chunks with a pr
 Documents with equal sets are one node from the start. Where nodes meet, no list of pairs is made: every node
 is compared with one node there that meets most others (the original of a group, as a rule) and with the smallest. Only
 listings whose nodes are still in different components after that are looked at further, and only across
-components: in blocks, by signatures of 1024 bits, of which at most 150 may differ (at similarity 0.8: 102 on average, 9.6
-the deviation). What is left of either kind is confirmed on the full sets.
+components, in blocks that carry the full sets: there a pair is looked at only while its two nodes are apart, its sets are
+intersected in place, and a link leaves the block only if it joins what was apart in it. So a block gives fewer links than it has
+nodes. Links of both kinds are confirmed on the full sets.
 """
 
 import numpy as np
@@ -25,9 +26,9 @@ from reviewloom.llm.textbytes import mix, ragged, slices, word_hashes
 CHUNKS, CHUNK_SYMBOLS = 10, 6
 SYMBOLS = CHUNKS * CHUNK_SYMBOLS
 FAR_BITS = 17  # of 60 one-bit symbols; 6 differ on average at similarity 0.8, with a deviation of 2.3
-FINE_LONGS, FAR_FINE_BITS = 16, 150
-BLOCK_ROWS, PAIRS_AT_ONCE = 2048, 300_000
-_FINE = np.random.default_rng(21).integers(0, 2**64, (2, FINE_LONGS * 64), dtype=np.uint64) | np.uint64(1)
+FAR_IN_BLOCK = 21  # in blocks, where a pair has no other chance
+BLOCK_ROWS, BLOCK_BYTES = 2048, 16_000_000
+SHINGLES_AT_ONCE = 2_000_000
 _ODD = np.random.default_rng(20).integers(0, 2**64, (2, SYMBOLS), dtype=np.uint64) | np.uint64(1)
 
 
@@ -98,25 +99,19 @@ def _listings(chunks: np.ndarray) -> np.ndarray:
     return listed.reshape(len(chunks), -1)
 
 
-def _fine_bits(words: int):
-    """One-bit signatures of ``FINE_LONGS`` * 64 permutations."""
+def _sets(words: int):
+    """Sorted distinct shingle hashes."""
 
     @F.arrow_udf("binary")
-    def fine(texts: pa.Array) -> pa.Array:
+    def sets(texts: pa.Array) -> pa.Array:
         out = []
         for part in slices(texts):
-            sets, first = shingle_sets(part, words)
-            bits = np.zeros((len(part), FINE_LONGS), np.uint64)
-            for k in range(FINE_LONGS * 64):
-                turned = (sets ^ _FINE[0, k]) * _FINE[1, k]
-                turned ^= turned >> np.uint64(32)
-                turned *= _FINE[1, k]
-                least = mix(np.minimum.reduceat(turned, first[:-1]))
-                bits[:, k // 64] |= (least >> np.uint64(63)) << np.uint64(k % 64)
-            out.append(bits)
-        return pa.array([row.astype("<u8").tobytes() for bits in out for row in bits], pa.binary())
+            hashes, first = shingle_sets(part, words)
+            raw, bounds = hashes.tobytes(), (first * 8).tolist()
+            out += [raw[b:e] for b, e in zip(bounds, bounds[1:], strict=False)]
+        return pa.array(out, pa.binary())
 
-    return fine
+    return sets
 
 
 def described(text: Column, words: int) -> Column:
@@ -201,93 +196,121 @@ def near_duplicates(
 
 def _links(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """Confirmed links ``a < b`` that hold the components of all candidate pairs together."""
-    signed = rows.select("number", "size", "bits", "listed")
+    signed = rows.select("number", F.col("size").cast("int").alias("size"), "bits", "listed")
     nodes = signed.join(classes.select(F.col("node").alias("number")), "number", "left_semi")
-    member = F.struct(F.col("number").alias("node"), "size", "bits").alias("member")
-    listings = nodes.select(F.explode("listed").alias("key"), member)
+    listings = nodes.select(F.explode("listed").alias("key"), F.col("number").alias("node"), "size", "bits")
     # Most keys that two documents share by chance have no third; these two are looked at right here.
-    ends = F.min("member").alias("low"), F.max("member").alias("high")
-    shared = listings.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *ends)
-    shared = shared.filter((F.col("n") > 2) | (F.col("n") == 2) & _may_link("low", "high", percent)).drop("high")
-    met = staged(listings.join(shared, "key"), "met")
+    shared = listings.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor("bits").alias("differ"), F.min("size").alias("small"), F.max("size").alias("large")
+    )
+    two_may_link = (F.bit_count("differ") <= FAR_BITS) & (F.lit(100) * F.col("small") >= F.lit(percent) * F.col("large"))
+    shared = shared.filter((F.col("n") > 2) | (F.col("n") == 2) & two_may_link).select("key", "n")
+    met = listings.select("key", "node").join(shared, "key")
+    facts = nodes.select(F.col("number").alias("node"), F.struct(F.col("number").alias("node"), "size", "bits").alias("member"))
+    met = staged(met.join(facts, "node").select("key", "n", "member"), "met")
     # How many others a node meets: the original of a group meets more than its copies do.
     fame = met.groupBy(F.col("member.node").alias("node")).agg(F.sum("n").alias("fame"))
-    famed = met.join(fame, met["member.node"] == fame["node"]).select("key", "member", "low", "fame")
-    hubs = famed.groupBy("key").agg(F.max_by("member", F.struct("fame", "member")).alias("hub"))
-    met = staged(met.join(hubs, "key"), "met-hubs")
+    famed = met.join(fame, met["member.node"] == fame["node"]).select("key", "member", "fame")
+    hubs = famed.groupBy("key").agg(F.max_by("member", F.struct("fame", "member")).alias("hub"), F.min("member").alias("low"))
+    met = staged(met.drop("n").join(hubs, "key"), "met-hubs")
     low, hub = (met.select(F.col("member").alias("x"), F.col(end).alias("y")) for end in ("low", "hub"))
     # Only texts of nodes that meet others move on from here.
     meeting = met.select(F.col("member.node").alias("number")).distinct()
     texts = staged(rows.select("number", "text").join(meeting, "number", "left_semi"), "texts")
-    tried = staged(_plausible(hub.unionByName(low), percent), "star-pairs")
+    tried = _plausible(hub.unionByName(low), percent)
     star_links = staged(_confirmed(tried, texts, words, percent), "star-links")
     parts = connected(star_links)
     placed = (
-        met.select("key", F.col("hub.node").alias("hub"), "member.node", "member.size")
+        met.select("key", F.col("hub.node").alias("hub"), "member.*")
         .join(parts, "node", "left")
-        .select("key", "hub", "node", "size", F.coalesce("component", "node").alias("part"))
+        .select("key", "hub", "node", "size", "bits", F.coalesce("component", "node").alias("part"))
     )
     open_keys = (
         placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("key")
     )
     # Nodes that meet under a key share its hub, and have few hubs, but many keys.
-    still = staged(placed.join(open_keys, "key").select("hub", "node", "size", "part").distinct(), "open")
-    finer = texts.join(still.select(F.col("node").alias("number")).distinct(), "number", "left_semi")
-    finer = staged(finer.select(F.col("number").alias("node"), _fine_bits(words)("text").alias("fine")), "finer")
-    left = _across(still.join(finer, "node"), percent).distinct().join(tried, ["a", "b"], "left_anti")
-    more_links = staged(_confirmed(left, texts, words, percent), "more-links")
-    return star_links.unionByName(more_links)
+    still = staged(placed.join(open_keys, "key").select("hub", "node", "size", "bits", "part").distinct(), "open")
+    apart = texts.join(still.select(F.col("node").alias("number")).distinct(), "number", "left_semi")
+    sets = apart.select(F.col("number").alias("node"), _sets(words)("text").alias("set"))
+    return star_links.unionByName(staged(_across(still, sets, percent), "more-links"))
 
 
-def _across(rows: DataFrame, percent: int) -> DataFrame:
-    """Plausible pairs ``a < b`` of nodes that share a hub and lie in different components.
+def _across(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a < b`` between nodes that share a hub and lie in different components: enough of them to hold together whatever
+    links connect.
 
     The nodes of a large hub are dealt to blocks of bounded size, and each two blocks are compared by
     themselves; many small hubs share a group.
     """
-    bundles = max(1, rows.count() // BLOCK_ROWS)
-    sizes = rows.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+    weight = F.sum(F.col("size").cast("long") * 8)
+    whole = rows.agg(F.count(F.lit(1)).alias("n"), weight.alias("bytes")).first()
+    bundles = max(1, whole["n"] // BLOCK_ROWS, (whole["bytes"] or 0) // BLOCK_BYTES)
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(weight / BLOCK_BYTES)).cast("int")
+    sizes = rows.groupBy("hub").agg(blocks.alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = rows.join(sizes, "hub").withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     alone = F.when(F.col("blocks") > 1, F.col("hub"))
     blocked = dealt.select(
         F.coalesce(alone, F.pmod(F.xxhash64("hub"), F.lit(bundles))).alias("bundle"), alone.alias("alone"),
         F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        "hub", "own", "node", "part", "size", "fine",
-    )
+        "hub", "own", "node", "part", "size", "bits",
+    ).join(sets, "node")
 
     def compare(table: pa.Table) -> pa.Table:
         hub, own = table["hub"].to_numpy(), table["own"].to_numpy()
         i, j = table["i"][0].as_py(), table["j"][0].as_py()
         order = np.lexsort((own != i, hub))
         hub, own = hub[order], own[order]
-        node, part, size = (table[c].to_numpy()[order] for c in ("node", "part", "size"))
-        fine = np.stack([np.frombuffer(x, "<u8") for x in table["fine"].to_pylist()])[order]
+        node, part, size, bits = (table[c].to_numpy()[order] for c in ("node", "part", "size", "bits"))
+        shingles = [np.frombuffer(x, "<u8") for x in table["set"].take(pa.array(order)).to_pylist()]
         n = len(hub)
         # Each row meets the rows after it that have its hub, or the other block's.
         starts = np.arange(1, n + 1) if i == j else np.full(n, (own == i).sum())
-        counts = np.searchsorted(hub, hub, side="right") - starts if i == j else np.where(own == i, n - starts, 0)
-        until = np.cumsum(counts)
-        found, begin = [], 0
-        while begin < n:
-            end = max(begin + 1, int(np.searchsorted(until, until[begin] - counts[begin] + PAIRS_AT_ONCE)))
-            x = np.repeat(np.arange(begin, end), counts[begin:end])
-            y = ragged(starts[begin:end], counts[begin:end])
-            good = part[x] != part[y]
-            good &= 100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y])
-            x, y = x[good], y[good]
-            far = np.zeros(len(x), np.uint16)
-            for k in range(FINE_LONGS):
-                far += np.bitwise_count(fine[x, k] ^ fine[y, k])
-            found.append((x[far <= FAR_FINE_BITS], y[far <= FAR_FINE_BITS]))
-            begin = end
-        x, y = (np.concatenate([pair[side] for pair in found]) for side in (0, 1))
-        x, y = node[x], node[y]
-        return pa.table({"a": pa.array(np.minimum(x, y), pa.int64()), "b": pa.array(np.maximum(x, y), pa.int64())})
+        stops = np.searchsorted(hub, hub, side="right") if i == j else np.where(own == i, n, starts)
+        a, b = joining_links(part, size.astype(np.int64), bits, shingles, starts, stops, percent)
+        a, b = node[a], node[b]
+        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
     return blocked.groupBy("bundle", "alone", "i", "j").applyInArrow(compare, "a long, b long")
 
 
+def joining_links(part, size, bits, shingles: list[np.ndarray], starts, stops, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows, each row ``x`` with rows from ``starts[x]`` to ``stops[x]``, that are linked and join two parts that
+    no pair before has joined."""
+    first = np.concatenate([[0], np.cumsum(size)])
+    _, codes = np.unique(np.concatenate(shingles), return_inverse=True)
+    marked = np.zeros(int(codes.max(initial=0)) + 1, bool)
+    label = np.unique(part, return_inverse=True)[1]
+    found_x, found_y = [], []
+    for x in np.flatnonzero(stops > starts).tolist():
+        y = np.arange(starts[x], stops[x])
+        y = y[label[y] != label[x]]
+        y = y[100 * np.minimum(size[y], size[x]) >= percent * np.maximum(size[y], size[x])]
+        y = y[np.bitwise_count(bits[y] ^ bits[x]) <= FAR_IN_BLOCK]
+        if not len(y):
+            continue
+        own = codes[first[x] : first[x + 1]]
+        marked[own] = True
+        until = np.cumsum(size[y])
+        begin = 0
+        while begin < len(y):
+            end = max(begin + 1, int(np.searchsorted(until, until[begin] - size[y[begin]] + SHINGLES_AT_ONCE, side="right")))
+            some = y[begin:end]
+            begin = end
+            some = some[label[some] != label[x]]
+            if not len(some):
+                continue
+            both = marked[codes[ragged(first[some], size[some])]]
+            both = np.add.reduceat(both, np.cumsum(size[some]) - size[some], dtype=np.int64)
+            for z in some[100 * both >= percent * (size[some] + size[x] - both)].tolist():
+                if label[z] != label[x]:
+                    found_x.append(x)
+                    found_y.append(z)
+                    label[label == label[z]] = label[x]
+        marked[own] = False
+    return np.array(found_x, np.int64), np.array(found_y, np.int64)
+
+
 def _may_link(x: str, y: str, percent: int) -> Column:
     near = F.bit_count(F.col(f"{x}.bits").bitwiseXOR(F.col(f"{y}.bits"))) <= FAR_BITS
     sizes = F.col(f"{x}.size"), F.col(f"{y}.size")

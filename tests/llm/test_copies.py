@@ -71,6 +71,90 @@ def test_word_hashes_are_those_of_the_words():
     assert len(set(by_word.values())) == len(by_word)
 
 
+def swapped_texts(a, b, length=2048):
+    """Two words whose running polynomials modulo 2**64 are equal for every odd base: the parity of the bits of the places."""
+    parity = [bin(i).count("1") % 2 for i in range(length)]
+    return "".join(a if p else b for p in parity), "".join(b if p else a for p in parity)
+
+
+def test_rearranged_bytes_have_other_hashes():
+    one, other = swapped_texts("a", "b")
+    spans = [one, other, one[:40], other[:40], one[:64], other[:64], one[:65], other[:65], "a", "b", "", "\x00", "\x00\x00", "ab", "ba"]
+    data = np.frombuffer("".join(spans).encode(), np.uint8)
+    ends = np.cumsum([len(x) for x in spans])
+    starts = ends - [len(x) for x in spans]
+    hashes = textbytes.span_hashes(data, starts, ends)
+    assert len(set(hashes.tolist())) == len(set(spans))
+    shifted = textbytes.span_hashes(np.concatenate([data[:5], data]), starts + 5, ends + 5)
+    assert (shifted == hashes).all() and (textbytes.span_hashes(data, starts, ends, 7) != hashes).all()
+    codes, distinct = textbytes.coded(textbytes.span_values(data, starts, ends))
+    assert [distinct[c].as_py().decode() for c in codes] == spans
+
+
+def test_texts_of_rearranged_bytes_are_not_linked(spark):
+    rows = list(enumerate(swapped_texts("a", "b")))
+    found = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()
+    assert {r["component_id"] for r in found} == {0, 1}
+
+
+def test_many_texts_just_below_the_threshold(spark):
+    """2,000 texts around one, 0.75 to 0.79 similar to each other: few links or none, and none are lost."""
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(2000):
+        words = list(base)
+        for at in rng.choice(400, (9 + i % 7), replace=False):
+            words[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = {r["row"]["doc_id"]: r["component_id"] for r in near_duplicates.near_duplicates(df, words=2).collect()}
+    assert found == brute_by_matrix(rows)
+
+
+def brute_by_matrix(rows):
+    vocabulary = {}
+    sets = [np.array([vocabulary.setdefault(g, len(vocabulary)) for g in set(zip(t.split(), t.split()[1:], strict=False))]) for _, t in rows]
+    sizes = np.array([len(x) for x in sets])
+    holders = [[] for _ in vocabulary]
+    for i, x in enumerate(sets):
+        for g in x.tolist():
+            holders[g].append(i)
+    label = np.arange(len(rows))
+    for i, x in enumerate(sets):
+        both = np.bincount(np.concatenate([holders[g] for g in x.tolist()]), minlength=len(rows))
+        for j in np.flatnonzero(100 * both >= 80 * (sizes + sizes[i] - both)).tolist():
+            if label[i] != label[j]:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label[label == old] = new
+    return {doc_id: rows[label[i]][0] for i, (doc_id, _) in enumerate(rows)}
+
+
+def test_links_of_a_block_join_parts_and_no_more():
+    rng = np.random.default_rng(2)
+    base = rng.choice(10**6, 60, replace=False)
+    sets = []
+    for i in range(120):
+        kept = base[rng.random(60) < 0.93] if i % 2 else rng.choice(10**6, 55)
+        sets.append(np.unique(kept).astype(np.uint64))
+    size, bits = np.array([len(x) for x in sets]), np.zeros(120, np.int64)
+    starts, stops = np.arange(1, 121), np.full(120, 120)
+    a, b = near_duplicates.joining_links(np.arange(120), size, bits, sets, starts, stops, 80)
+    parent = list(range(120))
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        both = len(np.intersect1d(sets[x], sets[y]))
+        assert 100 * both >= 80 * (size[x] + size[y] - both) and root(x) != root(y)
+        parent[root(x)] = root(y)
+    for x in range(120):
+        for y in range(x):
+            both = len(np.intersect1d(sets[x], sets[y]))
+            assert 100 * both < 80 * (size[x] + size[y] - both) or root(x) == root(y)
+
+
 def brute_components(rows, words, percent):
     sets = []
     for _, text in rows:
@@ -156,10 +240,10 @@ def test_a_large_group_of_near_copies(spark):
     assert got == {i: c for (i, _), c in zip(rows, components, strict=True)}
 
 
-def test_the_fine_test_loses_no_pair_at_the_border():
+def test_the_test_of_bits_loses_no_pair_at_the_border():
     """At similarity 0.8 a bit differs with a probability of 0.1; fewer than 2 in a million pairs differ in more than may."""
-    n = near_duplicates.FINE_LONGS * 64
-    lost = sum(math.comb(n, k) * 0.1**k * 0.9 ** (n - k) for k in range(near_duplicates.FAR_FINE_BITS + 1, 300))
+    n = near_duplicates.SYMBOLS
+    lost = sum(math.comb(n, k) * 0.1**k * 0.9 ** (n - k) for k in range(near_duplicates.FAR_IN_BLOCK + 1, n + 1))
     assert lost < 2e-6
 
 
