@@ -92,7 +92,7 @@ def mix(
     carry: list[str] | None = None,
     weights: tuple = (1, 2, 3),
     most: int = 3,
-    block_words: int = 32,
+    block_words: int = 1,
     seed: str = "mix",
     shard_rows: int = 2000,
 ) -> DataFrame:
@@ -102,6 +102,8 @@ def mix(
 
     A null text has no words. A null source is a source of its own. Rows without an id are spread by
     their text. A text of the mix is taken at most ``most`` times. No row is dropped; an empty table gives no rows.
+    What a source gives is within one block and a word of its target, so by default small sources keep their share; larger blocks mean
+    fewer, longer cuts of the seats, not of the texts. There is a row for each source in one task, so sources may be some millions.
     """
     text, source = F.col(f"`{text_column}`"), F.col(f"`{source_column}`")
     key = F.coalesce(F.col(f"`{id_column}`").cast("string"), F.md5(text), F.lit(""))
@@ -127,7 +129,7 @@ def mix(
         [], ["unnamed", "name"], "target", "blocks",
     )
     per_source = staged(
-        seats.withColumn("seats", F.least("quota", F.expr(f"{most} * source_size div {block_words}")))
+        seats.withColumn("seats", F.least("quota", F.expr(f"({most} * source_size + {block_words} - 1) div {block_words}")))
         .join(by_source.select(*named, F.ceil(F.col("rows") / shard_rows).alias("shards")), ["unnamed", "name"])
         .select("unnamed", "name", "source_size", "target", "seats", "shards"),
         "per-source",
@@ -142,7 +144,7 @@ def mix(
         dealt.groupBy(*shard).agg(F.sum("size").alias("shard_size"), F.first("seats").alias("seats")),
         ["unnamed", "name"], ["shard"], "shard_size", "seats",
     )
-    words = F.least(F.col("quota") * block_words, F.expr(f"{most} * shard_size div {block_words} * {block_words}"))
+    words = F.least(F.col("quota") * block_words, F.expr(f"{most} * shard_size"))
     start = _number(seed, "start", F.col("name"), F.col("shard")) % F.greatest(
         F.expr(f"shard_size div {block_words}"), F.lit(1)
     )

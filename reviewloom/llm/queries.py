@@ -93,19 +93,19 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that a mix of the sources takes of each document: Sainte-Lague seats for blocks of 32 words."""
+    """Words that a mix of the sources takes of each document: Sainte-Lague seats, one for each word."""
     mixture = mixing.mix(_table(spark, sf_dir, "documents"), carry=["doc_id"])
     return mixture.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices of every document: how many lines are one, and the families they name."""
-    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = licenses.license_paragraphs(documents, carry=["doc_id"]).groupBy("row.doc_id").agg(
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", F.monotonically_increasing_id().alias("number"))
+    found = licenses.license_paragraphs(documents, carry=["number"]).groupBy("row.number").agg(
         F.count(F.lit(1)).alias("n_paragraphs"),
         F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"),
     )
-    return documents.select("doc_id").join(found, "doc_id", "left").select(
+    return documents.select("doc_id", "number").join(found, "number", "left").select(
         "doc_id", F.coalesce("n_paragraphs", F.lit(0)).alias("n_paragraphs"), F.coalesce("families", F.lit("")).alias("families")
     )
 
@@ -121,8 +121,8 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_tokens",
         "n_known",
         "train_tokens",
-        F.round("base_score", 6).alias("base_score"),
-        F.round("score", 6).alias("score"),
+        "base_score",
+        "score",
     )
 
 
@@ -242,16 +242,16 @@ levelled AS (
 targets AS (
   SELECT source, source_size, n_rows, least(3.0::DOUBLE * source_size, weight * (
            SELECT level FROM levelled WHERE full_at >= level ORDER BY full_at, turn LIMIT 1)) AS target,
-         round((SELECT sum(source_size) FROM sources) / 32.0::DOUBLE)::BIGINT AS blocks
+         (SELECT sum(source_size) FROM sources)::BIGINT AS blocks
   FROM levelled),
 source_seats AS (
-  SELECT source, unnest(range(1, ceil(target / 32)::BIGINT + 2)) AS seat, target, blocks FROM targets),
+  SELECT source, unnest(range(1, ceil(target)::BIGINT + 2)) AS seat, target, blocks FROM targets),
 source_won AS (
   SELECT source, count(*) AS quota
   FROM (SELECT *, row_number() OVER (ORDER BY target / (2 * seat - 1) DESC, source IS NULL, source) AS place FROM source_seats)
   WHERE place <= blocks GROUP BY source),
 per_source AS (
-  SELECT t.*, least(coalesce(w.quota, 0), 3 * source_size // 32) AS seats, ceil(n_rows / 2000)::BIGINT AS shards
+  SELECT t.*, least(coalesce(w.quota, 0), 3 * source_size) AS seats, ceil(n_rows / 2000)::BIGINT AS shards
   FROM targets t LEFT JOIN source_won w ON t.source IS NOT DISTINCT FROM w.source),
 dealt AS (
   SELECT s.*, p.source_size, p.target, p.seats, place % p.shards AS shard
@@ -265,9 +265,9 @@ shard_won AS (
   FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY shard_size::DOUBLE / (2 * seat - 1) DESC, shard) AS place FROM shard_seats)
   WHERE place <= seats GROUP BY source, shard),
 rings AS (
-  SELECT h.source, h.shard, shard_size, least(coalesce(quota, 0) * 32, 3 * shard_size // 32 * 32) AS words,
+  SELECT h.source, h.shard, shard_size, least(coalesce(quota, 0), 3 * shard_size) AS words,
          ('0x' || substr(md5('mix:start:' || coalesce(h.source, '') || ':' || h.shard), 1, 15))::BIGINT
-           % greatest(shard_size // 32, 1) * 32 AS start
+           % greatest(shard_size, 1) AS start
   FROM shards h LEFT JOIN shard_won w ON h.source IS NOT DISTINCT FROM w.source AND h.shard = w.shard),
 placed AS (
   SELECT d.doc_id, size, source_size, target, shard_size, start, words,

@@ -177,6 +177,22 @@ def test_targets_stop_at_three_sizes(spark, sizes):
     assert [got[n] for n in names] == pytest.approx(expected)
 
 
+def test_small_sources_and_sources_at_their_cap(spark):
+    """Sources of 1, 7 and 31 words beside a large one: each gives its target to a word."""
+    rows, n = [], 0
+    for source, sizes in (("a", [400] * 5), ("b", [1]), ("c", [3, 4]), ("d", [31]), ("e", [40, 0, 0]), (None, [9, 90])):
+        for size in sizes:
+            rows.append((n, "w " * size, source))
+            n += 1
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for shard_rows in (2, 2000):
+        found = mixing.mix(df, shard_rows=shard_rows).groupBy("source_size", "target", "row.source").agg(F.sum("taken").alias("taken")).collect()
+        assert all(abs(r["taken"] - r["target"]) <= 1 for r in found) and len(found) == 6
+        assert sum(r["taken"] for r in found) == pytest.approx(sum(r["source_size"] for r in found), abs=6)
+        kept = mixing.mixed_rows(mixing.mix(df, shard_rows=shard_rows), length_column=None)
+        assert {r["source"] for r in kept.select("source").distinct().collect()} == {"a", "b", "c", "d", "e", None}
+
+
 def test_mixing(spark):
     draw = random.Random(8)
     rows = [(i, " ".join(f"w{i}x{k}" for k in range(draw.randrange(0, 120))), draw.choice(["a", "b", "c", None]), 0, "z") for i in range(500)]

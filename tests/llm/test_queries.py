@@ -146,3 +146,29 @@ def test_pipeline_on_awkward_tables(spark, tmp_path):
             out.write.parquet(path)
             docs = spark.read.parquet(path)
         assert (docs.count() == 0) == (name == "none")
+
+
+def test_licenses_are_counted_by_row(spark, tmp_path):
+    """Rows that share an id, or have none, have their own counts."""
+    notice = "Licensed under the Apache License, Version 2.0."
+    rows = [(1, notice), (1, "plain words"), (None, notice), (None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.QUERIES["op9_license_scan"](spark, str(tmp_path)).collect()
+    assert sorted((r["doc_id"] or 0, r["n_paragraphs"], r["families"]) for r in found) == [
+        (0, 0, ""), (0, 1, "Apache-2.0"), (1, 0, ""), (1, 1, "Apache-2.0")
+    ]
+
+
+def test_language_model_rows(spark, documents):
+    """Counts and the base formula, at full precision."""
+    split = [d.encode().translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))).split() for d in documents.text]
+    train = [zlib.crc32(str(d).encode()) % 5 != 1 for d in documents.doc_id]
+    counts = Counter(w for words, used in zip(split, train, strict=True) if used for w in [*words, None])
+    n, v = sum(counts.values()), len(counts)
+    rows = {r["doc_id"]: r for r in queries.QUERIES["op10_language_model"](spark, SF_DIR).collect()}
+    for doc_id, words, used in zip(documents.doc_id, split, train, strict=True):
+        tokens = [*words, None]
+        r = rows[doc_id]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (not used, len(tokens), sum(counts[w] > 0 for w in tokens), n)
+        base = sum(np.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in tokens)
+        assert r["base_score"] == pytest.approx(base, rel=1e-12) and r["score"] < 0
