@@ -197,7 +197,7 @@ def near_duplicates(
 def _links(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """Confirmed links ``a < b`` that hold the components of all candidate pairs together."""
     signed = rows.select("number", F.col("size").cast("int").alias("size"), "bits", "listed")
-    nodes = signed.join(classes.select(F.col("node").alias("number")), "number", "left_semi")
+    nodes = staged(signed.join(classes.select(F.col("node").alias("number")), "number", "left_semi"), "nodes")
     listings = nodes.select(F.explode("listed").alias("key"), F.col("number").alias("node"), "size", "bits")
     # Most keys that two documents share by chance have no third; these two are looked at right here.
     shared = listings.groupBy("key").agg(
