@@ -85,18 +85,23 @@ def confidence(logits: dict[str, Column]) -> Column:
 
 
 class LexiconScorer:
-    """Counts the words of each class in the whole text; the counts are the logits."""
+    """Counts the words of each class in the whole text; the counts are the logits.
+
+    ``tokens`` turns the text column into the number of its tokens (``operators.subwords``); without it, words count.
+    """
 
     labels = LABELS
 
-    def __init__(self, lexicon: Lexicon = OPINION_WORDS):
+    def __init__(self, lexicon: Lexicon = OPINION_WORDS, tokens: Callable[[Column], Column] | None = None):
         self.lexicon = lexicon
+        self.tokens = tokens
 
     def apply(self, df: DataFrame, text_col: str, result_col: str = RESULT) -> DataFrame:
         text, lexicon = F.col(text_col), self.lexicon
         # Punctuation around words goes from the text at once; words of nothing else stay, as empty ones.
         words = F.split(F.regexp_replace(text, F.lit(OUTER_PUNCTUATION), F.lit("")), " ")
-        tokens = F.when(text == "", F.lit(0)).otherwise(F.size(words)) + SPECIAL_TOKENS
+        counted = self.tokens(text) if self.tokens else F.when(text == "", F.lit(0)).otherwise(F.size(words))
+        tokens = counted + SPECIAL_TOKENS
         known = lexicon.negative + lexicon.neutral + lexicon.positive
         # One pass over the words keeps the few of the lexicon; the classes count those.
         found = F.filter(words, lambda word: word.isin(*known))

@@ -41,6 +41,40 @@ def token_stats(scored: DataFrame) -> DataFrame:
     return scored.agg(*token_aggregates())
 
 
+def merge_statistics(runs: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Statistics of all runs together, out of those of each (``score_aggregates`` and ``token_aggregates``, a row for
+    each run), without a look at the scored rows; one row, or one for each value of ``by``.
+
+    Means are weighted by rows. Squared deviations add up around the means of the runs, and those means' own around the
+    common one, so nothing cancels out. Runs without rows change nothing; no runs at all give what no rows give.
+    """
+    keys, n = by or [], F.col("total_reviews")
+    group = Window.partitionBy(*keys)  # a row for each run
+    spread = {}
+    for name in ("confidence", "token_count"):
+        mean, deviation = F.col(f"mean_{name}"), F.col(f"stddev_{name}")
+        common = F.try_divide(F.sum(n * mean).over(group), F.sum(n).over(group))
+        within = F.coalesce(deviation * deviation * (n - 1), F.lit(0.0))
+        spread[f"_common_{name}"] = common
+        spread[f"_squares_{name}"] = within + F.coalesce(n * (mean - common) * (mean - common), F.lit(0.0))
+
+    def merged(name: str) -> list[Column]:
+        rows = F.sum(n)
+        return [
+            F.max(f"_common_{name}").alias(f"mean_{name}"),
+            F.when(rows > 1, F.sqrt(F.try_divide(F.sum(f"_squares_{name}"), rows - 1))).alias(f"stddev_{name}"),
+            F.min(f"min_{name}").alias(f"min_{name}"),
+            F.max(f"max_{name}").alias(f"max_{name}"),
+        ]
+
+    return runs.withColumns(spread).groupBy(*keys).agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("total_reviews"),
+        *merged("confidence"),
+        F.sum("total_tokens").alias("total_tokens"),
+        *merged("token_count"),
+    )
+
+
 def sentiment_distribution(scored: DataFrame) -> DataFrame:
     """Rows and share in percent per label, sorted by label.
 

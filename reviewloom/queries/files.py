@@ -28,8 +28,16 @@ from reviewloom.queries.tables import (
 from reviewloom.schemas import DISTRIBUTION_SCHEMA, REVIEW_SCHEMA, SCORE_STATS_SCHEMA, SCORED_SCHEMA, SUMMARY_SCHEMA
 from reviewloom.sinks.csv import merge_csv, write_csv, write_single_csv
 from reviewloom.sinks.report import write_report
-from reviewloom.sources.reviews import CORRUPT_COLUMN, read_reviews, resolve_dataset, split_rejects
-from reviewloom.sources.runs import read_metrics_csv, read_results_csv, read_run_summaries
+from reviewloom.sources.reviews import (
+    CORRUPT_COLUMN,
+    quarantine,
+    read_parsed,
+    read_rejected,
+    read_reviews,
+    resolve_dataset,
+    split_rejects,
+)
+from reviewloom.sources.runs import read_core_runs, read_metrics_csv, read_results_csv, read_run_summaries
 from reviewloom.sources.storage import input_size, scratch_path
 
 # fixed values: files of the size test, names of configurations that the sources are dealt to
@@ -197,6 +205,39 @@ def review_job_progress(spark, sf_dir):
     return spark.createDataFrame([row], schema)
 
 
+def quarantined_lines(spark, sf_dir):
+    """Good and bad lines written in one pass, read back, with the counts of the writing stage."""
+    written = quarantine(spark, _damaged_lines(spark, sf_dir), scratch_path(spark, "quarantine"))
+    parsed, rejected = read_parsed(spark, written), read_rejected(spark, written)
+    from_file = F.col("source_file").contains("/damaged-") & (F.col("block_start") >= 0)
+    columns = ["asin", "outcome", "lines", "from_file"]
+    found = F.coalesce("asin", F.regexp_extract("line", "D[0-9]+", 0)).alias("asin")
+    return (
+        parsed.withColumns({"outcome": F.lit("parsed"), "lines": F.lit(written.parsed).cast("bigint"), "from_file": from_file})
+        .select(*columns)
+        .unionByName(
+            rejected.withColumns({"asin": F.lit(None).cast("string"), "outcome": F.lit("rejected"), "lines": F.lit(written.rejected).cast("bigint"), "from_file": from_file})
+            .select(found, *columns[1:])
+        )
+    )
+
+
+def mixed_headers(spark, sf_dir):
+    """Metric files of three systems, each with columns of its own and in its own order, as one table."""
+    folder = scratch_path(spark, "mixed")
+    of_system = {
+        "N": ["cores", "total_samples", "total_tokens", "total_time"],
+        "R": ["total_time", "cores", "total_samples"],
+        "A": ["note", "total_tokens", "total_time", "cores"],
+    }
+    levels = levels_of(spark, sf_dir).withColumns({"cores": F.col("parallelism"), "note": F.lit("a, b")})
+    for name, columns in of_system.items():
+        write_single_csv(levels.filter(F.col("framework") == name).select(*columns), folder, f"run_{name}")
+    runs = read_core_runs(spark, folder, position_col="place")
+    system = F.regexp_extract("place.file_path", "run_([A-Z])", 1).alias("framework")
+    return round_columns(runs.select(system, "cores", "total_samples", "total_tokens", "total_time"), "total_time")
+
+
 def best_run_summary(spark, sf_dir):
     """Run summaries of several jobs under their configurations' names, and the best of them; every source is
     dealt to one of the configurations by its hash."""
@@ -243,6 +284,8 @@ def comparison_of_files(spark, sf_dir):
 
 
 QUERIES = {
+    "json_quarantine": quarantined_lines,
+    "core_runs_mixed_headers": mixed_headers,
     "jsonl_roundtrip": jsonl_roundtrip,
     "json_permissive_rows": permissive_rows,
     "json_rejected_lines": rejected_lines,
@@ -280,6 +323,19 @@ FROM documents WHERE doc_id % 7 <> 3""",
     "json_rejected_lines": """
 SELECT 'D' || doc_id AS asin, CASE WHEN doc_id % 7 IN (0, 1) THEN 'rejected' ELSE 'parsed' END AS outcome
 FROM documents WHERE doc_id % 7 <> 3""",
+    "json_quarantine": """
+WITH lines AS (
+  SELECT 'D' || doc_id AS asin, CASE WHEN doc_id % 7 IN (0, 1) THEN 'rejected' ELSE 'parsed' END AS outcome
+  FROM documents WHERE doc_id % 7 <> 3)
+SELECT asin, outcome, count(*) OVER (PARTITION BY outcome) AS lines, TRUE AS from_file FROM lines""",
+    "core_runs_mixed_headers": f"""
+WITH {RUNS_SQL},
+levels AS (
+  SELECT framework, parallelism AS cores, count(*) AS n, CAST(sum(tokens) AS BIGINT) AS tokens, CAST(sum(seconds) AS DOUBLE) AS t
+  FROM runs GROUP BY framework, parallelism)
+SELECT framework, CAST(cores AS INTEGER) AS cores, CASE WHEN framework <> 'A' THEN n END AS total_samples,
+       CASE WHEN framework <> 'R' THEN tokens END AS total_tokens, round(t, 6) AS total_time
+FROM levels""",
     "dataset_lookup": f"WITH {REVIEWS_SQL} SELECT {_COLUMNS} FROM reviews",
     "csv_roundtrip": f"""
 WITH {PATCHY_SQL}

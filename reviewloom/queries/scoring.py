@@ -6,11 +6,13 @@ from reviewloom.operators.classifier import LinearModel, fit_classifier, trained
 from reviewloom.operators.filters import prepare_reviews
 from reviewloom.operators.scoring import (
     MODEL_WINDOW,
+    LexiconScorer,
     ModelScorer,
     label_view,
     result_view,
     score,
 )
+from reviewloom.operators.subwords import CONTINUED, subword_counter
 from reviewloom.queries.tables import (
     WINDOW_SQL,
     CLEANED_SQL,
@@ -33,6 +35,14 @@ from reviewloom.sources.storage import scratch_path
 
 TRAINED_BUCKETS = 1 << 14
 
+# A small vocabulary: the stand-in lexicon, consonants and vowels to begin and to go on with, and some pairs. A word of digits
+# or other letters has no pieces.
+_LETTERS = "abcdefghilmnoprstuvy"
+SUBWORDS = sorted(
+    {*STAND_IN_LEXICON.negative, *STAND_IN_LEXICON.positive, *_LETTERS, *(f"##{letter}" for letter in _LETTERS)}
+    | {pair for a in "rst" for b in "aeio" for pair in (a + b, f"##{a}{b}", f"##{b}{a}")}
+)
+
 
 def vowel_model():
     """A model for tests: vowel counts decide, and it refuses texts with ``aa`` in them."""
@@ -89,6 +99,13 @@ def make_word_factory():
     return factory
 
 
+def subword_scores(spark, sf_dir):
+    """Token counts of a small subword vocabulary in place of words."""
+    scorer = LexiconScorer(STAND_IN_LEXICON, subword_counter(SUBWORDS))
+    result = score(prepare_reviews(spread_reviews(spark, sf_dir)), scorer)
+    return round_columns(result.select("asin", "token_count", "sentiment", "score"), "score")
+
+
 def windowed(spark, sf_dir):
     """Every window of a text is scored, by a model that refuses longer ones."""
     scorer = ModelScorer(make_word_factory(), window_words=MODEL_WINDOW - 2)
@@ -173,6 +190,7 @@ QUERIES = {
     "result_view": results,
     "label_view": labels_only,
     "scored_table": scored_table,
+    "score_subword_tokens": subword_scores,
 }
 
 _SCORE_COLUMNS = f"token_count, sentiment, {ROUNDED_SCORE} AS score"
@@ -230,7 +248,27 @@ SELECT asin, token_count::INTEGER AS token_count, (['NEG', 'NEU', 'POS'])[class
        round(CAST(CAST(1.0::DOUBLE / list_sum([exp(x - top) FOR x IN logits]) AS FLOAT) AS DOUBLE), 6) AS score
 FROM best"""
 
+_PIECES = ", ".join(f"'{piece}'" for piece in SUBWORDS)
+_FITTING = f"""list_max(list_filter(range(1, {max(map(len, SUBWORDS)) + 1}),
+  lambda n: n <= length(word) - done AND (CASE WHEN done > 0 THEN '{CONTINUED}' ELSE '' END || substr(word, done + 1, n)) IN ({_PIECES})))"""
+
+# Every step takes the longest piece that fits; a word with a place where none fits is one token.
+_SUBWORD_SQL = f"""
+WITH RECURSIVE {SCORED_SQL.strip().removeprefix("WITH")},
+split AS (
+  SELECT asin, unnest(regexp_extract_all(preprocessed_text, '[\\p{{P}}\\p{{S}}]|[^\\p{{P}}\\p{{S}}\\s]+')) AS word FROM scored),
+walk(word, done, n) AS (
+  SELECT DISTINCT word, 0::BIGINT, 0::BIGINT FROM split
+  UNION ALL
+  SELECT word, coalesce(done + {_FITTING}, -1), n + 1 FROM walk WHERE done >= 0 AND done < length(word)),
+counted AS (
+  SELECT word, CASE WHEN bool_or(done < 0) OR length(word) > 100 THEN 1 ELSE max(n) END AS n FROM walk GROUP BY word),
+tokens AS (SELECT asin, sum(n) AS n FROM split JOIN counted USING (word) GROUP BY asin)
+SELECT asin, CAST(coalesce(n, 0) + 2 AS INTEGER) AS token_count, sentiment, {ROUNDED_SCORE} AS score
+FROM scored LEFT JOIN tokens USING (asin)"""
+
 ORACLES = {
+    "score_subword_tokens": _SUBWORD_SQL,
     "score_trained": _TRAINED_SQL,
     "score_lexicon": f"{SCORED_SQL} SELECT asin, {_SCORE_COLUMNS} FROM scored",
     "score_model_window": f"{WINDOW_SQL} SELECT asin, {_SCORE_COLUMNS} FROM scored",

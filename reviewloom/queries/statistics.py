@@ -24,6 +24,7 @@ from reviewloom.queries.tables import (
     table,
     WINDOW_SQL,
 )
+from reviewloom.sources.storage import scratch_path
 
 SECONDS, TOTAL_SECONDS, PARTITIONS = 12.5, 20.0, 8
 STARTED, COMPLETED = "2025-01-01 00:00:00", "2025-01-01 00:00:20"
@@ -60,6 +61,16 @@ def window_tokens(spark, sf_dir):
     return round_columns(stats.token_stats(windowed(spark, sf_dir)), "mean_token_count", "stddev_token_count")
 
 
+def merged_statistics(spark, sf_dir):
+    """Statistics of each source, as of a run of its own, written and merged without a look at the scored rows."""
+    parts = scratch_path(spark, "statistics")
+    of_run = scored(spark, sf_dir).groupBy("user_id").agg(*stats.score_aggregates(), *stats.token_aggregates())
+    of_run.write.parquet(parts)
+    merged = stats.merge_statistics(spark.read.schema(of_run.schema).parquet(parts))
+    names = [f"{kind}_{name}" for name in ("confidence", "token_count") for kind in ("mean", "stddev")]
+    return round_columns(merged, *names, "min_confidence", "max_confidence")
+
+
 def text_lengths(spark, sf_dir):
     return round_columns(stats.text_length_stats(reviews(spark, sf_dir)), "mean_text_length")
 
@@ -122,6 +133,7 @@ def turn_tokens(spark, sf_dir):
 
 
 QUERIES = {
+    "statistics_merged": merged_statistics,
     "sentiment_distribution": distribution,
     "sentiment_display_series": display,
     "score_stats": scores,
@@ -148,6 +160,15 @@ SELECT CAST(sum(token_count) AS BIGINT) AS total_tokens,
 FROM scored"""
 
 ORACLES = {
+    "statistics_merged": f"""
+{SCORED_SQL},
+s AS (SELECT CAST(score AS DOUBLE) AS score, token_count FROM scored)
+SELECT count(*) AS total_reviews, round(avg(score), 6) AS mean_confidence, round(stddev_samp(score), 6) AS stddev_confidence,
+       round(min(score), 6) AS min_confidence, round(max(score), 6) AS max_confidence,
+       CAST(sum(token_count) AS BIGINT) AS total_tokens, round(avg(token_count), 6) AS mean_token_count,
+       round(stddev_samp(token_count), 6) AS stddev_token_count, max(token_count) AS max_token_count,
+       min(token_count) AS min_token_count
+FROM s""",
     "sentiment_distribution": SCORED_SQL + _DISTRIBUTION,
     "sentiment_display_series": f"""
 WITH {PATCHY_SQL}, {score_sql("reviews", "text")},

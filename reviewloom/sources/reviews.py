@@ -1,6 +1,8 @@
 """Reading reviews from JSON Lines."""
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -40,6 +42,51 @@ def split_rejects(
     return checked.filter(~rejected).drop(corrupt_column), checked.filter(rejected)
 
 
+@dataclass(frozen=True)
+class Quarantine:
+    """Where the lines went, and how many."""
+
+    path: str
+    parsed: int
+    rejected: int
+
+
+def quarantine(spark: SparkSession, path: str | list[str], output: str) -> Quarantine:
+    """Write the lines that parse and those that do not in one pass: one scan, one stage, two folders below ``output``.
+
+    Both are counted by the stage that writes. Each row keeps the file it came from and the start of its block, a rejected one also
+    its text. Blank lines are neither. Read back with ``read_parsed`` and ``read_rejected``.
+    """
+    lines = read_reviews(spark, path, CORRUPT_COLUMN).select(
+        "*",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.col(CORRUPT_COLUMN).isNotNull().alias("rejected"),
+    )
+    counts = Observation()
+    counted = lines.observe(
+        counts, F.count_if(~F.col("rejected")).alias("parsed"), F.count_if("rejected").alias("rejected_lines")
+    )
+    counted.write.partitionBy("rejected").parquet(output)
+    return Quarantine(output, counts.get["parsed"], counts.get["rejected_lines"])
+
+
+def read_parsed(spark: SparkSession, written: Quarantine) -> DataFrame:
+    """The reviews that parsed, with ``source_file`` and ``block_start``; the rejected files are not opened."""
+    return _quarantined(spark, written).filter("NOT rejected").drop(CORRUPT_COLUMN, "rejected")
+
+
+def read_rejected(spark: SparkSession, written: Quarantine) -> DataFrame:
+    """Rejected lines as ``line``, with ``source_file`` and ``block_start``."""
+    rows = _quarantined(spark, written).filter("rejected")
+    return rows.select(F.col(CORRUPT_COLUMN).alias("line"), "source_file", "block_start")
+
+
+def _quarantined(spark: SparkSession, written: Quarantine) -> DataFrame:
+    schema = StructType(list(REVIEW_SCHEMA.fields)).add(CORRUPT_COLUMN, "string").add("source_file", "string")
+    return spark.read.schema(schema.add("block_start", "long").add("rejected", "boolean")).parquet(written.path)
+
+
 def resolve_dataset(
     spark: SparkSession, dataset: str, root: str = "/", input_file: str | None = None
 ) -> str:

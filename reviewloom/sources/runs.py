@@ -1,12 +1,19 @@
 """Reading run metrics and written results."""
 
+import csv
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
-from reviewloom.schemas import CORE_RUN_SCHEMA, SUMMARY_SCHEMA, THREAD_RUN_SCHEMA
+from reviewloom.schemas import (
+    CORE_RUN_SCHEMA,
+    SCORE_STATS_SCHEMA,
+    SUMMARY_SCHEMA,
+    THREAD_RUN_SCHEMA,
+    TOKEN_STATS_SCHEMA,
+)
 
 # Null is written as \N, so that it differs from an empty text; a text that looks like it gets one
 # more backslash in front. Texts may hold line breaks.
@@ -21,26 +28,58 @@ CSV_OPTIONS = {
 }
 
 
+# What ``position_col`` holds.
+PLACE_TYPE = "struct<file_path: string, file_block_start: bigint, row: bigint>"
+
+
 def read_metrics_csv(
     spark: SparkSession, path: str | list[str], schema: StructType, position_col: str | None = None
 ) -> DataFrame:
-    """One table out of one or many metric files that share a header.
+    """One table out of one or many metric files, each with a header of its own.
 
-    Columns are found by name: the header may order them differently, lack some, or have others,
-    which are dropped. Files with differing headers raise; read those one by one and concatenate.
+    Columns are found by name: a header may order them differently, lack some, or have others,
+    which are dropped; of two columns of one name the first counts. A column that some files lack is null
+    in their rows, one that all lack is missing. Files of equal headers share a scan, which opens no others.
     ``position_col`` keeps the order of the rows: by file path, then as they stand in the file.
+    Files without a line give no rows; if there are no others, all declared columns are there.
     """
-    reader = spark.read.options(header="true", quote='"', escape='"', enforceSchema="false")
-    header = reader.csv(path).columns
+    tables = [_read_alike(spark, path, header, files, schema, position_col) for header, files in _files_by_header(spark, path)]
+    if not tables:
+        empty = spark.createDataFrame([], schema)
+        return empty.withColumn(position_col, F.lit(None).cast(PLACE_TYPE)) if position_col else empty
+    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    names = [name for name in schema.names if name in united.columns]
+    return united.select(*names, *([position_col] if position_col else []))
+
+
+def _files_by_header(spark: SparkSession, path: str | list[str]) -> list[tuple[str, list[str]]]:
+    """Each distinct first line, with the files that have it. The file names pass through the driver, as in any listing."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"),
+        "value",
+    )
+    first = lines.filter("start = 0 AND trim(value) <> ''").groupBy("file").agg(F.min_by("value", "row").alias("header"))
+    alike = first.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files")).orderBy("header")
+    return [(row["header"], row["files"]) for row in alike.collect()]
+
+
+def _read_alike(
+    spark: SparkSession, path: str | list[str], header: str, files: list[str], schema: StructType, position_col: str | None
+) -> DataFrame:
+    """The rows of ``files``, which are among those of ``path`` and begin with ``header``."""
     declared = {field.name: field for field in schema.fields}
-    rows = reader.schema(
-        StructType([declared.get(name, StructField(name, StringType())) for name in header])
-    ).csv(path)
-    columns = [F.col(name) for name in schema.names if name in header]
+    names = []
+    for place, name in enumerate(next(csv.reader([header.removeprefix("\ufeff")]))):
+        names.append(f"{name}_{place}" if name in names else name)
+    whole = StructType([declared.get(name, StructField(name, StringType())) for name in names])
+    rows = spark.read.options(header="true", quote='"', escape='"').schema(whole).csv(path)
+    columns = [F.col(name) for name in schema.names if name in names]
     if position_col:
-        place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
-        columns.append(place.alias(position_col))
-    return rows.select(*columns)
+        place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+        columns.append(place.cast(PLACE_TYPE).alias(position_col))
+    return rows.filter(F.col("_metadata.file_path").isin(files)).select(*columns)
 
 
 def read_core_runs(
@@ -68,6 +107,17 @@ def read_run_summaries(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
+def read_run_statistics(spark: SparkSession, paths: dict[str, tuple[str, str]]) -> DataFrame:
+    """The score and token statistics that several jobs wrote, one row for each job, with its name as ``run``:
+    what ``operators.statistics.merge_statistics`` takes. ``paths`` holds the two files of each job."""
+
+    def named(index: int, schema: StructType) -> DataFrame:
+        tables = [spark.read.schema(schema).options(**CSV_OPTIONS).csv(files[index]).withColumn("run", F.lit(name)) for name, files in paths.items()]
+        return reduce(DataFrame.unionByName, tables)
+
+    return named(0, SCORE_STATS_SCHEMA).join(named(1, TOKEN_STATS_SCHEMA), "run")
+
+
 def read_results_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
     """Read back what ``sinks.csv`` wrote: the same rows, line breaks and empty texts included."""
     rows = spark.read.schema(schema).options(multiLine="true", **CSV_OPTIONS).csv(path)

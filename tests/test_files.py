@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from reviewloom.schemas import REVIEW_SCHEMA, SUMMARY_SCHEMA
+from reviewloom.schemas import CORE_RUN_SCHEMA, REVIEW_SCHEMA, SUMMARY_SCHEMA
 from reviewloom.sinks.csv import (
     codec_suffix,
     merge_csv,
@@ -16,11 +16,14 @@ from reviewloom.sinks.csv import (
 from reviewloom.sources.reviews import (
     CORRUPT_COLUMN,
     load_reviews,
+    quarantine,
+    read_parsed,
+    read_rejected,
     read_reviews,
     resolve_dataset,
     split_rejects,
 )
-from reviewloom.sources.runs import read_results_csv
+from reviewloom.sources.runs import read_core_runs, read_results_csv
 from reviewloom.sources.storage import path_exists
 
 LINES = [
@@ -167,3 +170,52 @@ def test_metrics(spark, tmp_path):
     assert dict(zip(header.split(","), line.split(","), strict=True))["total_reviews"] == "3"
     as_json = write_single_json(metrics_row(spark, metrics), str(tmp_path), "metrics")
     assert json.loads(open(as_json).read())["processing_time_seconds"] == 1.5
+
+
+def test_quarantine_in_one_pass(spark, jsonl, tmp_path, plan_of):
+    written = quarantine(spark, jsonl, str(tmp_path / "out"))
+    assert (written.parsed, written.rejected) == (6, 2)
+    parsed = read_parsed(spark, written)
+    assert parsed.columns == [*REVIEW_SCHEMA.names, "source_file", "block_start"]
+    expected, _ = split_rejects(read_reviews(spark, jsonl, CORRUPT_COLUMN))
+    assert sorted(map(repr, parsed.select(REVIEW_SCHEMA.names).collect())) == sorted(map(repr, expected.collect()))
+    assert {(r["source_file"].rsplit("/", 1)[1], r["block_start"]) for r in parsed.collect()} == {("reviews.jsonl", 0)}
+    rejected = read_rejected(spark, written)
+    assert sorted(r["line"] for r in rejected.collect()) == sorted([LINES[1], LINES[2]])
+    assert "PartitionFilters" in plan_of(rejected) and rejected.inputFiles() != []
+
+
+def test_quarantine_of_good_bad_or_no_lines(spark, tmp_path):
+    for name, text, counts in (("good", LINES[0], (1, 0)), ("bad", "no json", (0, 1)), ("none", "", (0, 0))):
+        path = tmp_path / f"{name}.jsonl"
+        path.write_text(text + "\n", encoding="utf-8")
+        written = quarantine(spark, str(path), str(tmp_path / name))
+        assert (written.parsed, written.rejected) == counts
+        assert (read_parsed(spark, written).count(), read_rejected(spark, written).count()) == counts
+
+
+def metric_files(folder, **texts):
+    folder.mkdir()
+    for name, text in texts.items():
+        (folder / f"{name}.csv").write_text(text, encoding="utf-8")
+    return str(folder)
+
+
+def test_metric_files_with_differing_headers(spark, tmp_path):
+    path = metric_files(
+        tmp_path / "a b%20c",
+        a="cores,total_time,total_time\n2,1.5,9\n1,2.5,9\n",
+        b='"total_tokens","no, te",cores\n70,"x, y",4\n',
+        c="\n\ntotal_time,cores\n3.5,8\n",
+        d="",
+        e="cores,total_time\n",
+    )
+    runs = read_core_runs(spark, path, position_col="place").orderBy("place")
+    assert runs.columns == ["cores", "total_tokens", "total_time", "place"]
+    assert [tuple(r)[:3] for r in runs.collect()] == [(2, None, 1.5), (1, None, 2.5), (4, 70, None), (8, None, 3.5)]
+
+
+def test_metric_files_without_a_line(spark, tmp_path):
+    path = metric_files(tmp_path / "empty", a="", b="\n")
+    runs = read_core_runs(spark, path, position_col="place")
+    assert runs.columns == [*CORE_RUN_SCHEMA.names, "place"] and runs.count() == 0

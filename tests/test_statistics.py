@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,7 +7,9 @@ from reviewloom.functions.numeric import mean_or_zero, one_decimal, percent_of,
 from reviewloom.operators import statistics as stats
 from reviewloom.operators.observation import input_aggregates, observe, scored_aggregates
 from reviewloom.operators.scoring import LABELS
+from reviewloom.sinks.csv import write_single_csv
 from reviewloom.sinks.report import table_lines
+from reviewloom.sources.runs import read_run_statistics
 
 SCHEMA = "token_count int, sentiment string, score float"
 
@@ -105,3 +109,43 @@ def test_observed_counts_are_exact(spark):
     assert result["total_reviews"] == 987
     assert sum(result[f"label_{label}"] for label in [*LABELS, "ERROR"]) == 987
     assert result["total_tokens"] == 3 * 987
+
+
+def test_merged_statistics_equal_those_of_the_union(spark):
+    draw = random.Random(4)
+    rows = [(r, draw.randrange(1, 2000), "POS", draw.random()) for r in [1] * 400 + [2] * 3 + [3] for _ in range(2)]
+    rows += [(4, 7, "NEG", 1e-9)]
+    df = spark.createDataFrame(rows, "run int, token_count int, sentiment string, score double")
+    both = [*stats.score_aggregates(), *stats.token_aggregates()]
+    parts = df.groupBy("run").agg(*both)
+    nothing = df.filter("false").agg(*both)
+    merged = stats.merge_statistics(parts.unionByName(nothing, allowMissingColumns=True)).first().asDict()
+    assert merged == pytest.approx(df.agg(*both).first().asDict(), rel=1e-12)
+    per_run = {r["run"]: r.asDict() for r in stats.merge_statistics(parts, ["run"]).collect()}
+    for part in parts.collect():
+        known = {name: value for name, value in part.asDict().items() if value is not None}
+        assert {name: per_run[part["run"]][name] for name in known} == pytest.approx(known, rel=1e-12)
+        assert {name for name, value in per_run[part["run"]].items() if value is not None} == set(known)
+
+
+def test_merged_statistics_of_nothing(spark):
+    empty = scored(spark).agg(*stats.score_aggregates(), *stats.token_aggregates())
+    assert stats.merge_statistics(empty).first() == empty.first()
+    assert stats.merge_statistics(empty.limit(0)).first() == empty.first()
+
+
+def test_statistics_of_two_jobs_from_their_files(spark, tmp_path):
+    all_rows = scored(spark, *[(i, "POS", i / 50) for i in range(1, 40)])
+    paths = {}
+    for name, part in (("a", all_rows.filter("token_count < 9")), ("b", all_rows.filter("token_count >= 9"))):
+        folder = str(tmp_path / name)
+        paths[name] = (
+            write_single_csv(stats.score_stats(part), folder, "scores"),
+            write_single_csv(stats.token_stats(part), folder, "tokens"),
+        )
+    merged = stats.merge_statistics(read_run_statistics(spark, paths)).first().asDict()
+    assert merged == pytest.approx(summed(all_rows), rel=1e-12)
+
+
+def summed(df):
+    return df.agg(*stats.score_aggregates(), *stats.token_aggregates()).first().asDict()
