@@ -111,7 +111,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """log10 probability of every text under a bigram automaton with failure arcs, learned from four fifths of them."""
+    """log10 probability of every text under a trigram automaton with failure arcs, learned from four fifths of them."""
     scored = language_model.language_scores(
         _table(spark, sf_dir, "documents").select("doc_id", "text"), _fold() != 1, carry=["doc_id"]
     )

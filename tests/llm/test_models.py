@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -225,48 +226,87 @@ def test_mixing(spark):
     assert mixing.mix(df.limit(0)).count() == 0 and mixing.mixed_rows(mixing.mix(df.limit(0))).count() == 0
 
 
-def brute_scores(texts, train, prior):
-    words = [(t or "").encode().lower().split() + [None] for t in texts]
-    ones, pairs = Counter(), Counter()
+def brute_scores(texts, train, prior, order=2):
+    """The model's formula, word by word."""
+    words = [["<s>", *(t or "").encode().lower().split(), None] for t in texts]
+    seen = Counter()
     for w, used in zip(words, train, strict=True):
-        if used:
-            ones.update(w)
-            pairs.update(zip(["<s>", *w[:-1]], w, strict=True))
-    n, v, begun = sum(ones.values()), len(ones), sum(train)
-    p = lambda w: (ones[w] + 0.5) / (n + 0.5 * (v + 1))
-    context = lambda h: begun if h == "<s>" else ones[h]
-    base = [sum(math.log10(p(w)) for w in x) for x in words]
-    full = [
-        sum(math.log10((pairs[h, w] + prior * p(w)) / (context(h) + prior)) for h, w in zip(["<s>", *x[:-1]], x, strict=True))
-        for x in words
-    ]
-    return n, [len(x) for x in words], [sum(w in ones for w in x) for x in words], base, full
-
-
-@pytest.mark.parametrize("block_bytes", [300, 8_000_000])
-def test_language_scores(spark, monkeypatch, block_bytes):
-    monkeypatch.setattr(language_model, "RANGE_KEYS", 200)
+        for i in range(len(w) if used else 0):
+            seen.update(tuple(w[i - k + 1 : i + 1]) for k in range(1, order + 1) if k <= i + 1)
+    known = {gram[0] for gram in seen if len(gram) == 1} - {"<s>"}
+    n, v = sum(seen[(w,)] for w in known), len(known)
+
+    def p(h, w):
+        if not h:
+            return (seen[(w,)] + 0.5) / (n + 0.5 * (v + 1))
+        return (seen[(*h, w)] + prior * p(h[1:], w)) / (seen[h] + prior)
+
+    base = [sum(math.log10(p((), w)) for w in x[1:]) for x in words]
+    full = [sum(math.log10(p(tuple(x[max(0, i - order + 1) : i]), x[i])) for i in range(1, len(x))) for x in words]
+    return n, [len(x) - 1 for x in words], [sum(w in known for w in x[1:]) for x in words], base, full
+
+
+def _corpus():
     draw = random.Random(3)
     texts = [" ".join(draw.choice(["the", "The", "of", "cat", "é", f"r{draw.randrange(50)}"]) for _ in range(draw.randrange(40))) for _ in range(120)]
-    texts += [None, "", " \t", "unseenword " * 400, texts[0]]
-    train = [zlib.crc32(str(i).encode()) % 5 != 1 for i in range(len(texts))]
+    texts += [None, "", " \t", "unseenword " * 400, texts[0], "the cat of the r1 " * 300]
+    return texts, [zlib.crc32(str(i).encode()) % 5 != 1 for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("order, block_bytes, segment", [(2, 300, 512), (3, 8_000_000, 512), (3, 300, 7), (1, 8_000_000, 5), (4, 2_000, 3)])
+def test_language_scores(spark, monkeypatch, order, block_bytes, segment):
+    monkeypatch.setattr(language_model, "RANGE_KEYS", 200)
+    texts, train = _corpus()
     df = spark.createDataFrame([(i, t, "k", 0.0) for i, t in enumerate(texts)], "doc_id long, text string, block string, score double").repartition(3)
-    scored = language_model.language_scores(df, F.crc32(F.col("doc_id").cast("string")) % 5 != 1, block_bytes=block_bytes)
-    n, tokens, known, base, full = brute_scores(texts, train, 64.0)
+    learned = F.crc32(F.col("doc_id").cast("string")) % 5 != 1
+    scored = language_model.language_scores(df, learned, block_bytes=block_bytes, order=order, segment_tokens=segment)
+    n, tokens, known, base, full = brute_scores(texts, train, 64.0, order)
     rows = sorted(scored.collect(), key=lambda r: r["row"]["doc_id"])
     assert [r["n_tokens"] for r in rows] == tokens and [r["n_known"] for r in rows] == known
     assert {r["train_tokens"] for r in rows} == {n} and [r["in_training"] for r in rows] == train
     assert [r["base_score"] for r in rows] == pytest.approx(base) and [r["score"] for r in rows] == pytest.approx(full)
 
 
-def test_probabilities_after_a_context_add_up(spark):
-    """Every known word after one context, and the unknown one."""
-    texts = ["a b a c", "a a b", "c"]
-    vocabulary = ["a", "b", "c"]
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(10 + i, f"a {w}") for i, w in enumerate([*vocabulary, "zzz", ""])], "doc_id long, text string")
-    rows = {r["row"]["doc_id"]: r["score"] for r in language_model.language_scores(df, F.col("doc_id") < 10, prior=3.0).collect()}
-    n, _, _, _, full = brute_scores([*texts, *[f"a {w}" for w in [*vocabulary, "zzz", ""]]], [True] * 3 + [False] * 5, 3.0)
+def test_automaton_has_the_states_and_arcs_of_the_model():
+    texts = pa.array(["a b a c", "a a b", "c"])
+    block = language_model.Block(*language_model.Block.coded(texts), np.ones(3, bool), 3)
+    totals = {k: counts for k, _, counts in block.asked()}
+    made = language_model.Automaton(block, totals, totals[1] / totals[1].sum(), 3, 2.0)
+    # the root, the beginning, a, b, c, the end; and the pairs <s>a <s>c aa ab ac ba b$ c$
+    assert len(made.fail_to) == 2 + 4 + 8 and made.fail_to[:2].tolist() == [0, 0]
+    assert (made.fail_to[2:6] == 0).all() and set(made.fail_to[6:].tolist()) <= set(range(2, 6))
+    assert len(made.arc_keys) - 1 == len(totals[2]) + len(totals[3]) and (np.diff(made.arc_keys) > 0).all()
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_probabilities_after_a_context_add_up(spark, order):
+    """Every known word after a context, and the unknown one, whose share a new word would get."""
+    texts, ends = ["a b a c", "a a b", "c"], ["a", "b", "c", "zzz", ""]
+    given = [*texts, *[f"b a {w}" for w in ends], "b a"]
+    df = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    scored = language_model.language_scores(df, F.col("doc_id") < 3, prior=3.0, order=order)
+    rows = {r["row"]["doc_id"]: r["score"] for r in scored.collect()}
+    *_, full = brute_scores(given, [True] * 3 + [False] * 6, 3.0, order)
     assert [rows[k] for k in sorted(rows)] == pytest.approx(full)
+    made = language_model.Block(*language_model.Block.coded(pa.array(texts)), np.ones(3, bool), order)
+    totals = {k: counts for k, _, counts in made.asked()}
+    n, v = int(totals[1].sum()), len(totals[1])
+    machine = language_model.Automaton(made, totals, (totals[1] + 0.5) / (n + 0.5 * (v + 1)), 3, 3.0)
+    contexts = {machine.ROOT, machine.BEGIN, *(machine.arc_keys[:-1] // v).tolist()}
+    assert len(contexts) > 4
+    for state in contexts:
+        _, weights = machine.step(np.full(v, state), np.arange(v))
+        unknown, at = math.log10(0.5 / (n + 0.5 * (v + 1))), state
+        while at != machine.ROOT:
+            unknown, at = unknown + machine.fail_weight[at], machine.fail_to[at]
+        assert (10**weights).sum() + 10**unknown == pytest.approx(1)
+
+
+def test_language_model_refuses_odd_parameters(spark):
+    df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    for odd in ({"order": 0}, {"prior": 0.0}, {"segment_tokens": 0}):
+        with pytest.raises(ValueError, match="order"):
+            language_model.language_scores(df, F.lit(True), **odd)
 
 
 def test_language_scores_without_rows_or_training(spark):
