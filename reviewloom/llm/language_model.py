@@ -10,7 +10,8 @@ word is taken if there is one, else the failure arc is followed and the word tri
 The whole automaton grows with the corpus and is nowhere in one place. Documents are read in blocks of
 some megabytes. A block asks for the counts of the n-grams that occur in it: sorted 64-bit keys go to
 ranges of the key space, where the training counts of all blocks are summed, and the totals come back in the
-order in which they were asked for. Each block then builds the states and arcs that its own texts can walk, and walks all its
+order in which they were asked for. Keys of n-grams have ``GRAM_BITS`` bits: of 10^13 different n-grams one in 30,000 shares its key with
+another and is counted with it. Each block then builds the states and arcs that its own texts can walk, and walks all its
 texts at once, a vector of current states moving on by a word at a time. A long text is cut into segments: an automaton of
 order n is in the right state after n - 1 words wherever it began, so a segment reads the n - 1 words before it first.
 """
@@ -28,7 +29,9 @@ from reviewloom.llm.textbytes import mix, slices, word_hashes
 
 BLOCK_BYTES = 8_000_000
 RANGE_KEYS = 2_000_000  # keys of one range, all blocks together
+GRAM_BITS = 58  # of the keys of n-grams of two words and more; those of words have 64
 SEGMENT_TOKENS = 512  # longest run of one text that is walked by itself
+_DROPPED = np.uint64(64 - GRAM_BITS)
 _END = np.uint64(0x2545F4914F6CDD1D)  # key of the end of a text
 _BEGIN = np.uint64(0x9FB21C651E98DF25)  # key of the context before the first word
 
@@ -77,9 +80,10 @@ class Block:
                 context[self.begins] = _BEGIN
             keys = mix(context * np.uint64(0xD6E8FEB86659FD93) + words)
             real = np.flatnonzero(self.place >= k - 2)
-            self.grams[k], at, inverse = np.unique(keys[real], return_index=True, return_inverse=True)
+            kept = keys[real] >> _DROPPED << _DROPPED
+            self.grams[k], at, inverse = np.unique(kept, return_index=True, return_inverse=True)
             self.first[k] = real[at]
-            self.number[k] = np.full(len(codes), -1)
+            self.number[k] = np.full(len(codes), -1, np.int32)
             self.number[k][real] = inverse
 
     @staticmethod
@@ -99,7 +103,9 @@ class Block:
     def scores(self, totals: dict[int, np.ndarray], all_words: int, all_kinds: int, texts: int, prior: float, segment_tokens: int):
         """Per text: tokens, known tokens, base score and score, from the totals of this block's n-grams."""
         p = (totals[1] + 0.5) / (all_words + 0.5 * (all_kinds + 1))
-        weights = Automaton(self, totals, p, texts, prior).walk(self, segment_tokens)
+        automaton = Automaton(self, totals, p, texts, prior)
+        self.grams, self.number, self.first = {}, {}, {}  # the walk needs the memory
+        weights = automaton.walk(self, segment_tokens)
         per_text = lambda values: np.add.reduceat(values, self.begins)
         known = (totals[1][self.codes] > 0).astype(np.int64)
         return np.diff(self.ends, prepend=0), per_text(known), per_text(np.log10(p)[self.codes]), per_text(weights)
@@ -249,7 +255,7 @@ def _totals(blocks: DataFrame, ranges: int, order: int) -> DataFrame:
                             "kind": [kind] * len(found),
                             "range": [i for i, _, _ in found],
                             "block": [number] * len(found),
-                            "keys": [_pack_sorted(keys[b:e]) for _, b, e in found],
+                            "keys": [_pack_sorted(keys[b:e] if kind == 1 else keys[b:e] >> _DROPPED) for _, b, e in found],
                             "counts": [_pack(counts[b:e].astype(np.uint32)) for _, b, e in found],
                         },
                         schema=pa.schema({"kind": pa.int32(), "range": pa.int32(), "block": pa.int64(), "keys": pa.binary(), "counts": pa.binary()}),
