@@ -1,36 +1,40 @@
 """Licence scan by a trained paragraph classifier, in DataFrame operations only.
 
-The classifier is a multinomial logistic regression over word 1- and 2-grams, trained on the notices
-below, on shortened copies of them, and on sentences that use the same words without granting a licence (the
-class ``unknown``). A paragraph goes to the classifier if it holds one of a few cues (without one it is
-unknown by definition). Its prediction counts if the calibrated probability is high enough, and if the paragraph then
-holds most of the words of some notice of the predicted family.
+The classifier is a multinomial logistic regression over word 1- and 2-grams, trained on the notices below, on
+shortened copies of them, and on sentences that use the same words without granting a licence (the class
+``unknown``). Its temperature is calibrated out of fold: each half of the notices and sentences is scored by a model
+that saw no notice of that half. A paragraph counts if its predicted family's probability is high enough, and if it then
+holds most of the words of some notice of that family.
 
 A paragraph is a line, or some lines in a row that a hard-wrapped notice may fill: from every line on, lines are joined
 until they hold as many words as the longest notice, or a line without words ends the block. Joined lines must hold
 most of a notice's pairs of words, too. Of overlapping paragraphs that hold a notice the shortest stands.
+
+Texts are read by a gate that loses nothing: who holds 70 % of a notice's words holds one of any 30 % and one more of
+them. For each notice these are the words that the fewest other sentences and families hold, and among those the words
+with the largest weights for its family.
 """
 
 import json
+import math
 import re
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from reviewloom.llm.staging import staged
+
 UNKNOWN = "unknown"
-CUES = (
-    "licen", "copyright", "spdx", "creative commons", "cc by", "cc-by", "cc0", "public domain", "gpl",
-    "warrant", "redistribut", "permission is hereby", "unencumbered",
-)
 # Short notices as authors put them into their works, by family.
 NOTICES = {
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
         "This project is released under the Apache 2.0 license.",
+        "Released under Apache 2.0.",
         "Apache License Version 2.0, January 2004",
         "SPDX-License-Identifier: Apache-2.0",
     ),
@@ -72,8 +76,22 @@ NOTICES = {
     "MPL-2.0": (
         "This file is subject to the terms of the Mozilla Public License, version 2.0.",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "Distributed under the terms of the Mozilla Public License 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
     ),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+    ),
+    "ISC": (
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "SPDX-License-Identifier: ISC",
+    ),
+    "BSL-1.0": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "SPDX-License-Identifier: BSL-1.0",
+    ),
     "CC-BY": (
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
@@ -86,6 +104,10 @@ NOTICES = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
+    "CC-BY-ND": (
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ),
     "CC0": (
         "Released into the public domain under CC0 1.0.",
         "To the extent possible under law, the author has waived all copyright with a CC0 public domain dedication.",
@@ -114,6 +136,11 @@ OTHERS = (
     "He studied at MIT in the nineties.",
 )
 
+# Fixed: English words that any text holds; the gate takes them last.
+COMMON = set(
+    "a an and any are as at by can either for has in into is it made must not of on only or that the this to under use with without you".split()
+)
+
 
 def _words(text: Column) -> Column:
     plain = F.trim(F.regexp_replace(F.lower(text), r"[^a-z0-9]++", " "))
@@ -128,113 +155,139 @@ def _grams(words: Column) -> Column:
     return F.array_distinct(F.concat(words, pairs))
 
 
+def _words_of(text: str) -> set[str]:
+    return set(re.findall("[a-z0-9]+", text.lower()))
+
+
+def _any_word(words: list[str]) -> str:
+    """A pattern that finds one of ``words`` as a whole word of a lower-case text."""
+    first = {}
+    for word in words:
+        first.setdefault(word[0], []).append(word[1:])
+    return "(?<![a-z0-9])(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in first.items()) + ")(?![a-z0-9])"
+
+
 NOTICE_WORDS = max(len(re.findall("[a-z0-9]+", text.lower())) for texts in NOTICES.values() for text in texts)
 
 
 def _training(spark: SparkSession) -> DataFrame:
-    """Notices and other sentences: whole (0), without the last word (1) and without the first (2)."""
-    rows = [(family, text) for family, texts in NOTICES.items() for text in texts]
-    rows += [(UNKNOWN, text) for text in OTHERS]
-    values = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(t).alias("text")) for f, t in rows])
-    whole = spark.range(1).select(F.explode(values).alias("row")).select("row.*", _words(F.col("row.text")).alias("words"))
-    n = F.size("words")
-    forms = F.array(
-        F.col("words"), F.slice("words", 1, F.greatest(n - 1, F.lit(2))), F.slice("words", F.when(n > 3, 2).otherwise(1), n)
+    """Notices and other sentences: whole (form 0) and without the last word (1); ``half`` takes turns within a family."""
+    rows = [(f, t, i % 2) for f, texts in {**NOTICES, UNKNOWN: OTHERS}.items() for i, t in enumerate(texts)]
+    number = {family: float(i) for i, family in enumerate([UNKNOWN, *NOTICES])}
+    values = F.array(
+        *[F.struct(F.lit(number[f]).alias("number"), F.lit(t).alias("text"), F.lit(half).alias("half")) for f, t, half in rows]
     )
-    return whole.select("family", F.posexplode(forms).alias("form", "words")).withColumn("grams", _grams(F.col("words")))
+    whole = spark.range(1).select(F.explode(values).alias("row")).select("row.*", _words(F.col("row.text")).alias("words"))
+    forms = F.array(F.col("words"), F.slice("words", 1, F.greatest(F.size("words") - 1, F.lit(2))))
+    exploded = whole.select("number", "half", F.posexplode(forms).alias("form", "words"))
+    return exploded.withColumn("grams", _grams(F.col("words"))).coalesce(1)
 
 
-class LicenseModel:
+class _Weights:
     """Weights of the n-grams and the intercept per family, as literals of bounded size."""
 
-    temperature = 1.0
-
-    def __init__(self, spark: SparkSession, ridge: float = 0.002):
-        self.families = [UNKNOWN, *NOTICES]
-        number = F.array_position(F.array(*[F.lit(f) for f in self.families]), F.col("family")) - 1
-        rows = _training(spark).withColumn("number", number.cast("double")).coalesce(1)
+    def __init__(self, rows: DataFrame, ridge: float):
         fitted = Pipeline(
             stages=[
                 CountVectorizer(inputCol="grams", outputCol="features", binary=True),
                 LogisticRegression(
-                    labelCol="number", family="multinomial", regParam=ridge, maxIter=100, standardization=False
+                    labelCol="number", family="multinomial", regParam=ridge, maxIter=40, standardization=False
                 ),
             ]
-        ).fit(rows.filter("form < 2"))
+        ).fit(rows)
         grams, regression = fitted.stages[0].vocabulary, fitted.stages[1]
         weights = regression.coefficientMatrix.toArray()
         self.intercepts = [float(x) for x in regression.interceptVector.toArray()]
-        self.weights = {gram: [float(w) for w in weights[:, i]] for i, gram in enumerate(grams)}
-        self.temperature = self._calibrated(rows.filter("form = 2"))
+        self.of_gram = {gram: [float(w) for w in weights[:, i]] for i, gram in enumerate(grams)}
+
+    def logits(self, grams: Column) -> Column:
+        table = F.from_json(F.lit(json.dumps(self.of_gram)), "map<string,array<double>>")  # folded into one literal
+        zero = F.array(*[F.lit(v) for v in self.intercepts])
+        known = F.filter(grams, lambda g: F.map_contains_key(table, g))
+        return F.aggregate(known, zero, lambda total, g: F.zip_with(total, table[g], lambda a, b: a + b))
+
+
+class LicenseModel:
+    """Weights from all notices and sentences, and the temperature under which those left out are likeliest."""
 
-    def _calibrated(self, unseen: DataFrame) -> float:
-        """The temperature under which sentences that were not trained on are likeliest."""
-        grid = F.array(*[F.lit(0.25 * 1.25**k) for k in range(16)])
-        logits = unseen.select("number", self.logits(F.col("grams")).alias("logits"), F.explode(grid).alias("t"))
+    def __init__(self, spark: SparkSession, ridge: float = 0.002):
+        self.families = [UNKNOWN, *NOTICES]
+        rows = _training(spark)
+        self.temperature = self._calibrated(rows, ridge)
+        self.weights = _Weights(rows, ridge)
+
+    def _calibrated(self, rows: DataFrame, ridge: float) -> float:
+        scored = None
+        for half in (0, 1):
+            others = _Weights(rows.filter(F.col("half") != half), ridge)
+            unseen = rows.filter((F.col("half") == half) & (F.col("form") == 0))
+            unseen = unseen.select("number", others.logits(F.col("grams")).alias("logits"))
+            scored = unseen if scored is None else scored.union(unseen)
+        spread = scored.select("*", F.explode(F.array(*[F.lit(0.25 * 1.25**k) for k in range(16)])).alias("t"))
         right = F.element_at("logits", (F.col("number") + 1).cast("int")) / F.col("t")
         loss = F.log(F.aggregate("logits", F.lit(0.0), lambda total, x: total + F.exp(x / F.col("t")))) - right
-        return logits.groupBy("t").agg(F.avg(loss).alias("loss")).orderBy("loss", "t").first()["t"]
+        return spread.groupBy("t").agg(F.avg(loss).alias("loss")).orderBy("loss", "t").first()["t"]
 
     def logits(self, grams: Column) -> Column:
-        table = F.from_json(F.lit(json.dumps(self.weights)), "map<string,array<double>>")  # folded into one literal
-        zero = F.array(*[F.lit(v) for v in self.intercepts])
-        known = F.filter(grams, lambda g: F.map_contains_key(table, g))
-        summed = F.aggregate(known, zero, lambda total, g: F.zip_with(total, table[g], lambda a, b: a + b))
-        return F.transform(summed, lambda x: x / self.temperature)
-
-
-def paragraphs(df: DataFrame, text_column: str, carry: list[str]) -> DataFrame:
-    """``row``, ``document`` (a number of this run), ``number`` of the first line (from 0), ``lines`` and ``paragraph``: the
-    lines, and the joined lines of a block, that hold a cue."""
-    text = F.col(f"`{text_column}`")
-
-    def cued(column: Column) -> Column:
-        found = F.lit(False)
-        for cue in CUES:
-            found = found | F.contains(column, F.lit(cue))
-        return found
-
-    def reach(i: Column) -> Column:
-        """How many lines from line ``i`` on a notice may fill; 1 for a line without words."""
-        grow = lambda n, words: F.struct(n.alias("n"), words.alias("words"))
-        longest = F.aggregate(
-            F.slice("line", i + 1, NOTICE_WORDS),
-            grow(F.lit(0), F.lit(0)),
-            lambda held, line: F.when(held["words"] >= NOTICE_WORDS, held)
-            .when(F.size(_words(line)) == 0, grow(held["n"], F.lit(NOTICE_WORDS)))
-            .otherwise(grow(held["n"] + 1, held["words"] + F.size(_words(line)))),
-        )
-        return F.greatest(longest["n"], F.lit(1))
-
-    def spans(i: Column) -> Column:
-        joined = lambda n: F.array_join(F.slice("line", i + 1, n), " ")
-        one = lambda n: F.struct(i.alias("number"), n.alias("lines"), joined(n).alias("paragraph"))
-        return F.filter(F.transform(F.sequence(F.lit(1), reach(i)), one), lambda span: cued(F.lower(span["paragraph"])))
-
-    kept = df.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), text.alias("text")).filter(cued(F.lower("text")))
-    # An exploded array of one element is evaluated once, where a projection would be merged into its users.
-    numbered = kept.withColumn("document", F.monotonically_increasing_id())
-    split = numbered.select("row", "document", F.explode(F.array(F.split("text", r"\r\n?|\n"))).alias("line"))
-    found = split.select(
-        "row",
-        "document",
-        F.explode(F.flatten(F.transform("line", lambda _, i: spans(i)))).alias("span"),
+        return F.transform(self.weights.logits(grams), lambda x: x / self.temperature)
+
+    def gate(self, covered: float) -> list[str]:
+        """Words of which a text holds one at least if it holds ``covered`` of the words of any notice."""
+        words = set()
+        families = [set().union(*map(_words_of, texts)) for texts in NOTICES.values()]
+        held = lambda word, sets: sum(word in one for one in sets)
+        common = lambda word: (word.isdigit() or word in COMMON, held(word, map(_words_of, OTHERS)), held(word, families))
+        for column, texts in enumerate(NOTICES.values(), 1):
+            telling = lambda word, column=column: self.weights.of_gram[word][column] - self.weights.of_gram[word][0]
+            for text in texts:
+                own = sorted(_words_of(text), key=lambda word: (common(word), -telling(word), word))
+                words.update(own[: len(own) - math.ceil(covered * len(own) - 1e-9) + 1])
+        return sorted(words)
+
+
+def paragraphs(df: DataFrame, text_column: str, gate: list[str]) -> DataFrame:
+    """``document``, ``number`` of the first line (from 0), ``lines`` and ``paragraph``: the lines, and the joined lines of
+    a block, that hold a word of ``gate``; ``df`` has a column ``document`` of different values.
+
+    Lines are laid on a scale by the words before them, on which a line without words is as long as the longest notice.
+    A line's block is then the range of that length from it on, so a document's work grows with its lines.
+    """
+    lines = df.select("document", F.posexplode(F.split(F.col(f"`{text_column}`"), r"\r\n?|\n")).alias("number", "line"))
+    sized = lines.withColumn("n", F.size(_words(F.col("line")))).withColumn("gated", F.lower("line").rlike(_any_word(gate)))
+    before = Window.partitionBy("document").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    length = F.when(F.col("n") == 0, NOTICE_WORDS).otherwise(F.col("n")).cast("bigint")
+    placed = sized.withColumn("at", F.coalesce(F.sum(length).over(before), F.lit(0))).filter("n > 0")
+    reach = Window.partitionBy("document").orderBy("at").rangeBetween(0, NOTICE_WORDS - 1)
+    blocks = placed.withColumn("block", F.collect_list(F.struct("line", "gated")).over(reach))
+    held = blocks.filter(F.exists("block", lambda one: one["gated"])).select(
+        "document", "number", "block", F.explode(F.sequence(F.lit(1), F.size("block"))).alias("lines")
     )
-    return found.select("row", "document", "span.*")
+    spans = held.withColumn("block", F.slice("block", 1, F.col("lines"))).filter(F.exists("block", lambda one: one["gated"]))
+    return spans.select("document", "number", "lines", F.array_join(F.col("block.line"), " ").alias("paragraph"))
 
 
 def _apart(found: DataFrame) -> DataFrame:
-    """Of paragraphs that share lines of a document, the shortest, then the most similar, then the first."""
+    """Of paragraphs that share lines of a document, the shortest, then the most similar, then the first.
+
+    Single lines always stand. What meets none of them is compared within runs of paragraphs that overlap.
+    """
+    end = F.col("number") + F.col("lines")
+    backwards = Window.partitionBy("document").orderBy(F.col("number").desc()).rangeBetween(Window.unboundedPreceding, 0)
+    next_single = F.min(F.when(F.col("lines") == 1, F.col("number"))).over(backwards)
+    free = found.withColumn("next", next_single).filter((F.col("lines") == 1) | F.col("next").isNull() | (F.col("next") >= end))
+    forwards = Window.partitionBy("document").orderBy("number", "lines")
+    covered_to = F.max(end).over(forwards.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(F.col("number") < covered_to, 0).otherwise(1)
+    runs = free.withColumn("begins", begins).withColumn("run", F.sum("begins").over(forwards))
     order = F.struct("lines", (-F.col("similarity")).alias("unlike"), "number", "paragraph", "family", "probability", "similarity")
-    spans = F.array_sort(F.collect_list(order))
-    by_document = found.groupBy("document").agg(F.first("row").alias("row"), spans.alias("spans"))
+    by_run = runs.groupBy("document", "run").agg(F.array_sort(F.collect_list(order)).alias("spans"))
     meets = lambda a, b: (a["number"] < b["number"] + b["lines"]) & (b["number"] < a["number"] + a["lines"])
     apart = F.aggregate(
         "spans",
         F.filter("spans", lambda _: F.lit(False)),
         lambda taken, span: F.when(F.exists(taken, lambda t: meets(t, span)), taken).otherwise(F.concat(taken, F.array(span))),
     )
-    return by_document.select("row", F.explode(apart).alias("span")).select("row", "span.*")
+    return by_run.select("document", F.explode(apart).alias("span")).select("document", "span.*")
 
 
 def license_paragraphs(
@@ -243,37 +296,40 @@ def license_paragraphs(
     carry: list[str] | None = None,
     sure: float = 0.5,
     covered: float = 0.7,
+    model: LicenseModel | None = None,
 ) -> DataFrame:
     """Paragraphs with a licence notice: ``row`` (all columns of ``df``, or those of ``carry``), ``number`` of the first line,
     ``paragraph`` (a line, or joined lines), ``family``, ``probability`` and ``similarity`` (share of the words of the nearest
-    notice of that family; of its words and pairs of words for joined lines).
+    notice of that family; for joined lines the lesser of that and of the share of words and pairs of words).
 
     A paragraph is reported if the family's probability is ``sure`` or more and the similarity ``covered`` or more. Null
-    and empty texts have none. Long lines are read whole.
+    and empty texts have none, nor has an empty table. Long lines and texts are read whole. Each row is scanned on its own,
+    so rows that repeat, share an id or have none each give their own paragraphs; columns of any name are carried.
     """
-    model = LicenseModel(df.sparkSession)
-    found = paragraphs(df, text_column, carry or df.columns).withColumn("words", _words(F.col("paragraph")))
-    every = F.array(*[F.array_distinct(_words(F.lit(t))) for texts in NOTICES.values() for t in texts])
-    share = lambda wanted, held: F.size(F.array_intersect(wanted, held)) / F.size(wanted)
-    near = found.filter(F.exists(every, lambda notice: share(notice, F.col("words")) >= covered))
+    model = model or LicenseModel(df.sparkSession)
+    gate = model.gate(covered)
+    text, carried = F.col(f"`{text_column}`"), F.struct(*[F.col(f"`{c}`") for c in carry or df.columns])
+    kept = df.filter(F.lower(text).rlike(_any_word(gate))).select(
+        F.monotonically_increasing_id().alias("document"), carried.alias("row"), text.alias("text")
+    )
+    documents = staged(kept, "licensed")
+    found = paragraphs(documents, "text", gate).withColumn("words", _words(F.col("paragraph")))
     # An exploded array of one element is evaluated once, where a projection would be merged into its users.
-    scored = near.withColumn("logits", F.explode(F.array(model.logits(_grams(F.col("words"))))))
+    scored = found.withColumn("logits", F.explode(F.array(model.logits(_grams(F.col("words"))))))
     top = F.array_max("logits")
     whole = F.aggregate("logits", F.lit(0.0), lambda total, x: total + F.exp(x - F.array_max("logits")))
     families = F.array(*[F.lit(f) for f in model.families])
     named = scored.withColumn("probability", 1 / whole).withColumn(
         "family", F.element_at(families, F.array_position("logits", top).cast("int"))
     )
+    sure_of = named.filter((F.col("family") != UNKNOWN) & (F.col("probability") >= sure))
 
-    def nearest(form, held: Column) -> Column:
-        notices = [(F.lit(f), F.array(*[form(_words(F.lit(t))) for t in texts])) for f, texts in NOTICES.items()]
-        of_family = F.create_map(*[x for pair in notices for x in pair])[F.col("family")]
-        return F.array_max(F.transform(of_family, lambda notice: share(notice, held)))
-
-    alone, joined = nearest(F.array_distinct, F.col("words")), nearest(_grams, _grams(F.col("words")))
-    sure_of = (
-        named.filter((F.col("family") != UNKNOWN) & (F.col("probability") >= sure))
-        .withColumn("similarity", F.when(F.col("lines") == 1, alone).otherwise(joined))
-        .filter(F.col("similarity") >= covered)
-    )
-    return _apart(sure_of).select("row", "number", "paragraph", "family", "probability", "similarity")
+    share = lambda wanted, held: F.size(F.array_intersect(wanted, held)) / F.size(wanted)
+    of_notice = lambda t: F.struct(F.array_distinct(_words(F.lit(t))).alias("words"), _grams(_words(F.lit(t))).alias("grams"))
+    notices = F.create_map(*[x for f, texts in NOTICES.items() for x in (F.lit(f), F.array(*[of_notice(t) for t in texts]))])
+    alone = lambda notice: share(notice["words"], F.col("words"))
+    joined = lambda notice: F.least(alone(notice), share(notice["grams"], _grams(F.col("words"))))
+    near = F.transform(notices[F.col("family")], lambda notice: F.when(F.col("lines") == 1, alone(notice)).otherwise(joined(notice)))
+    confirmed = sure_of.withColumn("similarity", F.explode(F.array(F.array_max(near)))).filter(F.col("similarity") >= covered)
+    columns = ["row", "number", "paragraph", "family", "probability", "similarity"]
+    return _apart(confirmed).join(documents.select("document", "row"), "document").select(*columns)

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -83,6 +84,11 @@ def test_quality_of_awkward_rows(spark):
         assert compression_quality.quality_scores(df.limit(0), model).count() == 0
 
 
+@pytest.fixture(scope="module")
+def license_model(spark):
+    return licenses.LicenseModel(spark)
+
+
 @pytest.mark.parametrize("text, families", [
     ("First line.\nReleased under the MIT License.\nmore", ["MIT"]),
     ("Licensed under CC BY-NC 4.0.\r\n\r\nLicensed under the Apache License, Version 2.0.", ["Apache-2.0", "CC-BY-NC"]),
@@ -93,9 +99,9 @@ def test_quality_of_awkward_rows(spark):
     ("All rights reserved. Copyright of the newspaper.", []),
     ("", []), (None, []), ("word " * 50000, []), ("gpl", []),
 ])
-def test_license_lines(spark, text, families):
+def test_license_lines(spark, license_model, text, families):
     df = spark.createDataFrame([(1, text, "x", 0.5)], "doc_id long, text string, family string, probability double")
-    found = licenses.license_paragraphs(df).collect()
+    found = licenses.license_paragraphs(df, model=license_model).collect()
     assert sorted(r["family"] for r in found) == families
     assert all(r["row"]["family"] == "x" and 0.5 <= r["probability"] <= 1 for r in found)
 
@@ -138,6 +144,81 @@ def test_wrapped_licenses(spark):
     assert all(" ".join(r["paragraph"].split()) in " ".join(r["row"]["text"].split()) for r in found)
 
 
+def plain_licenses(text, model, sure=0.5, covered=0.7):
+    """Every span of lines, scored and compared one by one."""
+    words = lambda x: re.findall("[a-z0-9]+", x.lower())
+    grams = lambda w: set(w) | {f"{a} {b}" for a, b in zip(w, w[1:], strict=False)}
+    lines, found = re.split(r"\r\n?|\n", text), []
+    for i in range(len(lines)):
+        for j in range(i, len(lines)):
+            if not words(lines[j]) or sum(len(words(x)) for x in lines[i:j]) >= licenses.NOTICE_WORDS:
+                break
+            held = words(" ".join(lines[i : j + 1]))
+            logits = np.array(model.weights.intercepts)
+            for g in grams(held) & set(model.weights.of_gram):
+                logits = logits + model.weights.of_gram[g]
+            shares = np.exp(logits / model.temperature - max(logits / model.temperature))
+            shares /= shares.sum()
+            family = model.families[int(np.argmax(shares))]
+            if family == licenses.UNKNOWN or max(shares) < sure:
+                continue
+            similarity = 0.0
+            for notice in map(words, licenses.NOTICES[family]):
+                alone = len(set(notice) & set(held)) / len(set(notice))
+                joined = len(grams(notice) & grams(held)) / len(grams(notice))
+                similarity = max(similarity, alone if i == j else min(alone, joined))
+            if similarity >= covered:
+                found.append((j - i + 1, -similarity, i, family, max(shares), " ".join(lines[i : j + 1])))
+    apart = []
+    for span in sorted(found):
+        if all(span[2] >= t[2] + t[0] or t[2] >= span[2] + span[0] for t in apart):
+            apart.append(span)
+    return sorted((i, paragraph, family, round(p, 9), -s) for _, s, i, family, p, paragraph in apart)
+
+
+def test_licenses_equal_a_plain_version(spark, license_model):
+    """Gate, spans, scores and choice, over notices that are wrapped, cut, put side by side and mixed with prose."""
+    draw = random.Random(9)
+    notices = [t for texts in licenses.NOTICES.values() for t in texts]
+
+    def part():
+        kind = draw.random()
+        if kind < 0.25:
+            return draw.choice(licenses.OTHERS)
+        if kind < 0.4:
+            return draw.choice(["", "  ", "--", "a b c", "GNU", "the License"])
+        words = draw.choice(notices).split(" ")
+        if draw.random() < 0.3:
+            words.pop(draw.randrange(len(words)))
+        width = draw.choice([1, 3, 5, 8, 100])
+        return draw.choice(["\n", "\r\n"]).join(" ".join(words[i : i + width]) for i in range(0, len(words), width))
+
+    texts = [draw.choice(["\n", "\n\n", "\r"]).join(part() for _ in range(draw.randrange(1, 9))) for _ in range(60)]
+    model = license_model
+    df = spark.createDataFrame(list(enumerate(texts)), "document long, text string")
+    found = {}
+    for r in licenses.license_paragraphs(df, model=model).collect():
+        one = (r["number"], r["paragraph"], r["family"], round(r["probability"], 9), r["similarity"])
+        found.setdefault(r["row"]["document"], []).append(one)
+    expected = {i: plain_licenses(text, model) for i, text in enumerate(texts)}
+    assert {i: sorted(rows) for i, rows in found.items()} == {i: rows for i, rows in expected.items() if rows}
+    assert sum(len(rows) for rows in found.values()) > 60
+
+
+def test_license_scan_of_awkward_tables(spark, license_model):
+    """Rows that repeat each count, columns that clash are carried, an empty table has no rows, many lines are no trouble."""
+    schema = "number long, text string, document string, lines int, row string, family int"
+    lines = ["Released under the MIT License.", "plain words here", "", "This library is licensed under the GNU Lesser", "General Public License, version 2.1."]
+    rows = [(1, lines[0], "d", 1, "r", 2)] * 3 + [(None, "\n".join(lines * 2000), None, None, None, None), (2, None, "x", 0, "", 0)]
+    df = spark.createDataFrame(rows, schema)
+    model = license_model
+    found = licenses.license_paragraphs(df, model=model)
+    assert found.columns == ["row", "number", "paragraph", "family", "probability", "similarity"]
+    counted = Counter((r["row"]["number"], r["family"]) for r in found.select("row", "family").collect())
+    assert counted == {(1, "MIT"): 3, (None, "MIT"): 2000, (None, "LGPL"): 2000}
+    assert licenses.license_paragraphs(df.limit(0), model=model).count() == 0
+
+
 def sainte_lague(shares, seats):
     won = [0] * len(shares)
     for _ in range(seats):
