@@ -2,8 +2,8 @@
 
 The classifier is a multinomial logistic regression over word 1- and 2-grams, trained on the notices below, on
 shortened copies of them, and on sentences that use the same words without granting a licence (the class
-``unknown``). Its temperature is calibrated out of fold: each half of the notices and sentences is scored by a model
-that saw no notice of that half. A paragraph counts if its predicted family's probability is high enough, and if it then
+``unknown``). Its temperature is calibrated on half of the notices and sentences, scored by a model
+that saw none of them. A paragraph counts if its predicted family's probability is high enough, and if it then
 holds most of the words of some notice of that family.
 
 A paragraph is a line, or some lines in a row that a hard-wrapped notice may fill: from every line on, lines are joined
@@ -11,8 +11,8 @@ until they hold as many words as the longest notice, or a line without words end
 most of a notice's pairs of words, too. Of overlapping paragraphs that hold a notice the shortest stands.
 
 Texts are read by a gate that loses nothing: who holds 70 % of a notice's words holds one of any 30 % and one more of
-them. For each notice these are the words that the fewest other sentences and families hold, and among those the words
-with the largest weights for its family.
+them. For each notice these are words that few other sentences hold, and among those the words with the largest weights
+for its family. A span then counts the notices' words it holds, before anything is scored.
 """
 
 import json
@@ -164,7 +164,7 @@ def _any_word(words: list[str]) -> str:
     first = {}
     for word in words:
         first.setdefault(word[0], []).append(word[1:])
-    return "(?<![a-z0-9])(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in first.items()) + ")(?![a-z0-9])"
+    return f"(?<![a-z0-9])(?=[{''.join(first)}])(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in first.items()) + ")(?![a-z0-9])"
 
 
 NOTICE_WORDS = max(len(re.findall("[a-z0-9]+", text.lower())) for texts in NOTICES.values() for text in texts)
@@ -217,12 +217,8 @@ class LicenseModel:
         self.weights = _Weights(rows, ridge)
 
     def _calibrated(self, rows: DataFrame, ridge: float) -> float:
-        scored = None
-        for half in (0, 1):
-            others = _Weights(rows.filter(F.col("half") != half), ridge)
-            unseen = rows.filter((F.col("half") == half) & (F.col("form") == 0))
-            unseen = unseen.select("number", others.logits(F.col("grams")).alias("logits"))
-            scored = unseen if scored is None else scored.union(unseen)
+        others = _Weights(rows.filter("half = 0"), ridge)
+        scored = rows.filter("half = 1 AND form = 0").select("number", others.logits(F.col("grams")).alias("logits"))
         spread = scored.select("*", F.explode(F.array(*[F.lit(0.25 * 1.25**k) for k in range(16)])).alias("t"))
         right = F.element_at("logits", (F.col("number") + 1).cast("int")) / F.col("t")
         loss = F.log(F.aggregate("logits", F.lit(0.0), lambda total, x: total + F.exp(x / F.col("t")))) - right
@@ -235,8 +231,13 @@ class LicenseModel:
         """Words of which a text holds one at least if it holds ``covered`` of the words of any notice."""
         words = set()
         families = [set().union(*map(_words_of, texts)) for texts in NOTICES.values()]
-        held = lambda word, sets: sum(word in one for one in sets)
-        common = lambda word: (word.isdigit() or word in COMMON, held(word, map(_words_of, OTHERS)), held(word, families))
+        sentences = [_words_of(t) for t in OTHERS]
+
+        def common(word: str) -> tuple:
+            """Short words and numbers last, common words before them; else few other sentences, many families: a small gate."""
+            short = len(word) < 3 or word.isdigit()
+            return short, word in COMMON, sum(word in one for one in sentences), -sum(word in one for one in families)
+
         for column, texts in enumerate(NOTICES.values(), 1):
             telling = lambda word, column=column: self.weights.of_gram[word][column] - self.weights.of_gram[word][0]
             for text in texts:
@@ -245,25 +246,36 @@ class LicenseModel:
         return sorted(words)
 
 
-def paragraphs(df: DataFrame, text_column: str, gate: list[str]) -> DataFrame:
+def paragraphs(df: DataFrame, text_column: str, gate: list[str], covered: float) -> DataFrame:
     """``document``, ``number`` of the first line (from 0), ``lines`` and ``paragraph``: the lines, and the joined lines of
-    a block, that hold a word of ``gate``; ``df`` has a column ``document`` of different values.
+    a block, that hold a word of ``gate`` and ``covered`` of the words of some notice; ``df`` has a column ``document`` of different values.
 
     Lines are laid on a scale by the words before them, on which a line without words is as long as the longest notice.
     A line's block is then the range of that length from it on, so a document's work grows with its lines.
     """
     lines = df.select("document", F.posexplode(F.split(F.col(f"`{text_column}`"), r"\r\n?|\n")).alias("number", "line"))
-    sized = lines.withColumn("n", F.size(_words(F.col("line")))).withColumn("gated", F.lower("line").rlike(_any_word(gate)))
+    # An exploded array of one element is evaluated once, where a projection would be merged into its users.
+    sized = lines.select("*", F.explode(F.array(_words(F.col("line")))).alias("words"))
+    every = F.array(*[F.lit(w) for w in sorted(set().union(*(_words_of(t) for texts in NOTICES.values() for t in texts)))])
+    sized = sized.select("document", "number", "line", F.size("words").alias("n"), F.array_intersect(every, "words").alias("held"))
     before = Window.partitionBy("document").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     length = F.when(F.col("n") == 0, NOTICE_WORDS).otherwise(F.col("n")).cast("bigint")
     placed = sized.withColumn("at", F.coalesce(F.sum(length).over(before), F.lit(0))).filter("n > 0")
     reach = Window.partitionBy("document").orderBy("at").rangeBetween(0, NOTICE_WORDS - 1)
-    blocks = placed.withColumn("block", F.collect_list(F.struct("line", "gated")).over(reach))
-    held = blocks.filter(F.exists("block", lambda one: one["gated"])).select(
-        "document", "number", "block", F.explode(F.sequence(F.lit(1), F.size("block"))).alias("lines")
+    blocks = placed.select("document", "number", F.collect_list(F.struct("line", "held")).over(reach).alias("block"))
+    telling = F.array(*[F.lit(w) for w in gate])
+    gated = blocks.filter(F.arrays_overlap(F.flatten("block.held"), telling))
+    cut = gated.select("document", "number", "block", F.explode(F.sequence(F.lit(1), F.size("block"))).alias("lines"))
+    held = F.explode(F.array(F.array_distinct(F.flatten(F.slice("block.held", 1, F.col("lines"))))))
+    spans = cut.select("*", held.alias("held")).filter(F.arrays_overlap("held", telling))
+    notices = [sorted(_words_of(t)) for texts in NOTICES.values() for t in texts]
+    wanted = F.array(
+        *[F.struct(F.array(*map(F.lit, n)).alias("words"), F.lit(math.ceil(covered * len(n) - 1e-9)).alias("least")) for n in notices]
+    )
+    fits = lambda n: (F.size("held") >= n["least"]) & (F.size(F.array_intersect(F.col("held"), n["words"])) >= n["least"])
+    return spans.filter(F.exists(wanted, fits)).select(
+        "document", "number", "lines", F.array_join(F.slice("block.line", 1, F.col("lines")), " ").alias("paragraph")
     )
-    spans = held.withColumn("block", F.slice("block", 1, F.col("lines"))).filter(F.exists("block", lambda one: one["gated"]))
-    return spans.select("document", "number", "lines", F.array_join(F.col("block.line"), " ").alias("paragraph"))
 
 
 def _apart(found: DataFrame) -> DataFrame:
@@ -313,7 +325,7 @@ def license_paragraphs(
         F.monotonically_increasing_id().alias("document"), carried.alias("row"), text.alias("text")
     )
     documents = staged(kept, "licensed")
-    found = paragraphs(documents, "text", gate).withColumn("words", _words(F.col("paragraph")))
+    found = paragraphs(documents, "text", gate, covered).withColumn("words", _words(F.col("paragraph")))
     # An exploded array of one element is evaluated once, where a projection would be merged into its users.
     scored = found.withColumn("logits", F.explode(F.array(model.logits(_grams(F.col("words"))))))
     top = F.array_max("logits")
