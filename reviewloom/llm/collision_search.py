@@ -115,9 +115,10 @@ def nearest_neighbours(
     ``vec_id``, ``score`` (inner product in double precision), nearest first, ties to smaller ids.
 
     Rows without an id, and vectors that are null, zero, or hold null or non-finite components, take no part. Rows that repeat an id
-    count as that id's own and each can be found. With fewer candidates than wanted all are returned. Vectors have one length.
+    count as that id's own and each can be found. With fewer candidates than wanted all are returned. Only vectors of the
+    commonest length (of equally common ones the longest) take part. An empty table gives no rows; other columns are not read.
     """
-    rows = staged(
+    usable_rows = staged(
         df.select(
             F.col(f"`{id_column}`").cast("bigint").alias("id"),
             F.col(f"`{vector_column}`").cast("array<double>").alias("vector"),
@@ -127,6 +128,9 @@ def nearest_neighbours(
         .withColumn("square", F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)),
         "vectors",
     )
+    lengths = usable_rows.groupBy(F.size("vector").alias("length")).count()
+    most = lengths.agg(F.max(F.struct("count", "length"))["length"].alias("length")).first()["length"]
+    rows = usable_rows.filter(F.size("vector") == F.lit(most))
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("asks").alias("q"), F.max("square").alias("square")).first()
     blocks = max(1, -(-size["n"] // block_rows))
     groups = max(1, -(-size["q"] // query_rows))

@@ -49,6 +49,15 @@ def test_search_of_few_rows(spark):
     assert collision_search.nearest_neighbours(df, F.lit(None).cast("boolean")).count() == 0
 
 
+def test_search_among_vectors_of_the_commonest_length(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(5)] + [(9, [1.0, 2.0, 3.0]), (10, [1.0]), (11, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collision_search.nearest_neighbours(df, F.lit(True), wanted=4).collect()
+    assert {r["query_id"] for r in got} == set(range(5)) == {r["vec_id"] for r in got}
+    even = spark.createDataFrame([(0, [1.0]), (1, [1.0, 2.0]), (2, [3.0]), (3, [0.5, 0.5])], "vec_id long, embedding array<double>")
+    assert {(r["query_id"], r["vec_id"]) for r in collision_search.nearest_neighbours(even, F.lit(True)).collect()} == {(1, 3), (3, 1)}
+
+
 def labelled(n=600):
     draw = random.Random(2)
     vocabulary = ["".join(draw.choice("abcdefgh") for _ in range(draw.randrange(2, 8))) for _ in range(400)]
