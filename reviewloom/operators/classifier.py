@@ -7,6 +7,7 @@ over all training rows; only the weights, whose number does not depend on the da
 """
 
 import hashlib
+import math
 from typing import NamedTuple
 
 import numpy as np
@@ -20,7 +21,6 @@ from reviewloom.operators.scoring import LABELS, SPECIAL_TOKENS, ModelScorer
 BUCKETS = 1 << 16
 MAX_WEIGHTS = 1 << 26  # fixed value: half a gigabyte of doubles
 _FORMAT = 1  # fixed value: version of the saved form
-_KNOWN_GRAMS = 500_000  # n-grams whose buckets a worker remembers
 
 
 class LinearModel(NamedTuple):
@@ -69,13 +69,12 @@ def label_of_rating(rating: str) -> Column:
 def ngrams(text: Column, ngram_words: int) -> Column:
     """All n-grams of 1 to ``ngram_words`` words, with repeats; none of a null or empty text."""
     words = F.when(F.coalesce(text, F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.split(text, " "))
-
-    def of_size(n: int) -> Column:
-        first = F.sequence(F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(1)))
-        grams = F.transform(first, lambda i: F.array_join(F.slice(words, i, n), " "))
-        return F.when(F.size(words) >= n, grams).otherwise(F.array().cast("array<string>"))
-
-    return F.concat(words, *[of_size(n) for n in range(2, ngram_words + 1)])
+    grams = [words]
+    for n in range(2, ngram_words + 1):
+        # Each gets its next word. A function that names ``words`` itself would split the text anew for every element.
+        longer = F.zip_with(grams[-1], F.slice(words, F.lit(n), F.greatest(F.size(words) - (n - 1), F.lit(0))), lambda gram, word: F.concat(gram, F.lit(" "), word))
+        grams.append(F.filter(longer, lambda gram: gram.isNotNull()))
+    return F.concat(*grams)
 
 
 def bucket_of(gram: Column, buckets: int) -> Column:
@@ -130,33 +129,77 @@ def trained_scorer(spark: SparkSession, model: LinearModel, **options) -> ModelS
 
 def _predictor():
     """As a nested function, which Spark ships by value."""
-    special, known_grams = SPECIAL_TOKENS, _KNOWN_GRAMS
+    special = SPECIAL_TOKENS
+    # Constants of MD5, and how far and over which word of the block each of its 64 steps turns.
+    sines = [int(abs(math.sin(i + 1)) * 2**32) for i in range(64)]
+    turns = [(7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21)]
+    places = [(1, 0), (5, 1), (3, 5), (7, 0)]
+    one_block, at_once = 55, 8192  # bytes that fit one block of MD5, spans hashed together
+
+    def md5_heads(data, starts, ends):
+        """The first 32 bits of the MD5 of each ``data[start:end]``."""
+        import numpy as np
+
+        out = np.empty(len(starts), np.uint32)
+        eights = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+        masks = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+        short = np.flatnonzero(ends - starts <= one_block)
+        for begin in range(0, len(short), at_once):
+            which = short[begin : begin + at_once]
+            first, size = starts[which], ends[which] - starts[which]
+            block = [None] * 16
+            for step in range(int(size.max()) // 8 + 1):
+                left = np.clip(size - 8 * step, 0, 8)
+                taken = eights[np.minimum(first + 8 * step, len(data))] & masks[left]
+                closes = size // 8 == step
+                taken[closes] |= np.uint64(0x80) << (8 * (size[closes] % 8)).astype(np.uint64)
+                block[2 * step], block[2 * step + 1] = taken.astype(np.uint32), (taken >> np.uint64(32)).astype(np.uint32)
+            block[14] = (8 * size).astype(np.uint32)
+            a, b, c, d = (np.full(len(which), x, np.uint32) for x in (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476))
+            for i in range(64):
+                turn, (times, plus) = i // 16, places[i // 16]
+                f = d ^ (b & (c ^ d)) if turn == 0 else c ^ (d & (b ^ c)) if turn == 1 else b ^ c ^ d if turn == 2 else c ^ (b | ~d)
+                f += a
+                f += np.uint32(sines[i])
+                if (word := block[(times * i + plus) % 16]) is not None:
+                    f += word
+                by = turns[turn][i % 4]
+                a, d, c, b = d, c, b, b + ((f << np.uint32(by)) | (f >> np.uint32(32 - by)))
+            out[which] = (a + np.uint32(0x67452301)).byteswap()
+        for i in np.flatnonzero(ends - starts > one_block).tolist():
+            out[i] = int(hashlib.md5(data[starts[i] : ends[i]].tobytes()).hexdigest()[:8], 16)
+        return out
 
     def build(parts):
         import numpy as np
 
         weights, intercepts, longest = parts["weights"], parts["intercepts"], parts["ngram_words"]
-        buckets, known = len(weights), {}
-
-        def bucket(gram):
-            found = known.get(gram)
-            if found is None:
-                if len(known) >= known_grams:
-                    known.clear()
-                found = known[gram] = int(hashlib.md5(gram.encode()).hexdigest()[:8], 16) % buckets
-            return found
+        buckets = len(weights)
 
         def predict(texts):
-            tokens, logits = [], np.empty((len(texts), len(intercepts)))
-            for row, text in enumerate(texts):
-                words = text.split(" ") if text else []
-                grams = words + [
-                    " ".join(words[i : i + n]) for n in range(2, longest + 1) for i in range(len(words) - n + 1)
-                ]
-                found, counts = np.unique(np.array([bucket(gram) for gram in grams], np.int64), return_counts=True)
-                logits[row] = intercepts + counts @ weights[found]
-                tokens.append(len(words) + special)
-            return tokens, logits
+            raw = [text.encode() for text in texts]
+            data = np.frombuffer(b" ".join(raw), np.uint8)
+            lengths = np.array([len(x) for x in raw], np.int64)
+            stops = np.cumsum(lengths + 1) - 1
+            # Words lie between single blanks, so every n-gram is a run of bytes of its text.
+            ends = np.append(np.flatnonzero(data == 0x20), len(data))
+            starts = np.concatenate([[0], ends[:-1] + 1])
+            row = np.searchsorted(stops, ends)
+            words = np.where(lengths > 0, np.bincount(row, minlength=len(texts)), 0)
+            real = lengths[row] > 0
+            starts, ends, row = starts[real], ends[real], row[real]
+            spans = [(starts, ends, row)]
+            for n in range(2, longest + 1):
+                there = np.flatnonzero(row[n - 1 :] == row[: len(row) - n + 1]) if len(row) >= n else np.zeros(0, np.int64)
+                spans.append((starts[there], ends[there + n - 1], row[there]))
+            starts, ends, row = (np.concatenate(column) for column in zip(*spans, strict=True))
+            keys = row * buckets + md5_heads(data, starts, ends).astype(np.int64) % buckets
+            keys, counts = np.unique(keys, return_counts=True)
+            bounds = np.searchsorted(keys, np.arange(len(texts) + 1) * buckets)
+            logits = np.empty((len(texts), len(intercepts)))
+            for i, (b, e) in enumerate(zip(bounds, bounds[1:], strict=False)):
+                logits[i] = intercepts + counts[b:e] @ weights[keys[b:e] - i * buckets]
+            return (words + special).tolist(), logits
 
         return predict
 

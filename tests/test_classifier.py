@@ -1,10 +1,12 @@
 """The trained scorer and the model store of the workers."""
 
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reviewloom.operators.classifier import LinearModel, bucket_of, fit_classifier, ngrams, trained_scorer
+from reviewloom.operators.classifier import LinearModel, _predictor, bucket_of, fit_classifier, ngrams, trained_scorer
 from reviewloom.operators.scoring import ModelScorer, score
 
 LABELS = ("NEG", "NEU", "POS")
@@ -53,6 +55,31 @@ def test_ngrams(spark):
     assert found == [["a", "b", "c", "a b", "b c", "a b c"], ["a"], [], [], ["a", "", "b", "a ", " b", "a  b"]]
 
 
+def test_ngrams_split_a_text_once(spark):
+    plan = spark.range(1).select(ngrams(F.col("id").cast("string"), 3))._jdf.queryExecution().analyzed().toString()
+    bodies = plan.split("lambdafunction(")[1:]
+    assert bodies
+    for body in bodies:  # up to the bracket that closes it
+        depth, end = 1, 0
+        while depth:
+            depth += {"(": 1, ")": -1}.get(body[end], 0)
+            end += 1
+        assert "split" not in body[:end]
+
+
+def test_scorer_equals_plain_hashing():
+    texts = ["", "a", " ", "a  b", "\u00e9 \U0001f600 " + "x" * 200, " outer ", " ".join("z" * n for n in range(53, 66)), "a", ""]
+    rng = np.random.default_rng(5)
+    weights, intercepts = rng.normal(size=(512, 3)), np.array([0.1, 0.2, 0.3])
+    for longest in (1, 2, 3):
+        tokens, logits = _predictor()({"weights": weights, "intercepts": intercepts, "ngram_words": longest})(texts)
+        for text, n, row in zip(texts, tokens, logits, strict=True):
+            words = text.split(" ") if text else []
+            grams = [" ".join(words[i : i + k]) for k in range(1, longest + 1) for i in range(len(words) - k + 1)]
+            places = [int(hashlib.md5(gram.encode()).hexdigest()[:8], 16) % 512 for gram in grams]
+            assert n == len(words) + 2 and row == pytest.approx(intercepts + weights[places].sum(axis=0))
+
+
 def test_rows_and_labels_that_teach_nothing(spark, opinions):
     odd = spark.createDataFrame([(1, None, "POS"), (2, "x", None), (3, "y", "OTHER")], opinions.schema)
     with pytest.raises(ValueError, match="no row"):
