@@ -18,7 +18,7 @@ from reviewloom.operators.observation import (
     observe,
     scored_aggregates,
 )
-from reviewloom.operators.partitioning import repartition_by_bytes, spread, spread_plan
+from reviewloom.operators.partitioning import repartition_by_bytes, repartition_by_rows, spread, spread_plan
 from reviewloom.operators.progress import Progress, progress
 from reviewloom.operators.reuse import reused
 from reviewloom.operators.scoring import ERROR_LABEL, LexiconScorer, label_view, score
@@ -49,6 +49,7 @@ class ReviewJob:
     seed: int = 42
     sample_keys: list[str] | None = None
     target_partition_mb: float = 128
+    plan_by_rows: bool = False
     mask_codes_before_lower: bool = False
     clean: bool = True
     compression: str | None = None
@@ -175,8 +176,11 @@ def planned_reviews(spark: SparkSession, path: str, job: ReviewJob) -> tuple[int
 
     The scan is planned by the bytes that a ratio leaves of it. How large the rows of a sample of fixed count are is not known
     beforehand, so such a sample is measured (one more pass over the table it was written to) and dealt anew, by bytes.
+    With ``plan_by_rows`` the number of partitions follows from the rows alone, in any session, for one more pass over the input.
     """
     scan = read_reviews(spark, path)
+    if job.plan_by_rows and not job.sample_count:
+        return repartition_by_rows(sample_ratio(scan, job.sample_ratio, job.seed, job.sample_keys), job.target_partition_mb)
     kept = job.sample_ratio if job.sample_ratio and job.sample_ratio < 1 else 1.0
     plan = spread_plan(scan, int(input_bytes(spark, path) * kept), job.target_partition_mb)
     reviews = sample_ratio(scan, job.sample_ratio, job.seed, job.sample_keys)

@@ -9,6 +9,7 @@ from reviewloom.operators.scoring import LexiconScorer, ModelScorer
 from reviewloom.operators.statistics import score_stats, sentiment_distribution, token_stats
 from reviewloom.plans.review_job import ReviewJob, planned_reviews, run_review_job
 from reviewloom.plans.sweeps import core_scaling, partition_count_sweep, partition_size_sweep
+from reviewloom.queries.files import review_job_metrics_file
 from reviewloom.schemas import DISTRIBUTION_SCHEMA, SCORED_SCHEMA
 from reviewloom.sources.runs import read_results_csv
 
@@ -35,6 +36,26 @@ def job(root, tmp_path, **changes):
     return ReviewJob(**(options | changes))
 
 
+def test_partitions_planned_by_rows(spark, dataset, tmp_path):
+    reviews = spark.read.json(f"{dataset}/sample.jsonl")
+    target_mb = 0.001
+    lengths = [len(t) for t in TEXTS if t is not None]
+    per_partition = int(target_mb * 1024 * 1024 / (sum(lengths) / len(lengths) * 2 + 200))
+    wanted = reviews.count() // per_partition
+    assert wanted > 8  # more than the slots of the session
+    result = run_review_job(spark, job(dataset, tmp_path, plan_by_rows=True, target_partition_mb=target_mb))
+    assert (result.metrics["partitions_count"], result.metrics["reviews_per_partition"]) == (wanted, 60 // wanted)
+    assert (result.loaded, result.retained) == (80, 60)
+
+
+def test_the_metrics_query_shows_the_partitions(spark, tmp_path):
+    rows = [(i, "word " * 100_000, "en", "web") for i in range(13)]  # of 1,000,200 bytes each, as estimated: four in 4 MB
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = review_job_metrics_file(spark, str(tmp_path))
+    assert found.columns == ["total_reviews", "total_tokens", "partitions_count", "reviews_per_partition"]
+    assert tuple(found.first()) == (13, 13 * 100_002, 3, 4)
+
+
 def test_whole_job(spark, dataset, tmp_path, rows_of):
     result = run_review_job(spark, job(dataset, tmp_path, merge_results=True))
     assert (result.loaded, result.retained) == (80, 60)
