@@ -132,7 +132,7 @@ def _parser() -> argparse.ArgumentParser:
     command.add_argument("--target-mb", type=float, default=128)
     command.add_argument("--mask-codes-before-lower", action="store_true")
     command.add_argument("--model", default=None, help="a model that fit has saved; default: word lists")
-    command.add_argument("--merge", action="store_true", help="also put the results into one file, by one task")
+    command.add_argument("--merge", action="store_true", help="also put the results into one file")
     command.add_argument("--labels", action="store_true", help="also write texts and labels alone, from the same scoring")
     command.add_argument("--progress", type=float, default=None, metavar="SECONDS", help="log how far the job is")
     command.set_defaults(run=analyze)

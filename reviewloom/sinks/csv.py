@@ -1,5 +1,6 @@
 """CSV output: partitioned results, and single named files for small tables."""
 
+import os
 import posixpath
 import uuid
 
@@ -23,10 +24,13 @@ CODEC_SUFFIXES = {
 }
 
 
-def write_csv(df: DataFrame, path: str, compression: str | None = None) -> str:
+PIECE_BYTES = 1 << 26  # fixed value: what a task copies of a file that is put together
+
+
+def write_csv(df: DataFrame, path: str, compression: str | None = None, header: bool = True) -> str:
     """One part file per partition, each with the header; what is read back equals what was written."""
     codec_suffix(compression)
-    writer = escape_nulls(df).write.mode("overwrite").options(**CSV_OPTIONS)
+    writer = escape_nulls(df).write.mode("overwrite").options(**CSV_OPTIONS | {"header": str(header).lower()})
     if compression:
         writer = writer.option("compression", compression)
     writer.csv(path)
@@ -61,10 +65,21 @@ def merge_csv(
 ) -> str:
     """Part files put together as one CSV file with one header, at any size.
 
-    One task writes it, so this is for readers that need a single file; ``read_results_csv`` reads the
-    same rows from the part files.
+    The rows are written by many tasks; on a shared file system (``file:``) many tasks also copy these pieces, each to its place in the file.
+    Any other store takes no bytes at a place, so there one task writes the whole. With a codec, the file is packed piece by piece.
     """
-    return write_single_csv(read_results_csv(spark, parts_path, schema), directory, name, compression)
+    rows = read_results_csv(spark, parts_path, schema, split=True)
+    suffix = ".csv" + codec_suffix(compression)
+    if hadoop_path(spark, directory)[1].getUri().getScheme() != "file":
+        return write_single_csv(rows, directory, name, compression)
+
+    def write(df: DataFrame, staging: str) -> None:
+        folders = [f"{staging}/header", f"{staging}/rows"]
+        write_csv(spark.createDataFrame([], df.schema), folders[0], compression)
+        write_csv(df, folders[1], compression, header=False)
+        _put_together(spark, folders, f"{staging}/part-whole")
+
+    return _write_single(rows, directory, name, write, suffix, one_task=False)
 
 
 def metrics_row(spark: SparkSession, metrics: dict, schema: StructType = SUMMARY_SCHEMA) -> DataFrame:
@@ -79,10 +94,37 @@ def codec_suffix(compression: str | None) -> str:
     return CODEC_SUFFIXES[codec]
 
 
-def _write_single(df: DataFrame, directory: str, name: str, write, extension: str) -> str:
+def _put_together(spark: SparkSession, folders: list[str], path: str) -> None:
+    """The part files of ``folders``, one after the other, as one file. Every task copies one piece; to do so twice does no harm."""
+    pieces, at = [], 0
+    for folder in folders:
+        parent, file_system = hadoop_path(spark, folder)
+        found = {s.getPath().toUri().getPath(): s.getLen() for s in file_system.listStatus(parent)}
+        for part in sorted(p for p in found if posixpath.basename(p).startswith("part-")):
+            pieces += [(part, begin, min(PIECE_BYTES, found[part] - begin), at + begin) for begin in range(0, found[part], PIECE_BYTES)]
+            at += found[part]
+    target = hadoop_path(spark, path)[0].toUri().getPath()
+
+    def copy(piece):
+        part, begin, left, place = piece
+        with open(part, "rb") as source, open(os.open(target, os.O_WRONLY | os.O_CREAT, 0o644), "wb") as sink:
+            source.seek(begin)
+            sink.seek(place)
+            while left:
+                data = source.read(min(left, 1 << 20))
+                if not data:
+                    raise OSError(f"{part} is shorter than it was")
+                sink.write(data)
+                left -= len(data)
+
+    if pieces:
+        spark.sparkContext.parallelize(pieces, len(pieces)).foreach(copy)
+
+
+def _write_single(df: DataFrame, directory: str, name: str, write, extension: str, one_task: bool = True) -> str:
     spark = df.sparkSession
     staging = posixpath.join(directory, f".{name}-{uuid.uuid4().hex}")
-    write(df.coalesce(1), staging)
+    write(df.coalesce(1) if one_task else df, staging)
     staged, file_system = hadoop_path(spark, staging)
     target_path = posixpath.join(directory, name + extension)
     target, _ = hadoop_path(spark, target_path)

@@ -3,7 +3,8 @@
 import csv
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
@@ -118,12 +119,71 @@ def read_run_statistics(spark: SparkSession, paths: dict[str, tuple[str, str]])
     return named(0, SCORE_STATS_SCHEMA).join(named(1, TOKEN_STATS_SCHEMA), "run")
 
 
-def read_results_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
-    """Read back what ``sinks.csv`` wrote: the same rows, line breaks and empty texts included."""
-    rows = spark.read.schema(schema).options(multiLine="true", **CSV_OPTIONS).csv(path)
+def read_results_csv(spark: SparkSession, path: str | list[str], schema: StructType, split: bool = False) -> DataFrame:
+    """Read back what ``sinks.csv`` wrote: the same rows, line breaks and empty texts included.
+
+    Each file is read by one task, or with ``split`` by many, for large files without a codec; that takes one more pass.
+    """
+    if split:
+        parsed = F.from_csv("record", schema.simpleString(), {**CSV_OPTIONS, "multiLine": "true"})
+        rows = _records(spark, path).select(parsed.alias("row")).select("row.*")
+    else:
+        rows = spark.read.schema(schema).options(multiLine="true", **CSV_OPTIONS).csv(path)
     return _map_strings(rows, lambda text: F.when(_looks_null(text), F.substr(text, F.lit(2))).otherwise(text))
 
 
+def _records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``record``: the text of each CSV record but the first of a file, however many lines it has.
+
+    All quotes before a line, also those that stand for one in a text, are even in number if the line begins a record. So they are counted for every split
+    first. A record that lies in several splits comes as pieces, at most two from each split, which are joined.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line")
+    )
+    quotes = F.sum((F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))).cast("bigint"))
+    before = F.sum("quotes").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
+    splits = lines.groupBy("file", "start").agg(quotes.alias("quotes"))
+    inside = {(r["file"], r["start"]): r["open"] for r in splits.select("file", "start", (F.coalesce(before, F.lit(0)) % 2 == 1).alias("open")).collect()}
+    known = spark.sparkContext.broadcast(inside)  # one entry for each split
+
+    def cut(batches):
+        at, pieces, is_open, continues, number = None, [], False, False, 0
+
+        def ended():  # what a split leaves of a record that goes on in the next
+            return [("\n".join(pieces), *at, number, True, not continues)] if pieces else []
+
+        for batch in batches:
+            out = []
+            for file, start, line in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if (file, start) != at:
+                    out += ended()
+                    at, pieces, is_open, number = (file, start), [], known.value[file, start], 0
+                    continues = is_open
+                pieces.append(line)
+                is_open ^= line.count('"') % 2 == 1
+                if not is_open:
+                    out.append(("\n".join(pieces), file, start, number, continues, False))
+                    pieces, continues, number = [], False, number + 1
+            yield _as_batch(out)
+        yield _as_batch(ended())
+
+    cut_lines = lines.mapInArrow(cut, "record string, file string, start bigint, number bigint, torn boolean, begins boolean")
+    found = cut_lines.filter("record <> '' OR torn")
+    whole = found.filter("NOT torn AND NOT (start = 0 AND number = 0)").select("record")
+    order = Window.partitionBy("file").orderBy("start", "number")
+    grouped = found.filter("torn").withColumn("which", F.sum(F.col("begins").cast("int")).over(order))
+    joined = grouped.groupBy("file", "which").agg(F.array_sort(F.collect_list(F.struct("start", "number", "record"))).alias("pieces"))
+    return whole.unionByName(joined.select(F.array_join(F.col("pieces.record"), "\n").alias("record")))
+
+
+def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 6
+    types = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_())
+    names = ["record", "file", "start", "number", "torn", "begins"]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+
 def escape_nulls(df: DataFrame) -> DataFrame:
     """Texts made of backslashes and an N get one more backslash, so that none equals the marker."""
     return _map_strings(

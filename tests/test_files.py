@@ -145,6 +145,26 @@ def test_merge_has_one_header(spark, tmp_path, rows_of):
     assert rows_of(read_results_csv(spark, merged, df.schema)) == rows_of(df)
 
 
+@pytest.mark.parametrize("split_bytes", [7, 61, 300, 5000, 1 << 20])
+def test_one_file_is_read_in_splits(spark, tmp_path, rows_of, split_bytes):
+    long = [("x\ny\"\n" * 90, f"long{i}", "u", float(i), None) for i in range(3)]
+    df = spark.createDataFrame([*AWKWARD, *long, *AWKWARD], REVIEW_SCHEMA)
+    parts = write_csv(df.repartition(4), str(tmp_path / "parts"))
+    merged = merge_csv(spark, parts, str(tmp_path / "merged"), "all", REVIEW_SCHEMA)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        found = read_results_csv(spark, merged, REVIEW_SCHEMA, split=True)
+        assert rows_of(found) == rows_of(df)
+        assert found.schema.simpleString() == REVIEW_SCHEMA.simpleString()
+        if split_bytes < 1000:
+            assert spark.read.text(merged).rdd.getNumPartitions() > 8
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 @pytest.mark.parametrize("codec", ["gzip", "bzip2", "deflate", "GZIP", "none"])
 def test_codecs(spark, tmp_path, rows_of, codec):
     df = spark.range(20).select(F.concat(F.lit("text "), F.col("id")).alias("text"))
