@@ -1,9 +1,9 @@
-"""A classifier that is learned: hashed word n-grams, a multinomial model of ``pyspark.ml``, weights that can be saved.
+"""A classifier that is learned: hashed word n-grams, a multinomial model, weights that can be saved.
 
 Words are what lies between single spaces of a (cleaned) text. Each n-gram of 1 to ``ngram_words`` words counts in one of ``buckets``
 buckets, chosen by its MD5, which any system can compute. The model is linear in these counts: naive Bayes (closed form, one
-pass over the training rows) or multinomial logistic regression (some tens of passes). Training is Spark's,
-over all training rows; only the weights, whose number does not depend on the data, come to the driver.
+pass over the training rows, which tasks count and Spark adds up) or multinomial logistic regression of ``pyspark.ml`` (some tens of
+passes). All training rows are used; only the weights, whose number does not depend on the data, come to the driver.
 """
 
 import hashlib
@@ -11,7 +11,8 @@ import math
 from typing import NamedTuple
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression, NaiveBayes
+import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,104 +102,201 @@ def fit_classifier(
         raise ValueError(f"{buckets} buckets for {len(labels)} labels are more than {MAX_WEIGHTS} weights")
     if algorithm not in ("bayes", "logistic"):
         raise ValueError(f"unknown algorithm {algorithm}: bayes or logistic")
+    if smoothing < 0 and algorithm == "bayes":
+        raise ValueError(f"smoothing is {smoothing}, below 0")
     rows = df.select(F.col(label).alias("name"), F.col(text_col).alias("text")).filter(F.col("name").isin(*labels) & F.col("text").isNotNull())
-    seen = {r["name"] for r in rows.select("name").distinct().collect()}  # len(labels) rows at most
-    if not seen:
-        raise ValueError("there is no row to learn from")
-    places = [i for i, name in enumerate(labels) if name in seen]
-    number = F.array_position(F.array(*[F.lit(labels[i]) for i in places]), F.col("name")) - 1
-    grams = F.transform(ngrams(F.col("text"), ngram_words), lambda gram: bucket_of(gram, buckets).cast("string"))
-    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(buckets)], "grams", "features")
-    counted = counter.transform(rows.select(number.cast("double").alias("label"), grams.alias("grams"))).select("label", "features")
-    weights, intercepts = np.zeros((1, buckets)), np.zeros(1)
-    if len(places) > 1 and algorithm == "bayes":
-        fitted = NaiveBayes(modelType="multinomial", smoothing=smoothing).fit(counted)
-        weights, intercepts = fitted.theta.toArray(), fitted.pi.toArray()
-    elif len(places) > 1:
-        fitted = LogisticRegression(family="multinomial", regParam=ridge, maxIter=iterations, standardization=False).fit(counted)
-        weights, intercepts = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
+    number = F.array_position(F.array(*[F.lit(name) for name in labels]), F.col("name")).cast("int") - 1
+    rows = rows.select(number.alias("label"), "text")
+    if algorithm == "bayes":
+        places, weights, intercepts = _bayes(rows, len(labels), ngram_words, buckets, smoothing)
+    else:
+        places, weights, intercepts = _logistic(rows, ngram_words, buckets, ridge, iterations)
     full_weights, full_intercepts = np.zeros((len(labels), buckets)), np.full(len(labels), -np.inf)
     full_weights[places], full_intercepts[places] = weights, intercepts
     return LinearModel(tuple(labels), ngram_words, full_weights.T.copy(), full_intercepts)
 
 
+_NOTHING_TO_LEARN = "there is no row to learn from"
+
+
+def _bayes(rows: DataFrame, labels: int, ngram_words: int, buckets: int, smoothing: float):
+    """(labels that rows have, their weights, their intercepts). Each task counts its n-grams, Spark adds the counts up."""
+    counted = rows.mapInArrow(_counter(labels, ngram_words, buckets), "label int, bucket int, n bigint")
+    sums = counted.groupBy("label", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    label, bucket, n = (sums.column(name).to_numpy() for name in ("label", "bucket", "n"))
+    docs = np.zeros(labels)
+    docs[label[bucket < 0]] = n[bucket < 0]
+    places = np.flatnonzero(docs)
+    if not len(places):
+        raise ValueError(_NOTHING_TO_LEARN)
+    if len(places) == 1:
+        return places, np.zeros((1, buckets)), np.zeros(1)
+    counts = np.zeros((labels, buckets))
+    counts[label[bucket >= 0], bucket[bucket >= 0]] = n[bucket >= 0]
+    counts, docs = counts[places], docs[places]
+    with np.errstate(divide="ignore", invalid="ignore"):  # without smoothing, what was not seen has probability 0
+        weights = np.log(counts + smoothing) - np.log(counts.sum(axis=1, keepdims=True) + smoothing * buckets)
+        return places, weights, np.log(docs + smoothing) - np.log(docs.sum() + smoothing * len(places))
+
+
+def _logistic(rows: DataFrame, ngram_words: int, buckets: int, ridge: float, iterations: int):
+    """The same by multinomial regression, over the classes that rows have."""
+    places = sorted(r["label"] for r in rows.select("label").distinct().collect())  # a row for each label
+    if not places:
+        raise ValueError(_NOTHING_TO_LEARN)
+    if len(places) == 1:
+        return places, np.zeros((1, buckets)), np.zeros(1)
+    number = F.array_position(F.array(*[F.lit(i) for i in places]), F.col("label")) - 1
+    grams = F.transform(ngrams(F.col("text"), ngram_words), lambda gram: bucket_of(gram, buckets).cast("string"))
+    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(buckets)], "grams", "features")
+    counted = counter.transform(rows.select(number.cast("double").alias("label"), grams.alias("grams"))).select("label", "features")
+    fitted = LogisticRegression(family="multinomial", regParam=ridge, maxIter=iterations, standardization=False).fit(counted)
+    return places, fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
+
+
 def trained_scorer(spark: SparkSession, model: LinearModel, **options) -> ModelScorer:
     """A scorer for ``score``: whole texts, tokens are words + 2. The weights are broadcast, and a worker unpacks them once."""
     return ModelScorer.from_broadcast(spark, model._asdict(), _predictor(), labels=model.labels, **options)
 
 
-def _predictor():
-    """As a nested function, which Spark ships by value."""
-    special = SPECIAL_TOKENS
+def _bucketer():
+    """Finds the buckets of all n-grams of a batch of texts. As nested functions, which Spark ships by value."""
     # Constants of MD5, and how far and over which word of the block each of its 64 steps turns.
     sines = [int(abs(math.sin(i + 1)) * 2**32) for i in range(64)]
     turns = [(7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21)]
     places = [(1, 0), (5, 1), (3, 5), (7, 0)]
-    one_block, at_once = 55, 8192  # bytes that fit one block of MD5, spans hashed together
+    one_block, at_once = 55, 16384  # bytes that fit one block of MD5, spans hashed together
+    words_at_once = 1 << 16  # words of a step
 
-    def md5_heads(data, starts, ends):
-        """The first 32 bits of the MD5 of each ``data[start:end]``."""
+    def md5_heads(data, eights, starts, ends):
+        """The first 32 bits of the MD5 of each ``data[start:end]``; ``eights`` has the eight bytes from each place on."""
         import numpy as np
 
+        sizes = ends - starts
         out = np.empty(len(starts), np.uint32)
-        eights = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
         masks = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
-        short = np.flatnonzero(ends - starts <= one_block)
+        closing = np.array([0x80 << 8 * n for n in range(8)], np.uint64)
+        short = np.flatnonzero(sizes <= one_block)
+        scratch = np.empty((6, at_once), np.uint32)
         for begin in range(0, len(short), at_once):
             which = short[begin : begin + at_once]
-            first, size = starts[which], ends[which] - starts[which]
+            first, size = starts[which], sizes[which]
             block = [None] * 16
             for step in range(int(size.max()) // 8 + 1):
-                left = np.clip(size - 8 * step, 0, 8)
-                taken = eights[np.minimum(first + 8 * step, len(data))] & masks[left]
-                closes = size // 8 == step
-                taken[closes] |= np.uint64(0x80) << (8 * (size[closes] % 8)).astype(np.uint64)
+                taken = eights[np.minimum(first + 8 * step, len(data))] & masks[np.clip(size - 8 * step, 0, 8)]
+                closes = np.flatnonzero(size >> 3 == step)
+                taken[closes] |= closing[size[closes] & 7]
                 block[2 * step], block[2 * step + 1] = taken.astype(np.uint32), (taken >> np.uint64(32)).astype(np.uint32)
             block[14] = (8 * size).astype(np.uint32)
-            a, b, c, d = (np.full(len(which), x, np.uint32) for x in (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476))
+            a, b, c, d, f, turned = scratch[:, : len(which)]
+            for state, value in ((a, 0x67452301), (b, 0xEFCDAB89), (c, 0x98BADCFE), (d, 0x10325476)):
+                state.fill(value)
             for i in range(64):
                 turn, (times, plus) = i // 16, places[i // 16]
-                f = d ^ (b & (c ^ d)) if turn == 0 else c ^ (d & (b ^ c)) if turn == 1 else b ^ c ^ d if turn == 2 else c ^ (b | ~d)
+                if turn == 3:  # c ^ (b | ~d)
+                    np.invert(d, out=f)
+                    f |= b
+                    f ^= c
+                else:  # d ^ (b & (c ^ d)), c ^ (d & (b ^ c)), d ^ (b ^ c)
+                    np.bitwise_xor(*((c, d), (b, c), (b, c))[turn], out=f)
+                    if turn < 2:
+                        f &= (b, d)[turn]
+                    f ^= (d, c, d)[turn]
                 f += a
                 f += np.uint32(sines[i])
                 if (word := block[(times * i + plus) % 16]) is not None:
                     f += word
                 by = turns[turn][i % 4]
-                a, d, c, b = d, c, b, b + ((f << np.uint32(by)) | (f >> np.uint32(32 - by)))
+                np.left_shift(f, np.uint32(by), out=turned)
+                f >>= np.uint32(32 - by)
+                f |= turned
+                f += b
+                a, b, c, d, f = d, f, b, c, a
             out[which] = (a + np.uint32(0x67452301)).byteswap()
-        for i in np.flatnonzero(ends - starts > one_block).tolist():
+        for i in np.flatnonzero(sizes > one_block).tolist():
             out[i] = int(hashlib.md5(data[starts[i] : ends[i]].tobytes()).hexdigest()[:8], 16)
         return out
 
+    def make(longest, buckets):
+        import numpy as np
+
+        def steps(data, stops):
+            """``(row, bucket)`` of all n-grams, in steps of bounded size, rows ascending in each.
+
+            Texts lie one blank apart in ``data`` and end at ``stops``. Words lie between single blanks, so every n-gram is a run of bytes.
+            """
+            lengths = np.diff(stops, prepend=-1) - 1
+            eights = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+            all_ends = np.append(np.flatnonzero(data == 0x20), len(data))
+            for begin in range(0, len(all_ends), words_at_once):
+                size = min(words_at_once, len(all_ends) - begin)
+                ends = all_ends[begin : begin + size + longest - 1]
+                starts = np.concatenate([[all_ends[begin - 1] + 1 if begin else 0], ends[:-1] + 1])
+                row = np.searchsorted(stops, ends)
+                for n in range(1, longest + 1):
+                    # The first and last word are of one text. An empty text has no word.
+                    there = np.flatnonzero((row[n - 1 :][:size] == row[: max(len(row) - n + 1, 0)][:size]) & (lengths[row[n - 1 :][:size]] > 0))
+                    if len(there):
+                        yield row[there], md5_heads(data, eights, starts[there], ends[there + n - 1]).astype(np.int64) % buckets
+
+        return steps
+
+    return make
+
+
+def _counter(labels: int, ngram_words: int, buckets: int):
+    """A function for ``mapInArrow``: from (label, text) to each label's count of every bucket, and of its rows as bucket -1."""
+    make, bytes_at_once = _bucketer(), 1 << 20
+
+    def run(batches):
+        import numpy as np
+
+        steps = make(ngram_words, buckets)
+        rows, counts = np.zeros(labels, np.int64), np.zeros(labels * buckets, np.int64)
+
+        def count(label, texts):
+            stops = np.cumsum(np.array([len(text) for text in texts], np.int64) + 1) - 1
+            for row, bucket in steps(np.frombuffer(b" ".join(texts), np.uint8), stops):
+                np.add.at(counts, label[row] * buckets + bucket, 1)
+
+        for batch in batches:
+            label = batch.column(0).to_numpy().astype(np.int64)
+            rows += np.bincount(label, minlength=labels)
+            texts, size, begin = [], 0, 0
+            for end, text in enumerate(batch.column(1).cast("binary"), 1):
+                texts.append(text.as_py())
+                size += len(texts[-1])
+                if size >= bytes_at_once or end == len(label):
+                    count(label[begin:end], texts)
+                    texts, size, begin = [], 0, end
+        seen, known = np.flatnonzero(counts), np.flatnonzero(rows)
+        label, bucket = np.concatenate([known, seen // buckets]), np.concatenate([np.full(len(known), -1), seen % buckets])
+        columns = [label.astype(np.int32), bucket.astype(np.int32), np.concatenate([rows[known], counts[seen]])]
+        yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names=["label", "bucket", "n"])
+
+    return run
+
+
+def _predictor():
+    """As a nested function, which Spark ships by value."""
+    special, make = SPECIAL_TOKENS, _bucketer()
+
     def build(parts):
         import numpy as np
 
-        weights, intercepts, longest = parts["weights"], parts["intercepts"], parts["ngram_words"]
-        buckets = len(weights)
+        by_label, intercepts = np.ascontiguousarray(parts["weights"].T), parts["intercepts"]
+        steps = make(parts["ngram_words"], len(parts["weights"]))
 
         def predict(texts):
             raw = [text.encode() for text in texts]
-            data = np.frombuffer(b" ".join(raw), np.uint8)
             lengths = np.array([len(x) for x in raw], np.int64)
-            stops = np.cumsum(lengths + 1) - 1
-            # Words lie between single blanks, so every n-gram is a run of bytes of its text.
-            ends = np.append(np.flatnonzero(data == 0x20), len(data))
-            starts = np.concatenate([[0], ends[:-1] + 1])
-            row = np.searchsorted(stops, ends)
-            words = np.where(lengths > 0, np.bincount(row, minlength=len(texts)), 0)
-            real = lengths[row] > 0
-            starts, ends, row = starts[real], ends[real], row[real]
-            spans = [(starts, ends, row)]
-            for n in range(2, longest + 1):
-                there = np.flatnonzero(row[n - 1 :] == row[: len(row) - n + 1]) if len(row) >= n else np.zeros(0, np.int64)
-                spans.append((starts[there], ends[there + n - 1], row[there]))
-            starts, ends, row = (np.concatenate(column) for column in zip(*spans, strict=True))
-            keys = row * buckets + md5_heads(data, starts, ends).astype(np.int64) % buckets
-            keys, counts = np.unique(keys, return_counts=True)
-            bounds = np.searchsorted(keys, np.arange(len(texts) + 1) * buckets)
-            logits = np.empty((len(texts), len(intercepts)))
-            for i, (b, e) in enumerate(zip(bounds, bounds[1:], strict=False)):
-                logits[i] = intercepts + counts[b:e] @ weights[keys[b:e] - i * buckets]
+            words = np.array([x.count(b" ") + 1 if x else 0 for x in raw])
+            logits = np.tile(np.asarray(intercepts, np.float64), (len(texts), 1))
+            for row, bucket in steps(np.frombuffer(b" ".join(raw), np.uint8), np.cumsum(lengths + 1) - 1):
+                firsts = np.flatnonzero(np.diff(row, prepend=-1))
+                for label, weights in enumerate(by_label):
+                    if len(firsts):
+                        logits[row[firsts], label] += np.add.reduceat(weights[bucket], firsts)
             return (words + special).tolist(), logits
 
         return predict

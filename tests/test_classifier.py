@@ -1,13 +1,16 @@
 """The trained scorer and the model store of the workers."""
 
+import collections
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from reviewloom.operators.classifier import LinearModel, _predictor, bucket_of, fit_classifier, ngrams, trained_scorer
+from reviewloom.operators.classifier import LinearModel, _counter, _predictor, bucket_of, fit_classifier, ngrams, trained_scorer
 from reviewloom.operators.scoring import ModelScorer, score
+from reviewloom.queries.scoring import labelled_reviews
 
 LABELS = ("NEG", "NEU", "POS")
 
@@ -80,6 +83,54 @@ def test_scorer_equals_plain_hashing():
             assert n == len(words) + 2 and row == pytest.approx(intercepts + weights[places].sum(axis=0))
 
 
+def test_counter_equals_plain_counting():
+    texts = ["", "a", "", " a  b", " ".join(f"w{n % 977}" for n in range(70000)), "a", "z" * 300 + " \u00e9"]
+    labels = [0, 2, 1, 2, 1, 0, 1]
+    batches = [pa.record_batch({"label": pa.array(labels, pa.int32()), "text": pa.array(texts)})]
+    counts = collections.Counter()
+    for text, label in zip(texts, labels, strict=True):
+        words = text.split(" ") if text else []
+        counts[label, -1] += 1
+        for n in (1, 2, 3):
+            for i in range(len(words) - n + 1):
+                counts[label, int(hashlib.md5(" ".join(words[i : i + n]).encode()).hexdigest()[:8], 16) % 64] += 1
+    (found,) = _counter(3, 3, 64)(iter(batches))
+    assert {(r["label"], r["bucket"]): r["n"] for r in found.to_pylist()} == counts
+    weights = np.random.default_rng(6).normal(size=(64, 3))
+    tokens, logits = _predictor()({"weights": weights, "intercepts": np.zeros(3), "ngram_words": 3})([texts[4]])
+    of_text = np.array([counts[1, b] for b in range(64)], float)
+    for gram in ["z" * 300, "\u00e9", "z" * 300 + " \u00e9"]:
+        of_text[int(hashlib.md5(gram.encode()).hexdigest()[:8], 16) % 64] -= 1
+    assert tokens == [70002] and logits[0] == pytest.approx(of_text @ weights)
+    assert [r.num_rows for r in _counter(3, 2, 64)(iter([]))] == [0]
+
+
+def test_a_fit_reads_its_rows_once(spark, opinions):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    fit_classifier(opinions.mapInArrow(counted, opinions.schema), "label", "text", buckets=64)
+    assert read.value == 300
+
+
+def test_texts_without_a_label_are_not_cleaned(spark, tmp_path, plan_of):
+    texts = [(1, "A  HTTP://x.y z"), (2, "b"), (3, " "), (4, None), (5, "E @me"), (5, "E again"), (None, "lost")]
+    documents = spark.createDataFrame(texts, "doc_id long, text string").selectExpr("*", "'s' AS source", "'en' AS lang")
+    documents.write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(1, 1, 1), (3, 0, 0), (4, 0, 0), (5, 0, 0), (6, 1, 0), (None, 1, 0)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    found = labelled_reviews(spark, str(tmp_path))
+    rows = [tuple(r) for r in found.select("asin", "preprocessed_text", "label").collect()]
+    assert sorted(rows) == [("D1", "a [URL] z", "NEG"), ("D5", "e [USER]", "NEU"), ("D5", "e again", "NEU")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" in plan and "regexp_replace" not in plan[plan.index("Join Inner") :]
+    assert "ShuffledHashJoin" in plan_of(found)  # texts are not sorted
+
+
 def test_rows_and_labels_that_teach_nothing(spark, opinions):
     odd = spark.createDataFrame([(1, None, "POS"), (2, "x", None), (3, "y", "OTHER")], opinions.schema)
     with pytest.raises(ValueError, match="no row"):
